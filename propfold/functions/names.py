@@ -33,6 +33,7 @@ SEVERAL = {
 }
 
 COMBINING = "".join(map(chr, range(0x300, 0x370)))
+BEYOND_ASCII = r"[^\x00-\x7F]"
 
 # Names up to this length may sit in the broadcast name cache.
 CACHED_LENGTH = 256
@@ -55,27 +56,30 @@ def one_to_one() -> tuple[str, str]:
     return "".join(table) + COMBINING, "".join(table.values())
 
 
-def to_ascii(text: Column) -> Column:
-    written = F.translate(text, *one_to_one())
-    for sign, letters in SEVERAL.items():
-        written = F.replace(written, F.lit(sign), F.lit(letters))
-    return F.when(text.rlike(r"[^\x00-\x7F]"), written).otherwise(text)
+def literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def normal_form(text: Column) -> Column:
+def normal_form(column: str) -> str:
+    """SQL expression for the normal form of a column."""
+    text = column
     for old, new in REPLACEMENTS:
-        text = F.replace(text, F.lit(old), F.lit(new))
-    return to_ascii(text)
+        text = f"replace({text}, {literal(old)}, {literal(new)})"
+    old, new = one_to_one()
+    written = f"translate({text}, {literal(old)}, {literal(new)})"
+    for sign, letters in SEVERAL.items():
+        written = f"replace({written}, {literal(sign)}, {literal(letters)})"
+    return f"if({column} rlike {literal(BEYOND_ASCII)}, {written}, {text})"
 
 
-def identifier(text: Column) -> Column:
+def identifier(column: str) -> Column:
     """Lower-case normal form: the name of a table or column."""
-    return F.lower(normal_form(text))
+    return F.expr(f"lower({normal_form(column)})")
 
 
-def comparison_key(text: Column) -> Column:
+def comparison_key(column: str) -> Column:
     """Upper-case normal form: what two spellings are compared by."""
-    return F.upper(normal_form(text))
+    return F.expr(f"upper({normal_form(column)})")
 
 
 def with_identifier(rows: DataFrame, name: str, out: str) -> DataFrame:
@@ -86,16 +90,15 @@ def with_identifier(rows: DataFrame, name: str, out: str) -> DataFrame:
     cache: a spelling it does not hold is normalised in place, so the result
     does not depend on which spellings it holds.
     """
-    raw = F.col("_raw")
     cache = (
         rows.select(F.col(name).alias("_raw"))
         .where(F.length("_raw") <= CACHED_LENGTH)
         .distinct()
         .limit(CACHED_NAMES)
-        .select(raw, identifier(raw).alias("_known"))
+        .select("_raw", identifier("_raw").alias("_known"))
     )
     return (
         rows.join(F.broadcast(cache), rows[name] == cache["_raw"], "left")
-        .withColumn(out, F.coalesce("_known", identifier(F.col(name))))
+        .withColumn(out, F.coalesce("_known", identifier(name)))
         .drop("_raw", "_known")
     )

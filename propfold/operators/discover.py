@@ -37,7 +37,7 @@ def spellings(events: DataFrame) -> DataFrame:
         events.where(F.col("name").isNotNull())
         .groupBy(F.col("name").alias("help_name"))
         .agg(F.min("id").alias("first_event"))
-        .withColumn("clean", identifier(F.col("help_name")))
+        .withColumn("clean", identifier("help_name"))
     )
 
 
@@ -47,7 +47,7 @@ def discover_event_schemas(events: DataFrame, schemas: DataFrame, run_ts: dateti
     Known names are removed by two equality anti joins, one per column. An id is
     the next free id plus that of the first event, unique without a global sort.
     """
-    by_name = schemas.select(identifier(F.col("name")).alias("clean"))
+    by_name = schemas.select(identifier("name").alias("clean"))
     by_spelling = schemas.select("help_name")
     unknown = (
         spellings(events).join(by_name, "clean", "left_anti").join(by_spelling, "help_name", "left_anti")
@@ -70,7 +70,7 @@ def discover_event_schemas(events: DataFrame, schemas: DataFrame, run_ts: dateti
 
 def schema_of_spelling(events: DataFrame, schemas: DataFrame) -> DataFrame:
     """Event type of each raw event name: by identifier, else as spelt."""
-    by_name = schemas.groupBy(identifier(F.col("name")).alias("clean")).agg(
+    by_name = schemas.groupBy(identifier("name").alias("clean")).agg(
         F.min("id").alias("_by_name")
     )
     by_spelling = schemas.groupBy("help_name").agg(F.min("id").alias("_by_spelling"))
@@ -97,7 +97,7 @@ def property_spellings(events: DataFrame, properties: DataFrame, schemas: DataFr
         .join(parents, "event_id")
         .groupBy("schema_id", "help_name")
         .agg(F.min("id").alias("first_property"))
-        .withColumn("clean", identifier(F.col("help_name")))
+        .withColumn("clean", identifier("help_name"))
     )
 
 
@@ -116,7 +116,7 @@ def discover_properties(
     """
     by_name = (
         property_schemas.select(
-            F.col("event_id").alias("schema_id"), identifier(F.col("name")).alias("clean")
+            F.col("event_id").alias("schema_id"), identifier("name").alias("clean")
         )
         .distinct()
         .withColumn("_has_name", F.lit(True))

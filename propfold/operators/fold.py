@@ -46,9 +46,18 @@ def bit_table(like: DataFrame, types: list[EventType]) -> DataFrame:
         for prefix in (*READERS, ANY, "known")
         for word in range(words_needed(types))
     ]
-    rows = [(name, *(cell.get(c, 0) for c in columns)) for name, cell in bits.items()]
-    schema = ", ".join(["_property string", *(f"{c} long" for c in columns)])
-    return like.sparkSession.createDataFrame(rows, schema)
+    rows = [
+        (
+            name,
+            *(any(key.startswith(f"{t}_") for key in cell) for t in READERS),
+            *(cell.get(c, 0) for c in columns),
+        )
+        for name, cell in bits.items()
+    ]
+    schema = ["_property string"]
+    schema += [f"_is_{t} boolean" for t in READERS]
+    schema += [f"{c} long" for c in columns]
+    return like.sparkSession.createDataFrame(rows, ", ".join(schema))
 
 
 def word(number: int) -> Column:
@@ -80,7 +89,9 @@ def fold(
     if verdicts:
         # Broadcast: one row per declared property, all from the driver.
         named = named.join(F.broadcast(bit_table(properties, types)), "_property", "left")
-        named = named.withColumns({f"_fits_{t}": accepts(F.col("value"), t) for t in READERS})
+        # A check runs only where some event type declares the property so.
+        checks = {t: F.when(F.col(f"_is_{t}"), accepts(F.col("value"), t)) for t in READERS}
+        named = named.withColumns({f"_fits_{t}": check for t, check in checks.items()})
         named = named.withColumns({f"word_{n}": word(n) for n in words})
     else:
         named = named.where(F.col("_property").isin(cells))

@@ -18,7 +18,7 @@ from propfold.sources.schemas import BASE_COLUMNS, VALID
 def ready_events(events: DataFrame, schema: str | None = None) -> DataFrame:
     """Events that passed validation and are not migrated yet."""
     ready = events.where(~F.col("migrated") & (F.col("valid") == VALID))
-    return ready if schema is None else ready.where(identifier(F.col("name")) == schema)
+    return ready if schema is None else ready.where(identifier("name") == schema)
 
 
 def base_columns() -> list[Column]:

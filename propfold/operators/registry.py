@@ -43,14 +43,15 @@ def active_schemas(schemas: DataFrame, names: Iterable[str] | None = None) -> Da
     return active if names is None else active.where(F.col("name").isin(*names))
 
 
-def schema_columns(schemas: DataFrame, properties: DataFrame) -> DataFrame:
-    """One row per event type and column; aliases of a column share one row."""
-    kinds = schemas.select(F.col("id").alias("event_id"), identifier(F.col("name")).alias("schema"))
+def schema_columns(schemas: DataFrame, properties: DataFrame, how: str = "inner") -> DataFrame:
+    """One row per event type and column; aliases of a column share one row.
+
+    With ``how="left"``, an event type without columns has a row as well.
+    """
+    kinds = schemas.select(F.col("id").alias("event_id"), identifier("name").alias("schema"))
+    declared = properties.select("event_id", "id", "type", identifier("name").alias("property"))
     return (
-        properties.select(
-            "event_id", "id", "type", identifier(F.col("name")).alias("property")
-        )
-        .join(kinds, "event_id")
+        kinds.join(declared, "event_id", how)
         .groupBy("event_id", "schema", "property")
         .agg(F.min_by("type", "id").alias("type"))
     )
@@ -83,11 +84,7 @@ def load_event_types(
     ``max_declared`` declared properties are refused: pass ``names`` and handle
     the event types in several runs.
     """
-    active = active_schemas(schemas, names)
-    kinds = active.select(F.col("id").alias("event_id"), identifier(F.col("name")).alias("schema"))
-    declared = kinds.join(
-        schema_columns(active, properties).drop("schema"), "event_id", "left"
-    ).select("event_id", "schema", "property", "type")
+    declared = schema_columns(active_schemas(schemas, names), properties, how="left")
     rows = declared.limit(max_declared + 1).collect()
     if len(rows) > max_declared:
         raise ValueError(f"over {max_declared} declared properties; pass names in several runs")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ from propfold.sources.schemas import IDENTIFIED_COLUMNS, MIGRATED
 
 # A user registry row is one column of the user table.
 MAX_COLUMNS = 10_000
+COLUMNS_PER_FOLD = 64
 
 # Actions after which the property rows are gone.
 CONSUMING = ("already_equal", "fill", "overwrite", "drop_empty")
@@ -74,10 +76,25 @@ def promotable(columns: dict[str, str]) -> Column:
     return F.coalesce(reduce(Column.__or__, fits, F.lit(False)), F.lit(False))
 
 
+def chunks(names: Iterable[str]) -> Iterator[list[str]]:
+    """Columns to be set by one aggregation."""
+    names = list(names)
+    for start in range(0, len(names), COLUMNS_PER_FOLD):
+        yield names[start : start + COLUMNS_PER_FOLD]
+
+
 def promote_user_properties(
     users: DataFrame, properties: DataFrame, columns: dict[str, str]
 ) -> DataFrame:
     """Users with promoted values set; of several values the latest row's wins."""
+    for names in chunks(columns):
+        users = with_latest_values(users, properties, {name: columns[name] for name in names})
+    return users
+
+
+def with_latest_values(
+    users: DataFrame, properties: DataFrame, columns: dict[str, str]
+) -> DataFrame:
     latest = (
         properties.where(promotable(columns))
         .groupBy("user_id")
@@ -102,97 +119,99 @@ def unpromoted_properties(properties: DataFrame, columns: dict[str, str]) -> Dat
     return properties.where(~promotable(columns))
 
 
-def property_names(properties: DataFrame) -> list[str]:
-    """Distinct property names, brought to the driver to plan columns."""
-    names = properties.where(F.col("name").isNotNull()).select("name").distinct()
-    rows = names.limit(MAX_COLUMNS + 1).collect()
-    if len(rows) > MAX_COLUMNS:
-        raise ValueError(f"over {MAX_COLUMNS} property names; pass names in several runs")
-    return sorted(row["name"] for row in rows)
-
-
-def value_ranges(properties: DataFrame, names: list[str]) -> DataFrame:
-    """Per user and property: rows, lowest and highest non-empty value.
+def value_range(text: Column) -> dict[str, Column]:
+    """Lowest and highest non-empty value.
 
-    Lowest and highest tell no value, one value and several apart, which spares
-    the second shuffle of a distinct count and combines on the map side.
+    They tell no value, one value and several apart. That spares the second
+    shuffle of a distinct count and combines on the map side.
     """
-    text = truthy(F.col("value"))
-    return (
-        properties.where(F.col("name").isin(names))
-        .groupBy("user_id")
-        .agg(
-            *(
-                aggregate.alias(f"_{label}_{n}")
-                for n, name in enumerate(names)
-                for label, aggregate in (
-                    ("rows", F.count(F.when(F.col("name") == name, 1))),
-                    ("low", F.min(F.when(F.col("name") == name, text))),
-                    ("high", F.max(F.when(F.col("name") == name, text))),
-                )
-            )
-        )
-    )
-
-
-def new_value(users: DataFrame, n: int, name: str) -> Column:
-    """The single value of a property, NULL unless it fits the user column."""
-    single = F.when(F.col(f"_low_{n}") == F.col(f"_high_{n}"), F.col(f"_low_{n}"))
-    return single.try_cast(users.schema[name].dataType)
-
-
-def action(users: DataFrame, n: int, name: str) -> Column:
-    low, high = F.col(f"_low_{n}"), F.col(f"_high_{n}")
-    decided = F.when(low < high, "conflict").when(low.isNull(), "drop_empty")
-    if name not in users.columns:
-        return decided.otherwise("no_column")
-    current = F.col(f"_user.{name}")
-    return (
-        decided.when(F.col("_user.id").isNull(), "no_user")
-        .when(new_value(users, n, name).isNull(), "misfit")
-        .when(current.cast("string") == low, "already_equal")
-        .when(current.isNull(), "fill")
-        .otherwise("overwrite")
-    )
+    return {"low": F.min(truthy(text)), "high": F.max(truthy(text))}
 
 
-def consolidation(users: DataFrame, properties: DataFrame, names: list[str]) -> DataFrame:
+def consolidation(
+    users: DataFrame, properties: DataFrame, names: list[str] | None = None
+) -> DataFrame:
     """What becomes of each user's rows of a property.
 
     One row per user and property: the action, the value the user column has
-    afterwards (where there is such a column), and the number of rows.
+    afterwards (where there is such a column), and the number of rows. Rows are
+    grouped before they meet the users, so a user with very many rows counts for
+    one row per property in the join.
     """
-    held = users.select("id", *(name for name in names if name in users.columns and name != "id"))
-    joined = value_ranges(properties, names).join(
-        held.select(F.col("id").alias("user_id"), F.struct("*").alias("_user")), "user_id", "left"
+    if names is not None:
+        properties = properties.where(F.col("name").isin(names))
+    name, low, high = F.col("name"), F.col("low"), F.col("high")
+    ranges = properties.groupBy("user_id", "name").agg(
+        F.count("*").alias("n_rows"),
+        *(value.alias(label) for label, value in value_range(F.col("value")).items()),
     )
-    outcomes = []
-    for n, name in enumerate(names):
-        after = F.lit(None).cast("string")
-        if name in users.columns:
-            set_now = action(users, n, name).isin("fill", "overwrite")
-            current = F.col(f"_user.{name}").cast("string")
-            after = F.when(set_now, F.col(f"_low_{n}")).otherwise(current)
-        outcomes.append(
-            F.struct(
-                F.lit(name).alias("name"),
-                action(users, n, name).alias("action"),
-                after.alias("new_value"),
-                F.col(f"_rows_{n}").alias("n_rows"),
-            )
+    columns = [field for field in users.schema if field.name != "id"]
+    current = F.coalesce(
+        *(F.when(name == f.name, F.col(f"_user.{f.name}").cast("string")) for f in columns)
+    )
+    fits = F.coalesce(
+        *(F.when(name == f.name, low.try_cast(f.dataType).isNotNull()) for f in columns)
+    )
+    known = users.select(
+        F.col("id").alias("user_id"), F.struct(*(f.name for f in columns)).alias("_user")
+    )
+    decision = (
+        F.when(low < high, "conflict")
+        .when(low.isNull(), "drop_empty")
+        .when(~name.isin([f.name for f in columns]), "no_column")
+        .when(F.col("_user").isNull(), "no_user")
+        .when(~fits, "misfit")
+        .when(current == low, "already_equal")
+        .when(current.isNull(), "fill")
+        .otherwise("overwrite")
+    )
+    return (
+        ranges.join(known, "user_id", "left")
+        .withColumn("action", decision)
+        .select(
+            "user_id",
+            "name",
+            "action",
+            F.when(F.col("action").isin("fill", "overwrite"), low).otherwise(current).alias("new_value"),
+            "n_rows",
         )
-    return joined.select("user_id", F.inline(F.array(*outcomes))).where(F.col("n_rows") > 0)
+    )
 
 
-def consolidated_users(users: DataFrame, properties: DataFrame, names: list[str]) -> DataFrame:
+def consolidated_users(
+    users: DataFrame, properties: DataFrame, names: list[str] | None = None
+) -> DataFrame:
     """Users after consolidation: a single value of a property sets its column."""
-    ranges = value_ranges(properties, names)
+    columns = [
+        field.name
+        for field in users.schema
+        if field.name != "id" and (names is None or field.name in names)
+    ]
+    for some in chunks(columns):
+        users = with_single_values(users, properties, some)
+    return users
+
+
+def with_single_values(users: DataFrame, properties: DataFrame, columns: list[str]) -> DataFrame:
+    ranges = (
+        properties.where(F.col("name").isin(columns))
+        .groupBy("user_id")
+        .agg(
+            *(
+                value.alias(f"_{label}_{n}")
+                for n, name in enumerate(columns)
+                for label, value in value_range(
+                    F.when(F.col("name") == name, F.col("value"))
+                ).items()
+            )
+        )
+    )
+    updated = {}
+    for n, name in enumerate(columns):
+        low, high = F.col(f"_low_{n}"), F.col(f"_high_{n}")
+        single = F.when(low == high, low).try_cast(users.schema[name].dataType)
+        updated[name] = F.coalesce(single, F.col(name))
     joined = users.join(ranges, users["id"] == ranges["user_id"], "left")
-    updated = {
-        name: F.coalesce(new_value(users, n, name), F.col(name))
-        for n, name in enumerate(names)
-        if name in users.columns
-    }
     return joined.withColumns(updated).select(*users.columns)
 
 

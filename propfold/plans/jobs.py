@@ -12,14 +12,20 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propfold.functions.values import read_as
 from propfold.operators import discover, users
 from propfold.operators.fold import cell
 from propfold.operators.pivot import all_cells, fold_events, misfits, pivot_folded
 from propfold.operators.registry import EventType, load_event_types
 from propfold.session import shared_dir
 from propfold.sources.schemas import VALID
-from propfold.sources.tables import TenantTables, append_new, path_exists, with_flags, write_snapshot
+from propfold.sources.tables import (
+    TenantTables,
+    append_new,
+    path_exists,
+    with_flags,
+    within_ids,
+    write_snapshot,
+)
 
 
 def event_state(tables: TenantTables) -> DataFrame:
@@ -72,7 +78,11 @@ def migrate_events_job(
     its own partition. The loop runs over event types, not over data.
     """
     spark = tables.spark
-    folded = fold_events(event_state(tables), tables.read("event_property"), types, schema_gate)
+    events, properties = event_state(tables), tables.read("event_property")
+    if not schema_gate:
+        # The gate looks at all properties ever observed; a verdict does not.
+        properties = within_ids(properties, "event_id", events.where(~F.col("migrated")))
+    folded = fold_events(events, properties, types, schema_gate)
     staged = f"{shared_dir(spark)}/{tables.tenant}/folded/run={run_id}"
     folded.write.partitionBy("schema").mode("overwrite").parquet(staged)
     folded = spark.read.schema(folded.schema).parquet(staged)
@@ -105,7 +115,6 @@ def user_job(tables: TenantTables, out: str, names: list[str] | None = None) ->
     left = write_snapshot(
         users.unpromoted_properties(properties, columns), f"{out}/unpromoted_properties"
     )
-    names = users.property_names(left) if names is None else names
     outcomes = write_snapshot(users.consolidation(promoted, left, names), f"{out}/consolidation")
     settled = write_snapshot(
         users.consolidated_users(promoted, left, names), f"{out}/consolidated_users"
@@ -130,11 +139,3 @@ def wide_table(tables: TenantTables, kind: EventType) -> DataFrame:
         return tables.spark.createDataFrame([], kind.struct())
     return tables.spark.read.schema(kind.struct()).parquet(path)
 
-
-def typed_text(folded: DataFrame, types: list[EventType], kind: EventType) -> DataFrame:
-    """Typed cells of one type before misfits are set aside."""
-    cells = all_cells(types)
-    return folded.where(F.col("schema") == kind.name).select(
-        "id",
-        *(read_as(cell(folded.columns, cells, c.property), c.type).alias(c.column) for c in kind.columns),
-    )

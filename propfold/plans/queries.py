@@ -27,15 +27,20 @@ class Given:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, table: str) -> DataFrame:
-        return given.DERIVED[table](self.spark, self.folder)
+        if table not in given.DERIVED:
+            raise AttributeError(table)
+        rows = given.DERIVED[table](self.spark, self.folder)
+        self.__dict__[table] = rows
+        return rows
 
     def types(self, names: list[str] | None = None) -> list[registry.EventType]:
         return registry.load_event_types(self.event_schema, self.property_event_schema, names)
 
-    def judged_events(self) -> DataFrame:
+    def judged_events(self, types: list[registry.EventType] | None = None) -> DataFrame:
         """Events with the verdict each gets on its own."""
+        types = self.types() if types is None else types
         verdicts = validate.validate_events(
-            self.user_event, self.event_property, self.types(), schema_gate=False
+            self.user_event, self.event_property, types, schema_gate=False
         )
         return validate.with_verdicts(self.user_event, verdicts)
 
@@ -130,29 +135,26 @@ def ready_events_batch(g: Given) -> DataFrame:
 
 def normalize_names(g: Given) -> DataFrame:
     raw = g.user_event.select("name").union(g.event_property.select("name")).distinct()
-    name = F.col("name")
     return raw.select(
-        "name", n.identifier(name).alias("identifier"), n.comparison_key(name).alias("key")
+        "name", n.identifier("name").alias("identifier"), n.comparison_key("name").alias("key")
     )
 
 
 def normalize_texts(g: Given) -> DataFrame:
-    text = F.col("text")
     return given.table(g.spark, g.folder, "documents").select(
-        "doc_id", n.identifier(text).alias("identifier"), n.comparison_key(text).alias("key")
+        "doc_id", n.identifier("text").alias("identifier"), n.comparison_key("text").alias("key")
     )
 
 
 def read_types(g: Given) -> DataFrame:
     value = F.col("value")
-    rows = g.event_property.select(
+    return g.event_property.select(
         "id",
         v.as_integer(value).alias("as_integer"),
         v.as_numeric(value).cast(CENTS).alias("as_numeric"),
         v.as_date(value).alias("as_date"),
         v.as_varchar(value).alias("as_varchar"),
     )
-    return rows
 
 
 def discover_event_schemas(g: Given) -> DataFrame:
@@ -183,7 +185,7 @@ def refused_properties(g: Given) -> DataFrame:
 
 def pivot_of(g: Given, name: str) -> DataFrame:
     (kind,) = g.types([name])
-    return in_cents(pivot.pivot_events(g.judged_events(), g.event_property, kind))
+    return in_cents(pivot.pivot_events(g.judged_events([kind]), g.event_property, kind))
 
 
 def pivot_events(g: Given) -> DataFrame:
@@ -318,13 +320,11 @@ def remaining_user_props(g: Given) -> DataFrame:
 
 
 def outcomes(g: Given) -> DataFrame:
-    names = users.property_names(g.user_property)
-    return users.consolidation(g.user_company, g.user_property, names)
+    return users.consolidation(g.user_company, g.user_property)
 
 
 def consolidated_users(g: Given) -> DataFrame:
-    names = users.property_names(g.user_property)
-    return users.consolidated_users(g.user_company, g.user_property, names)
+    return users.consolidated_users(g.user_company, g.user_property)
 
 
 def unconsolidated_user_props(g: Given) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # First ids of the events that stand for orders and documents.
@@ -54,146 +54,136 @@ DECLARED = {
 }
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+# Columns read from the given tables.
+GIVEN = {
+    "events": "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, event_type STRING, "
+    "value DOUBLE, props STRING",
+    "orders": "o_orderkey LONG, o_custkey LONG, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "documents": "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG",
+    "customer": "c_custkey LONG, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+}
+
+K = "regexp_extract(props, '[0-9]+', 0)"
+ORDER_ID = f"{ORDER_IDS} + o_orderkey"
+DOCUMENT_ID = f"{DOCUMENT_IDS} + doc_id"
 
 
-def money(amount: str) -> Column:
-    return F.col(amount).cast("decimal(18,2)").cast("string")
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(GIVEN[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def number_in(props: str) -> Column:
-    return F.regexp_extract(props, "[0-9]+", 0)
+def money(amount: str) -> str:
+    return f"string(cast({amount} as decimal(18,2)))"
 
 
 def user_events(spark: SparkSession, folder: str) -> DataFrame:
-    nothing = F.lit(None).cast("string")
-    odd_spelling = (F.col("event_type") == "purchase") & (F.hour("ts") == 7)
-    events = table(spark, folder, "events").select(
-        F.col("event_id").alias("id"),
-        F.when(odd_spelling, "Purchase|").otherwise(F.upper("event_type")).alias("name"),
-        money("value").alias("value"),
-        F.concat(F.lit("u"), F.col("user_id"), F.lit("@example.com")).alias("email"),
-        nothing.alias("valid"),
-        F.when(F.hour("ts") != 5, F.col("ts") < F.lit("2024-01-04").cast("timestamp_ntz")).alias(
-            "migrated"
-        ),
+    events = table(spark, folder, "events").selectExpr(
+        "event_id as id",
+        "if(event_type = 'purchase' and hour(ts) = 7, 'Purchase|', upper(event_type)) as name",
+        f"{money('value')} as value",
+        "concat('u', user_id, '@example.com') as email",
+        "string(null) as valid",
+        "if(hour(ts) = 5, null, ts < timestamp_ntz'2024-01-04') as migrated",
         "user_id",
-        F.col("ts").alias("created_at"),
-        F.col("ts").alias("updated_at"),
-        number_in("props").cast("long").alias("integration_id"),
-        F.lit("sdk").alias("integration_type"),
-        F.concat(F.lit("uuid-"), F.col("event_id")).alias("uuid"),
+        "ts as created_at",
+        "ts as updated_at",
+        f"bigint({K}) as integration_id",
+        "'sdk' as integration_type",
+        "concat('uuid-', event_id) as uuid",
     )
-    orders = table(spark, folder, "orders").select(
-        (F.lit(ORDER_IDS) + F.col("o_orderkey")).alias("id"),
-        F.concat(F.lit("Pedido "), F.col("o_orderstatus")).alias("name"),
-        money("o_totalprice").alias("value"),
-        nothing.alias("email"),
-        nothing.alias("valid"),
-        F.lit(False).alias("migrated"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("created_at"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("updated_at"),
-        F.lit(None).cast("long").alias("integration_id"),
-        F.lit("shop").alias("integration_type"),
-        F.concat(F.lit("order-"), F.col("o_orderkey")).alias("uuid"),
+    orders = table(spark, folder, "orders").selectExpr(
+        f"{ORDER_ID} as id",
+        "concat('Pedido ', o_orderstatus) as name",
+        f"{money('o_totalprice')} as value",
+        "string(null) as email",
+        "string(null) as valid",
+        "false as migrated",
+        "o_custkey as user_id",
+        "o_orderdate as created_at",
+        "o_orderdate as updated_at",
+        "bigint(null) as integration_id",
+        "'shop' as integration_type",
+        "concat('order-', o_orderkey) as uuid",
     )
-    start = F.lit("2024-02-01").cast("timestamp_ntz")
-    documents = table(spark, folder, "documents").select(
-        (F.lit(DOCUMENT_IDS) + F.col("doc_id")).alias("id"),
-        F.lit("Documento Leído").alias("name"),
-        F.col("n_chars").cast("string").alias("value"),
-        nothing.alias("email"),
-        nothing.alias("valid"),
-        F.lit(False).alias("migrated"),
-        F.col("doc_id").alias("user_id"),
-        start.alias("created_at"),
-        start.alias("updated_at"),
-        F.lit(None).cast("long").alias("integration_id"),
-        F.col("source").alias("integration_type"),
-        F.concat(F.lit("doc-"), F.col("doc_id")).alias("uuid"),
+    documents = table(spark, folder, "documents").selectExpr(
+        f"{DOCUMENT_ID} as id",
+        "'Documento Leído' as name",
+        "string(n_chars) as value",
+        "string(null) as email",
+        "string(null) as valid",
+        "false as migrated",
+        "doc_id as user_id",
+        "timestamp_ntz'2024-02-01' as created_at",
+        "timestamp_ntz'2024-02-01' as updated_at",
+        "bigint(null) as integration_id",
+        "source as integration_type",
+        "concat('doc-', doc_id) as uuid",
     )
     return events.unionByName(orders).unionByName(documents)
 
 
 def property_rows(
-    rows: DataFrame, event_id: Column, cells: list[tuple[str, Column, Column]]
+    rows: DataFrame, owner: str, cells: list[tuple[str, str, str]], key: str = "event_id"
 ) -> DataFrame:
-    """One row per cell that is present: ``(name, value, present)``. One scan."""
+    """One row per cell that is present: name, value, presence. One scan."""
     entries = [
-        F.when(
-            present,
-            F.struct(
-                (event_id * 10 + place).alias("id"),
-                F.lit(name).alias("name"),
-                value.cast("string").alias("value"),
-                event_id.alias("event_id"),
-            ),
-        )
+        f"if({present}, named_struct('id', ({owner}) * 10 + {place}, 'name', '{name}', "
+        f"'value', string({value}), '{key}', {owner}), null)"
         for place, (name, value, present) in enumerate(cells, start=1)
     ]
-    return rows.select(F.inline(F.array_compact(F.array(*entries))))
+    return rows.selectExpr(f"inline(array_compact(array({', '.join(entries)})))")
 
 
 def event_properties(spark: SparkSession, folder: str) -> DataFrame:
-    k = number_in("props")
-    amount = money("value")
-    kept = F.hour("ts") != 3
-    signup = F.col("event_type") == "signup"
-    day = F.dayofmonth("ts")
-    date = F.col("ts").cast("date").cast("string")
+    amount, number, date = money("value"), f"int({K})", "string(date(ts))"
     written = (
-        F.when(k.cast("int") <= 7, F.replace(amount, F.lit("."), F.lit(",")))
-        .when(k.cast("int") <= 16, F.concat(F.lit("$"), amount))
-        .when(k.cast("int") <= 18, F.concat(amount, F.lit(" €")))
-        .otherwise(amount)
-    )
-    number = (
-        F.when(k.cast("int").between(37, 39), F.concat(k, F.lit(".5")))
-        .when(k.cast("int") < 3, F.concat(F.lit(" "), k, F.lit(" ")))
-        .otherwise(k)
+        f"case when {number} <= 7 then replace({amount}, '.', ',') "
+        f"when {number} <= 16 then concat('$', {amount}) "
+        f"when {number} <= 18 then concat({amount}, ' €') else {amount} end"
     )
-    when_ = (
-        F.when(day == 30, "2024-02-30")
-        .when(day == 15, F.concat(date, F.lit("T10:00:00")))
-        .otherwise(date)
+    counted = (
+        f"case when {number} between 37 and 39 then concat({K}, '.5') "
+        f"when {number} < 3 then concat(' ', {K}, ' ') else {K} end"
     )
-    mail = F.when(F.col("user_id") < 22, "no mail here").otherwise(
-        F.concat(F.lit("u "), F.col("user_id"), F.lit(" @example.com"))
+    dated = (
+        f"case day(ts) when 30 then '2024-02-30' when 15 then concat({date}, 'T10:00:00') "
+        f"else {date} end"
     )
+    mail = "if(user_id < 22, 'no mail here', concat('u ', user_id, ' @example.com'))"
+    kept = "hour(ts) <> 3"
     events = property_rows(
         table(spark, folder, "events"),
-        F.col("event_id"),
+        "event_id",
         [
-            ("VALOR TOTAL", written, kept & ~signup),
-            ("K", number, kept & (k.cast("int") != 19)),
-            ("FECHA", when_, kept),
+            ("VALOR TOTAL", written, f"{kept} and event_type <> 'signup'"),
+            ("K", counted, f"{kept} and {number} <> 19"),
+            ("FECHA", dated, kept),
             ("Correo |Año", mail, kept),
-            ("Valor Total", F.lit("7.25"), kept & (F.col("value") > 100)),
-            ("Extra Field", F.lit(None), F.col("event_type") == "error"),
-            ("valor_total", written, kept & signup),
+            ("Valor Total", "'7.25'", f"{kept} and value > 100"),
+            ("Extra Field", "null", "event_type = 'error'"),
+            ("valor_total", written, f"{kept} and event_type = 'signup'"),
         ],
     )
-    always = F.lit(True)
     orders = property_rows(
         table(spark, folder, "orders"),
-        F.lit(ORDER_IDS) + F.col("o_orderkey"),
+        ORDER_ID,
         [
-            ("Valor Total", money("o_totalprice"), always),
-            ("Fecha", F.col("o_orderdate").cast("date"), always),
-            ("Prioridad", F.col("o_orderpriority"), always),
-            ("Cliente", F.col("o_custkey"), always),
+            ("Valor Total", money("o_totalprice"), "true"),
+            ("Fecha", "date(o_orderdate)", "true"),
+            ("Prioridad", "o_orderpriority", "true"),
+            ("Cliente", "o_custkey", "true"),
         ],
     )
     documents = property_rows(
         table(spark, folder, "documents"),
-        F.lit(DOCUMENT_IDS) + F.col("doc_id"),
+        DOCUMENT_ID,
         [
-            ("Texto", F.col("text"), always),
-            ("Idioma", F.col("lang"), always),
-            ("Nº Caracteres", F.col("n_chars"), always),
-            ("ID", F.col("doc_id"), always),
+            ("Texto", "text", "true"),
+            ("Idioma", "lang", "true"),
+            ("Nº Caracteres", "n_chars", "true"),
+            ("ID", "doc_id", "true"),
         ],
     )
     return events.unionByName(orders).unionByName(documents)
@@ -201,147 +191,114 @@ def event_properties(spark: SparkSession, folder: str) -> DataFrame:
 
 def event_schemas(spark: SparkSession, folder: str) -> DataFrame:
     """Registered event types: all but ``click`` and the orders in state P."""
-    is_view = F.col("name") == "view"
     events = (
         table(spark, folder, "events")
+        .where("event_type <> 'click'")
         .groupBy(F.col("event_type").alias("name"))
-        .agg(F.min("event_id").alias("id"), F.upper(F.col("name")).alias("help_name"))
-        .where(F.col("name") != "click")
+        .agg(F.min("event_id").alias("id"))
+        .selectExpr("id", "name", "upper(name) as help_name")
     )
     orders = (
         table(spark, folder, "orders")
+        .where("o_orderstatus <> 'P'")
         .groupBy("o_orderstatus")
-        .agg(F.min(F.lit(ORDER_IDS) + F.col("o_orderkey")).alias("id"))
-        .where(F.col("o_orderstatus") != "P")
-        .select(
-            F.concat(F.lit("pedido_"), F.lower("o_orderstatus")).alias("name"),
+        .agg(F.expr(f"min({ORDER_ID})").alias("id"))
+        .selectExpr(
             "id",
-            F.concat(F.lit("Pedido "), F.col("o_orderstatus")).alias("help_name"),
+            "concat('pedido_', lower(o_orderstatus)) as name",
+            "concat('Pedido ', o_orderstatus) as help_name",
         )
     )
-    documents = table(spark, folder, "documents").agg(
-        F.lit("documento_leido").alias("name"),
-        F.min(F.lit(DOCUMENT_IDS) + F.col("doc_id")).alias("id"),
-        F.lit("Documento Leído").alias("help_name"),
+    documents = table(spark, folder, "documents").selectExpr(
+        f"min({DOCUMENT_ID}) as id", "'documento_leido' as name", "'Documento Leído' as help_name"
     )
     return (
         events.unionByName(orders)
         .unionByName(documents)
-        .select(
+        .selectExpr(
             "id",
             "name",
             "help_name",
-            F.when(is_view, 5).otherwise(2).alias("db_status"),
-            F.when(is_view, 4).otherwise(1).alias("migrate_status"),
-            F.lit(True).alias("is_active"),
-            is_view.alias("is_migrated"),
+            "if(name = 'view', 5, 2) as db_status",
+            "if(name = 'view', 4, 1) as migrate_status",
+            "true as is_active",
+            "name = 'view' as is_migrated",
         )
     )
 
 
 def event_property_schemas(spark: SparkSession, folder: str) -> DataFrame:
     """The declared properties of the registered event types."""
-    name = F.col("name")
-    column = "struct<place: int, name: string, help_name: string, type: string>"
-    declared = F.lit(None).cast(f"array<{column}>")
-    for event_type, columns in DECLARED.items():
-        listed = F.array(
-            *(
-                F.struct(F.lit(place), *map(F.lit, spec)).cast(column)
-                for place, spec in enumerate(columns, start=1)
-            )
-        )
-        declared = F.when(name == event_type, listed).otherwise(declared)
-    return (
-        event_schemas(spark, folder)
-        .select(F.col("id").alias("event_id"), F.explode(declared).alias("c"))
-        .select(
-            (F.col("event_id") * 100 + F.col("c.place")).alias("id"),
-            "c.name",
-            "event_id",
-            "c.help_name",
-            "c.type",
-        )
+    listed = [
+        (event_type, place, *spec)
+        for event_type, columns in DECLARED.items()
+        for place, spec in enumerate(columns, start=1)
+    ]
+    declared = spark.createDataFrame(
+        listed, "event_type string, place int, name string, help_name string, type string"
+    )
+    kinds = event_schemas(spark, folder).selectExpr("id as event_id", "name as event_type")
+    return kinds.join(F.broadcast(declared), "event_type").selectExpr(
+        "event_id * 100 + place as id", "name", "event_id", "help_name", "type"
     )
 
 
 def user_companies(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
-    segment = F.col("c_mktsegment")
-    nothing = F.lit(None).cast("string")
-    moment = F.lit(None).cast("timestamp_ntz")
-    return table(spark, folder, "customer").select(
-        key.alias("id"),
-        F.when(segment != "MACHINERY", F.concat(F.lit("c"), key, F.lit("@example.com"))).alias(
-            "email"
-        ),
-        F.col("c_name").alias("first_name"),
-        nothing.alias("last_name"),
-        F.when(F.col("c_nationkey") >= 4, F.concat(F.lit("555"), key)).alias("mobile_number"),
-        nothing.alias("birth_data"),
-        moment.alias("updated_at"),
-        moment.alias("created_at"),
-        F.concat(F.lit("anon-"), key).alias("anonymous_id"),
-        nothing.alias("user_uuid"),
-        segment.alias("city"),
-        F.col("c_nationkey").cast("string").alias("country"),
-        nothing.alias("department"),
-        nothing.alias("gender"),
-        nothing.alias("user_ref_id"),
-        F.when(F.col("c_acctbal") > 2000, F.concat(F.lit("ID"), key)).alias("identification"),
-        F.when(F.col("c_acctbal") > 8000, "CC").alias("identification_type"),
-        F.when(F.col("c_nationkey") == 9, "migrated").alias("migrate"),
+    return table(spark, folder, "customer").selectExpr(
+        "c_custkey as id",
+        "if(c_mktsegment <> 'MACHINERY', concat('c', c_custkey, '@example.com'), null) as email",
+        "c_name as first_name",
+        "string(null) as last_name",
+        "if(c_nationkey >= 4, concat('555', c_custkey), null) as mobile_number",
+        "string(null) as birth_data",
+        "cast(null as timestamp_ntz) as updated_at",
+        "cast(null as timestamp_ntz) as created_at",
+        "concat('anon-', c_custkey) as anonymous_id",
+        "string(null) as user_uuid",
+        "c_mktsegment as city",
+        "string(c_nationkey) as country",
+        "string(null) as department",
+        "string(null) as gender",
+        "string(null) as user_ref_id",
+        "if(c_acctbal > 2000, concat('ID', c_custkey), null) as identification",
+        "if(c_acctbal > 8000, 'CC', null) as identification_type",
+        "if(c_nationkey = 9, 'migrated', null) as migrate",
     )
 
 
 def user_properties(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
-    nation = F.col("c_nationkey")
-    segment = F.col("c_mktsegment")
-    balance = F.col("c_acctbal")
-    kind = F.when(nation == 1, "").when(nation != 2, "CC")
+    kind = "case when c_nationkey = 1 then '' when c_nationkey <> 2 then 'CC' end"
+    other = "if(c_acctbal < 3000, 'CC', 'TI')"
+    mail = "concat('c', c_custkey, if(c_nationkey = 20, '@mail.example', '@example.com'))"
+    car = "c_mktsegment = 'AUTOMOBILE'"
     return property_rows(
         table(spark, folder, "customer"),
-        key,
+        "c_custkey",
         [
-            ("identification_type", kind, balance > -500),
-            ("identification_type", F.when(balance < 3000, "CC").otherwise("TI"), nation > 15),
-            (
-                "CANTIDAD_CORTESIA",
-                F.concat(F.lit(" "), money("c_acctbal"), F.lit(" ")),
-                F.lit(True),
-            ),
-            ("nickname", F.col("c_name"), segment == "AUTOMOBILE"),
-            ("nickname", F.when(nation != 3, F.lower("c_name")), segment == "AUTOMOBILE"),
-            (
-                "email",
-                F.concat(
-                    F.lit("c"), key, F.when(nation == 20, "@mail.example").otherwise("@example.com")
-                ),
-                (segment == "MACHINERY") | nation.isin(20, 21),
-            ),
+            ("identification_type", kind, "c_acctbal > -500"),
+            ("identification_type", other, "c_nationkey > 15"),
+            ("CANTIDAD_CORTESIA", f"concat(' ', {money('c_acctbal')}, ' ')", "true"),
+            ("nickname", "c_name", car),
+            ("nickname", "if(c_nationkey <> 3, lower(c_name), null)", car),
+            ("email", mail, "c_mktsegment = 'MACHINERY' or c_nationkey in (20, 21)"),
         ],
-    ).withColumnRenamed("event_id", "user_id")
+        key="user_id",
+    )
 
 
 def user_property_schemas(spark: SparkSession, folder: str) -> DataFrame:
     """Registered user properties: every observed name."""
-    name = F.col("name")
-    new = name == "cantidad_cortesia"
-    waiting = name == "nickname"
     return (
         user_properties(spark, folder)
         .groupBy(F.lower("name").alias("name"))
         .agg(F.min("id").alias("id"))
-        .select(
+        .selectExpr(
             "id",
             "name",
-            F.when(new, "numeric").otherwise("varchar").alias("type"),
-            F.when(new, "pending_create").otherwise("create_completed").alias("db_status"),
-            F.when(new, "db_pending")
-            .when(waiting, "migrate_pending")
-            .otherwise("migrate_completed")
-            .alias("migrate_status"),
+            "if(name = 'cantidad_cortesia', 'numeric', 'varchar') as type",
+            "if(name = 'cantidad_cortesia', 'pending_create', 'create_completed') as db_status",
+            "case name when 'cantidad_cortesia' then 'db_pending' "
+            "when 'nickname' then 'migrate_pending' else 'migrate_completed' end as migrate_status",
         )
     )
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from propfold.sources.schemas import table_schema
+from propfold.sources.schemas import INVALID, VALID, table_schema
 
 
 @dataclass(frozen=True)
@@ -73,11 +73,22 @@ def only_new(batch: DataFrame, target: DataFrame) -> DataFrame:
     return batch.join(target.select("id"), "id", "left_anti")
 
 
+def within_ids(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows whose ``key`` lies between the lowest and highest of ``ids``.
+
+    Ids grow with time, so this lets a scan of a table written in that order
+    skip most of it. It removes no row that could match one of ``ids``.
+    """
+    low, high = ids.agg(F.min("id"), F.max("id")).first()
+    return rows.where(F.col(key).between(low, high)) if low is not None else rows.limit(0)
+
+
 def append_new(batch: DataFrame, path: str) -> None:
     """Append to a wide table; running it again appends nothing."""
     spark = batch.sparkSession
     if path_exists(spark, path):
-        batch = only_new(batch, spark.read.schema(batch.schema).parquet(path))
+        target = spark.read.schema(batch.schema).parquet(path)
+        batch = only_new(batch, within_ids(target, "id", batch))
     batch.write.mode("append").parquet(path)
 
 
@@ -85,13 +96,24 @@ def current_flags(status: DataFrame) -> DataFrame:
     """Latest non-NULL ``valid`` and ``migrated`` of each event.
 
     ``status`` is append-only: one row per event and run. Flags change often and
-    the event table is never rewritten for them.
+    the event table is never rewritten for them. Run and flag are aggregated as
+    one number, which a hash aggregation can hold.
     """
-    return status.groupBy("event_id").agg(
-        *(
-            F.max_by(flag, F.when(F.col(flag).isNotNull(), F.col("run_id"))).alias(flag)
-            for flag in ("valid", "migrated")
-        )
+
+    def latest(flag: Column) -> Column:
+        return F.max(F.when(flag.isNotNull(), F.col("run_id") * 2 + flag.cast("long")))
+
+    def value(newest: str) -> Column:
+        return F.pmod(newest, F.lit(2)) == 1
+
+    newest = status.groupBy("event_id").agg(
+        latest(F.col("valid") == VALID).alias("_valid"),
+        latest(F.col("migrated")).alias("_migrated"),
+    )
+    return newest.select(
+        "event_id",
+        F.when(value("_valid"), VALID).when(~value("_valid"), INVALID).alias("valid"),
+        value("_migrated").alias("migrated"),
     )
 
 
