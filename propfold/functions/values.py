@@ -24,6 +24,7 @@ SPARK_TYPES = {
 SPACE = r"[ \t\n\r\f\x0B]*"
 INTEGER_TEXT = rf"^{SPACE}[+-]?[0-9]+{SPACE}\z"
 NUMERIC_TEXT = rf"^{SPACE}[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?{SPACE}\z"
+ZERO_TEXT = rf"^{SPACE}[+-]?[0.]+[eE]"
 CLOCK = r"([01][0-9]|2[0-3])(:[0-5][0-9](:[0-5][0-9]([.,][0-9]+)?)?)?"
 ZONE = r"(Z|[+-]([01][0-9]|2[0-3])(:?[0-5][0-9])?)?"
 DATE_TEXT = rf"^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}([T ]{CLOCK}{ZONE})?\z"
@@ -41,9 +42,16 @@ def as_integer(value: Column) -> Column:
     return F.when(value.rlike(INTEGER_TEXT), value.try_cast("int"))
 
 
+def number(value: Column) -> Column:
+    """Decimal number; the cast alone refuses a zero with a large exponent."""
+    zero = F.when(value.rlike(ZERO_TEXT), F.lit(0).cast("decimal(38,18)"))
+    return F.when(
+        value.rlike(NUMERIC_TEXT), F.coalesce(value.try_cast("decimal(38,18)"), zero)
+    )
+
+
 def as_numeric(value: Column) -> Column:
-    pointed = point(value)
-    return F.when(pointed.rlike(NUMERIC_TEXT), pointed.try_cast("decimal(38,18)"))
+    return number(point(value))
 
 
 def as_date(value: Column) -> Column:
@@ -118,7 +126,5 @@ def replace_text(value: Column, old: str, new: str, scope: str = "all") -> Colum
 
 def integer_text(value: Column) -> Column:
     """Number text rounded half away from zero; other text stays as it is."""
-    whole = F.round(
-        F.when(value.rlike(NUMERIC_TEXT), value.try_cast("decimal(38,18)"))
-    ).try_cast("int")
+    whole = F.round(number(value)).try_cast("int")
     return F.coalesce(whole.cast("string"), value)

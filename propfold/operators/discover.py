@@ -44,13 +44,18 @@ def spellings(events: DataFrame) -> DataFrame:
 def discover_event_schemas(events: DataFrame, schemas: DataFrame, run_ts: datetime) -> DataFrame:
     """Registry rows for event names known neither by identifier nor as spelt.
 
-    Known names are removed by two equality anti joins, one per column. An id is
-    the next free id plus that of the first event, unique without a global sort.
+    Known names are found by two equality joins, one per column. They are outer
+    joins, so that they meet the distinct spellings: an anti join would be moved
+    below the grouping, to be made for every event. An id is the next free id
+    plus that of the first event, unique without a global sort.
     """
-    by_name = schemas.select(identifier("name").alias("clean"))
-    by_spelling = schemas.select("help_name")
+    by_name = schemas.select(identifier("name").alias("clean"), F.lit(True).alias("_named"))
+    by_spelling = schemas.select("help_name", F.lit(True).alias("_spelt"))
     unknown = (
-        spellings(events).join(by_name, "clean", "left_anti").join(by_spelling, "help_name", "left_anti")
+        spellings(events)
+        .join(by_name, "clean", "left")
+        .join(by_spelling, "help_name", "left")
+        .where(F.col("_named").isNull() & F.col("_spelt").isNull())
     )
     return (
         unknown.groupBy("clean")

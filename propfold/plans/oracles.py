@@ -325,6 +325,7 @@ STATEMENTS = {
     "pivot_events": pivot_sql("purchase"),
     "pivot_documents": pivot_sql("documento_leido"),
     "pivot_orders": pivot_sql("pedido_f"),
+    "pivot_ready_events": pivot_sql("purchase"),
     "pivot_all_schemas": f"""
         SELECT v.id, v.schema, v.valid, {", ".join(
             f"max(CASE WHEN c.clean = {quoted(name)} THEN c.value END) AS text_{name}"

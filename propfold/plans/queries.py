@@ -183,21 +183,29 @@ def refused_properties(g: Given) -> DataFrame:
     return validate.refused_properties(g.user_event, g.event_property, g.types())
 
 
-def pivot_of(g: Given, name: str) -> DataFrame:
-    (kind,) = g.types([name])
-    return in_cents(pivot.pivot_events(g.judged_events([kind]), g.event_property, kind))
+def validated_and_pivoted(g: Given, name: str) -> DataFrame:
+    """Verdicts and cells of one type out of one aggregation of the properties."""
+    types = g.types([name])
+    folded = pivot.fold_events(g.user_event, g.event_property, types, schema_gate=False)
+    return in_cents(pivot.pivot_folded(folded, types, types[0]))
 
 
 def pivot_events(g: Given) -> DataFrame:
-    return pivot_of(g, "purchase")
+    return validated_and_pivoted(g, "purchase")
 
 
 def pivot_documents(g: Given) -> DataFrame:
-    return pivot_of(g, "documento_leido")
+    return validated_and_pivoted(g, "documento_leido")
 
 
 def pivot_orders(g: Given) -> DataFrame:
-    return pivot_of(g, "pedido_f")
+    return validated_and_pivoted(g, "pedido_f")
+
+
+def pivot_ready_events(g: Given) -> DataFrame:
+    """Wide rows of events that carry their verdict already."""
+    (kind,) = g.types(["purchase"])
+    return in_cents(pivot.pivot_events(g.judged_events([kind]), g.event_property, kind))
 
 
 def pivot_events_incremental(g: Given) -> DataFrame:
@@ -345,6 +353,7 @@ REGISTERED: dict[str, Callable[[Given], DataFrame]] = {
     "pivot_events": pivot_events,
     "pivot_documents": pivot_documents,
     "pivot_orders": pivot_orders,
+    "pivot_ready_events": pivot_ready_events,
     "pivot_all_schemas": pivot_all_schemas,
     "pivot_events_incremental": pivot_events_incremental,
     "misfit_cells": misfit_cells,
