@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from propfold.functions.names import identifier
 from propfold.functions.values import VARCHAR
+from propfold.operators.fold import fold_known, known_at_place
+from propfold.operators.registry import MAX_DECLARED
 from propfold.operators.sizing import attach
 from propfold.sources.schemas import DB_STATUS, MIGRATE_STATUS
 
@@ -156,6 +158,39 @@ def discover_properties(
     )
 
 
+def events_with_new_properties(
+    events: DataFrame, properties: DataFrame, schemas: DataFrame, property_schemas: DataFrame
+) -> DataFrame:
+    """Ids of the events that have a property spelling unknown under their type.
+
+    Only these can add to the registry. They are found by one combining
+    aggregation, which shuffles one row per event; the pairs of event type and
+    property need then be looked for among few events only.
+    """
+    known = schemas.select(F.col("id").alias("event_id"))
+    pairs = (
+        property_schemas.join(known, "event_id", "left_semi")
+        .where(F.col("name") == identifier("help_name"))
+        .select("event_id", "help_name")
+        .distinct()
+        .limit(MAX_DECLARED + 1)
+        .collect()
+    )
+    if len(pairs) > MAX_DECLARED:
+        raise ValueError(f"over {MAX_DECLARED} registered spellings")
+    spelt: dict[int, list[str]] = {}
+    for type_id, spelling in pairs:
+        spelt.setdefault(type_id, []).append(spelling)
+    places = {type_id: place for place, type_id in enumerate(sorted(spelt))}
+    folded = fold_known(properties, [spelt[type_id] for type_id in places])
+    # Broadcast: one row per event type of the registry, all from the driver.
+    place = events.sparkSession.createDataFrame(list(places.items()), "schema_id long, place int")
+    names = schema_of_spelling(events, schemas).join(F.broadcast(place), "schema_id", "left")
+    typed = attach(events.select("id", "name"), names, ["name"], spread="id", how="inner")
+    unknown = F.col("place").isNull() | ~known_at_place(len(places))
+    return typed.join(folded, typed["id"] == folded["event_id"]).where(unknown).select("id")
+
+
 def registered_with(registry: DataFrame, new: DataFrame) -> DataFrame:
     """The registry with new rows added, in the columns of the registry."""
     return registry.unionByName(new.select(*registry.columns))

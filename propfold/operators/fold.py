@@ -8,7 +8,7 @@ what is shuffled and joined is one row per event, not one per property.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sized
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +27,7 @@ MAX_CELL_COLUMNS = 64
 ANY = "any"
 
 
-def words_needed(types: list[EventType]) -> int:
+def words_needed(types: Sized) -> int:
     return -(-len(types) // TYPES_PER_WORD)
 
 
@@ -97,8 +97,10 @@ def fold(
         named = named.where(F.col("_property").isin(cells))
     verdict_words = [F.bit_and(f"word_{n}").alias(f"word_{n}") for n in words]
     if len(cells) <= max_cell_columns:
+        # The highest (id, value) holds the latest value, be it NULL.
+        named = named.withColumn("_entry", F.struct("id", "value"))
         latest = [
-            F.max_by("value", F.when(F.col("_property") == name, F.col("id"))).alias(f"cell_{n}")
+            F.max(F.when(F.col("_property") == name, F.col("_entry")))["value"].alias(f"cell_{n}")
             for n, name in enumerate(cells)
         ]
         return named.groupBy("event_id").agg(*verdict_words, *latest)
@@ -119,18 +121,44 @@ def cell(folded_columns: Iterable[str], cells: list[str], name: str) -> Column:
     return F.col(f"cell_{cells.index(name)}")
 
 
-def type_bit(types: list[EventType], shift: int = 0) -> Column:
+def bit_at_place(words: int, shift: int = 0) -> Column:
     """The bit of the event type at ``place``, as a boolean."""
     found = F.lit(None).cast("long")
-    for n in range(words_needed(types)):
+    for n in range(words):
         here = F.floor(F.col("place") / TYPES_PER_WORD) == n
         found = F.when(here, F.col(f"word_{n}")).otherwise(found)
     return F.getbit(found, F.col("place") % TYPES_PER_WORD + shift) == 1
 
 
 def accepted(types: list[EventType]) -> Column:
-    return type_bit(types)
+    return bit_at_place(words_needed(types))
 
 
 def registered(types: list[EventType]) -> Column:
-    return type_bit(types, TYPES_PER_WORD)
+    return bit_at_place(words_needed(types), TYPES_PER_WORD)
+
+
+def fold_known(properties: DataFrame, spellings: list[list[str]]) -> DataFrame:
+    """One row per event id: in which lists are all its property spellings?
+
+    List number ``place`` has its bit where ``known_at_place`` finds it.
+    """
+    words = range(words_needed(spellings))
+    bits: dict[str, list[int]] = {}
+    for place, listed in enumerate(spellings):
+        number, bit = divmod(place, TYPES_PER_WORD)
+        for spelling in listed:
+            bits.setdefault(spelling, [0] * len(words))[number] |= 1 << bit
+    schema = ", ".join(["name string", *(f"_word_{n} long" for n in words)])
+    rows = [(spelling, *numbers) for spelling, numbers in bits.items()]
+    # Broadcast: one row per spelling, all from the driver.
+    table = F.broadcast(properties.sparkSession.createDataFrame(rows, schema))
+    named = properties.where(F.col("name").isNotNull()).join(table, "name", "left")
+    return named.groupBy("event_id").agg(
+        F.count("*").alias("n_properties"),
+        *(F.bit_and(F.coalesce(f"_word_{n}", F.lit(0))).alias(f"word_{n}") for n in words),
+    )
+
+
+def known_at_place(lists: int) -> Column:
+    return F.coalesce(bit_at_place(-(-lists // TYPES_PER_WORD)), F.lit(False))

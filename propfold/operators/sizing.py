@@ -48,3 +48,14 @@ def attach(
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+def only_of(rows: DataFrame, key: str, ids: DataFrame, max_rows: int = 4_000_000) -> DataFrame:
+    """Rows whose ``key`` is among ``ids``; a few ids are broadcast.
+
+    ``ids`` is counted first, so it should be a stored table.
+    """
+    wanted = ids.select(F.col("id").alias(key))
+    if fits_broadcast(wanted, max_rows=max_rows):
+        wanted = F.broadcast(wanted)
+    return rows.join(wanted, key, "left_semi")

@@ -16,11 +16,14 @@ from propfold.operators import discover, users
 from propfold.operators.fold import cell
 from propfold.operators.pivot import all_cells, fold_events, misfits, pivot_folded
 from propfold.operators.registry import EventType, load_event_types
+from propfold.operators.sizing import only_of
+from propfold.operators.validate import refused_properties
 from propfold.session import shared_dir
-from propfold.sources.schemas import VALID
+from propfold.sources.schemas import INVALID, VALID
 from propfold.sources.tables import (
     TenantTables,
     append_new,
+    current_flags,
     path_exists,
     with_flags,
     within_ids,
@@ -41,7 +44,13 @@ def discover_job(tables: TenantTables, out: str, run_ts: datetime) -> tuple[Data
     new = discover.discover_event_schemas(events, schemas, run_ts)
     schemas = write_snapshot(discover.registered_with(schemas, new), f"{out}/event_schema")
     declared = tables.read("property_event_schema")
-    found = discover.discover_properties(events, properties, schemas, declared, run_ts)
+    ids = write_snapshot(
+        discover.events_with_new_properties(events, properties, schemas, declared),
+        f"{out}/events_with_new_properties",
+    )
+    found = discover.discover_properties(
+        only_of(events, "id", ids), only_of(properties, "event_id", ids), schemas, declared, run_ts
+    )
     declared = write_snapshot(
         discover.registered_with(declared, found), f"{out}/property_event_schema"
     )
@@ -93,6 +102,20 @@ def migrate_events_job(
     return status
 
 
+def refusals_job(tables: TenantTables, types: list[EventType], out: str) -> DataFrame:
+    """Write why each event was refused: its property rows that do not fit.
+
+    Only the refused events and their properties are read into the join.
+    """
+    refused = current_flags(tables.read("event_status")).where(F.col("valid") == INVALID)
+    ids = write_snapshot(refused.select(F.col("event_id").alias("id")), f"{out}/refused_events")
+    events = only_of(event_state(tables), "id", ids)
+    properties = only_of(within_ids(tables.read("event_property"), "event_id", ids), "event_id", ids)
+    return write_snapshot(
+        refused_properties(events, properties, types), f"{out}/refused_properties"
+    )
+
+
 def event_job(
     tables: TenantTables, out: str, run_id: int, run_ts: datetime, schema_gate: bool = True
 ) -> list[EventType]:

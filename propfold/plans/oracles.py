@@ -385,6 +385,12 @@ STATEMENTS = {
             JOIN event_schema s ON s.name = m.clean JOIN clean_names c ON c.name = p.name
             GROUP BY s.id, p.name, c.clean)
         QUALIFY NOT (has_name AND has_spelling)""",
+    "events_with_new_properties": """
+        SELECT DISTINCT e.id FROM event_property p JOIN user_event e ON e.id = p.event_id
+        JOIN clean_names m ON m.name = e.name JOIN event_schema s ON s.name = m.clean
+        JOIN clean_names c ON c.name = p.name
+        WHERE NOT EXISTS (SELECT 1 FROM property_event_schema d
+            WHERE d.event_id = s.id AND d.name = c.clean AND d.help_name = p.name)""",
     "wide_table_schema": WIDE_SCHEMA,
     "missing_wide_columns": f"""
         SELECT column_name, data_type FROM ({WIDE_SCHEMA}) WHERE schema = 'purchase' AND column_name NOT IN

@@ -167,6 +167,12 @@ def discover_properties(g: Given) -> DataFrame:
     )
 
 
+def events_with_new_properties(g: Given) -> DataFrame:
+    return discover.events_with_new_properties(
+        g.user_event, g.event_property, g.event_schema, g.property_event_schema
+    )
+
+
 def validate_events(g: Given) -> DataFrame:
     return validate.validate_events(g.user_event, g.event_property, g.types(), schema_gate=False)
 
@@ -368,6 +374,7 @@ REGISTERED: dict[str, Callable[[Given], DataFrame]] = {
     "normalize_texts": normalize_texts,
     "discover_event_schemas": discover_event_schemas,
     "discover_properties": discover_properties,
+    "events_with_new_properties": events_with_new_properties,
     "wide_table_schema": wide_table_schema,
     "missing_wide_columns": missing_wide_columns,
     "scan_pending_events": scan_pending_events,

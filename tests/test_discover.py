@@ -2,6 +2,7 @@ from datetime import datetime
 
 from propfold.operators import discover as d
 from propfold.operators.registry import load_event_types
+from propfold.operators.sizing import only_of
 from propfold.sources.schemas import table_schema
 
 NOW = datetime(2024, 5, 1, 12, 30)
@@ -69,3 +70,31 @@ def test_new_properties_and_aliases(spark):
     assert d.discover_properties(seen, props, known, grown, NOW).count() == 0
     types = {t.name: [(c.column, c.type) for c in t.columns] for t in load_event_types(known, grown)}
     assert types == {"purchase": [("k", "varchar"), ("valor_total", "numeric")], "old": [("k", "varchar")]}
+
+
+def test_only_events_with_news_are_looked_at(spark):
+    known = registry(spark, [(1, "purchase", "PURCHASE"), (2, "old", "Raw Name"), (3, "empty", "empty")])
+    names = declared(
+        spark,
+        [(10, "k", 1, "K", "numeric"), (11, "k", 2, "k", "numeric"), (12, "k", 1, "k", "numeric"), (13, "wrong", 2, "Z", "date")],
+    )
+    seen = events(spark, [(1, "PURCHASE"), (2, "purchase"), (3, "Raw Name"), (4, "unknown"), (5, "old"), (6, "Empty"), (7, "PURCHASE"), (8, None)])
+    props = properties(
+        spark,
+        [(1, "K", 1), (2, "k", 1), (3, "K", 2), (4, "new", 2), (5, "k", 3), (6, "z", 4), (7, "Z", 5), (8, "K", 6), (9, None, 7), (10, "k", 8)],
+    )
+    ids = d.events_with_new_properties(seen, props, known, names)
+    assert sorted(r[0] for r in ids.collect()) == [2, 5, 6]
+    whole = d.discover_properties(seen, props, known, names, NOW)
+    part = d.discover_properties(
+        only_of(seen, "id", ids), only_of(props, "event_id", ids, max_rows=1), known, names, NOW
+    )
+    assert sorted(map(str, part.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_first_discovery_looks_at_all(spark):
+    known = registry(spark, [(1, "purchase", "PURCHASE")])
+    seen = events(spark, [(1, "PURCHASE"), (2, "PURCHASE")])
+    props = properties(spark, [(1, "K", 1), (2, "k", 2)])
+    ids = d.events_with_new_properties(seen, props, known, declared(spark, []))
+    assert sorted(r[0] for r in ids.collect()) == [1, 2]

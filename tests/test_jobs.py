@@ -68,6 +68,16 @@ def test_event_job(spark, tables, tmp_path):
     assert state.count() == tables.read("user_event").count()
 
 
+def test_refusals_job(spark, tmp_path):
+    tables = store(spark, tmp_path, "refusals")
+    types = jobs.event_job(tables, str(tmp_path / "r"), 31, NOW, schema_gate=False)
+    found = jobs.refusals_job(tables, types, str(tmp_path / "refused"))
+    refused = tables.read("event_status").where("valid = 'unvalid'")
+    assert found.select("event_id").distinct().count() == refused.count() > 0
+    whole = validate.refused_properties(tables.read("user_event"), tables.read("event_property"), types)
+    assert contents(found) == contents(whole)
+
+
 def test_crash_between_append_and_flags(spark, tmp_path):
     tables = store(spark, tmp_path, "crash")
     types = jobs.event_job(store(spark, tmp_path, "whole"), str(tmp_path / "w"), 11, NOW, schema_gate=False)
