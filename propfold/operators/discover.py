@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from propfold.functions.names import identifier
+from propfold.functions.names import identifier, with_identifier
 from propfold.functions.values import VARCHAR
-from propfold.operators.fold import fold_known, known_at_place
+from propfold.operators.fold import batches, fold_known, known_at_place
 from propfold.operators.registry import MAX_DECLARED
 from propfold.operators.sizing import attach
 from propfold.sources.schemas import DB_STATUS, MIGRATE_STATUS
@@ -75,29 +76,21 @@ def discover_event_schemas(events: DataFrame, schemas: DataFrame, run_ts: dateti
     )
 
 
-def schema_of_spelling(events: DataFrame, schemas: DataFrame) -> DataFrame:
-    """Event type of each raw event name: by identifier, else as spelt."""
-    by_name = schemas.groupBy(identifier("name").alias("clean")).agg(
-        F.min("id").alias("_by_name")
-    )
-    by_spelling = schemas.groupBy("help_name").agg(F.min("id").alias("_by_spelling"))
-    return (
-        spellings(events)
-        .join(by_name, "clean", "left")
-        .join(by_spelling, "help_name", "left")
-        .select(
-            F.col("help_name").alias("name"),
-            F.coalesce("_by_name", "_by_spelling").alias("schema_id"),
-        )
-        .where(F.col("schema_id").isNotNull())
+def with_schema_id(events: DataFrame, schemas: DataFrame) -> DataFrame:
+    """Events of registered types with ``schema_id``: by identifier, else as spelt."""
+    by_name = schemas.groupBy(identifier("name").alias("clean")).agg(F.min("id").alias("_named"))
+    by_spelling = schemas.groupBy(F.col("help_name").alias("name")).agg(F.min("id").alias("_spelt"))
+    named = with_identifier(events.select("id", "name"), "name", "clean")
+    named = attach(named, by_name, ["clean"], spread="id")
+    named = attach(named, by_spelling, ["name"], spread="id")
+    return named.select("id", F.coalesce("_named", "_spelt").alias("schema_id")).where(
+        F.col("schema_id").isNotNull()
     )
 
 
 def property_spellings(events: DataFrame, properties: DataFrame, schemas: DataFrame) -> DataFrame:
     """Raw property names of each event type, with their first property id."""
-    known = schema_of_spelling(events, schemas)
-    typed = attach(events.select("id", "name"), known, ["name"], spread="id", how="inner")
-    parents = typed.select(F.col("id").alias("event_id"), "schema_id")
+    parents = with_schema_id(events, schemas).withColumnRenamed("id", "event_id")
     return (
         properties.where(F.col("name").isNotNull())
         .select("event_id", "id", F.col("name").alias("help_name"))
@@ -167,28 +160,43 @@ def events_with_new_properties(
     aggregation, which shuffles one row per event; the pairs of event type and
     property need then be looked for among few events only.
     """
-    known = schemas.select(F.col("id").alias("event_id"))
-    pairs = (
-        property_schemas.join(known, "event_id", "left_semi")
-        .where(F.col("name") == identifier("help_name"))
+    type_ids = bounded(schemas.select("id"))
+    pairs = bounded(
+        property_schemas.where(F.col("name") == identifier("help_name"))
         .select("event_id", "help_name")
         .distinct()
-        .limit(MAX_DECLARED + 1)
-        .collect()
     )
-    if len(pairs) > MAX_DECLARED:
-        raise ValueError(f"over {MAX_DECLARED} registered spellings")
-    spelt: dict[int, list[str]] = {}
-    for type_id, spelling in pairs:
-        spelt.setdefault(type_id, []).append(spelling)
-    places = {type_id: place for place, type_id in enumerate(sorted(spelt))}
-    folded = fold_known(properties, [spelt[type_id] for type_id in places])
-    # Broadcast: one row per event type of the registry, all from the driver.
-    place = events.sparkSession.createDataFrame(list(places.items()), "schema_id long, place int")
-    names = schema_of_spelling(events, schemas).join(F.broadcast(place), "schema_id", "left")
-    typed = attach(events.select("id", "name"), names, ["name"], spread="id", how="inner")
-    unknown = F.col("place").isNull() | ~known_at_place(len(places))
-    return typed.join(folded, typed["id"] == folded["event_id"]).where(unknown).select("id")
+    spelt: dict[int, list[str]] = {row["id"]: [] for row in type_ids}
+    for row in pairs:
+        spelt.setdefault(row["event_id"], []).append(row["help_name"])
+    typed = with_schema_id(events, schemas)
+    found = [
+        unknown_to(typed, properties, {type_id: spelt[type_id] for type_id in batch})
+        for batch in batches(sorted(spelt))
+    ]
+    return reduce(DataFrame.unionByName, found) if found else typed.select("id").limit(0)
+
+
+def bounded(rows: DataFrame) -> list[Row]:
+    """Registry rows brought to the driver, after a check of their number."""
+    found = rows.limit(MAX_DECLARED + 1).collect()
+    if len(found) > MAX_DECLARED:
+        raise ValueError(f"over {MAX_DECLARED} registered names")
+    return found
+
+
+def unknown_to(typed: DataFrame, properties: DataFrame, spelt: dict[int, list[str]]) -> DataFrame:
+    """Events of the given types with a property not spelt as listed for the type."""
+    places = [(type_id, place) for place, type_id in enumerate(spelt)]
+    # Broadcast: one row per event type of a batch, all from the driver.
+    table = typed.sparkSession.createDataFrame(places, "schema_id long, place int")
+    events = typed.join(F.broadcast(table), "schema_id")
+    folded = fold_known(properties, list(spelt.values()))
+    return (
+        events.join(folded, events["id"] == folded["event_id"])
+        .where(~known_at_place(len(spelt)))
+        .select("id")
+    )
 
 
 def registered_with(registry: DataFrame, new: DataFrame) -> DataFrame:

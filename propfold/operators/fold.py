@@ -8,7 +8,7 @@ what is shuffled and joined is one row per event, not one per property.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sized
+from collections.abc import Iterable, Sequence, Sized
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +21,9 @@ from propfold.operators.registry import EventType
 # Event types per 64-bit word: one bit "value accepted", one "name registered".
 TYPES_PER_WORD = 31
 
+# Event types folded at once, which bounds the broadcast table of bits.
+TYPES_PER_FOLD = 8 * TYPES_PER_WORD
+
 # Cells as columns up to this number, as one map beyond.
 MAX_CELL_COLUMNS = 64
 
@@ -31,6 +34,11 @@ def words_needed(types: Sized) -> int:
     return -(-len(types) // TYPES_PER_WORD)
 
 
+def batches(types: Sequence) -> list[Sequence]:
+    """Event types in portions that one fold can judge."""
+    return [types[at : at + TYPES_PER_FOLD] for at in range(0, len(types), TYPES_PER_FOLD)]
+
+
 def bit_table(like: DataFrame, types: list[EventType]) -> DataFrame:
     """Per property and declared type: the event types that declare it so."""
     bits: dict[str, dict[str, int]] = {}
@@ -83,6 +91,8 @@ def fold(
     With ``verdicts``, ``word_<n>`` holds for each event type whether all the
     properties of the event are registered and acceptable.
     """
+    if verdicts and len(types) > TYPES_PER_FOLD:
+        raise ValueError(f"over {TYPES_PER_FOLD} event types in one fold; use batches")
     cells = list(cells)
     named = with_identifier(properties, "name", "_property")
     words = range(words_needed(types)) if verdicts else range(0)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propfold.functions.names import with_identifier
 from propfold.functions.values import refusal
-from propfold.operators.fold import accepted, fold, registered
+from propfold.operators.fold import accepted, batches, fold, registered
 from propfold.operators.registry import EventType, declared_table, with_event_type
 from propfold.sources.schemas import INVALID, VALID
 
@@ -28,7 +31,16 @@ def conformance(events: DataFrame, folded: DataFrame, types: list[EventType]) ->
 def schema_conformance(
     events: DataFrame, properties: DataFrame, types: list[EventType]
 ) -> DataFrame:
-    return conformance(events, fold(properties, types, verdicts=True), types)
+    return over_batches(
+        types, lambda some: conformance(events, fold(properties, some, verdicts=True), some)
+    )
+
+
+def over_batches(
+    types: list[EventType], query: Callable[[list[EventType]], DataFrame]
+) -> DataFrame:
+    """Results of all event types together, each portion judged by its own fold."""
+    return reduce(DataFrame.unionByName, [query(some) for some in batches(types) or [types]])
 
 
 def judge(events: DataFrame, folded: DataFrame, types: list[EventType], gate: bool) -> DataFrame:
@@ -52,8 +64,12 @@ def validate_events(
     events: DataFrame, properties: DataFrame, types: list[EventType], schema_gate: bool = True
 ) -> DataFrame:
     """Verdict on each pending event: ``id``, ``schema``, ``valid``."""
-    folded = fold(properties, types, verdicts=True)
-    return judge(events, folded, types, schema_gate).select("id", "schema", "valid")
+
+    def verdicts(some: list[EventType]) -> DataFrame:
+        folded = fold(properties, some, verdicts=True)
+        return judge(events, folded, some, schema_gate).select("id", "schema", "valid")
+
+    return over_batches(types, verdicts)
 
 
 def with_verdicts(events: DataFrame, verdicts: DataFrame) -> DataFrame:

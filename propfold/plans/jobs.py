@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propfold.operators import discover, users
-from propfold.operators.fold import cell
+from propfold.operators.fold import batches, cell
 from propfold.operators.pivot import all_cells, fold_events, misfits, pivot_folded
 from propfold.operators.registry import EventType, load_event_types
 from propfold.operators.sizing import only_of
@@ -24,6 +24,7 @@ from propfold.sources.tables import (
     TenantTables,
     append_new,
     current_flags,
+    no_rows,
     path_exists,
     with_flags,
     within_ids,
@@ -82,24 +83,29 @@ def migrate_events_job(
 ) -> DataFrame:
     """Validate the pending events of all types and append them to wide tables.
 
-    The property table is folded once, for all types together, and the result is
-    staged in the shared folder, partitioned by type. Each wide table then reads
-    its own partition. The loop runs over event types, not over data.
+    The property table is folded once for all types (of a batch, where there are
+    hundreds) and the result is staged in the shared folder, partitioned by type.
+    Each wide table then reads its own partition. The loops run over event types,
+    not over data. Flags are written last: a run that failed before may be
+    repeated, and its appends leave out what is there.
     """
     spark = tables.spark
     events, properties = event_state(tables), tables.read("event_property")
     if not schema_gate:
         # The gate looks at all properties ever observed; a verdict does not.
         properties = within_ids(properties, "event_id", events.where(~F.col("migrated")))
-    folded = fold_events(events, properties, types, schema_gate)
-    staged = f"{shared_dir(spark)}/{tables.tenant}/folded/run={run_id}"
-    folded.write.partitionBy("schema").mode("overwrite").parquet(staged)
-    folded = spark.read.schema(folded.schema).parquet(staged)
-    for kind in types:
-        append_new(pivot_folded(folded, types, kind), tables.path(f"wide/{kind.name}"))
-    status = status_rows(folded, types, run_id)
-    status.write.mode("append").parquet(tables.path("event_status"))
-    return status
+    status = []
+    for number, some in enumerate(batches(types)):
+        folded = fold_events(events, properties, some, schema_gate)
+        staged = f"{shared_dir(spark)}/{tables.tenant}/folded/run={run_id}/batch={number}"
+        folded.write.partitionBy("schema").mode("overwrite").parquet(staged)
+        folded = spark.read.schema(folded.schema).parquet(staged)
+        for kind in some:
+            append_new(pivot_folded(folded, some, kind), tables.path(f"wide/{kind.name}"))
+        status.append(status_rows(folded, some, run_id))
+    verdicts = reduce(DataFrame.unionByName, status, no_rows(spark, "event_status"))
+    verdicts.write.mode("append").parquet(tables.path("event_status"))
+    return verdicts
 
 
 def refusals_job(tables: TenantTables, types: list[EventType], out: str) -> DataFrame:

@@ -124,6 +124,15 @@ def user_events(spark: SparkSession, folder: str) -> DataFrame:
     return events.unionByName(orders).unionByName(documents)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Use all cores for a scan that has fewer splits than there are cores.
+
+    Such a table is smaller than one wave of tasks; a larger one stays as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def property_rows(
     rows: DataFrame, owner: str, cells: list[tuple[str, str, str]], key: str = "event_id"
 ) -> DataFrame:
@@ -133,37 +142,44 @@ def property_rows(
         f"'value', string({value}), '{key}', {owner}), null)"
         for place, (name, value, present) in enumerate(cells, start=1)
     ]
-    return rows.selectExpr(f"inline(array_compact(array({', '.join(entries)})))")
+    return spread(rows).selectExpr(f"inline(array_compact(array({', '.join(entries)})))")
 
 
 def event_properties(spark: SparkSession, folder: str) -> DataFrame:
-    amount, number, date = money("value"), f"int({K})", "string(date(ts))"
+    events = table(spark, folder, "events").selectExpr(
+        "event_id",
+        "event_type",
+        "user_id",
+        "value > 100 as large",
+        "hour(ts) <> 3 as kept",
+        "day(ts) as day",
+        "string(date(ts)) as date",
+        f"{money('value')} as amount",
+        f"{K} as k",
+    )
+    number = "int(k)"
     written = (
-        f"case when {number} <= 7 then replace({amount}, '.', ',') "
-        f"when {number} <= 16 then concat('$', {amount}) "
-        f"when {number} <= 18 then concat({amount}, ' €') else {amount} end"
+        f"case when {number} <= 7 then replace(amount, '.', ',') "
+        f"when {number} <= 16 then concat('$', amount) "
+        f"when {number} <= 18 then concat(amount, ' €') else amount end"
     )
     counted = (
-        f"case when {number} between 37 and 39 then concat({K}, '.5') "
-        f"when {number} < 3 then concat(' ', {K}, ' ') else {K} end"
-    )
-    dated = (
-        f"case day(ts) when 30 then '2024-02-30' when 15 then concat({date}, 'T10:00:00') "
-        f"else {date} end"
+        f"case when {number} between 37 and 39 then concat(k, '.5') "
+        f"when {number} < 3 then concat(' ', k, ' ') else k end"
     )
+    dated = "case day when 30 then '2024-02-30' when 15 then concat(date, 'T10:00:00') else date end"
     mail = "if(user_id < 22, 'no mail here', concat('u ', user_id, ' @example.com'))"
-    kept = "hour(ts) <> 3"
     events = property_rows(
-        table(spark, folder, "events"),
+        events,
         "event_id",
         [
-            ("VALOR TOTAL", written, f"{kept} and event_type <> 'signup'"),
-            ("K", counted, f"{kept} and {number} <> 19"),
-            ("FECHA", dated, kept),
-            ("Correo |Año", mail, kept),
-            ("Valor Total", "'7.25'", f"{kept} and value > 100"),
+            ("VALOR TOTAL", written, "kept and event_type <> 'signup'"),
+            ("K", counted, f"kept and {number} <> 19"),
+            ("FECHA", dated, "kept"),
+            ("Correo |Año", mail, "kept"),
+            ("Valor Total", "'7.25'", "kept and large"),
             ("Extra Field", "null", "event_type = 'error'"),
-            ("valor_total", written, f"{kept} and event_type = 'signup'"),
+            ("valor_total", written, "kept and event_type = 'signup'"),
         ],
     )
     orders = property_rows(

@@ -29,6 +29,10 @@ class TenantTables:
         return path_exists(self.spark, self.path(table))
 
 
+def no_rows(spark: SparkSession, table: str) -> DataFrame:
+    return spark.createDataFrame([], table_schema(table))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path)

@@ -7,7 +7,7 @@ import pytest
 from test_names import by_hand
 from test_values import python_accepts
 
-from propfold.operators.fold import words_needed
+from propfold.operators import fold
 from propfold.operators.pivot import fold_events, misfit_cells, pivot_events, pivot_folded
 from propfold.operators.registry import EventType, WideColumn
 from propfold.operators.validate import (
@@ -89,12 +89,13 @@ def expected(types, event_rows, property_rows):
     return verdicts, dict(conforms), cells
 
 
-@pytest.mark.parametrize("count", [3, 31, 32, 70])
-def test_verdicts(spark, count):
+@pytest.mark.parametrize("count, per_fold", [(3, 248), (32, 248), (70, 248), (70, 33)])
+def test_verdicts(spark, monkeypatch, count, per_fold):
+    monkeypatch.setattr(fold, "TYPES_PER_FOLD", per_fold)
     types = kinds(count)
     events, properties, event_rows, property_rows = tables(spark, types)
     verdicts, conforms, _ = expected(types, event_rows, property_rows)
-    assert words_needed(types) == (count + 30) // 31
+    assert fold.words_needed(types) == (count + 30) // 31
     found = validate_events(events, properties, types, schema_gate=False).collect()
     assert len(found) == len(verdicts)
     assert {r["id"]: (r["schema"], r["valid"]) for r in found} == verdicts
