@@ -56,6 +56,12 @@ def one_to_one() -> tuple[str, str]:
     return "".join(table) + COMBINING, "".join(table.values())
 
 
+def column(name: str, parent: str = "") -> Column:
+    """Reference to a column whose name may hold any character."""
+    quoted = "`" + name.replace("`", "``") + "`"
+    return F.col(f"{parent}.{quoted}" if parent else quoted)
+
+
 def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from itertools import groupby
+from operator import attrgetter, itemgetter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,15 +89,19 @@ def load_event_types(
     rows = declared.limit(max_declared + 1).collect()
     if len(rows) > max_declared:
         raise ValueError(f"over {max_declared} declared properties; pass names in several runs")
-    rows.sort(key=lambda row: (row["event_id"], row["property"] or ""))
+    rows.sort(key=lambda row: (row["schema"], row["event_id"], row["property"] or ""))
     types = []
-    for (event_id, schema), group in groupby(rows, key=lambda row: (row["event_id"], row["schema"])):
-        found = {row["property"]: row["type"] for row in group if row["property"] is not None}
-        columns = column_names(found)
-        types.append(
-            EventType(event_id, schema, tuple(WideColumn(p, columns[p], t) for p, t in found.items()))
-        )
-    return types
+    for schema, group in groupby(rows, key=itemgetter("schema")):
+        # Registry rows whose names have one normal form are one event type.
+        group = list(group)
+        found: dict[str, str] = {}
+        for row in group:
+            if row["property"] is not None:
+                found.setdefault(row["property"], row["type"])
+        columns = column_names(sorted(found))
+        wide = tuple(WideColumn(name, columns[name], found[name]) for name in sorted(found))
+        types.append(EventType(group[0]["event_id"], schema, wide))
+    return sorted(types, key=attrgetter("id"))
 
 
 def with_event_type(events: DataFrame, types: list[EventType]) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from propfold.functions.names import column
 from propfold.functions.values import read_as, spark_type, truthy
 from propfold.operators.scans import has_identifier, identified_users
 from propfold.sources.schemas import IDENTIFIED_COLUMNS, MIGRATED
@@ -70,8 +71,8 @@ def promotable(columns: dict[str, str]) -> Column:
     """Does a property row carry a value that fits its column?"""
     name, value = F.col("name"), F.col("value")
     fits = [
-        (name == column) & value.isNotNull() & read_as(value, declared).isNotNull()
-        for column, declared in columns.items()
+        (name == declared_name) & value.isNotNull() & read_as(value, declared).isNotNull()
+        for declared_name, declared in columns.items()
     ]
     return F.coalesce(reduce(Column.__or__, fits, F.lit(False)), F.lit(False))
 
@@ -108,10 +109,10 @@ def with_latest_values(
     updated = {}
     for n, (name, declared) in enumerate(columns.items()):
         new = read_as(F.col(f"_new_{n}"), declared)
-        updated[name] = F.coalesce(new, F.col(name)) if name in users.columns else new
+        updated[name] = F.coalesce(new, column(name)) if name in users.columns else new
     kept = [*users.columns, *(name for name in columns if name not in users.columns)]
     joined = users.join(latest, users["id"] == latest["user_id"], "left")
-    return joined.withColumns(updated).select(*kept)
+    return joined.withColumns(updated).select(*map(column, kept))
 
 
 def unpromoted_properties(properties: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -147,13 +148,13 @@ def consolidation(
     )
     columns = [field for field in users.schema if field.name != "id"]
     current = F.coalesce(
-        *(F.when(name == f.name, F.col(f"_user.{f.name}").cast("string")) for f in columns)
+        *(F.when(name == f.name, column(f.name, "_user").cast("string")) for f in columns)
     )
     fits = F.coalesce(
         *(F.when(name == f.name, low.try_cast(f.dataType).isNotNull()) for f in columns)
     )
     known = users.select(
-        F.col("id").alias("user_id"), F.struct(*(f.name for f in columns)).alias("_user")
+        F.col("id").alias("user_id"), F.struct(*(column(f.name) for f in columns)).alias("_user")
     )
     decision = (
         F.when(low < high, "conflict")
@@ -210,9 +211,9 @@ def with_single_values(users: DataFrame, properties: DataFrame, columns: list[st
     for n, name in enumerate(columns):
         low, high = F.col(f"_low_{n}"), F.col(f"_high_{n}")
         single = F.when(low == high, low).try_cast(users.schema[name].dataType)
-        updated[name] = F.coalesce(single, F.col(name))
+        updated[name] = F.coalesce(single, column(name))
     joined = users.join(ranges, users["id"] == ranges["user_id"], "left")
-    return joined.withColumns(updated).select(*users.columns)
+    return joined.withColumns(updated).select(*map(column, users.columns))
 
 
 def unconsolidated_properties(properties: DataFrame, outcomes: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from propfold.functions.names import column
 from propfold.operators.registry import EventType, column_names, schema_columns
 from propfold.sources.schemas import BASE_COLUMNS
 
@@ -12,8 +13,8 @@ from propfold.sources.schemas import BASE_COLUMNS
 def wide_table_schema(schemas: DataFrame, properties: DataFrame) -> DataFrame:
     """Columns of each wide table: properties in name order, then base columns."""
     renamed = F.col("property")
-    for name, column in column_names(sorted(BASE_COLUMNS)).items():
-        renamed = F.when(F.col("property") == name, column).otherwise(renamed)
+    for name, renaming in column_names(sorted(BASE_COLUMNS)).items():
+        renamed = F.when(F.col("property") == name, renaming).otherwise(renamed)
     declared = schema_columns(schemas, properties).select(
         "schema",
         F.lit(0).alias("part"),
@@ -53,7 +54,9 @@ def build_table(spark: SparkSession, table: str, kind: EventType, path: str | No
     present = {name.lower() for name in spark.table(table).columns}
     added = [field for field in wanted if field.name.lower() not in present]
     if added:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        columns = ", ".join(
+            f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in added
+        )
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     return [field.name for field in added]
 
@@ -65,4 +68,4 @@ def append_to_table(batch: DataFrame, table: str) -> None:
     new = batch.join(target.select("id"), "id", "left_anti").select(
         "*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in missing)
     )
-    new.select(*target.columns).write.mode("append").insertInto(table)
+    new.select(*map(column, target.columns)).write.mode("append").insertInto(table)

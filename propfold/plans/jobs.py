@@ -101,7 +101,7 @@ def migrate_events_job(
         folded.write.partitionBy("schema").mode("overwrite").parquet(staged)
         folded = spark.read.schema(folded.schema).parquet(staged)
         for kind in some:
-            append_new(pivot_folded(folded, some, kind), tables.path(f"wide/{kind.name}"))
+            append_new(pivot_folded(folded, some, kind), tables.wide_path(kind.name))
         status.append(status_rows(folded, some, run_id))
     verdicts = reduce(DataFrame.unionByName, status, no_rows(spark, "event_status"))
     verdicts.write.mode("append").parquet(tables.path("event_status"))
@@ -163,7 +163,7 @@ def user_job(tables: TenantTables, out: str, names: list[str] | None = None) ->
 
 def wide_table(tables: TenantTables, kind: EventType) -> DataFrame:
     """The wide table of one event type; empty before its first migration."""
-    path = tables.path(f"wide/{kind.name}")
+    path = tables.wide_path(kind.name)
     if not path_exists(tables.spark, path):
         return tables.spark.createDataFrame([], kind.struct())
     return tables.spark.read.schema(kind.struct()).parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +42,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="propfold-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return local_dir()
+
+
+@cache
+def local_dir() -> str:
+    """One folder for a local session, which has no other machines."""
+    return tempfile.mkdtemp(prefix="propfold-")

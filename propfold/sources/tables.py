@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,10 @@ class TenantTables:
     def path(self, table: str) -> str:
         return f"{self.base.rstrip('/')}/{self.tenant}/{table}"
 
+    def wide_path(self, event_type: str) -> str:
+        """Folder of a wide table; the name may hold any character."""
+        return self.path(f"wide/{quote(event_type, safe='')}")
+
     def read(self, table: str) -> DataFrame:
         return self.spark.read.schema(table_schema(table)).parquet(self.path(table))
 
@@ -29,6 +34,60 @@ class TenantTables:
         return path_exists(self.spark, self.path(table))
 
 
+@dataclass(frozen=True)
+class CatalogTables(TenantTables):
+    """Tables of one tenant that the catalog holds in the database ``tenant``.
+
+    Tables bucketed by event id are folded and joined without any shuffle. A
+    bucket is one task, so a table with an oversized bucket is read as plain
+    files instead, and is shuffled after combining. What the jobs write goes to
+    paths, and is read from there.
+    """
+
+    max_bucket_excess: float = 4.0
+
+    def name(self, table: str) -> str:
+        return f"{self.tenant}.{table}"
+
+    def read(self, table: str) -> DataFrame:
+        if not self.spark.catalog.tableExists(self.name(table)):
+            return super().read(table)
+        rows = self.spark.table(self.name(table))
+        if bucket_excess(self.spark, self.name(table)) <= self.max_bucket_excess:
+            return rows
+        return self.spark.read.schema(rows.schema).parquet(location(self.spark, self.name(table)))
+
+    def exists(self, table: str) -> bool:
+        return self.spark.catalog.tableExists(self.name(table)) or super().exists(table)
+
+
+def write_bucketed(rows: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Save a catalog table in buckets of ``key``, each sorted by it.
+
+    The property table by ``event_id`` and the event table by ``id``, in the same
+    number of buckets, make validation and pivot free of shuffles.
+    """
+    rows.write.bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
+
+
+def location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return described.select("data_type").first()[0]
+
+
+def bucket_excess(spark: SparkSession, table: str) -> float:
+    """Rows of the largest bucket as a multiple of the mean; 0 without buckets.
+
+    Rows are counted per file, which reads no column. File sizes would not do:
+    the rows of one event compress to next to nothing.
+    """
+    files = spark.read.parquet(location(spark, table)).groupBy("_metadata.file_name").count()
+    bucket = F.regexp_extract("file_name", r"_([0-9]+)[.]c[0-9]+[.][^/]*$", 1)
+    counts = files.groupBy(bucket.alias("bucket")).agg(F.sum("count").alias("n"))
+    found = counts.where("bucket <> ''").agg(F.max("n") / F.avg("n")).first()[0]
+    return found or 0.0
+
+
 def no_rows(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame([], table_schema(table))
 
@@ -63,6 +122,7 @@ def jdbc_options(url: str, table: str, lower: int, upper: int, partitions: int)
         "upperBound": str(upper),
         "numPartitions": str(partitions),
         "fetchsize": "10000",
+        "preferTimestampNTZ": "true",
     }
 
 

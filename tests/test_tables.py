@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date
 from decimal import Decimal
 
 import pytest
@@ -59,6 +59,28 @@ def test_event_type_without_columns(spark):
     assert r.load_event_types(schemas, props) == [r.EventType(1, "a", ())]
 
 
+def test_registry_rows_of_one_name_are_one_type(spark):
+    schemas = spark.createDataFrame([(4, "Sign Up", 2), (9, "sign_up", 2)], "id long, name string, db_status int")
+    props = spark.createDataFrame(
+        [(1, 9, "K", "integer"), (2, 4, "k", "varchar"), (3, 9, "d", "date")],
+        "id long, event_id long, name string, type string",
+    )
+    (found,) = r.load_event_types(schemas, props)
+    assert (found.id, found.name) == (4, "sign_up")
+    assert [(c.column, c.type) for c in found.columns] == [("d", "date"), ("k", "varchar")]
+
+
+def test_odd_column_names(spark):
+    table = "wide_odd"
+    odd = kind(("utm.source", "varchar"))
+    build_table(spark, table, odd)
+    more = kind(("a`b", "integer"), ("utm.source", "varchar"))
+    assert build_table(spark, table, more) == ["a`b"]
+    row = (5, "mail", 10, date(2024, 1, 2), date(2024, 1, 1), 7, 8, "sdk", "u")
+    append_to_table(spark.createDataFrame([row], more.struct()), table)
+    assert spark.table(table).first()["utm.source"] == "mail"
+
+
 def test_status_codes():
     assert status_code("pending_create") == status_code("create_pending") == 2
     assert status_code("create_completed") == DB_STATUS["create_completed"] == 5
@@ -122,6 +144,10 @@ def test_tenant_tables(spark, tmp_path):
     assert store.exists("user_property")
     assert store.read("user_property").collect() == rows.collect()
     assert not t.TenantTables(spark, str(tmp_path), "other").exists("user_property")
+    path = store.wide_path("pedido_1/2 ñ")
+    t.append_new(rows, path)
+    t.append_new(rows, path)
+    assert spark.read.parquet(path).count() == 1 and not t.path_exists(spark, store.wide_path("pedido_1"))
 
 
 def test_jdbc_ranges():
@@ -157,5 +183,16 @@ def test_shared_folder_is_the_one_named(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_stamps_are_arguments():
-    assert datetime(2024, 1, 1).isoformat(" ") == "2024-01-01 00:00:00"
+class Session:
+    """What ``shared_dir`` asks of a session."""
+
+    def __init__(self, master, named=None):
+        self.conf = {} if named is None else {"spark.checkpoint.dir": named}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_a_cluster_needs_a_shared_folder():
+    assert shared_dir(Session("yarn", "hdfs://x/y/")) == "hdfs://x/y"
+    with pytest.raises(ValueError):
+        shared_dir(Session("yarn"))
+    assert shared_dir(Session("local[2]")) == shared_dir(Session("local[2]"))

@@ -154,3 +154,17 @@ def test_too_many_user_columns_are_refused(spark, monkeypatch):
     )
     with pytest.raises(ValueError):
         u.declared_columns(schemas, u.to_create())
+
+
+def test_odd_column_names(spark):
+    people = spark.createDataFrame([(1, None, "x"), (2, "b", None)], "id long, `utm.source` string, c string")
+    props = spark.createDataFrame(
+        [(1, "utm.source", "a", 1), (2, "utm.source", "c", 2), (3, "new.one", "n", 1)],
+        "id long, name string, value string, user_id long",
+    )
+    found = u.consolidation(people, props, ["utm.source"]).collect()
+    assert {(r["user_id"], r["action"], r["new_value"]) for r in found} == {(1, "fill", "a"), (2, "overwrite", "c")}
+    after = u.consolidated_users(people, props)
+    assert {tuple(r) for r in after.collect()} == {(1, "a", "x"), (2, "c", None)}
+    promoted = u.promote_user_properties(people, props, {"new.one": "varchar", "utm.source": "varchar"})
+    assert {tuple(r) for r in promoted.collect()} == {(1, "a", "x", "n"), (2, "c", None, None)}
