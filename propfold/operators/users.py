@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propfold.functions.names import column
-from propfold.functions.values import read_as, spark_type, truthy
+from propfold.functions.values import READERS, accepts, read_as, spark_type, truthy
 from propfold.operators.scans import has_identifier, identified_users
 from propfold.sources.schemas import IDENTIFIED_COLUMNS, MIGRATED
 
@@ -67,14 +66,19 @@ def promotion_done(schemas: DataFrame) -> DataFrame:
     return schemas.withColumn("migrate_status", status)
 
 
-def promotable(columns: dict[str, str]) -> Column:
-    """Does a property row carry a value that fits its column?"""
-    name, value = F.col("name"), F.col("value")
-    fits = [
-        (name == declared_name) & value.isNotNull() & read_as(value, declared).isNotNull()
-        for declared_name, declared in columns.items()
-    ]
-    return F.coalesce(reduce(Column.__or__, fits, F.lit(False)), F.lit(False))
+def promotable(properties: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Property rows with ``_fits``: does the row carry a value that fits its column?"""
+    declared = properties.sparkSession.createDataFrame(
+        list(columns.items()), "name string, _type string"
+    )
+    value, kind = F.col("value"), F.col("_type")
+    fits = F.lit(True)
+    for listed in READERS:
+        fits = F.when(kind == listed, accepts(value, listed)).otherwise(fits)
+    # Broadcast: one row per column, all from the driver.
+    return properties.join(F.broadcast(declared), "name", "left").withColumn(
+        "_fits", kind.isNotNull() & value.isNotNull() & fits
+    )
 
 
 def chunks(names: Iterable[str]) -> Iterator[list[str]]:
@@ -96,12 +100,14 @@ def promote_user_properties(
 def with_latest_values(
     users: DataFrame, properties: DataFrame, columns: dict[str, str]
 ) -> DataFrame:
+    entry = F.struct("id", "value")
     latest = (
-        properties.where(promotable(columns))
+        promotable(properties, columns)
+        .where("_fits")
         .groupBy("user_id")
         .agg(
             *(
-                F.max_by("value", F.when(F.col("name") == name, F.col("id"))).alias(f"_new_{n}")
+                F.max(F.when(F.col("name") == name, entry))["value"].alias(f"_new_{n}")
                 for n, name in enumerate(columns)
             )
         )
@@ -117,7 +123,8 @@ def with_latest_values(
 
 def unpromoted_properties(properties: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Property rows that promotion leaves behind."""
-    return properties.where(~promotable(columns))
+    kept = promotable(properties, columns).where("not _fits")
+    return kept.select(*properties.columns)
 
 
 def value_range(text: Column) -> dict[str, Column]:

@@ -7,7 +7,6 @@ again. Appends leave out rows that are already there.
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +23,6 @@ from propfold.sources.tables import (
     TenantTables,
     append_new,
     current_flags,
-    no_rows,
     path_exists,
     with_flags,
     within_ids,
@@ -58,22 +56,16 @@ def discover_job(tables: TenantTables, out: str, run_ts: datetime) -> tuple[Data
     return schemas, declared
 
 
-def status_rows(folded: DataFrame, types: list[EventType], run_id: int) -> DataFrame:
-    """Verdict of each event, and whether its wide row could be written."""
+def status_rows(
+    folded: DataFrame, types: list[EventType], kind: EventType, run_id: int
+) -> DataFrame:
+    """Verdict of each event of one type, and whether its wide row was written."""
     cells = all_cells(types)
-
-    def text(name: str):
-        return cell(folded.columns, cells, name)
-
-    fits = reduce(
-        lambda found, kind: F.when(F.col("schema") == kind.name, ~misfits(kind, text)).otherwise(found),
-        types,
-        F.lit(False),
-    )
-    return folded.select(
+    misfit = misfits(kind, lambda name: cell(folded.columns, cells, name))
+    return folded.where(F.col("schema") == kind.name).select(
         F.col("id").alias("event_id"),
         "valid",
-        F.when((F.col("valid") == VALID) & fits, True).alias("migrated"),
+        F.when((F.col("valid") == VALID) & ~misfit, True).alias("migrated"),
         F.lit(run_id).cast("long").alias("run_id"),
     )
 
@@ -86,15 +78,14 @@ def migrate_events_job(
     The property table is folded once for all types (of a batch, where there are
     hundreds) and the result is staged in the shared folder, partitioned by type.
     Each wide table then reads its own partition. The loops run over event types,
-    not over data. Flags are written last: a run that failed before may be
-    repeated, and its appends leave out what is there.
+    not over data. The flags of a type are written after its rows: a run that
+    failed in between may be repeated, and its appends leave out what is there.
     """
     spark = tables.spark
     events, properties = event_state(tables), tables.read("event_property")
     if not schema_gate:
         # The gate looks at all properties ever observed; a verdict does not.
         properties = within_ids(properties, "event_id", events.where(~F.col("migrated")))
-    status = []
     for number, some in enumerate(batches(types)):
         folded = fold_events(events, properties, some, schema_gate)
         staged = f"{shared_dir(spark)}/{tables.tenant}/folded/run={run_id}/batch={number}"
@@ -102,10 +93,9 @@ def migrate_events_job(
         folded = spark.read.schema(folded.schema).parquet(staged)
         for kind in some:
             append_new(pivot_folded(folded, some, kind), tables.wide_path(kind.name))
-        status.append(status_rows(folded, some, run_id))
-    verdicts = reduce(DataFrame.unionByName, status, no_rows(spark, "event_status"))
-    verdicts.write.mode("append").parquet(tables.path("event_status"))
-    return verdicts
+            status = status_rows(folded, some, kind, run_id)
+            status.write.mode("append").parquet(tables.path("event_status"))
+    return tables.read("event_status").where(F.col("run_id") == run_id)
 
 
 def refusals_job(tables: TenantTables, types: list[EventType], out: str) -> DataFrame:

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Compressed files understate what a broadcast would hold.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }

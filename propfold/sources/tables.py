@@ -88,10 +88,6 @@ def bucket_excess(spark: SparkSession, table: str) -> float:
     return found or 0.0
 
 
-def no_rows(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], table_schema(table))
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path)
