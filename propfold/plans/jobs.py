@@ -7,16 +7,25 @@ again. Appends leave out rows that are already there.
 from __future__ import annotations
 
 from datetime import datetime
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propfold.operators import discover, users
+from propfold.operators import clean, discover, users
 from propfold.operators.fold import batches, cell
-from propfold.operators.pivot import all_cells, fold_events, misfits, pivot_folded
+from propfold.operators.pivot import (
+    all_cells,
+    fold_events,
+    misfits,
+    pivot_events,
+    pivot_folded,
+    ready_events,
+)
 from propfold.operators.registry import EventType, load_event_types
+from propfold.operators.scans import ids_of_events, ids_of_incomplete_users
 from propfold.operators.sizing import only_of
-from propfold.operators.validate import refused_properties
+from propfold.operators.validate import refused_properties, validate_events
 from propfold.session import shared_dir
 from propfold.sources.schemas import INVALID, VALID
 from propfold.sources.tables import (
@@ -98,6 +107,60 @@ def migrate_events_job(
     return tables.read("event_status").where(F.col("run_id") == run_id)
 
 
+def validate_job(
+    tables: TenantTables, types: list[EventType], run_id: int, schema_gate: bool = True
+) -> DataFrame:
+    """Write the verdict of each pending event, without migrating any."""
+    verdicts = validate_events(
+        event_state(tables), tables.read("event_property"), types, schema_gate
+    )
+    status = verdicts.select(
+        F.col("id").alias("event_id"),
+        "valid",
+        F.lit(None).cast("boolean").alias("migrated"),
+        F.lit(run_id).cast("long").alias("run_id"),
+    )
+    status.write.mode("append").parquet(tables.path("event_status"))
+    return tables.read("event_status").where(F.col("run_id") == run_id)
+
+
+def pivot_job(tables: TenantTables, kind: EventType, run_id: int) -> DataFrame:
+    """Append the events of one type that an earlier run has found valid."""
+    ready = ready_events(event_state(tables), kind.name)
+    properties = within_ids(tables.read("event_property"), "event_id", ready)
+    staged = f"{shared_dir(tables.spark)}/{tables.tenant}/ready/run={run_id}"
+    rows = pivot_events(ready, properties, kind)
+    rows.write.mode("overwrite").parquet(f"{staged}/{quote(kind.name, safe='')}")
+    rows = tables.spark.read.schema(kind.struct()).parquet(f"{staged}/{quote(kind.name, safe='')}")
+    append_new(rows, tables.wide_path(kind.name))
+    status = rows.select(
+        F.col("id").alias("event_id"),
+        F.lit(None).cast("string").alias("valid"),
+        F.lit(True).alias("migrated"),
+        F.lit(run_id).cast("long").alias("run_id"),
+    )
+    status.write.mode("append").parquet(tables.path("event_status"))
+    return wide_table(tables, kind)
+
+
+def clean_events_job(
+    tables: TenantTables, event: str, pattern: str, change: clean.Change, out: str
+) -> DataFrame:
+    """Write the property table with the values of some events cleaned."""
+    owners = ids_of_events(tables.read("user_event"), event)
+    cleaned = clean.clean_values(tables.read("event_property"), owners, pattern, change)
+    return write_snapshot(cleaned, f"{out}/event_property")
+
+
+def clean_users_job(
+    tables: TenantTables, pattern: str, change: clean.Change, out: str
+) -> DataFrame:
+    """Write the user properties with those of incomplete users cleaned."""
+    owners = ids_of_incomplete_users(tables.read("user_company"))
+    cleaned = clean.clean_values(tables.read("user_property"), owners, pattern, change)
+    return write_snapshot(cleaned, f"{out}/user_property")
+
+
 def refusals_job(tables: TenantTables, types: list[EventType], out: str) -> DataFrame:
     """Write why each event was refused: its property rows that do not fit.
 
@@ -113,11 +176,19 @@ def refusals_job(tables: TenantTables, types: list[EventType], out: str) -> Data
 
 
 def event_job(
-    tables: TenantTables, out: str, run_id: int, run_ts: datetime, schema_gate: bool = True
+    tables: TenantTables,
+    out: str,
+    run_id: int,
+    run_ts: datetime,
+    schema_gate: bool = True,
+    names: list[str] | None = None,
 ) -> list[EventType]:
-    """Discover, validate and migrate: the whole way of an event."""
+    """Discover, validate and migrate: the whole way of an event.
+
+    ``names`` restricts the run to some event types of the registry.
+    """
     schemas, declared = discover_job(tables, out, run_ts)
-    types = load_event_types(schemas, declared)
+    types = load_event_types(schemas, declared, names)
     migrate_events_job(tables, types, run_id, schema_gate)
     return types
 

@@ -5,12 +5,13 @@ from datetime import datetime
 import pytest
 from compare import DATA
 
-from propfold.operators import pivot, validate
+from propfold.operators import clean, pivot, validate
 from propfold.operators.fold import cell
+from propfold.operators.registry import load_event_types
 from propfold.plans import jobs
 from propfold.sources import given
 from propfold.sources.schemas import IDENTIFIED_COLUMNS, table_schema
-from propfold.sources.tables import TenantTables, append_new
+from propfold.sources.tables import TenantTables, append_new, current_flags
 from pyspark.sql import functions as F
 
 FOLDER = f"{DATA}/sf0.001"
@@ -35,6 +36,12 @@ def tables(spark, tmp_path_factory):
     return store(spark, tmp_path_factory.mktemp("tenants"), "acme")
 
 
+def registered_types(tables, *names):
+    return load_event_types(
+        tables.read("event_schema"), tables.read("property_event_schema"), names
+    )
+
+
 def contents(rows):
     return sorted(map(str, rows.collect()))
 
@@ -70,7 +77,8 @@ def test_event_job(spark, tables, tmp_path):
 
 def test_refusals_job(spark, tmp_path):
     tables = store(spark, tmp_path, "refusals")
-    types = jobs.event_job(tables, str(tmp_path / "r"), 31, NOW, schema_gate=False)
+    types = registered_types(tables, "purchase", "signup")
+    jobs.validate_job(tables, types, 31, schema_gate=False)
     found = jobs.refusals_job(tables, types, str(tmp_path / "refused"))
     refused = tables.read("event_status").where("valid = 'unvalid'")
     assert found.select("event_id").distinct().count() == refused.count() > 0
@@ -80,8 +88,9 @@ def test_refusals_job(spark, tmp_path):
 
 def test_crash_between_append_and_flags(spark, tmp_path):
     tables = store(spark, tmp_path, "crash")
-    types = jobs.event_job(store(spark, tmp_path, "whole"), str(tmp_path / "w"), 11, NOW, schema_gate=False)
-    whole = TenantTables(spark, str(tmp_path), "whole")
+    whole = store(spark, tmp_path, "whole")
+    types = registered_types(whole, "purchase", "pedido_f")
+    jobs.migrate_events_job(whole, types, 11, schema_gate=False)
     folded = pivot.fold_events(tables.read("user_event"), tables.read("event_property"), types, schema_gate=False)
     purchase = next(k for k in types if k.name == "purchase")
     append_new(pivot.pivot_folded(folded, types, purchase), tables.path("wide/purchase"))
@@ -92,11 +101,33 @@ def test_crash_between_append_and_flags(spark, tmp_path):
     assert tables.read("event_status").count() == whole.read("event_status").count()
 
 
+def test_steps_one_by_one_equal_the_whole(spark, tmp_path):
+    steps, whole = store(spark, tmp_path, "steps"), store(spark, tmp_path, "fused")
+    types = registered_types(steps, "purchase", "documento_leido")
+    jobs.validate_job(steps, types, 1, schema_gate=False)
+    for run_id, kind in enumerate(types, start=2):
+        jobs.pivot_job(steps, kind, run_id)
+        assert contents(jobs.pivot_job(steps, kind, run_id)) == contents(jobs.wide_table(steps, kind))
+    jobs.migrate_events_job(whole, types, 1, schema_gate=False)
+    for kind in types:
+        assert contents(jobs.wide_table(steps, kind)) == contents(jobs.wide_table(whole, kind))
+    assert contents(current_flags(steps.read("event_status"))) == contents(
+        current_flags(whole.read("event_status"))
+    )
+
+
+def test_cleaning_jobs(spark, tables, tmp_path):
+    found = jobs.clean_events_job(tables, "PURCHASE", "VALOR%", clean.remove_dollar, str(tmp_path))
+    assert found.count() == tables.read("event_property").count()
+    changed = found.exceptAll(tables.read("event_property"))
+    assert changed.count() > 0 and changed.where("name <> 'VALOR TOTAL' or value like '%$%'").count() == 0
+    found = jobs.clean_users_job(tables, "CANTIDAD%", clean.remove_space, str(tmp_path))
+    assert found.exceptAll(tables.read("user_property")).where("value like '% %'").count() == 0
+
+
 def test_gate_keeps_types_out(spark, tmp_path):
     tables = store(spark, tmp_path, "gate")
-    from propfold.operators.registry import load_event_types
-
-    types = load_event_types(tables.read("event_schema"), tables.read("property_event_schema"))
+    types = registered_types(tables, "purchase", "signup")
     jobs.migrate_events_job(tables, types, 21)
     names = {k.name: jobs.wide_table(tables, k).count() for k in types}
     assert names["signup"] == 0 and names["purchase"] > 0
@@ -106,8 +137,6 @@ def test_gate_keeps_types_out(spark, tmp_path):
 
 def test_discovered_names_make_the_gate_open(spark, tables, tmp_path):
     schemas, declared = jobs.discover_job(tables, str(tmp_path / "found"), NOW)
-    from propfold.operators.registry import load_event_types
-
     types = load_event_types(schemas, declared)
     gate = validate.schema_conformance(tables.read("user_event"), tables.read("event_property"), types)
     assert {r["conforms"] for r in gate.collect()} == {True}
