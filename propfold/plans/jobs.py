@@ -38,6 +38,9 @@ from propfold.sources.tables import (
     write_snapshot,
 )
 
+# Files that staging may write without arranging the rows by type first.
+MAX_STAGED_FILES = 100_000
+
 
 def event_state(tables: TenantTables) -> DataFrame:
     """Events with the flags that earlier runs have given them."""
@@ -79,6 +82,17 @@ def status_rows(
     )
 
 
+def few_files(folded: DataFrame, types: int) -> DataFrame:
+    """Rows arranged so that staging them by type does not make too many files.
+
+    Each task writes a file for each type. Where that would be too many, the rows
+    are rebalanced by type first, at the price of a shuffle; adaptive execution
+    splits a type with many rows over several tasks.
+    """
+    tasks = int(folded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return folded.hint("rebalance", "schema") if tasks * types > MAX_STAGED_FILES else folded
+
+
 def migrate_events_job(
     tables: TenantTables, types: list[EventType], run_id: int, schema_gate: bool = True
 ) -> DataFrame:
@@ -98,7 +112,7 @@ def migrate_events_job(
     for number, some in enumerate(batches(types)):
         folded = fold_events(events, properties, some, schema_gate)
         staged = f"{shared_dir(spark)}/{tables.tenant}/folded/run={run_id}/batch={number}"
-        folded.write.partitionBy("schema").mode("overwrite").parquet(staged)
+        few_files(folded, len(some)).write.partitionBy("schema").mode("overwrite").parquet(staged)
         folded = spark.read.schema(folded.schema).parquet(staged)
         for kind in some:
             append_new(pivot_folded(folded, some, kind), tables.wide_path(kind.name))

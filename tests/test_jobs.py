@@ -116,6 +116,16 @@ def test_steps_one_by_one_equal_the_whole(spark, tmp_path):
     )
 
 
+def test_rebalanced_staging_gives_the_same(spark, tmp_path, monkeypatch):
+    one, two = store(spark, tmp_path, "plain"), store(spark, tmp_path, "rebalanced")
+    types = registered_types(one, "purchase", "pedido_f")
+    jobs.migrate_events_job(one, types, 1, schema_gate=False)
+    monkeypatch.setattr(jobs, "MAX_STAGED_FILES", 1)
+    jobs.migrate_events_job(two, types, 1, schema_gate=False)
+    for kind in types:
+        assert contents(jobs.wide_table(one, kind)) == contents(jobs.wide_table(two, kind))
+
+
 def test_cleaning_jobs(spark, tables, tmp_path):
     found = jobs.clean_events_job(tables, "PURCHASE", "VALOR%", clean.remove_dollar, str(tmp_path))
     assert found.count() == tables.read("event_property").count()
