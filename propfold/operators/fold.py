@@ -113,6 +113,8 @@ def fold(
             F.max(F.when(F.col("_property") == name, F.col("_entry")))["value"].alias(f"cell_{n}")
             for n, name in enumerate(cells)
         ]
+        if not (verdict_words or latest):
+            return named.select("event_id").distinct()
         return named.groupBy("event_id").agg(*verdict_words, *latest)
     # A map holds no more entries than there are declared properties.
     entry = F.when(F.col("_property").isin(cells), F.struct("_property", "value"))

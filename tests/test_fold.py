@@ -164,3 +164,40 @@ def test_misfits_stay_out(spark):
     assert {r["id"]: r["k"] for r in pivot_events(events, properties, kind).collect()} == {0: 5, 2: None}
     bad = misfit_cells(events, properties, kind).collect()
     assert [tuple(r) for r in bad] == [(1, "k", "x", "not_integer")]
+
+
+def test_property_without_a_name_is_unregistered(spark):
+    kind = EventType(1, "purchase", (WideColumn("k", "k", "varchar"),))
+    events, _, _, _ = tables(spark, [kind], events=2, hot=False)
+    events = events.selectExpr("* except (migrated)", "false as migrated")
+    properties = spark.createDataFrame(
+        [(1, "k", "5", 0), (2, None, "x", 1), (3, "k", "y", None)],
+        "id long, name string, value string, event_id long",
+    )
+    found = validate_events(events, properties, [kind], schema_gate=False)
+    assert {r["id"]: r["valid"] for r in found.collect()} == {0: "validated", 1: "unvalid"}
+    (refused,) = refused_properties(events, properties, [kind]).collect()
+    assert (refused["event_id"], refused["name"], refused["reason"]) == (1, None, "unregistered")
+    assert not schema_conformance(events, properties, [kind]).first()["conforms"]
+
+
+def test_no_event_types(spark):
+    events, properties, _, _ = tables(spark, kinds(2), events=5, hot=False)
+    assert validate_events(events, properties, [], schema_gate=False).count() == 0
+    assert validate_events(events, properties, []).count() == 0
+    assert schema_conformance(events, properties, []).count() == 0
+
+
+def test_event_type_without_columns(spark):
+    kind = EventType(1, "purchase", ())
+    events, properties, _, _ = tables(spark, [EventType(1, "purchase", (WideColumn("k", "k", "varchar"),))], events=30, hot=False)
+    found = validate_events(events, properties, [kind], schema_gate=False)
+    with_any = {r["event_id"] for r in properties.select("event_id").distinct().collect()}
+    assert {r["id"]: r["valid"] for r in found.collect()} == {
+        r["id"]: "unvalid" if r["id"] in with_any else "validated"
+        for r in events.where("not migrated").collect()
+    }
+    folded = fold_events(events, properties, [kind], schema_gate=False)
+    rows = pivot_folded(folded, [kind], kind)
+    assert rows.columns == kind.struct().names
+    assert rows.count() == found.where("valid = 'validated'").count()

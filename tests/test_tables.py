@@ -196,3 +196,12 @@ def test_a_cluster_needs_a_shared_folder():
     with pytest.raises(ValueError):
         shared_dir(Session("yarn"))
     assert shared_dir(Session("local[2]")) == shared_dir(Session("local[2]"))
+
+
+def test_appends_of_a_grown_table(spark, tmp_path):
+    path = str(tmp_path / "grown")
+    t.append_new(spark.createDataFrame([(1, "a")], "id long, v string"), path)
+    grown = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "id long, v string, n int")
+    t.append_new(grown, path)
+    found = spark.read.schema(grown.schema).parquet(path)
+    assert {tuple(x) for x in found.collect()} == {(1, "a", None), (2, "b", 2)}
