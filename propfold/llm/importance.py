@@ -32,7 +32,7 @@ BUCKETS = 16384  # a power of two
 TARGET_ROWS = 20_000
 SMOOTH = 1.0
 TEMPER = 60.0
-SHARE = 0.85
+SHARE = 0.86
 SEED = 7
 
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)

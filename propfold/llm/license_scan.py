@@ -1,7 +1,7 @@
 """License scans: sparse TF-IDF cosine to templates, and inheritance by directory.
 
-A unit is a line of a text, or the whole text of a licence file (a file named as one of
-``FILE_NAMES``). Units that hold a trigger word are compared with each template by the
+A unit is a line of a text; the whole text of a licence file (a file named as one of
+``FILE_NAMES``) is one as well. Units that hold a trigger word are compared with each template by the
 cosine of their TF-IDF vectors over lower-case words. Inverse document frequencies of the
 templates' words are counted over the lines of all documents; words of no template have
 the frequency of a word that no line holds. The best template of the best unit, at a
@@ -26,7 +26,7 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propfold.llm.staging import stage
@@ -84,16 +84,20 @@ def template_table(documents: DataFrame, lines: int, counts: dict[str, int]) ->
         vector = {t: n * inverse(counts.get(t, 0), lines) for t, n in terms(text).items()}
         norm = math.sqrt(sum(x * x for x in vector.values()))
         rows += [(name, t, x / norm) for t, x in sorted(vector.items())]
-    return documents.sparkSession.createDataFrame(rows, "license string, term string, part double")
+    return small_table(documents.sparkSession, rows, ("license", "term", "part"))
+
+
+def small_table(spark: SparkSession, rows: list[tuple], names: tuple[str, ...]) -> DataFrame:
+    """Rows made on the driver, as literals of the plan."""
+    structs = (F.struct(*(F.lit(x).alias(n) for x, n in zip(row, names, strict=True))) for row in rows)
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def matched(units: DataFrame, documents: DataFrame) -> DataFrame:
     """(unit_key, license, similarity) of distinct units that are similar to a template."""
     lines, counts = line_counts(documents)
     spark = documents.sparkSession
-    idf = spark.createDataFrame(
-        [(t, inverse(counts.get(t, 0), lines)) for t in VOCABULARY], "term string, idf double"
-    )
+    idf = small_table(spark, [(t, inverse(counts.get(t, 0), lines)) for t in VOCABULARY], ("term", "idf"))
     distinct = units.groupBy("unit_key").agg(F.first("unit").alias("unit"))
     found = (
         distinct.select("unit_key", F.explode(words(F.col("unit"))).alias("term"))
@@ -135,7 +139,8 @@ def scan(documents: DataFrame) -> DataFrame:
     ``origin`` is own, inherited or null; ``license_dir`` is the directory inherited from.
     """
     rows = documents.select("doc_id", "path", "text").withColumn("is_file", is_license_file(F.col("path")))
-    pieces = F.when(F.col("is_file"), F.array("text")).otherwise(F.split("text", "\n"))
+    lines = F.split("text", "\n")
+    pieces = F.when(F.col("is_file"), F.concat(F.array("text"), lines)).otherwise(lines)
     units = (
         rows.where(F.regexp_like("text", F.lit(TRIGGER)))
         .select("path", "is_file", F.posexplode(pieces).alias("place", "unit"))
@@ -183,11 +188,18 @@ def scan(documents: DataFrame) -> DataFrame:
 
 
 def document_paths(documents: DataFrame) -> DataFrame:
-    """Documents with a path from their columns: source, language, hundred and name.
+    """Documents with a path from their columns: source, language, thousand, hundred, name.
 
-    The document that begins a hundred is named as the licence file of its directory.
+    The document that begins a thousand or a hundred is the licence file of its directory.
     """
-    name = F.when(F.col("doc_id") % 100 == 0, "LICENSE").otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    hundred = F.floor(F.col("doc_id") / 100).cast("string")
+    thousand, hundred = (F.floor(F.col("doc_id") / n).cast("string") for n in (1000, 100))
     levels = [F.coalesce(F.col(c).cast("string"), F.lit("_")) for c in ("source", "lang")]
-    return documents.select("doc_id", "text", F.concat_ws("/", *levels, hundred, name).alias("path"))
+    path = (
+        F.when(F.col("doc_id") % 1000 == 0, F.concat_ws("/", *levels, thousand, F.lit("LICENSE")))
+        .when(F.col("doc_id") % 100 == 0, F.concat_ws("/", *levels, thousand, hundred, F.lit("LICENSE")))
+        .when(
+            F.col("doc_id").isNotNull(),
+            F.concat_ws("/", *levels, thousand, hundred, F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))),
+        )
+    )
+    return documents.select("doc_id", "text", path.alias("path"))

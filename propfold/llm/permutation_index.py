@@ -130,10 +130,8 @@ def searched(key, held: pd.DataFrame, asked: pd.DataFrame, k: int, share: float)
             best = np.argpartition(rank, n - 1)[:n]
             best = np.sort(best[ids[best] != query])
             far = np.sqrt(((x[best] - np.frombuffer(vector)) ** 2).sum(axis=1))
-            _, one = np.unique(np.stack([ids[best], far], axis=1)[:, 0], return_index=True)
-            if len(one) < len(best):  # rows that share an id: the least distance
-                order = np.lexsort((far, ids[best]))
-                one = order[np.unique(ids[best][order], return_index=True)[1]]
+            by_id = np.lexsort((far, ids[best]))  # of rows that share an id, the least distance
+            one = by_id[np.unique(ids[best][by_id], return_index=True)[1]]
             order = one[np.lexsort((ids[best][one], far[one]))[:k]]
             out.append(pd.DataFrame({"query_id": query, "vec_id": ids[best][order], "score": far[order]}))
     empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
