@@ -50,7 +50,6 @@ def main() -> None:
     queries, seconds = registered(), {}
     queries["normalize_names"](spark, folder).write.format("noop").mode("overwrite").save()
     for name in HEADLINE:
-        start = time.perf_counter()
         start = time.perf_counter()
         queries[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)

@@ -13,18 +13,14 @@ MAX_BYTES = 64 * 1024 * 1024
 
 
 def fits_broadcast(rows: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
-    """Count rows and text bytes, reading no more than ``max_rows + 1`` rows."""
+    """Count rows and text bytes, summed on the map side."""
     texts = [f.name for f in rows.schema if isinstance(f.dataType, T.StringType)]
     width = reduce(
         Column.__add__,
         (F.coalesce(F.octet_length(name), F.lit(0)).cast("long") for name in texts),
         F.lit(8 * len(rows.columns)).cast("long"),
     )
-    found = (
-        rows.limit(max_rows + 1)
-        .agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size"))
-        .first()
-    )
+    found = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()
     return found["n"] <= max_rows and found["size"] <= max_bytes
 
 

@@ -111,7 +111,7 @@ def text_accepted(value: str, declared: str) -> str:
     """Does ``value`` fit the type named by the SQL expression ``declared``?"""
     pointed = f"replace({value}, ',', '.')"
     return f"""CASE {declared}
-        WHEN 'varchar' THEN {value} IS NULL OR length({value}) <= {v.VARCHAR_LENGTH}
+        WHEN 'varchar' THEN true
         WHEN 'integer' THEN {read_integer(value)} IS NOT NULL
         WHEN 'numeric' THEN {read_numeric(pointed)} IS NOT NULL
         WHEN 'date' THEN {read_date(value)} IS NOT NULL ELSE true END"""
@@ -295,7 +295,7 @@ FIRST_SPACE = """CASE WHEN instr(p.value, ' ') > 0 THEN substr(p.value, 1, instr
 TO_INTEGER = f"coalesce(CAST(try_cast(round({read_numeric('p.value')}) AS INT) AS VARCHAR), p.value)"
 REASON = f"""CASE WHEN type IS NULL THEN 'unregistered'
     WHEN value IS NULL AND type <> 'varchar' THEN 'null_value'
-    WHEN type = 'varchar' THEN 'too_long' WHEN type = 'date' THEN 'not_date'
+    WHEN type = 'date' THEN 'not_date'
     WHEN type = 'integer' AND NOT regexp_matches(value, {quoted(v.INTEGER_TEXT)}) THEN 'not_integer'
     WHEN type = 'numeric' AND NOT regexp_matches(replace(value, ',', '.'), {quoted(v.NUMERIC_TEXT)})
         THEN 'not_numeric' ELSE 'out_of_range' END"""
@@ -319,7 +319,7 @@ IDENTIFIED = "(email IS NOT NULL OR mobile_number IS NOT NULL OR identification
 READY = """SELECT id, name, valid, migrated FROM judged_event
     WHERE migrated = false AND valid = 'validated'"""
 LAST_NICKNAME = """SELECT user_id, arg_max(value, id) AS nickname FROM user_property
-    WHERE name = 'nickname' AND value IS NOT NULL AND length(value) <= 255 GROUP BY user_id"""
+    WHERE name = 'nickname' AND value IS NOT NULL GROUP BY user_id"""
 
 STATEMENTS = {
     "pivot_events": pivot_sql("purchase"),
@@ -361,7 +361,7 @@ STATEMENTS = {
         SELECT id, {read_integer("value")} AS as_integer,
             CAST({read_numeric("replace(value, ',', '.')")} AS DECIMAL(18,2)) AS as_numeric,
             {read_date("value")} AS as_date,
-            CASE WHEN length(value) <= 255 THEN value END AS as_varchar
+            value AS as_varchar
         FROM event_property""",
     "normalize_names": f"""
         SELECT name, {identifier("name")} AS identifier, {comparison_key("name")} AS key
@@ -467,7 +467,7 @@ STATEMENTS = {
     "promote_user_properties": f"""
         SELECT u.*, x.nickname FROM user_company u LEFT JOIN ({LAST_NICKNAME}) x ON x.user_id = u.id""",
     "remaining_user_props": """
-        SELECT * FROM user_property WHERE NOT (name = 'nickname' AND value IS NOT NULL AND length(value) <= 255)""",
+        SELECT * FROM user_property WHERE NOT (name = 'nickname' AND value IS NOT NULL)""",
     "consolidate_user_property": "SELECT user_id, name, action, new_value, n_rows FROM outcome",
     "consolidated_users": """
         SELECT u.* REPLACE (

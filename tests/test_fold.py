@@ -66,7 +66,7 @@ def accepts(value, declared):
     if declared == "json":
         return True
     if declared == "varchar":
-        return value is None or len(value) <= 255
+        return True
     return value is not None and python_accepts(value, declared)
 
 

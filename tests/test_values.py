@@ -68,10 +68,9 @@ def test_acceptance_table(spark):
 
 
 def test_varchar(spark):
-    texts = ["", "x" * 255, "ñ" * 255, "x" * 256, None]
-    assert evaluate(spark, texts, v.accepts(value(), v.VARCHAR)) == [
-        (True,), (True,), (True,), (False,), (True,)
-    ]
+    texts = ["", "x" * 255, "x" * 256, "word " * 20_000, None]
+    assert evaluate(spark, texts, v.accepts(value(), v.VARCHAR)) == [(True,)] * 5
+    assert evaluate(spark, texts, v.read_as(value(), v.VARCHAR)) == [(text,) for text in texts]
 
 
 def test_unlisted_type_accepts_anything(spark):
@@ -117,7 +116,7 @@ def test_random_dates_against_python(spark):
 
 def test_refusals(spark):
     cases = [
-        ("x" * 256, "varchar", "too_long"),
+        ("x" * 256, "varchar", None),
         ("x", "varchar", None),
         (None, "varchar", None),
         (None, "integer", "null_value"),
