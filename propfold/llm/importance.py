@@ -115,7 +115,7 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> float:
     """
     rows = rows.where(F.abs(column) < float("inf"))
     n, low, high = rows.agg(F.count("*"), F.min(column), F.max(column)).first()
-    if k > n:
+    if k > n or not n:
         return -math.inf
     left = k
     while True:
