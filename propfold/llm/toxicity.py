@@ -6,7 +6,8 @@ keeps a learning rate for each coordinate and its L1 term holds most weights at
 zero, so the model is a short list of weights.
 
 The fit takes at most ``FIT_ROWS`` labelled rows of each class, those first in the order
-of a hash of their id; this bound is a parameter. Scoring covers every text, whole.
+of a hash of their id; this bound is a parameter. The bias is corrected by the counts of
+both classes over all labels. Scoring covers every text, whole.
 
 A null or empty text has no features: its score is that of the bias alone. Labels that
 are null are not learnt from; repeated rows are learnt from and scored as often as they
@@ -16,7 +17,7 @@ no class, and 1 for class 1.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from propfold.llm import texts
 
 BITS = 20
-FIT_ROWS = 6000
+FIT_ROWS = 3000
 EPOCHS = 6
 ALPHA = 2.0
 BETA = 1.0
@@ -73,11 +74,10 @@ def sparse_rows(batch: pa.RecordBatch) -> pa.Array:
     return texts.row_lists(np.concatenate(values), np.concatenate(counts), pa.int32())
 
 
-def ftrl(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> Model:
+def ftrl(rows: Sequence[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> Model:
     """FTRL-proximal passes over the rows in the order given."""
     size = 1 << BITS
     z, n = np.zeros(size + 1), np.zeros(size + 1)
-    rows = [np.append(row, size) for row in rows]  # the bias is the last coordinate
     l1 = np.full(size + 1, L1)
     l1[size] = 0.0
 
@@ -88,7 +88,8 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> Mo
         return w
 
     for _ in range(epochs):
-        for at, y in zip(rows, labels, strict=True):
+        for row, y in zip(rows, labels, strict=True):
+            at = np.append(row, size)  # the bias is the last coordinate
             w = weights(at)
             p = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35)))
             g = p - y
@@ -126,15 +127,17 @@ def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Mo
     shape = "doc_id long, label int, features array<int>"
     found = rows.select("doc_id", "label", "text").mapInArrow(run, shape)
     table = found.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(2 * fit_rows).toArrow()
-    column = table.column("features").combine_chunks()
-    if isinstance(column, pa.ChunkedArray):
-        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
     labels_found = table.column("label").to_numpy().astype(np.float64)
     none = np.zeros(0, dtype=np.int64)
     if len(set(labels_found)) < 2:
         return Model(np.inf if labels_found.any() else -np.inf, none, none.astype(np.float64))
-    flat, at = column.flatten().to_numpy(), np.concatenate([[0], np.cumsum(column.value_lengths())])
-    return ftrl([flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], labels_found)
+    # views of the Arrow buffers, not copies
+    lists = [x.values.to_numpy() for chunk in table.column("features").chunks for x in chunk]
+    model = ftrl(lists, labels_found)
+    # The bounds may change how often a class occurs; the bias is set back for that.
+    counts = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    odds = labels_found.sum() / (len(labels_found) - labels_found.sum())
+    return model._replace(bias=model.bias + float(np.log(counts[1] / counts[0] / odds)))
 
 
 def scored(batch: pa.RecordBatch, dense: np.ndarray, bias: float) -> np.ndarray:
