@@ -12,8 +12,9 @@ No bucket is expanded into its pairs. Documents with equal sets are one candidat
 each bucket the others are compared with one hub, chosen in ``HUBS`` ways over the bands;
 most groups are joined by that. What is left of a bucket, members outside the component
 that most of it is in, is compared with every member of other components in the bucket;
-two members of one component need no comparison. So no link between components is lost
-to a cap, and pairs grow with the members that hubs leave apart.
+two members of one component need no comparison. Where that is many pairs, blocks of
+members are compared inside tasks of bounded size, and only links leave them. So no link
+between components is lost to a cap, and no pairs of a large group become rows.
 
 Null and empty texts, and texts without words, have no shingles and are linked with
 nothing. Texts of fewer words than a shingle have the whole sequence as their one
@@ -40,6 +41,10 @@ ROWS = 5
 HUBS = 3
 # Hubs of a bucket: the least id after its bits are flipped by the mask of the band.
 HUB_MASKS = (0, 0x5555555555555555, 0x3333333333333333)
+# Buckets with more pairs left are compared in blocks of so many asking and held members.
+PAIRS = 64
+OUTSIDE = 256
+MEMBERS = 2048
 PERCENT = 80
 SIZE = 4
 
@@ -204,12 +209,11 @@ def near_duplicates(documents: DataFrame, size: int = SIZE, percent: int = PERCE
         "hub-pairs",
     )
     links = stage(confirm(star, documents, size, percent), "links")
-    rest = stage(
-        fitting(left_apart(shared, components(links)), sizes, percent).join(star, ["a", "b"], "left_anti"),
-        "left-apart",
-    )
-    links = links.union(confirm(rest, documents, size, percent))
-    found = components(links).select(F.col("id"), "component")
+    split = stage(split_buckets(shared, components(links)), "split-buckets")
+    rest = fitting(few_apart(split), sizes, percent).join(star, ["a", "b"], "left_anti")
+    links = links.union(confirm(stage(rest, "left-apart"), documents, size, percent))
+    links = links.union(many_apart(split, documents, size, percent))
+    found = components(links)
     labelled = classes.select("print1", "print2", "id").join(found, "id", "left").select(
         "print1", "print2", F.coalesce("component", "id").alias("component")
     )
@@ -234,11 +238,11 @@ def fitting(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def left_apart(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of a bucket that lie in different components.
+def split_buckets(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component, with its id.
 
-    One side is outside the component that holds most of the bucket; the other is any
-    member of another component.
+    ``main`` is the component that holds most of the bucket, ``outside`` the number of
+    members that are not in it, ``size`` the number of all.
     """
     members = shared.select("id", "key").join(found, "id", "left").select(
         "id", "key", F.coalesce("component", "id").alias("component")
@@ -246,13 +250,107 @@ def left_apart(shared: DataFrame, found: DataFrame) -> DataFrame:
     parts = members.groupBy("key", "component").agg(F.count("*").alias("n"))
     split = (
         parts.groupBy("key")
-        .agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
+        .agg(
+            F.max(F.struct("n", "component")).alias("main"),
+            F.count("*").alias("parts"),
+            F.sum("n").alias("size"),
+        )
         .where("parts > 1")
-        .select("key", F.col("main.component").alias("main"))
+        .select("key", F.col("main.component").alias("main"), "size", (F.col("size") - F.col("main.n")).alias("outside"))
     )
-    members = members.join(split, "key")
+    return members.join(split, "key")
+
+
+def few_apart(split: DataFrame) -> DataFrame:
+    """Pairs in different components, of buckets that have at most ``PAIRS`` of them.
+
+    One side is outside the main component; the other is any member.
+    """
+    members = split.where(F.col("outside") * F.col("size") <= PAIRS)
     outside = members.where("component <> main").select(
         F.col("id").alias("a"), "key", F.col("component").alias("a_component")
     )
     other = members.select(F.col("id").alias("b"), "key", F.col("component").alias("b_component"))
     return outside.join(other, "key").where("a_component <> b_component").select("a", "b")
+
+
+def many_apart(split: DataFrame, documents: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between components in the buckets that ``few_apart`` leaves out.
+
+    Members outside the main component are dealt to blocks of about ``OUTSIDE``, all
+    members to blocks of about ``MEMBERS``; a task compares one block with another and
+    gives at most one link for two components, so no pair becomes a row.
+    """
+    members = split.where(F.col("outside") * F.col("size") > PAIRS).select(
+        "key",
+        "id",
+        "component",
+        (F.col("component") != F.col("main")).alias("asks"),
+        F.ceil(F.col("outside") / OUTSIDE).cast("int").alias("rows"),
+        F.ceil(F.col("size") / MEMBERS).cast("int").alias("columns"),
+    )
+    own = F.xxhash64("key", "id")
+    held = members.select(
+        "key",
+        "id",
+        "component",
+        F.lit(False).alias("asks"),
+        F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row"),
+        F.pmod(own, F.col("columns")).cast("int").alias("column"),
+    )
+    asking = members.where("asks").select(
+        "key",
+        "id",
+        "component",
+        "asks",
+        F.pmod(own, F.col("rows")).cast("int").alias("row"),
+        F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("column"),
+    )
+    texts_ = documents.select(F.col("doc_id").cast("long").alias("id"), "text").where("id is not null")
+    blocks = held.union(asking).join(texts_, "id")
+
+    def run(block: pa.Table) -> pa.Table:
+        return block_links(block.combine_chunks(), size, percent)
+
+    return blocks.groupBy("key", "row", "column").applyInArrow(run, "a long, b long")
+
+
+def block_links(block: pa.Table, size: int, percent: int) -> pa.Table:
+    """A link for each two components of a block that one is found for.
+
+    The sets of the asking members are held as lists of owners by shingle; the sets of
+    the others pass by one at a time.
+    """
+    ids, component = block.column("id").to_numpy(), block.column("component").to_numpy()
+    asks = block.column("asks").to_numpy(zero_copy_only=False).astype(bool)
+    text = block.column("text").combine_chunks()
+    text = pa.concat_arrays(text.chunks) if isinstance(text, pa.ChunkedArray) else text
+
+    def sets(rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        places = iter(rows.tolist())
+        for chunk in texts.chunks(text.take(pa.array(rows))):
+            for one in shingle_sets(chunk, size):
+                yield next(places), one
+
+    asking = list(sets(np.flatnonzero(asks)))
+    n = np.array([len(s) for _, s in asking], dtype=np.int64)
+    rows = np.array([row for row, _ in asking], dtype=np.int64)
+    shingles = np.concatenate([s for _, s in asking]) if asking else np.zeros(0, np.uint64)
+    order = np.argsort(shingles, kind="stable")
+    owner = np.repeat(np.arange(len(n)), n)[order]
+    shingles = shingles[order]
+    found: dict[tuple[int, int], tuple[int, int]] = {}
+    for row, one in sets(np.flatnonzero(~asks)):
+        first = np.searchsorted(shingles, one, side="left")
+        counts = np.searchsorted(shingles, one, side="right") - first
+        at = np.arange(counts.sum()) + np.repeat(first - (np.cumsum(counts) - counts), counts)
+        shared = np.bincount(owner[at], minlength=len(n))
+        near = 100 * shared >= percent * (n + len(one) - shared)
+        near &= (component[rows] != component[row]) & (n > 0)
+        for k in np.flatnonzero(near).tolist():
+            pair = int(component[rows[k]]), int(component[row])
+            found.setdefault((min(pair), max(pair)), (int(ids[rows[k]]), int(ids[row])))
+    links = list(found.values())
+    return pa.table(
+        {"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())}
+    )
