@@ -13,7 +13,7 @@ their number.
 
 If all runs of an anchor have one context, all their strings are repeated. Otherwise the
 suffixes at all starts of the distinct contexts are sorted: multikey quicksort on
-eight-byte characters to a depth of ``SHALLOW`` bytes, then each group that is still
+eight-byte characters to a depth of ``SHALLOW`` bytes, then each bucket that is still
 together is ordered by a blind trie, which looks only at the bytes where members branch.
 Strings that agree for ``SIZE`` bytes end in one leaf. Groups are sorted inside tasks that
 hold one key range each; an anchor of more than ``GROUP`` contexts is not gathered at all:
@@ -42,8 +42,8 @@ SIZE = 200
 GRAM = 32  # a power of two
 SHALLOW = 32
 # Contexts of an anchor that are sorted in one task; more are counted by hash.
-GROUP = 1000
-# Suffixes sorted at once inside a task.
+GROUP = 30_000
+# Suffixes compared at once by blind tries.
 BATCH = 200_000
 PIECE = 1 << 20
 
@@ -132,8 +132,8 @@ def occurrences(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
                 pa.array(context.view(np.int64)),
                 batch.column("key1").take(take),
                 batch.column("key2").take(take),
-                pa.array(first + shift),
-                pa.array(last + shift),
+                pa.array((first + shift).astype(np.int32)),
+                pa.array((last + shift).astype(np.int32)),
             ],
             names=["anchor", "context", "key1", "key2", "first", "last"],
         )
@@ -147,22 +147,43 @@ def sort_groups(buffer: np.ndarray, at: np.ndarray, group: np.ndarray, size: int
     repeated = np.zeros(len(at), dtype=bool)
     view = np.lib.stride_tricks.sliding_window_view(np.append(buffer, np.zeros(8, np.uint8)), 8)
 
-    def together(bucket, *keys):
-        """Members of buckets of two or more after a split by further keys."""
-        order = np.lexsort((*reversed(keys), bucket))
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = bucket[order][1:] != bucket[order][:-1]
-        for k in keys:
-            new[1:] |= k[order][1:] != k[order][:-1]
-        label = np.cumsum(new) - 1
-        keep = np.bincount(label)[label] > 1 if len(label) else new
-        return order[keep], label[keep]
-
     live, bucket = np.arange(len(at)), group
     for depth in range(0, SHALLOW, 8):  # multikey quicksort, a character is eight bytes
-        character = view[at[live] + depth].reshape(-1, 8).copy().view(">u8").ravel()
-        order, bucket = together(bucket, character.astype(np.uint64))
+        character = view[at[live] + depth].reshape(-1, 8).copy().view(">u8").ravel().astype(np.uint64)
+        order, bucket = together(bucket, character)
         live = live[order]
+    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(live) else []
+    begin = 0
+    while begin < len(live):  # whole buckets, about BATCH suffixes at once
+        after = np.searchsorted(cuts, begin + BATCH, side="left")
+        end = int(cuts[after]) if after < len(cuts) else len(live)
+        own = live[begin:end]
+        repeated[own] = blind_tries(buffer, at[own], bucket[begin:end], size)
+        begin = end
+    return repeated
+
+
+def together(bucket: np.ndarray, character: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Members of buckets of two or more after a split by a further character.
+
+    Gives their order and their new buckets, ascending.
+    """
+    order = np.lexsort((character, bucket))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (bucket[order][1:] != bucket[order][:-1]) | (character[order][1:] != character[order][:-1])
+    label = np.cumsum(new) - 1
+    keep = np.bincount(label)[label] > 1 if len(label) else new
+    return order[keep], label[keep]
+
+
+def blind_tries(buffer: np.ndarray, at: np.ndarray, bucket: np.ndarray, size: int) -> np.ndarray:
+    """Which suffixes end in a leaf of two or more; members of a bucket agree so far.
+
+    A node is the first place at which members of a bucket differ from its first member;
+    the bytes before it are skipped. All buckets go on by one node at a time.
+    """
+    repeated = np.zeros(len(at), dtype=bool)
+    live = np.arange(len(at))
     width = size - SHALLOW
     padded = -(-width // 8) * 8
     tail = np.zeros((len(live), padded), dtype=np.uint8)
@@ -245,7 +266,7 @@ def sorted_contexts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa
 
 
 def keyed(documents: DataFrame) -> DataFrame:
-    """Rows with two numbers that tell texts apart; rows equal in both hold equal texts."""
+    """Rows with two numbers that tell texts apart; rows equal in both are taken for one text."""
     return documents.select(
         "doc_id",
         "text",
@@ -256,7 +277,7 @@ def keyed(documents: DataFrame) -> DataFrame:
 def keys() -> list[Column]:
     return [
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("key1"),
-        F.xxhash64("text").alias("key2"),
+        F.hash("text").alias("key2"),
     ]
 
 
@@ -276,12 +297,9 @@ def repeated_spans(documents: DataFrame, size: int = SIZE) -> DataFrame:
 
     often = rows.select("text").mapInArrow(over(anchors), "anchor long")
     often = often.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    shape = "anchor long, context long, key1 long, key2 long, first long, last long"
+    shape = "anchor long, context long, key1 long, key2 int, first int, last int"
     found = rows.mapInArrow(over(occurrences), shape)
-    found = found.join(often, "anchor", "left_semi").withColumns(
-        {"first": F.col("first").cast("int"), "last": F.col("last").cast("int")}
-    )
-    found = stage(found, "runs")
+    found = stage(found.join(often, "anchor", "left_semi"), "runs")
 
     distinct = found.groupBy("anchor", "context").agg(
         F.count("*").alias("n"),
