@@ -46,7 +46,7 @@ PAIRS = 64
 OUTSIDE = 256
 MEMBERS = 2048
 PERCENT = 80
-SIZE = 4
+SIZE = 5
 
 _FLIP = texts.numbers(11, BANDS * ROWS // 2)
 _SPREAD = texts.numbers(12, BANDS * ROWS // 2) | np.uint64(1)

@@ -58,7 +58,7 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), size=4)
 
 
 def op8_arc_convert(spark: SparkSession, folder: str) -> DataFrame:

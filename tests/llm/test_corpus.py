@@ -104,9 +104,9 @@ def test_line_cleaning_removes_lines(spark):
     assert row["base_failed"] and not row["kept"]  # its sentence is repeated
 
 
-def near_by_force(documents):
+def near_by_force(documents, size):
     rows = [
-        (i, frozenset(tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3))) if w else frozenset())
+        (i, frozenset(tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))) if w else frozenset())
         for i, w in ((i, [x.lower() for x in w]) for i, w in word_lists(documents))
     ]
     parent = {i: i for i, _ in rows if i is not None}
@@ -130,12 +130,12 @@ def near_by_force(documents):
 
 
 @pytest.mark.parametrize("which", ["given", "odd"])
-@pytest.mark.parametrize("pairs", [64, 0])
-def test_near_duplicates(request, monkeypatch, which, pairs):
+@pytest.mark.parametrize(("pairs", "size"), [(64, 4), (0, 5)])
+def test_near_duplicates(request, monkeypatch, which, pairs, size):
     monkeypatch.setattr(near_dedup, "PAIRS", pairs)
     documents = request.getfixturevalue(which)
-    got = near_dedup.near_duplicates(documents).where("doc_id is not null")
-    wanted = [r for r in near_by_force(documents) if r[0] is not None]
+    got = near_dedup.near_duplicates(documents, size).where("doc_id is not null")
+    wanted = [r for r in near_by_force(documents, size) if r[0] is not None]
     assert Counter(collected(got.select("doc_id", "n_shingles", "component_id"))) == Counter(wanted)
     assert got.where("kept <> (doc_id = component_id)").isEmpty()
 
@@ -154,8 +154,8 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
             words[k] = f"e{doc_id}x{k}"
         rows.append((doc_id, " ".join(words)))
     documents = spark.createDataFrame(rows, "doc_id long, text string")
-    got = near_dedup.near_duplicates(documents).select("doc_id", "n_shingles", "component_id")
-    assert Counter(collected(got)) == Counter(near_by_force(documents))
+    got = near_dedup.near_duplicates(documents, 4).select("doc_id", "n_shingles", "component_id")
+    assert Counter(collected(got)) == Counter(near_by_force(documents, 4))
 
 
 def repeats_by_force(documents, size):
