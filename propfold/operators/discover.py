@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from propfold.functions.names import identifier, with_identifier
@@ -16,6 +16,21 @@ from propfold.operators.sizing import attach
 from propfold.sources.schemas import DB_STATUS, MIGRATE_STATUS
 
 
+ID_PARTS = 16
+
+
+def new_id(registry: DataFrame, first: str, *ties: str) -> Column:
+    """Free ids for new registry rows, numbered by the row they were first seen in.
+
+    They are dealt in ``ID_PARTS`` parts by the remainder of that row's id, each numbered
+    by itself: no task sorts all, and ids grow with the number of names, not with the ids
+    of the facts.
+    """
+    part = F.pmod(first, F.lit(ID_PARTS))
+    place = F.row_number().over(Window.partitionBy(part).orderBy(first, *ties)) - 1
+    return next_id(registry) + part + ID_PARTS * place.cast("long")
+
+
 def next_id(registry: DataFrame) -> Column:
     """One more than the highest id of the registry."""
     top = registry.select((F.coalesce(F.max("id"), F.lit(-1)) + 1).alias("next"))
@@ -49,8 +64,7 @@ def discover_event_schemas(events: DataFrame, schemas: DataFrame, run_ts: dateti
 
     Known names are found by two equality joins, one per column. They are outer
     joins, so that they meet the distinct spellings: an anti join would be moved
-    below the grouping, to be made for every event. An id is the next free id
-    plus that of the first event, unique without a global sort.
+    below the grouping, to be made for every event.
     """
     by_name = schemas.select(identifier("name").alias("clean"), F.lit(True).alias("_named"))
     by_spelling = schemas.select("help_name", F.lit(True).alias("_spelt"))
@@ -64,7 +78,7 @@ def discover_event_schemas(events: DataFrame, schemas: DataFrame, run_ts: dateti
         unknown.groupBy("clean")
         .agg(F.min("help_name").alias("help_name"), F.min("first_event").alias("first_event"))
         .select(
-            (next_id(schemas) + F.col("first_event")).alias("id"),
+            new_id(schemas, "first_event", "clean").alias("id"),
             F.col("clean").alias("name"),
             "help_name",
             F.lit(None).cast("string").alias("description"),
@@ -136,7 +150,7 @@ def discover_properties(
         .where(F.col("_has_name").isNull() | F.col("_has_spelling").isNull())
         .join(first, ["schema_id", "clean"])
         .select(
-            (next_id(property_schemas) + F.col("first_property")).alias("id"),
+            new_id(property_schemas, "first_property", "schema_id", "help_name").alias("id"),
             F.col("clean").alias("name"),
             F.col("schema_id").alias("event_id"),
             "help_name",
@@ -158,14 +172,17 @@ def events_with_new_properties(
 
     Only these can add to the registry. They are found by one combining
     aggregation, which shuffles one row per event; the pairs of event type and
-    property need then be looked for among few events only.
+    property need then be looked for among few events only. A registry of more than
+    ``MAX_DECLARED`` rows is joined to the property rows instead.
     """
-    type_ids = bounded(schemas.select("id"))
-    pairs = bounded(
+    spellings_known = (
         property_schemas.where(F.col("name") == identifier("help_name"))
         .select("event_id", "help_name")
         .distinct()
     )
+    type_ids, pairs = bounded(schemas.select("id")), bounded(spellings_known)
+    if type_ids is None or pairs is None:
+        return unknown_by_join(with_schema_id(events, schemas), properties, spellings_known)
     spelt: dict[int, list[str]] = {row["id"]: [] for row in type_ids}
     for row in pairs:
         spelt.setdefault(row["event_id"], []).append(row["help_name"])
@@ -177,12 +194,21 @@ def events_with_new_properties(
     return reduce(DataFrame.unionByName, found) if found else typed.select("id").limit(0)
 
 
-def bounded(rows: DataFrame) -> list[Row]:
-    """Registry rows brought to the driver, after a check of their number."""
-    found = rows.limit(MAX_DECLARED + 1).collect()
-    if len(found) > MAX_DECLARED:
-        raise ValueError(f"over {MAX_DECLARED} registered names")
-    return found
+def bounded(rows: DataFrame) -> list[Row] | None:
+    """Registry rows brought to the driver; None if they are more than ``MAX_DECLARED``."""
+    return rows.collect() if rows.count() <= MAX_DECLARED else None
+
+
+def unknown_by_join(typed: DataFrame, properties: DataFrame, spelt: DataFrame) -> DataFrame:
+    """Events with a property whose spelling is not listed for their type."""
+    known = spelt.select(
+        F.col("event_id").alias("schema_id"), "help_name", F.lit(True).alias("_known")
+    )
+    named = properties.where(F.col("name").isNotNull()).select(
+        F.col("event_id").alias("id"), F.col("name").alias("help_name")
+    )
+    seen = attach(named.join(typed, "id"), known, ["schema_id", "help_name"], spread="id")
+    return seen.where(F.col("_known").isNull()).select("id").distinct()
 
 
 def unknown_to(typed: DataFrame, properties: DataFrame, spelt: dict[int, list[str]]) -> DataFrame:

@@ -112,19 +112,26 @@ def with_latest_values(
             )
         )
     )
+    # Spark resolves columns without regard to case, so names that differ by it are one.
+    targets = {name.lower(): name for name in users.columns}
+    values = {name: column(name) for name in users.columns}
     updated = {}
     for n, (name, declared) in enumerate(columns.items()):
+        target = targets.setdefault(name.lower(), name)
         new = read_as(F.col(f"_new_{n}"), declared)
-        updated[name] = F.coalesce(new, column(name)) if name in users.columns else new
-    kept = [*users.columns, *(name for name in columns if name not in users.columns)]
+        values[target] = F.coalesce(new, values[target]) if target in values else new
+        updated[target] = values[target]
     joined = users.join(latest, users["id"] == latest["user_id"], "left")
-    return joined.withColumns(updated).select(*map(column, kept))
+    return joined.withColumns(updated).select(*map(column, targets.values()))
 
 
-def unpromoted_properties(properties: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Property rows that promotion leaves behind."""
-    kept = promotable(properties, columns).where("not _fits")
-    return kept.select(*properties.columns)
+def unpromoted_properties(
+    users: DataFrame, properties: DataFrame, columns: dict[str, str]
+) -> DataFrame:
+    """Property rows that promotion leaves behind, those of unknown users among them."""
+    known = users.select(F.col("id").alias("user_id"), F.lit(True).alias("_known")).distinct()
+    judged = promotable(properties, columns).join(known, "user_id", "left")
+    return judged.where("not _fits or _known is null").select(*properties.columns)
 
 
 def value_range(text: Column) -> dict[str, Column]:

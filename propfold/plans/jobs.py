@@ -217,7 +217,7 @@ def user_job(tables: TenantTables, out: str, names: list[str] | None = None) ->
         users.promote_user_properties(people, properties, columns), f"{out}/promoted_users"
     )
     left = write_snapshot(
-        users.unpromoted_properties(properties, columns), f"{out}/unpromoted_properties"
+        users.unpromoted_properties(people, properties, columns), f"{out}/unpromoted_properties"
     )
     outcomes = write_snapshot(users.consolidation(promoted, left, names), f"{out}/consolidation")
     settled = write_snapshot(

@@ -256,6 +256,12 @@ BASE = """CAST(e.id AS BIGINT) AS id, CAST(e.updated_at AS DATE) AS updated_at,
     CAST(e.created_at AS DATE) AS created_at, e.user_id, e.integration_id, e.integration_type, e.uuid"""
 
 
+def new_id(registry: str, first: str, ties: str) -> str:
+    """Numbers of new registry rows, dealt in 16 parts."""
+    return f"""(SELECT max(id) + 1 FROM {registry}) + {first} % 16
+            + 16 * (row_number() OVER (PARTITION BY {first} % 16 ORDER BY {first}, {ties}) - 1)"""
+
+
 def pivot_sql(event: str, where: str = "true") -> str:
     """Ready events of one type with the last value of each declared property."""
     readers = {
@@ -369,22 +375,21 @@ STATEMENTS = {
     "normalize_texts": f"""
         SELECT doc_id, {identifier("text")} AS identifier, {comparison_key("text")} AS key FROM documents""",
     "discover_event_schemas": f"""
-        SELECT (SELECT max(id) + 1 FROM event_schema) + min(e.id) AS id, c.clean AS name,
+        SELECT {new_id("event_schema", "min(e.id)", "c.clean")} AS id, c.clean AS name,
             min(e.name) AS help_name, CAST(NULL AS VARCHAR) AS description, {NEW_ROW}, false AS is_migrated
         FROM user_event e JOIN clean_names c USING (name)
         WHERE NOT EXISTS (SELECT 1 FROM event_schema s WHERE s.name = c.clean OR s.help_name = e.name)
         GROUP BY c.clean""",
     "discover_properties": f"""
-        SELECT (SELECT max(id) + 1 FROM property_event_schema) + first_id AS id, clean AS name,
-            schema_id AS event_id, help_name, 'varchar' AS type, {NEW_ROW},
-            has_name OR first_id > min(first_id) OVER (PARTITION BY schema_id, clean) AS is_alias
-        FROM (SELECT s.id AS schema_id, p.name AS help_name, c.clean, min(p.id) AS first_id,
+        SELECT {new_id("property_event_schema", "first_id", "schema_id, help_name")} AS id, clean AS name,
+            schema_id AS event_id, help_name, 'varchar' AS type, {NEW_ROW}, has_name OR first_id > first AS is_alias
+        FROM (SELECT *, min(first_id) OVER (PARTITION BY schema_id, clean) AS first FROM (SELECT s.id AS schema_id, p.name AS help_name, c.clean, min(p.id) AS first_id,
                 EXISTS (SELECT 1 FROM property_event_schema d WHERE d.event_id = s.id AND d.name = c.clean) AS has_name,
                 EXISTS (SELECT 1 FROM property_event_schema d WHERE d.event_id = s.id AND d.help_name = p.name) AS has_spelling
             FROM event_property p JOIN user_event e ON e.id = p.event_id JOIN clean_names m ON m.name = e.name
             JOIN event_schema s ON s.name = m.clean JOIN clean_names c ON c.name = p.name
-            GROUP BY s.id, p.name, c.clean)
-        QUALIFY NOT (has_name AND has_spelling)""",
+            GROUP BY s.id, p.name, c.clean))
+        WHERE NOT (has_name AND has_spelling)""",
     "events_with_new_properties": """
         SELECT DISTINCT e.id FROM event_property p JOIN user_event e ON e.id = p.event_id
         JOIN clean_names m ON m.name = e.name JOIN event_schema s ON s.name = m.clean
@@ -467,7 +472,8 @@ STATEMENTS = {
     "promote_user_properties": f"""
         SELECT u.*, x.nickname FROM user_company u LEFT JOIN ({LAST_NICKNAME}) x ON x.user_id = u.id""",
     "remaining_user_props": """
-        SELECT * FROM user_property WHERE NOT (name = 'nickname' AND value IS NOT NULL)""",
+        SELECT * FROM user_property WHERE NOT (name = 'nickname' AND value IS NOT NULL)
+            OR user_id NOT IN (SELECT id FROM user_company)""",
     "consolidate_user_property": "SELECT user_id, name, action, new_value, n_rows FROM outcome",
     "consolidated_users": """
         SELECT u.* REPLACE (

@@ -330,7 +330,7 @@ def promote_user_properties(g: Given) -> DataFrame:
 
 
 def remaining_user_props(g: Given) -> DataFrame:
-    return users.unpromoted_properties(g.user_property, waiting_columns(g))
+    return users.unpromoted_properties(g.user_company, g.user_property, waiting_columns(g))
 
 
 def outcomes(g: Given) -> DataFrame:

@@ -72,7 +72,7 @@ def test_new_properties_and_aliases(spark):
     assert types == {"purchase": [("k", "varchar"), ("valor_total", "numeric")], "old": [("k", "varchar")]}
 
 
-def test_only_events_with_news_are_looked_at(spark):
+def test_only_events_with_news_are_looked_at(spark, monkeypatch):
     known = registry(spark, [(1, "purchase", "PURCHASE"), (2, "old", "Raw Name"), (3, "empty", "empty")])
     names = declared(
         spark,
@@ -85,6 +85,9 @@ def test_only_events_with_news_are_looked_at(spark):
     )
     ids = d.events_with_new_properties(seen, props, known, names)
     assert sorted(r[0] for r in ids.collect()) == [2, 5, 6]
+    monkeypatch.setattr(d, "MAX_DECLARED", 1)
+    joined = d.events_with_new_properties(seen, props, known, names)
+    assert sorted(r[0] for r in joined.collect()) == [2, 5, 6]
     whole = d.discover_properties(seen, props, known, names, NOW)
     part = d.discover_properties(
         only_of(seen, "id", ids), only_of(props, "event_id", ids, max_rows=1), known, names, NOW
@@ -98,3 +101,11 @@ def test_first_discovery_looks_at_all(spark):
     props = properties(spark, [(1, "K", 1), (2, "k", 2)])
     ids = d.events_with_new_properties(seen, props, known, declared(spark, []))
     assert sorted(r[0] for r in ids.collect()) == [1, 2]
+
+
+def test_ids_stay_small_where_facts_have_large_ones(spark):
+    big = 5 * 10**18
+    known = registry(spark, [(big, "a", "a")])
+    new = d.discover_event_schemas(events(spark, [(big + 16 * k, f"n{k}") for k in range(20)]), known, NOW)
+    ids = {r["id"] for r in new.collect()}
+    assert len(ids) == 20 and big < min(ids) and max(ids) <= big + 16 * 21

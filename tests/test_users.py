@@ -111,10 +111,10 @@ def test_promotion(spark, monkeypatch):
         for r in found.collect():
             assert r["nickname"] == latest.get((r["id"], "nickname"))
             assert r["score"] == latest.get((r["id"], "score"), people[r["id"]]["score"])
-    left = {r["id"] for r in u.unpromoted_properties(props, columns).collect()}
+    left = {r["id"] for r in u.unpromoted_properties(users, props, columns).collect()}
     used = {
-        i for i, name, value, _ in rows
-        if (name == "nickname" and value is not None) or (name == "score" and value == "3")
+        i for i, name, value, user in rows
+        if user in people and ((name == "nickname" and value is not None) or (name == "score" and value == "3"))
     }
     assert left == {r[0] for r in rows} - used
 
@@ -122,7 +122,7 @@ def test_promotion(spark, monkeypatch):
 def test_no_columns_to_promote(spark):
     users, props, _, rows = tables(spark, seed=5)
     assert u.promote_user_properties(users, props, {}).columns == users.columns
-    assert u.unpromoted_properties(props, {}).count() == len(rows)
+    assert u.unpromoted_properties(users, props, {}).count() == len(rows)
 
 
 def test_registry_of_users(spark):
@@ -168,3 +168,14 @@ def test_odd_column_names(spark):
     assert {tuple(r) for r in after.collect()} == {(1, "a", "x"), (2, "c", None)}
     promoted = u.promote_user_properties(people, props, {"new.one": "varchar", "utm.source": "varchar"})
     assert {tuple(r) for r in promoted.collect()} == {(1, "a", "x", "n"), (2, "c", None, None)}
+
+
+def test_promotion_folds_case_and_keeps_unknown_users(spark):
+    people = spark.createDataFrame([(1, "old"), (2, "kept")], "id long, email string")
+    props = spark.createDataFrame(
+        [(1, "Email", "new", 1), (2, "Email", "lost", 9)], "id long, name string, value string, user_id long"
+    )
+    found = u.promote_user_properties(people, props, {"Email": "varchar"})
+    assert found.columns == ["id", "email"]
+    assert sorted(found.collect()) == [(1, "new"), (2, "kept")]
+    assert [r["id"] for r in u.unpromoted_properties(people, props, {"Email": "varchar"}).collect()] == [2]
