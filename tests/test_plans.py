@@ -7,11 +7,11 @@ import pytest
 from compare import DATA
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
 from propfold.functions.names import with_identifier
 from propfold.operators import clean, discover, pivot, scans, users, validate
 from propfold.operators.fold import fold
 from propfold.operators.registry import EventType, WideColumn
+from propfold.plans.queries import registered
 from propfold.sources.schemas import table_schema
 
 FOLDER = f"{DATA}/sf0.001"
@@ -54,9 +54,9 @@ def stored(spark, tmp_path_factory):
     )
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(registered()))
 def test_no_query_leaves_the_engine_or_crosses_tables(spark, name):
-    plan = physical(driver.queries()[name](spark, FOLDER))
+    plan = physical(registered()[name](spark, FOLDER))
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|Python|MapInPandas|InArrow", plan)
 
 
