@@ -35,9 +35,8 @@ SEVERAL = {
 COMBINING = "".join(map(chr, range(0x300, 0x370)))
 BEYOND_ASCII = r"[^\x00-\x7F]"
 
-# Names up to this length may sit in the broadcast name cache.
-CACHED_LENGTH = 256
-CACHED_NAMES = 20_000
+# Spellings up to this length are sent out with their normal form.
+KNOWN_LENGTH = 256
 
 
 def accented_letters() -> dict[str, str]:
@@ -88,23 +87,19 @@ def comparison_key(column: str) -> Column:
     return F.expr(f"upper({normal_form(column)})")
 
 
-def with_identifier(rows: DataFrame, name: str, out: str) -> DataFrame:
-    """Add ``out``, the identifier of column ``name``, computed once per spelling.
+def with_identifier(
+    rows: DataFrame, name: str, out: str, known: dict[str, str] | None = None
+) -> DataFrame:
+    """Add ``out``, the identifier of column ``name``.
 
-    The distinct spellings are broadcast with their identifiers. That side is at
-    most ``CACHED_NAMES`` rows of at most ``CACHED_LENGTH`` characters. It is a
-    cache: a spelling it does not hold is normalised in place, so the result
-    does not depend on which spellings it holds.
+    ``known`` are registered spellings with what they stand for, which came from the
+    driver and are broadcast. A spelling that it does not hold is normalised in place.
     """
-    cache = (
-        rows.select(F.col(name).alias("_raw"))
-        .where(F.length("_raw") <= CACHED_LENGTH)
-        .distinct()
-        .limit(CACHED_NAMES)
-        .select("_raw", identifier("_raw").alias("_known"))
-    )
+    if not known:
+        return rows.withColumn(out, identifier(name))
+    table = rows.sparkSession.createDataFrame(sorted(known.items()), "_raw string, _known string")
     return (
-        rows.join(F.broadcast(cache), rows[name] == cache["_raw"], "left")
+        rows.join(F.broadcast(table), rows[name] == table["_raw"], "left")
         .withColumn(out, F.coalesce("_known", identifier(name)))
         .drop("_raw", "_known")
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from propfold.functions.names import with_identifier
 from propfold.functions.values import DATE, NUMERIC, VARCHAR, integer_text, is_email, replace_text
-from propfold.operators.registry import EventType, declared_table, with_event_type
+from propfold.operators.registry import EventType, declared_table, property_spellings, with_event_type
 
 Change = Callable[[Column], Column]
 
@@ -120,7 +120,7 @@ def clean_declared_values(
     for declared_type in RECIPES:
         changed = recipe(declared_type)(F.col("value"))
         value = F.when(F.col("_declared") == declared_type, changed).otherwise(value)
-    named = with_identifier(properties, "name", "property")
+    named = with_identifier(properties, "name", "property", property_spellings(types))
     return (
         named.join(owners, "event_id", "left")
         .join(F.broadcast(declared), ["type_id", "property"], "left")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from propfold.functions.names import identifier, with_identifier
+from propfold.functions.names import identifier
 from propfold.functions.values import VARCHAR
 from propfold.operators.fold import batches, fold_known, known_at_place
 from propfold.operators.registry import MAX_DECLARED
@@ -93,10 +93,15 @@ def discover_event_schemas(events: DataFrame, schemas: DataFrame, run_ts: dateti
 def with_schema_id(events: DataFrame, schemas: DataFrame) -> DataFrame:
     """Events of registered types with ``schema_id``: by identifier, else as spelt."""
     by_name = schemas.groupBy(identifier("name").alias("clean")).agg(F.min("id").alias("_named"))
-    by_spelling = schemas.groupBy(F.col("help_name").alias("name")).agg(F.min("id").alias("_spelt"))
-    named = with_identifier(events.select("id", "name"), "name", "clean")
+    by_spelling = (
+        schemas.groupBy(F.col("help_name").alias("name"))
+        .agg(F.min("id").alias("_spelt"))
+        .withColumn("_clean", identifier("name"))
+    )
+    named = attach(events.select("id", "name"), by_spelling, ["name"], spread="id")
+    # Only a spelling that the registry lacks is normalised here.
+    named = named.withColumn("clean", F.coalesce("_clean", identifier("name")))
     named = attach(named, by_name, ["clean"], spread="id")
-    named = attach(named, by_spelling, ["name"], spread="id")
     return named.select("id", F.coalesce("_named", "_spelt").alias("schema_id")).where(
         F.col("schema_id").isNotNull()
     )

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from propfold.functions.names import with_identifier
 from propfold.functions.values import READERS, accepts
-from propfold.operators.registry import EventType
+from propfold.operators.clean import recipe
+from propfold.operators.registry import EventType, property_spellings
 
 # Event types per 64-bit word: one bit "value accepted", one "name registered".
 TYPES_PER_WORD = 31
@@ -80,6 +81,7 @@ def fold(
     types: list[EventType],
     cells: Iterable[str] = (),
     verdicts: bool = False,
+    recipes: bool = False,
     max_cell_columns: int = MAX_CELL_COLUMNS,
 ) -> DataFrame:
     """One row per event id.
@@ -89,18 +91,20 @@ def fold(
     ``max_cell_columns`` they become entries of the map ``cells``.
 
     With ``verdicts``, ``word_<n>`` holds for each event type whether all the
-    properties of the event are registered and acceptable.
+    properties of the event are registered and acceptable; with ``recipes``, after the
+    cleaning of each value by the recipe of the type it is declared as.
     """
     if verdicts and len(types) > TYPES_PER_FOLD:
         raise ValueError(f"over {TYPES_PER_FOLD} event types in one fold; use batches")
     cells = list(cells)
-    named = with_identifier(properties, "name", "_property")
+    named = with_identifier(properties, "name", "_property", property_spellings(types))
     words = range(words_needed(types)) if verdicts else range(0)
     if verdicts:
         # Broadcast: one row per declared property, all from the driver.
         named = named.join(F.broadcast(bit_table(properties, types)), "_property", "left")
         # A check runs only where some event type declares the property so.
-        checks = {t: F.when(F.col(f"_is_{t}"), accepts(F.col("value"), t)) for t in READERS}
+        values = {t: recipe(t)(F.col("value")) if recipes else F.col("value") for t in READERS}
+        checks = {t: F.when(F.col(f"_is_{t}"), accepts(values[t], t)) for t in READERS}
         named = named.withColumns({f"_fits_{t}": check for t, check in checks.items()})
         named = named.withColumns({f"word_{n}": word(n) for n in words})
     else:
@@ -120,7 +124,7 @@ def fold(
     entry = F.when(F.col("_property").isin(cells), F.struct("_property", "value"))
     return (
         named.groupBy("event_id", "_property")
-        .agg(*verdict_words, F.max_by("value", "id").alias("value"))
+        .agg(*verdict_words, F.max(F.struct("id", "value"))["value"].alias("value"))
         .groupBy("event_id")
         .agg(*verdict_words, F.map_from_entries(F.collect_list(entry)).alias("cells"))
     )

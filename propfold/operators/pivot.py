@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 
 from propfold.functions.names import identifier
 from propfold.functions.values import read_as, refusal
+from propfold.operators.clean import recipe
 from propfold.operators.fold import MAX_CELL_COLUMNS, cell, fold
 from propfold.operators.registry import EventType
 from propfold.operators.validate import judge
 from propfold.sources.schemas import BASE_COLUMNS, VALID
 
 
-def ready_events(events: DataFrame, schema: str | None = None) -> DataFrame:
-    """Events that passed validation and are not migrated yet."""
+def ready_events(events: DataFrame, kind: EventType | None = None) -> DataFrame:
+    """Events (of one type) that passed validation and are not migrated yet."""
     ready = events.where(~F.col("migrated") & (F.col("valid") == VALID))
-    return ready if schema is None else ready.where(identifier("name") == schema)
+    if kind is None:
+        return ready
+    return ready.where(F.col("name").isin(*kind.spellings) | (identifier("name") == kind.name))
 
 
 def base_columns() -> list[Column]:
@@ -44,7 +47,7 @@ def wide_rows(rows: DataFrame, kind: EventType, text) -> DataFrame:
 def joined_cells(events: DataFrame, properties: DataFrame, kind: EventType) -> tuple:
     cells = [c.property for c in kind.columns]
     folded = fold(properties, [kind], cells)
-    ready = ready_events(events, kind.name).select(*BASE_COLUMNS)
+    ready = ready_events(events, kind).select(*BASE_COLUMNS)
     rows = ready.join(folded, ready["id"] == folded["event_id"], "left")
     return rows, lambda name: cell(folded.columns, cells, name)
 
@@ -78,24 +81,60 @@ def fold_events(
     properties: DataFrame,
     types: list[EventType],
     schema_gate: bool = True,
+    recipes: bool = False,
     max_cell_columns: int = MAX_CELL_COLUMNS,
 ) -> DataFrame:
-    """Pending events of all types, judged, with the text of all their cells.
+    """Pending events of all types, judged, with the raw text of all their cells.
 
-    Verdicts and cells come out of the same aggregation of the property table.
+    Verdicts and cells come out of the same aggregation of the property table. With
+    ``recipes``, values are judged as their recipe cleans them.
     """
     cells = all_cells(types)
-    folded = fold(properties, types, cells, verdicts=True, max_cell_columns=max_cell_columns)
+    folded = fold(
+        properties, types, cells, verdicts=True, recipes=recipes, max_cell_columns=max_cell_columns
+    )
     judged = judge(events, folded, types, schema_gate)
     kept = [c for c in folded.columns if c.startswith("cell")]
     return judged.select("schema", "valid", *BASE_COLUMNS, *kept)
 
 
-def pivot_folded(folded: DataFrame, types: list[EventType], kind: EventType) -> DataFrame:
+def cells_of(folded: DataFrame, types: list[EventType], kind: EventType, recipes: bool):
+    """Text of a property in the rows of ``fold_events``, cleaned if ``recipes``."""
+    cells, declared = all_cells(types), {c.property: c.type for c in kind.columns}
+
+    def text(name: str) -> Column:
+        found = cell(folded.columns, cells, name)
+        return recipe(declared[name])(found) if recipes else found
+
+    return text
+
+
+def pivot_folded(
+    folded: DataFrame, types: list[EventType], kind: EventType, recipes: bool = False
+) -> DataFrame:
     """Wide rows of one type out of ``fold_events``."""
-    cells = all_cells(types)
     rows = folded.where((F.col("schema") == kind.name) & (F.col("valid") == VALID))
-    return wide_rows(rows, kind, lambda name: cell(folded.columns, cells, name))
+    return wide_rows(rows, kind, cells_of(folded, types, kind, recipes))
+
+
+def typed_rows(folded: DataFrame, types: list[EventType], recipes: bool = False) -> DataFrame:
+    """Valid rows of ``fold_events`` of all types: id, schema and typed cells.
+
+    A property has a column for each type that it is declared as, which is filled in the
+    rows of the event types that declare it so.
+    """
+    owners: dict[tuple[str, str], list[EventType]] = {}
+    for kind in types:
+        for c in kind.columns:
+            owners.setdefault((c.property, c.type), []).append(kind)
+    typed = [
+        F.when(
+            F.col("schema").isin(*(kind.name for kind in kinds)),
+            read_as(cells_of(folded, types, kinds[0], recipes)(name), declared),
+        ).alias(f"{name}_{declared}")
+        for (name, declared), kinds in sorted(owners.items())
+    ]
+    return folded.where(F.col("valid") == VALID).select("id", "schema", *typed)
 
 
 def cell_text(folded: DataFrame, types: list[EventType]) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from propfold.functions.names import with_identifier
 from propfold.functions.values import refusal
+from propfold.operators.clean import RECIPES, recipe
 from propfold.operators.fold import accepted, batches, fold, registered
-from propfold.operators.registry import EventType, declared_table, with_event_type
+from propfold.operators.registry import EventType, declared_table, property_spellings, with_event_type
 from propfold.sources.schemas import INVALID, VALID
 
 
@@ -83,7 +84,7 @@ def with_verdicts(events: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 
 def refused_properties(
-    events: DataFrame, properties: DataFrame, types: list[EventType]
+    events: DataFrame, properties: DataFrame, types: list[EventType], recipes: bool = False
 ) -> DataFrame:
     """Property rows for which a pending event is refused, each with its reason.
 
@@ -92,10 +93,11 @@ def refused_properties(
     """
     pending = with_event_type(events.where(~F.col("migrated")), types)
     pending = pending.select(F.col("id").alias("event_id"), "type_id", "schema")
-    named = with_identifier(properties, "name", "property")
-    reason = F.when(F.col("type").isNull(), "unregistered").otherwise(
-        refusal(F.col("value"), F.col("type"))
-    )
+    named = with_identifier(properties, "name", "property", property_spellings(types))
+    value = F.col("value")
+    for declared in RECIPES if recipes else ():
+        value = F.when(F.col("type") == declared, recipe(declared)(F.col("value"))).otherwise(value)
+    reason = F.when(F.col("type").isNull(), "unregistered").otherwise(refusal(value, F.col("type")))
     return (
         named.join(pending, "event_id")
         .join(F.broadcast(declared_table(events, types)), ["type_id", "property"], "left")

@@ -6,20 +6,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from propfold.functions.names import column
-from propfold.operators.registry import EventType, column_names, schema_columns
+from propfold.operators.registry import EventType, schema_columns, wide_column_of
 from propfold.sources.schemas import BASE_COLUMNS
 
 
 def wide_table_schema(schemas: DataFrame, properties: DataFrame) -> DataFrame:
     """Columns of each wide table: properties in name order, then base columns."""
-    renamed = F.col("property")
-    for name, renaming in column_names(sorted(BASE_COLUMNS)).items():
-        renamed = F.when(F.col("property") == name, renaming).otherwise(renamed)
     declared = schema_columns(schemas, properties).select(
         "schema",
         F.lit(0).alias("part"),
         F.col("property").alias("order"),
-        renamed.alias("column_name"),
+        wide_column_of("property").alias("column_name"),
         F.col("type").alias("data_type"),
     )
     base = F.array(

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propfold.operators import clean, discover, users
-from propfold.operators.fold import batches, cell
+from propfold.operators.fold import batches
 from propfold.operators.pivot import (
-    all_cells,
+    cells_of,
     fold_events,
     misfits,
     pivot_events,
@@ -69,11 +69,10 @@ def discover_job(tables: TenantTables, out: str, run_ts: datetime) -> tuple[Data
 
 
 def status_rows(
-    folded: DataFrame, types: list[EventType], kind: EventType, run_id: int
+    folded: DataFrame, types: list[EventType], kind: EventType, run_id: int, recipes: bool = False
 ) -> DataFrame:
     """Verdict of each event of one type, and whether its wide row was written."""
-    cells = all_cells(types)
-    misfit = misfits(kind, lambda name: cell(folded.columns, cells, name))
+    misfit = misfits(kind, cells_of(folded, types, kind, recipes))
     return folded.where(F.col("schema") == kind.name).select(
         F.col("id").alias("event_id"),
         "valid",
@@ -94,10 +93,17 @@ def few_files(folded: DataFrame, types: int) -> DataFrame:
 
 
 def migrate_events_job(
-    tables: TenantTables, types: list[EventType], run_id: int, schema_gate: bool = True
+    tables: TenantTables,
+    types: list[EventType],
+    run_id: int,
+    schema_gate: bool = True,
+    recipes: bool = False,
 ) -> DataFrame:
     """Validate the pending events of all types and append them to wide tables.
 
+    With ``recipes``, values are cleaned by the recipe of their declared type on the way,
+    which takes no further pass; the property table keeps the raw text.
+
     The property table is folded once for all types (of a batch, where there are
     hundreds) and the result is staged in the shared folder, partitioned by type.
     Each wide table then reads its own partition. The loops run over event types,
@@ -110,13 +116,13 @@ def migrate_events_job(
         # The gate looks at all properties ever observed; a verdict does not.
         properties = within_ids(properties, "event_id", events.where(~F.col("migrated")))
     for number, some in enumerate(batches(types)):
-        folded = fold_events(events, properties, some, schema_gate)
+        folded = fold_events(events, properties, some, schema_gate, recipes)
         staged = f"{shared_dir(spark)}/{tables.tenant}/folded/run={run_id}/batch={number}"
         few_files(folded, len(some)).write.partitionBy("schema").mode("overwrite").parquet(staged)
         folded = spark.read.schema(folded.schema).parquet(staged)
         for kind in some:
-            append_new(pivot_folded(folded, some, kind), tables.wide_path(kind.name))
-            status = status_rows(folded, some, kind, run_id)
+            append_new(pivot_folded(folded, some, kind, recipes), tables.wide_path(kind.name))
+            status = status_rows(folded, some, kind, run_id, recipes)
             status.write.mode("append").parquet(tables.path("event_status"))
     return tables.read("event_status").where(F.col("run_id") == run_id)
 
@@ -140,7 +146,7 @@ def validate_job(
 
 def pivot_job(tables: TenantTables, kind: EventType, run_id: int) -> DataFrame:
     """Append the events of one type that an earlier run has found valid."""
-    ready = ready_events(event_state(tables), kind.name)
+    ready = ready_events(event_state(tables), kind)
     properties = within_ids(tables.read("event_property"), "event_id", ready)
     staged = f"{shared_dir(tables.spark)}/{tables.tenant}/ready/run={run_id}"
     rows = pivot_events(ready, properties, kind)
@@ -175,7 +181,9 @@ def clean_users_job(
     return write_snapshot(cleaned, f"{out}/user_property")
 
 
-def refusals_job(tables: TenantTables, types: list[EventType], out: str) -> DataFrame:
+def refusals_job(
+    tables: TenantTables, types: list[EventType], out: str, recipes: bool = False
+) -> DataFrame:
     """Write why each event was refused: its property rows that do not fit.
 
     Only the refused events and their properties are read into the join.
@@ -185,7 +193,7 @@ def refusals_job(tables: TenantTables, types: list[EventType], out: str) -> Data
     events = only_of(event_state(tables), "id", ids)
     properties = only_of(within_ids(tables.read("event_property"), "event_id", ids), "event_id", ids)
     return write_snapshot(
-        refused_properties(events, properties, types), f"{out}/refused_properties"
+        refused_properties(events, properties, types, recipes), f"{out}/refused_properties"
     )
 
 
@@ -196,14 +204,15 @@ def event_job(
     run_ts: datetime,
     schema_gate: bool = True,
     names: list[str] | None = None,
+    recipes: bool = False,
 ) -> list[EventType]:
-    """Discover, validate and migrate: the whole way of an event.
+    """Discover, clean (with ``recipes``), validate and migrate: the whole way of an event.
 
     ``names`` restricts the run to some event types of the registry.
     """
     schemas, declared = discover_job(tables, out, run_ts)
     types = load_event_types(schemas, declared, names)
-    migrate_events_job(tables, types, run_id, schema_gate)
+    migrate_events_job(tables, types, run_id, schema_gate, recipes)
     return types
 
 

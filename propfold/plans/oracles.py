@@ -93,13 +93,16 @@ def declared_values() -> str:
 
 def user_branches() -> str:
     kind = "CASE WHEN c_nationkey = 1 THEN '' WHEN c_nationkey <> 2 THEN 'CC' END"
+    amount = MONEY.format("c_acctbal")
+    amount = f"""CASE c_nationkey WHEN 5 THEN replace({amount}, '.', ',') WHEN 6 THEN '$' || {amount}
+        WHEN 7 THEN {amount} || ' €' ELSE {amount} END"""
     mail = "'c' || c_custkey || CASE WHEN c_nationkey = 20 THEN '@mail.example' ELSE '@example.com' END"
     return " UNION ALL ".join(
         f"SELECT c_custkey*10+{place} AS id, {quoted(name)} AS name, {value} AS value, c_custkey AS user_id FROM customer WHERE {where}"
         for place, name, value, where in [
             (1, "identification_type", kind, "c_acctbal > -500"),
             (2, "identification_type", "CASE WHEN c_acctbal < 3000 THEN 'CC' ELSE 'TI' END", "c_nationkey > 15"),
-            (3, "CANTIDAD_CORTESIA", f"' ' || {MONEY.format('c_acctbal')} || ' '", "true"),
+            (3, "CANTIDAD_CORTESIA", f"' ' || {amount} || ' '", "true"),
             (4, "nickname", "c_name", "c_mktsegment = 'AUTOMOBILE'"),
             (5, "nickname", "CASE WHEN c_nationkey <> 3 THEN lower(c_name) END", "c_mktsegment = 'AUTOMOBILE'"),
             (6, "email", mail, "c_mktsegment = 'MACHINERY' OR c_nationkey IN (20, 21)"),
@@ -150,7 +153,8 @@ CTES = {
         FROM documents""",
     "event_property": property_branches(),
     "event_schema": f"""
-        SELECT min(event_id) AS id, event_type AS name, upper(event_type) AS help_name,
+        SELECT min(event_id) AS id, CASE event_type WHEN 'error' THEN 'fallo' ELSE event_type END AS name,
+            upper(event_type) AS help_name,
             CASE event_type WHEN 'view' THEN 5 ELSE 2 END AS db_status,
             CASE event_type WHEN 'view' THEN 4 ELSE 1 END AS migrate_status,
             true AS is_active, event_type = 'view' AS is_migrated
@@ -192,9 +196,14 @@ CTES = {
     "clean_names": f"""
         SELECT name, {identifier("name")} AS clean
         FROM (SELECT name FROM event_property UNION SELECT name FROM user_event)""",
+    # The event type of each event name: by normal form, else as spelt.
+    "event_kind": """
+        SELECT n.name, coalesce(a.id, b.id) AS schema_id FROM clean_names n
+        LEFT JOIN event_schema a ON a.name = n.clean LEFT JOIN event_schema b ON b.help_name = n.name
+        WHERE a.id IS NOT NULL OR b.id IS NOT NULL""",
     "typed_event": """
         SELECT e.*, s.id AS schema_id, s.name AS schema
-        FROM user_event e JOIN clean_names c USING (name) JOIN event_schema s ON s.name = c.clean
+        FROM user_event e JOIN event_kind k USING (name) JOIN event_schema s ON s.id = k.schema_id
         WHERE s.db_status = 2""",
     "judged_property": f"""
         SELECT e.id AS event_id, e.schema_id, e.schema, e.migrated, p.id, p.name, p.value, c.clean, d.type,
@@ -202,6 +211,13 @@ CTES = {
             d.type IS NOT NULL AND coalesce({text_accepted("p.value", "d.type")}, false) AS ok
         FROM typed_event e JOIN event_property p ON p.event_id = e.id JOIN clean_names c ON c.name = p.name
         LEFT JOIN property_event_schema d ON d.event_id = e.schema_id AND d.name = c.clean""",
+    "cleaned_property": """
+        SELECT p.id, p.name, p.event_id, c.clean, d.type, CASE d.type
+            WHEN 'numeric' THEN replace(replace(replace(replace(p.value, ' ', ''), '$', ''), '€', ''), ',', '.')
+            WHEN 'date' THEN replace(p.value, ' ', '') ELSE p.value END AS value
+        FROM event_property p JOIN clean_names c ON c.name = p.name
+        LEFT JOIN typed_event e ON e.id = p.event_id
+        LEFT JOIN property_event_schema d ON d.event_id = e.schema_id AND d.name = c.clean""",
     "conformance": """
         SELECT schema_id AS type_id, schema, bool_and(known) AS conforms
         FROM judged_property GROUP BY ALL""",
@@ -262,17 +278,19 @@ def new_id(registry: str, first: str, ties: str) -> str:
             + 16 * (row_number() OVER (PARTITION BY {first} % 16 ORDER BY {first}, {ties}) - 1)"""
 
 
+READERS = {
+    "varchar": lambda x: x,
+    "integer": read_integer,
+    "numeric": lambda x: f"CAST({read_numeric(f'replace({x}, {quoted(",")}, {quoted(".")})')} AS DECIMAL(18,2))",
+    "date": read_date,
+}
+
+
 def pivot_sql(event: str, where: str = "true") -> str:
     """Ready events of one type with the last value of each declared property."""
-    readers = {
-        "varchar": lambda x: x,
-        "integer": read_integer,
-        "numeric": lambda x: f"CAST({read_numeric(f'replace({x}, {quoted(",")}, {quoted(".")})')} AS DECIMAL(18,2))",
-        "date": read_date,
-    }
     cells = [
-        readers[kind](f"max(CASE WHEN c.clean = {quoted(name)} THEN c.value END)")
-        + f" AS {'id_prop' if name == 'id' else name}"
+        READERS[kind](f"max(CASE WHEN c.clean = {quoted(name)} THEN c.value END)")
+        + f" AS {name + '_prop' if name in ('id', 'id_prop') else name}"
         for name, _, kind in DECLARED[event]
     ]
     return f"""SELECT {BASE}, {", ".join(cells)}
@@ -310,9 +328,13 @@ NEW_ROW = """2 AS db_status, 1 AS migrate_status, TIMESTAMP '2024-03-01' AS crea
 ACTIVE_CELLS = sorted(
     {name for event, columns in DECLARED.items() if event != "view" for name, _, _ in columns}
 )
+TYPED_CELLS: dict[tuple[str, str], list[str]] = {}
+for _event, _columns in DECLARED.items():
+    for _name, _, _kind in _columns if _event != "view" else ():
+        TYPED_CELLS.setdefault((_name, _kind), []).append(_event)
 WIDE_SCHEMA = """
     SELECT schema, CAST(row_number() OVER (PARTITION BY schema ORDER BY part, name) AS INT) AS position,
-        CASE WHEN part = 0 AND name = 'id' THEN 'id_prop' WHEN part = 1 THEN substr(name, 2) ELSE name END AS column_name,
+        CASE WHEN part = 0 AND name IN ('id', 'id_prop') THEN name || '_prop' WHEN part = 1 THEN substr(name, 2) ELSE name END AS column_name,
         data_type
     FROM (SELECT s.name AS schema, 0 AS part, d.name, d.type AS data_type
           FROM property_event_schema d JOIN event_schema s ON s.id = d.event_id
@@ -348,6 +370,20 @@ STATEMENTS = {
             JOIN property_event_schema d ON d.event_id = e.schema_id AND d.name = c.clean
             WHERE e.schema = 'purchase' AND e.migrated = false)
         WHERE NOT ok AND value IS NOT NULL""",
+    "pipeline_all_schemas": f"""
+        SELECT v.id, v.schema, {", ".join(
+            f"CASE WHEN v.schema IN ({', '.join(map(quoted, owners))}) THEN "
+            + READERS[kind](f"max(CASE WHEN c.clean = {quoted(name)} THEN c.value END)")
+            + f" END AS {name}_{kind}"
+            for (name, kind), owners in TYPED_CELLS.items())}
+        FROM (
+            SELECT e.id, e.schema FROM typed_event e LEFT JOIN cleaned_property p ON p.event_id = e.id
+            WHERE e.migrated = false GROUP BY e.id, e.schema
+            HAVING coalesce(bool_and(p.id IS NULL OR (p.type IS NOT NULL
+                AND coalesce({text_accepted("p.value", "p.type")}, false))), true)) v
+        LEFT JOIN (
+            SELECT event_id, clean, arg_max_null(value, id) AS value FROM cleaned_property GROUP BY ALL) c
+        ON c.event_id = v.id GROUP BY v.id, v.schema""",
     "mark_migrated": """
         SELECT id, name, valid, CASE WHEN migrated = false AND valid = 'validated' THEN true
             ELSE migrated END AS migrated FROM judged_event""",
@@ -386,13 +422,13 @@ STATEMENTS = {
         FROM (SELECT *, min(first_id) OVER (PARTITION BY schema_id, clean) AS first FROM (SELECT s.id AS schema_id, p.name AS help_name, c.clean, min(p.id) AS first_id,
                 EXISTS (SELECT 1 FROM property_event_schema d WHERE d.event_id = s.id AND d.name = c.clean) AS has_name,
                 EXISTS (SELECT 1 FROM property_event_schema d WHERE d.event_id = s.id AND d.help_name = p.name) AS has_spelling
-            FROM event_property p JOIN user_event e ON e.id = p.event_id JOIN clean_names m ON m.name = e.name
-            JOIN event_schema s ON s.name = m.clean JOIN clean_names c ON c.name = p.name
+            FROM event_property p JOIN user_event e ON e.id = p.event_id JOIN event_kind m ON m.name = e.name
+            JOIN event_schema s ON s.id = m.schema_id JOIN clean_names c ON c.name = p.name
             GROUP BY s.id, p.name, c.clean))
         WHERE NOT (has_name AND has_spelling)""",
     "events_with_new_properties": """
         SELECT DISTINCT e.id FROM event_property p JOIN user_event e ON e.id = p.event_id
-        JOIN clean_names m ON m.name = e.name JOIN event_schema s ON s.name = m.clean
+        JOIN event_kind m ON m.name = e.name JOIN event_schema s ON s.id = m.schema_id
         JOIN clean_names c ON c.name = p.name
         WHERE NOT EXISTS (SELECT 1 FROM property_event_schema d
             WHERE d.event_id = s.id AND d.name = c.clean AND d.help_name = p.name)""",
@@ -420,6 +456,7 @@ STATEMENTS = {
         SELECT * FROM property_user_schema
         WHERE db_status = 'create_completed' AND migrate_status = 'migrate_pending'""",
     "identified_users": f"SELECT * FROM user_company WHERE {IDENTIFIED}",
+    "identified_users_small_batch": f"SELECT * FROM user_company WHERE {IDENTIFIED} ORDER BY id LIMIT 50",
     "identified_users_batch": f"SELECT * FROM user_company WHERE {IDENTIFIED} ORDER BY id LIMIT 5000",
     "incomplete_users": "SELECT * FROM user_company WHERE id IN (SELECT id FROM scope_user)",
     "users_with_property": "SELECT DISTINCT user_id FROM user_property WHERE name = 'identification_type'",
@@ -433,23 +470,22 @@ STATEMENTS = {
         SELECT * FROM property_event_schema
         WHERE event_id IN (SELECT id FROM event_schema WHERE name = 'purchase')""",
     "ready_events": READY,
+    "ready_events_small_batch": f"{READY} ORDER BY id LIMIT 100",
     "ready_events_batch": f"{READY} ORDER BY id LIMIT 100000",
     "clean_remove_space": clean_sql("replace(p.value, ' ', '')", "PURCHASE", "Correo%"),
     "clean_remove_space_first": clean_sql(FIRST_SPACE, "PURCHASE", "Correo%"),
     "clean_remove_space_user": clean_user_sql("replace(p.value, ' ', '')", "CANTIDAD%"),
+    "clean_comma_to_dot_user": clean_user_sql("replace(p.value, ',', '.')", "CANTIDAD%"),
+    "clean_remove_dollar_user": clean_user_sql("replace(p.value, '$', '')", "CANTIDAD%"),
+    "clean_remove_euro_user": clean_user_sql("replace(p.value, '€', '')", "CANTIDAD%"),
+    "clean_replace_text_user": clean_user_sql("replace(p.value, 'example', 'correo')", "email"),
     "clean_comma_to_dot": clean_sql("replace(p.value, ',', '.')", "PURCHASE", "VALOR%"),
     "clean_remove_dollar": clean_sql("replace(p.value, '$', '')", "PURCHASE", "VALOR%"),
     "clean_remove_euro": clean_sql("replace(p.value, '€', '')", "PURCHASE", "VALOR%"),
     "clean_replace_text": clean_sql("replace(p.value, 'example', 'correo')", "PURCHASE", "Correo%"),
     "clean_cast_integer": clean_sql(TO_INTEGER, "PURCHASE", "VALOR%"),
     "clean_cast_integer_user": clean_user_sql(TO_INTEGER, "CANTIDAD%"),
-    "clean_declared_values": """
-        SELECT p.id, p.name, p.event_id, CASE d.type
-            WHEN 'numeric' THEN replace(replace(replace(replace(p.value, ' ', ''), '$', ''), '€', ''), ',', '.')
-            WHEN 'date' THEN replace(p.value, ' ', '') ELSE p.value END AS value
-        FROM event_property p JOIN clean_names c ON c.name = p.name
-        LEFT JOIN typed_event e ON e.id = p.event_id
-        LEFT JOIN property_event_schema d ON d.event_id = e.schema_id AND d.name = c.clean""",
+    "clean_declared_values": "SELECT id, name, event_id, value FROM cleaned_property",
     "blank_property_value": clean_sql("NULL", "PURCHASE", "K"),
     "blank_user_property_value": clean_user_sql("NULL", "nick%"),
     "rename_user_property": clean_user_sql("'cantidad_cortesia'", "CANTIDAD%", "name"),

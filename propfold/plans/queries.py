@@ -96,8 +96,12 @@ def identified_users(g: Given) -> DataFrame:
     return scans.identified_users(g.user_company)
 
 
-def identified_users_batch(g: Given) -> DataFrame:
-    return scans.first_by_id(scans.identified_users(g.user_company), 5000)
+def identified_users_batch(g: Given, size: int = 5000) -> DataFrame:
+    return scans.first_by_id(scans.identified_users(g.user_company), size)
+
+
+def identified_users_small_batch(g: Given) -> DataFrame:
+    return identified_users_batch(g, 50)
 
 
 def incomplete_users(g: Given) -> DataFrame:
@@ -129,8 +133,12 @@ def ready_events(g: Given) -> DataFrame:
     return pivot.ready_events(g.judged_events()).select("id", "name", "valid", "migrated")
 
 
-def ready_events_batch(g: Given) -> DataFrame:
-    return scans.first_by_id(ready_events(g), 100_000)
+def ready_events_batch(g: Given, size: int = 100_000) -> DataFrame:
+    return scans.first_by_id(ready_events(g), size)
+
+
+def ready_events_small_batch(g: Given) -> DataFrame:
+    return ready_events_batch(g, 100)
 
 
 def normalize_names(g: Given) -> DataFrame:
@@ -234,6 +242,13 @@ def pivot_all_schemas(g: Given) -> DataFrame:
     return pivot.cell_text(folded, types)
 
 
+def pipeline_all_schemas(g: Given) -> DataFrame:
+    """Typed rows of all event types: cleaned by recipe, validated and pivoted."""
+    types = g.types()
+    folded = pivot.fold_events(g.user_event, g.event_property, types, schema_gate=False, recipes=True)
+    return in_cents(pivot.typed_rows(folded, types, recipes=True))
+
+
 def mark_migrated(g: Given) -> DataFrame:
     events = g.judged_events()
     done = pivot.ready_events(events).select("id")
@@ -362,6 +377,7 @@ REGISTERED: dict[str, Callable[[Given], DataFrame]] = {
     "pivot_ready_events": pivot_ready_events,
     "pivot_all_schemas": pivot_all_schemas,
     "pivot_events_incremental": pivot_events_incremental,
+    "pipeline_all_schemas": pipeline_all_schemas,
     "misfit_cells": misfit_cells,
     "mark_migrated": mark_migrated,
     "event_flags": event_flags,
@@ -389,6 +405,7 @@ REGISTERED: dict[str, Callable[[Given], DataFrame]] = {
     "pending_user_schema": pending_user_schema,
     "identified_users": identified_users,
     "identified_users_batch": identified_users_batch,
+    "identified_users_small_batch": identified_users_small_batch,
     "incomplete_users": incomplete_users,
     "users_with_property": users_with_property,
     "distinct_event_names": distinct_event_names,
@@ -397,9 +414,14 @@ REGISTERED: dict[str, Callable[[Given], DataFrame]] = {
     "semi_schema_properties": semi_schema_properties,
     "ready_events": ready_events,
     "ready_events_batch": ready_events_batch,
+    "ready_events_small_batch": ready_events_small_batch,
     "clean_remove_space": clean_event(clean.remove_space, pattern="Correo%"),
     "clean_remove_space_first": clean_event(remove_first_space, pattern="Correo%"),
     "clean_remove_space_user": clean_user(clean.remove_space, "CANTIDAD%"),
+    "clean_comma_to_dot_user": clean_user(clean.comma_to_point, "CANTIDAD%"),
+    "clean_remove_dollar_user": clean_user(clean.remove_dollar, "CANTIDAD%"),
+    "clean_remove_euro_user": clean_user(clean.remove_euro, "CANTIDAD%"),
+    "clean_replace_text_user": clean_user(clean.swap_text("example", "correo"), "email"),
     "clean_comma_to_dot": clean_event(clean.comma_to_point),
     "clean_remove_dollar": clean_event(clean.remove_dollar),
     "clean_remove_euro": clean_event(clean.remove_euro),

@@ -26,7 +26,7 @@ DECLARED = {
     ],
     "signup": [("valor_total", "valor_total", "varchar"), ("k", "K", "varchar")],
     "view": [("k", "K", "integer")],
-    "error": [
+    "fallo": [
         ("valor_total", "VALOR TOTAL", "numeric"),
         ("k", "K", "integer"),
         ("fecha", "FECHA", "date"),
@@ -38,6 +38,7 @@ DECLARED = {
         ("idioma", "Idioma", "varchar"),
         ("no_caracteres", "Nº Caracteres", "integer"),
         ("id", "ID", "integer"),
+        ("id_prop", "ID Prop", "varchar"),
     ],
     "pedido_f": [
         ("valor_total", "Valor Total", "numeric"),
@@ -197,13 +198,16 @@ def event_properties(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_schemas(spark: SparkSession, folder: str) -> DataFrame:
-    """Registered event types: all but ``click`` and the orders in state P."""
+    """Registered event types: all but ``click`` and the orders in state P.
+
+    The type of errors has another name than its events, which its spelling tells.
+    """
     events = (
         table(spark, folder, "events")
         .where("event_type <> 'click'")
         .groupBy(F.col("event_type").alias("name"))
         .agg(F.min("event_id").alias("id"))
-        .selectExpr("id", "name", "upper(name) as help_name")
+        .selectExpr("id", "if(name = 'error', 'fallo', name) as name", "upper(name) as help_name")
     )
     orders = (
         table(spark, folder, "orders")
@@ -278,13 +282,18 @@ def user_properties(spark: SparkSession, folder: str) -> DataFrame:
     other = "if(c_acctbal < 3000, 'CC', 'TI')"
     mail = "concat('c', c_custkey, if(c_nationkey = 20, '@mail.example', '@example.com'))"
     car = "c_mktsegment = 'AUTOMOBILE'"
+    amount = (
+        f"case c_nationkey when 5 then replace({money('c_acctbal')}, '.', ',') "
+        f"when 6 then concat('$', {money('c_acctbal')}) "
+        f"when 7 then concat({money('c_acctbal')}, ' €') else {money('c_acctbal')} end"
+    )
     return property_rows(
         table(spark, folder, "customer"),
         "c_custkey",
         [
             ("identification_type", kind, "c_acctbal > -500"),
             ("identification_type", other, "c_nationkey > 15"),
-            ("CANTIDAD_CORTESIA", f"concat(' ', {money('c_acctbal')}, ' ')", "true"),
+            ("CANTIDAD_CORTESIA", f"concat(' ', {amount}, ' ')", "true"),
             ("nickname", "c_name", car),
             ("nickname", "if(c_nationkey <> 3, lower(c_name), null)", car),
             ("email", mail, "c_mktsegment = 'MACHINERY' or c_nationkey in (20, 21)"),

@@ -106,14 +106,16 @@ def test_scans_are_pruned_and_filtered(spark, stored):
     assert "EqualTo(name,PURCHASE)" in plan and "Not(EqualTo(migrated,true))" in plan
     plan = physical(validate.validate_events(events, props, [KIND], schema_gate=False))
     assert "created_at" not in plan and "Not(EqualTo(migrated,true))" in plan
-    plan = physical(with_identifier(props.select("id", "name"), "name", "clean"))
-    assert {frozenset(s) for s in read_schemas(plan)} == {frozenset(["id", "name"]), frozenset(["name"])}
+    # Names come from the registry: one scan of each table.
+    assert len(read_schemas(plan)) == 2
 
 
-def test_broadcast_name_cache_is_bounded(spark, stored):
+@pytest.mark.parametrize("known", [{}, {"K": "k"}])
+def test_names_are_normalised_in_one_scan(spark, stored, known):
     _, props = stored
-    plan = physical(with_identifier(props, "name", "clean"))
-    assert "GlobalLimit 20000" in plan and "BroadcastHashJoin" in plan
+    plan = physical(with_identifier(props.select("id", "name"), "name", "clean", known))
+    assert {frozenset(s) for s in read_schemas(plan)} == {frozenset(["id", "name"])}
+    assert len(read_schemas(plan)) == 1 and "GlobalLimit" not in plan and "Exchange hash" not in plan
 
 
 SKEW = {

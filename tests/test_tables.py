@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from propfold.operators import registry as r
+from propfold.operators.discover import with_schema_id
 from propfold.operators.sizing import attach, fits_broadcast
-from propfold.operators.wide_table import append_to_table, build_table
+from propfold.operators.wide_table import append_to_table, build_table, wide_table_schema
 from propfold.session import shared_dir
 from propfold.sources import tables as t
 from propfold.sources.schemas import BASE_COLUMNS, DB_STATUS, TABLES, status_code, table_schema
@@ -39,10 +40,51 @@ def test_create_evolve_append(spark):
 
 def test_names_like_base_columns():
     assert r.column_names(["a", "id", "uuid"]) == {"a": "a", "id": "id_prop", "uuid": "uuid_prop"}
-    assert r.column_names(["id", "id_prop"]) == {"id": "id_prop_prop", "id_prop": "id_prop"}
+    assert r.column_names(["id", "id_prop"]) == {"id": "id_prop", "id_prop": "id_prop_prop"}
+    assert r.column_names(["id_property", "uuid_prop_prop"]) == {
+        "id_property": "id_property",
+        "uuid_prop_prop": "uuid_prop_prop_prop",
+    }
     assert r.column_names(["email", "name"]) == {"email": "email", "name": "name"}
 
 
+def test_column_keeps_its_name_when_another_is_registered(spark):
+    schemas = spark.createDataFrame([(1, "a", "A", 2)], "id long, name string, help_name string, db_status int")
+    shape = "id long, event_id long, name string, help_name string, type string"
+    rows = [(1, 1, "id", "ID", "integer"), (2, 1, "id_prop", "ID Prop", "varchar")]
+    for some in (rows[:1], rows):
+        (found,) = r.load_event_types(schemas, spark.createDataFrame(some, shape))
+        assert found.columns[0].column == "id_prop"
+        assert len(set(found.struct().names)) == len(found.struct().names)
+    assert found.columns[1].column == "id_prop_prop"
+    listed = wide_table_schema(schemas, spark.createDataFrame(rows, shape)).collect()
+    assert [x["column_name"] for x in sorted(listed, key=lambda x: x["position"])] == found.struct().names
+
+
+def test_event_types_by_name_else_by_spelling(spark):
+    """Discovery and validation resolve an event name alike."""
+    schemas = spark.createDataFrame(
+        [
+            (1, "compra", "PURCHASE", 2),
+            (2, "signup", "SIGNUP", 2),
+            (3, "alta", "Sign|up", 2),  # its spelling is the name of another type
+            (4, "closed", "OLD ONE", 5),
+            (5, "later", "OLD ONE", 2),  # so spelt first by a type that is closed
+            (6, "buy", "PURCHASE", 2),
+        ],
+        "id long, name string, help_name string, db_status int",
+    )
+    props = spark.createDataFrame([], "id long, event_id long, name string, help_name string, type string")
+    types = r.load_event_types(schemas, props)
+    names = ["PURCHASE", "Purchase", "COMPRA", "Sign|up", "SIGNUP", "OLD ONE", "buy", None]
+    events = spark.createDataFrame(list(enumerate(names)), "id long, name string")
+    found = {x["id"]: x["type_id"] for x in r.with_event_type(events, types).collect()}
+    assert found == {0: 1, 2: 1, 3: 2, 4: 2, 6: 6}
+    open_ids = {kind.id for kind in types}
+    resolved = {x["id"]: x["schema_id"] for x in with_schema_id(events, schemas).collect()}
+    assert found == {i: s for i, s in resolved.items() if s in open_ids}
+
+
 def test_registry_bound(spark):
     schemas = spark.createDataFrame([(1, "a", 2)], "id long, name string, db_status int")
     rows = [(i, 1, f"p{i}", "varchar") for i in range(5)]
