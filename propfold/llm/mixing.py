@@ -8,7 +8,8 @@ number drawn from a hash of its id lies below its rate.
 
 Only DataFrame functions. What is shuffled is cells, never documents, however many rows
 one source has; the cells go back to the documents by broadcast if a count shows that
-they are few, else by a join that adaptive execution can split.
+they are few, else by a join that adaptive execution can split. No task holds all cells
+of a value unless all cells are few.
 
 Null dimensions form a cell value of their own, ``NONE``. A null or empty text has no
 tokens; a cell without tokens has rate 1, it costs nothing. Rows of one doc_id share a
@@ -32,7 +33,7 @@ POWERS = {"source": 0.7, "lang": 1.0, "topic": 1.0}
 BUDGET = 0.8
 SEED = "mix"
 NONE = "(none)"
-# Cells up to this count are broadcast; at some 100 bytes each.
+# Cells up to this count are broadcast, and held in one task; at some 100 bytes each.
 FEW_CELLS = 50_000
 
 # Topics by the first whose marks a text holds, any of them.
@@ -74,16 +75,26 @@ def target_shares(cells: DataFrame, dimension: str, target: dict[str, float] | N
     return sums.select(dimension, (F.col("share") / F.lit(total)).alias(f"{dimension}_share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, dict[str, float]], powers: dict[str, float], rounds: int, width: int) -> DataFrame:
-    """Cells with tokens, and ``weight``: shares of the total that meet the marginals."""
+def rake(cells: DataFrame, targets: dict[str, dict[str, float]], powers: dict[str, float], rounds: int, count: int) -> DataFrame:
+    """Cells with tokens, and ``weight``: shares of the total that meet the marginals.
+
+    ``count`` is the number of cells. Up to ``FEW_CELLS`` their marginals are windows. One
+    value of a dimension may hold any share of the cells, so of more cells the marginals
+    are sums combined on the map side and joined back, and each step is a table of its own.
+    """
     rows = cells.where("tokens > 0")
     for d in DIMENSIONS:
         rows = rows.join(target_shares(cells, d, targets.get(d), powers[d]), d)
     rows = rows.withColumn("weight", F.col("tokens").cast("double"))
     for _ in range(rounds):
         for d in DIMENSIONS:
-            now = F.sum("weight").over(Window.partitionBy(d))
-            rows = rows.repartition(width, d).withColumn("weight", F.col("weight") * F.col(f"{d}_share") / now)
+            scaled = F.col("weight") * F.col(f"{d}_share")
+            if count <= FEW_CELLS:
+                now = F.sum("weight").over(Window.partitionBy(d))
+                rows = rows.repartition(1 + count // 20_000, d).withColumn("weight", scaled / now)
+                continue
+            sums = rows.groupBy(d).agg(F.sum("weight").alias("now"))
+            rows = stage(rows.join(sums, d).withColumn("weight", scaled / F.col("now")).drop("now"), "raked")
     return rows.select(*DIMENSIONS, "tokens", "weight")
 
 
@@ -121,7 +132,7 @@ def mix(
     rows = described(documents)
     cells = stage(cell_table(rows), "cells")
     count, total = cells.agg(F.count("*"), F.sum("tokens")).first()
-    raked = rake(cells, targets, powers, rounds, width=1 + count // 20_000)
+    raked = rake(cells, targets, powers, rounds, count)
     rates = raked.withColumn(
         "mix_rate", F.least(F.lit(1.0), F.round(F.col("weight") * F.lit(budget * float(total or 0)) / F.col("tokens"), 9))
     )

@@ -313,6 +313,19 @@ def test_mixing_meets_the_marginals(spark):
     assert first == again > 0
 
 
+def test_raking_of_many_cells_equals_that_of_few(given):
+    cells = mixing.cell_table(mixing.described(given))
+    few, many = (
+        {
+            (r["source"], r["lang"], r["topic"]): r["weight"]
+            for r in mixing.rake(cells, {"lang": mixing.LANGUAGES}, mixing.POWERS, 2, count).collect()
+        }
+        for count in (1, mixing.FEW_CELLS + 1)
+    )
+    assert few.keys() == many.keys() and few
+    assert all(abs(many[k] - w) <= 1e-9 * abs(w) + 1e-12 for k, w in few.items())
+
+
 def test_license_inheritance(spark):
     mit, gpl = license_scan.TEMPLATES["MIT"], license_scan.TEMPLATES["GPL-3.0"]
     rows = [
