@@ -1,10 +1,16 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Tokens are summed by cell (source, language and topic). Raking scales the cell weights to
-each target marginal in turn, for ``ROUNDS`` rounds; a target that is not given is the
-tempered one, shares in proportion to tokens to the power that ``POWERS`` has for it. A cell's rate is its
-raked share of the token budget over its tokens, at most 1, and a document is kept if a
-number drawn from a hash of its id lies below its rate.
+each target marginal in turn, until no marginal misses its target by more than
+``TOLERANCE``; a target that is not given is the tempered one, shares in proportion to
+tokens to the power that ``POWERS`` has for it. A cell's rate is its raked share of the
+token budget over its tokens, and a document is kept if a number drawn from a hash of its
+id lies below its rate.
+
+No cell has more tokens than it has, so the budget is lowered to the largest one at which
+every rate is at most 1: the kept tokens then meet the targets, whatever the budget. A
+lowered budget is logged, and so are targets that raking cannot meet, as they contradict
+each other on the cells at hand (``ROUNDS`` is the bound on its rounds).
 
 Only DataFrame functions. What is shuffled is cells, never documents, however many rows
 one source has; the cells go back to the documents by broadcast if a count shows that
@@ -19,6 +25,7 @@ tempered share; targets are normed over the values that occur.
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,14 +35,19 @@ from propfold.llm.packing import word_count
 from propfold.llm.staging import stage
 
 DIMENSIONS = ("source", "lang", "topic")
-ROUNDS = 8
+ROUNDS = 100
+TOLERANCE = 1e-6
 POWERS = {"source": 0.7, "lang": 1.0, "topic": 1.0}
 BUDGET = 0.8
 SEED = "mix"
 NONE = "(none)"
+# Rounds that lower the miss by less than this part have stalled.
+STALL = 0.001
 # Cells up to this count are broadcast, and held in one task; at some 100 bytes each.
 FEW_CELLS = 50_000
 
+log = logging.getLogger(__name__)
+
 # Topics by the first whose marks a text holds, any of them.
 TOPICS = {
     "legal": ("icensed under", "the MIT License", "ights reserved", "opyright"),
@@ -75,6 +87,10 @@ def target_shares(cells: DataFrame, dimension: str, target: dict[str, float] | N
     return sums.select(dimension, (F.col("share") / F.lit(total)).alias(f"{dimension}_share"))
 
 
+def total(rows: DataFrame, column: str) -> float:
+    return rows.agg(F.sum(column)).first()[0] or 1.0
+
+
 def rake(cells: DataFrame, targets: dict[str, dict[str, float]], powers: dict[str, float], rounds: int, count: int) -> DataFrame:
     """Cells with tokens, and ``weight``: shares of the total that meet the marginals.
 
@@ -85,16 +101,33 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]], powers: dict[st
     rows = cells.where("tokens > 0")
     for d in DIMENSIONS:
         rows = rows.join(target_shares(cells, d, targets.get(d), powers[d]), d)
-    rows = rows.withColumn("weight", F.col("tokens").cast("double"))
+    rows = rows.withColumn("weight", F.col("tokens") / F.lit(float(total(rows, "tokens"))))
+    last = float("inf")
     for _ in range(rounds):
+        rows = rows.withColumn("miss", F.lit(0.0))
         for d in DIMENSIONS:
-            scaled = F.col("weight") * F.col(f"{d}_share")
+            scaled = F.col("weight") * F.col(f"{d}_share") / F.col("now")
+            missed = F.greatest("miss", F.abs(F.col("now") - F.col(f"{d}_share")))
             if count <= FEW_CELLS:
                 now = F.sum("weight").over(Window.partitionBy(d))
-                rows = rows.repartition(1 + count // 20_000, d).withColumn("weight", scaled / now)
+                rows = rows.repartition(1 + count // 20_000, d).withColumn("now", now)
+                rows = rows.withColumns({"miss": missed, "weight": scaled}).drop("now")
                 continue
             sums = rows.groupBy(d).agg(F.sum("weight").alias("now"))
-            rows = stage(rows.join(sums, d).withColumn("weight", scaled / F.col("now")).drop("now"), "raked")
+            rows = rows.join(sums, d).withColumns({"miss": missed, "weight": scaled}).drop("now")
+            rows = stage(rows, "raked")
+        if count <= FEW_CELLS:
+            rows = stage(rows, "raked")
+        # The miss of the marginals that the round met with, before it scaled them.
+        miss = rows.agg(F.max("miss")).first()[0] or 0.0
+        if miss <= TOLERANCE:
+            break
+        if miss > last * (1 - STALL):
+            log.warning("Targets contradict each other on these cells: a share is missed by %.4f.", miss)
+            break
+        last = miss
+    else:
+        log.warning("Raking was stopped after %d rounds, a share was missed by %.6f in the last.", rounds, last)
     return rows.select(*DIMENSIONS, "tokens", "weight")
 
 
@@ -131,10 +164,15 @@ def mix(
     targets = {"lang": LANGUAGES} if targets is None else targets
     rows = described(documents)
     cells = stage(cell_table(rows), "cells")
-    count, total = cells.agg(F.count("*"), F.sum("tokens")).first()
-    raked = rake(cells, targets, powers, rounds, count)
+    count, tokens = cells.agg(F.count("*"), F.sum("tokens")).first()
+    raked = stage(rake(cells, targets, powers, rounds, count), "weights")
+    wanted = budget * float(tokens or 0)
+    reached = raked.agg(F.min(F.col("tokens") / F.col("weight"))).first()[0]
+    reached = wanted if reached is None else min(wanted, reached)
+    if reached < wanted:
+        log.warning("Token budget lowered from %.0f to %.0f, the most that meets the targets.", wanted, reached)
     rates = raked.withColumn(
-        "mix_rate", F.least(F.lit(1.0), F.round(F.col("weight") * F.lit(budget * float(total or 0)) / F.col("tokens"), 9))
+        "mix_rate", F.least(F.lit(1.0), F.round(F.col("weight") * F.lit(reached) / F.col("tokens"), 9))
     )
     rates = rates.select(*(F.col(d).alias(f"mix_{d}") for d in DIMENSIONS), "mix_rate")
     rates = stage(rates, "rates")

@@ -313,6 +313,31 @@ def test_mixing_meets_the_marginals(spark):
     assert first == again > 0
 
 
+def test_mixing_rates_meet_the_marginals_of_a_skewed_table(spark, caplog):
+    """Marginals of the tokens that the rates keep, nine tenths of them English."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for k in range(3000):
+        lang = "en" if rng.random() < 0.92 else str(rng.choice(["de", "fr", "es"]))
+        source = "hot" if rng.random() < 0.4 else f"s{int(rng.integers(6))}"
+        mark = "@" if rng.random() < (0.4 if lang == "en" else 0.1) else ""
+        rows.append((k, f"{mark}word " * int(rng.integers(5, 60)), lang, source))
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = mixing.mix(documents).cache()
+    part = F.sum(F.col("mix_tokens") * F.col("mix_rate"))
+    whole = out.agg(part).first()[0]
+    langs = {r[0]: r[1] / whole for r in out.groupBy("mix_lang").agg(part).collect()}
+    assert all(abs(langs[k] - v) < 1e-4 for k, v in mixing.LANGUAGES.items())
+    sums = {r[0]: r[1] ** 0.7 for r in out.groupBy("mix_source").agg(F.sum("mix_tokens")).collect()}
+    sources = {r[0]: r[1] / whole for r in out.groupBy("mix_source").agg(part).collect()}
+    assert all(abs(sources[k] - v / sum(sums.values())) < 1e-4 for k, v in sums.items())
+    # No larger budget would do: the fullest cell is kept whole.
+    assert out.agg(F.max("mix_rate")).first()[0] == pytest.approx(1.0, abs=1e-6)
+    assert "budget lowered" in caplog.text
+    kept = {r[0]: r[1] for r in out.where("mix_kept").groupBy("mix_lang").agg(F.sum("mix_tokens")).collect()}
+    assert all(abs(kept[k] / sum(kept.values()) - v) < 0.06 for k, v in mixing.LANGUAGES.items())
+
+
 def test_raking_of_many_cells_equals_that_of_few(given):
     cells = mixing.cell_table(mixing.described(given))
     few, many = (
