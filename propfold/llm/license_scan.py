@@ -2,9 +2,13 @@
 
 A unit is a line of a text; the whole text of a licence file (a file named as one of
 ``FILE_NAMES``) is one as well. Units that hold a trigger word are compared with each template by the
-cosine of their TF-IDF vectors over lower-case words. Inverse document frequencies of the
+cosine of their TF-IDF vectors over lower-case words; names and versions are words of
+their own, and a version 2.0 is a 2. Templates are titles, notices, standard headers and
+whole texts (``license_texts``). Inverse document frequencies of the
 templates' words are counted over the lines of all documents; words of no template have
-the frequency of a word that no line holds. The best template of the best unit, at a
+the frequency of a word that no line holds. An SPDX tag names its licence itself, at a
+similarity of 1: identifiers without -only, -or-later and +, expressions as they are
+written. The best template of the best unit, at a
 cosine of ``LEAST`` or more, is the licence of the file; ties go to the earlier line, then
 to the name that comes first.
 
@@ -22,6 +26,7 @@ one file. Columns other than path, doc_id and text are not looked at.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
@@ -29,9 +34,10 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from propfold.llm import license_texts
 from propfold.llm.staging import stage
 
-# Short notices of common licences.
+# Short notices of common licences; license_texts has more of each, and more licences.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, "
@@ -46,29 +52,36 @@ TEMPLATES = {
     "MPL-2.0": "This work is subject to the terms of the Mozilla Public License, version 2.0.",
 }
 FILE_NAMES = ("LICENSE", "LICENCE", "COPYING", "LICENSE.txt", "LICENSE.md")
-TRIGGER = r"(?i)licen[cs]e|copying|redistribut|spdx"
-WORD = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
+TRIGGER = r"(?i)licen[cs]e|copying|redistribut|spdx|permission|creative commons|public domain|\bcc[ -]?(?:by|0)\b"
+# A name or a version; ".0" at the end of a version is left out before.
+WORD = r"[a-z]+|[0-9]+(?:\.[0-9]+)*"
+ZERO = r"(?<=[0-9])\.0(?!\.?[0-9])"
 LEAST = 0.6
 
+# An identifier has a capital or a digit, so that prose about the tag is none.
+IDENTIFIER = r"\(*(?=[a-z.+-]*[A-Z0-9])[A-Za-z0-9][A-Za-z0-9.+-]*\)*"
+SPDX = rf"(?i:SPDX-License-Identifier):?\s*({IDENTIFIER}(?:[ \t]+(?:AND|OR|WITH|and|or|with)[ \t]+{IDENTIFIER})*)"
+
 
 def terms(text: str) -> Counter:
-    return Counter(re.findall(WORD, text.lower()))
+    return Counter(re.findall(WORD, re.sub(ZERO, "", text.lower())))
 
 
-VOCABULARY = sorted(set().union(*map(terms, TEMPLATES.values())))
+# (license, text), several of a licence.
+VARIANTS = list(dict.fromkeys([*TEMPLATES.items(), *license_texts.texts()]))
+VOCABULARY = sorted(set().union(*(terms(text) for _, text in VARIANTS)))
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    return F.regexp_extract_all(F.regexp_replace(F.lower(text), ZERO, ""), F.lit(WORD), F.lit(0))
 
 
 def line_counts(documents: DataFrame) -> tuple[int, dict[str, int]]:
     """Lines of all texts, and of each template word the lines that hold it."""
     lines = documents.select(F.explode(F.split("text", "\n")).alias("line")).where("trim(line) <> ''")
-    # Pieces between blanks and brackets hold a vocabulary word only if it is cut clean,
-    # so every line that holds a piece of the vocabulary is read by its words.
-    known = F.array_intersect(words(F.col("line")), F.array(*map(F.lit, VOCABULARY)))
-    found = lines.select(F.explode(F.concat(F.array(F.lit("")), known)).alias("term"))
+    known = small_table(documents.sparkSession, [(t,) for t in ["", *VOCABULARY]], "term string")
+    found = lines.select(F.explode(F.concat(F.array(F.lit("")), F.array_distinct(words(F.col("line"))))).alias("term"))
+    found = found.join(F.broadcast(known), "term")
     counts = {r["term"]: r["n"] for r in found.groupBy("term").agg(F.count("*").alias("n")).collect()}
     return counts.pop("", 0), counts
 
@@ -78,26 +91,39 @@ def inverse(count: int, lines: int) -> float:
 
 
 def template_table(documents: DataFrame, lines: int, counts: dict[str, int]) -> DataFrame:
-    """(license, term, part): unit vectors of the templates."""
+    """(template, license, term, part): unit vectors of the templates."""
     rows = []
-    for name, text in TEMPLATES.items():
+    for k, (name, text) in enumerate(VARIANTS):
         vector = {t: n * inverse(counts.get(t, 0), lines) for t, n in terms(text).items()}
         norm = math.sqrt(sum(x * x for x in vector.values()))
-        rows += [(name, t, x / norm) for t, x in sorted(vector.items())]
-    return small_table(documents.sparkSession, rows, ("license", "term", "part"))
+        rows += [(k, name, t, x / norm) for t, x in sorted(vector.items())]
+    return small_table(documents.sparkSession, rows, "template int, license string, term string, part double")
+
+
+def small_table(spark: SparkSession, rows: list[tuple], shape: str) -> DataFrame:
+    """Rows made on the driver, as one literal of the plan."""
+    names = [field.split()[0] for field in shape.split(", ")]
+    text = json.dumps([dict(zip(names, row, strict=True)) for row in rows])
+    kind = ", ".join(field.replace(" ", ": ") for field in shape.split(", "))
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{kind}>>")))
 
 
-def small_table(spark: SparkSession, rows: list[tuple], names: tuple[str, ...]) -> DataFrame:
-    """Rows made on the driver, as literals of the plan."""
-    structs = (F.struct(*(F.lit(x).alias(n) for x, n in zip(row, names, strict=True))) for row in rows)
-    return spark.range(1).select(F.inline(F.array(*structs)))
+def tagged(units: DataFrame) -> DataFrame:
+    """(unit_key, license, similarity) of units with an SPDX tag, the first of each."""
+    name = F.regexp_extract("unit", SPDX, 1)
+    name = F.regexp_replace(name, r"(?i)-only\b|-or-later\b|\+|[.-]+(?=[)\s]|$)", "")
+    name = F.when(F.contains(name, F.lit(" ")), name).otherwise(F.regexp_replace(name, "[()]", ""))
+    known = F.create_map(*(F.lit(x) for n in sorted({n for n, _ in VARIANTS}) for x in (n.lower(), n)))
+    rows = units.where(F.contains(F.lower("unit"), F.lit("spdx-license-identifier"))).withColumn("name", name)
+    rows = rows.where("name <> ''").withColumn("license", F.coalesce(F.element_at(known, F.lower("name")), "name"))
+    return rows.groupBy("unit_key").agg(F.min("license").alias("license")).withColumn("similarity", F.lit(1.0))
 
 
 def matched(units: DataFrame, documents: DataFrame) -> DataFrame:
     """(unit_key, license, similarity) of distinct units that are similar to a template."""
     lines, counts = line_counts(documents)
     spark = documents.sparkSession
-    idf = small_table(spark, [(t, inverse(counts.get(t, 0), lines)) for t in VOCABULARY], ("term", "idf"))
+    idf = small_table(spark, [(t, inverse(counts.get(t, 0), lines)) for t in VOCABULARY], "term string, idf double")
     distinct = units.groupBy("unit_key").agg(F.first("unit").alias("unit"))
     found = (
         distinct.select("unit_key", F.explode(words(F.col("unit"))).alias("term"))
@@ -110,7 +136,7 @@ def matched(units: DataFrame, documents: DataFrame) -> DataFrame:
     norms = found.groupBy("unit_key").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     dots = (
         found.join(F.broadcast(template_table(documents, lines, counts)), "term")
-        .groupBy("unit_key", "license")
+        .groupBy("unit_key", "template", "license")
         .agg(F.sum(F.col("x") * F.col("part")).alias("dot"))
     )
     cosine = F.round(F.col("dot") / F.col("norm"), 6)
@@ -119,6 +145,8 @@ def matched(units: DataFrame, documents: DataFrame) -> DataFrame:
         dots.join(norms, "unit_key")
         .withColumn("similarity", cosine)
         .where(F.col("similarity") >= LEAST)
+        .select("unit_key", "license", "similarity")
+        .union(tagged(units))
         .groupBy("unit_key")
         .agg(first)
         .select("unit_key", "best.license", (-F.col("best.less")).alias("similarity"))

@@ -366,6 +366,37 @@ def test_license_inheritance(spark):
     assert found[4] == ("MIT", "own", None) and found[5][0] is found[6][0] is found[8][0] is None
 
 
+def test_license_headers_files_and_tags(spark):
+    """Real headers on one line each, whole LICENSE files, and SPDX tags."""
+    whole = dict(license_scan.license_texts.whole())
+    mit = next(t for n, t in license_scan.license_texts.texts() if n == "MIT" and "WITHOUT WARRANTY" in t)
+    gpl = (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version."
+    )
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+    agpl = gpl.replace("General", "Affero General")
+    wanted = {
+        "a/x.py": ("# SPDX-License-Identifier: MIT", "MIT"),
+        "a/y.py": ("/* SPDX-License-Identifier: Apache-2.0 */\ncode", "Apache-2.0"),
+        "a/z.c": ("code\n// SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0"),
+        "a/e.c": ("// SPDX-License-Identifier: (MIT OR Apache-2.0)", "(MIT OR Apache-2.0)"),
+        "a/prose": ("An SPDX-License-Identifier: tag is short.", None),
+        "b/gpl.c": (gpl, "GPL-3.0"),
+        "b/gpl2.c": (gpl.replace("version 3", "version 2"), "GPL-2.0"),
+        "b/agpl.c": (agpl, "AGPL-3.0"),
+        "b/mpl.c": (mpl, "MPL-2.0"),
+        "b/title.txt": ("Apache License", "Apache-2.0"),
+        "b/nd.txt": ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"),
+        "c/LICENSE": (f"Copyright (c) 2020 A. Person\n\n{mit}", "MIT"),
+        **{f"d{k}/LICENSE": (text, name) for k, (name, text) in enumerate(whole.items())},
+    }
+    rows = [(k, path, text) for k, (path, (text, _)) in enumerate(wanted.items())]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()
+    assert {r["path"]: r["license"] for r in got} == {path: name for path, (_, name) in wanted.items()}
+
+
 def test_empty_and_odd_tables_pass_all_operators(spark, empty, odd):
     labels = spark.createDataFrame([(4, 1), (6, 0), (None, 1), (7, None)], "doc_id long, toxic int")
     for documents in (empty, odd):
