@@ -1,7 +1,11 @@
 """License scans: sparse TF-IDF cosine to templates, and inheritance by directory.
 
 A unit is a line of a text; the whole text of a licence file (a file named as one of
-``FILE_NAMES``) is one as well. Units that hold a trigger word are compared with each template by the
+``FILE_NAMES``) is one as well, and so are windows: as many words of a text as a template
+has, laid so that an anchor, a trigger word of the template, meets the same word of the
+text. They run across lines and find notices within longer ones. Every such word of every text is
+tried with every template of ``WINDOW`` words; of longer ones the first ``HEAD`` words are
+a template. A window that could not reach ``LEAST``, were its other words free, is no unit. Units that hold a trigger word are compared with each template by the
 cosine of their TF-IDF vectors over lower-case words; names and versions are words of
 their own, and a version 2.0 is a 2. Templates are titles, notices, standard headers and
 whole texts (``license_texts``). Inverse document frequencies of the
@@ -9,8 +13,8 @@ templates' words are counted over the lines of all documents; words of no templa
 the frequency of a word that no line holds. An SPDX tag names its licence itself, at a
 similarity of 1: identifiers without -only, -or-later and +, expressions as they are
 written. The best template of the best unit, at a
-cosine of ``LEAST`` or more, is the licence of the file; ties go to the earlier line, then
-to the name that comes first.
+cosine of ``LEAST`` or more, is the licence of the file; ties go to the unit that begins earlier, then
+to the longer one, then to the name that comes first.
 
 A file without a licence of its own inherits that of the licence file in the nearest
 directory above it, by a join of its ancestor directories with the directories that hold
@@ -67,8 +71,26 @@ def terms(text: str) -> Counter:
     return Counter(re.findall(WORD, re.sub(ZERO, "", text.lower())))
 
 
+# Words of templates that are looked for in windows, fewest and most; a template of fewer
+# words, a title, has to fill a line.
+WINDOW = (5, 300)
+HEAD = 60
+# Words that windows are laid by, the rarer first; two of a template.
+ANCHORS = (
+    "sublicense", "unencumbered", "redistributions", "redistribution", "redistribute", "eclipse", "boost", "creative",
+    "commons", "permission", "licensed", "mozilla", "mit", "apache", "license", "licence",
+)
+
+
+def heads(variants: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The first words of templates too long for a window."""
+    found = ((name, re.findall(WORD, re.sub(ZERO, "", text.lower()))) for name, text in variants)
+    return [(name, " ".join(words[:HEAD])) for name, words in found if len(words) > WINDOW[1]]
+
+
 # (license, text), several of a licence.
 VARIANTS = list(dict.fromkeys([*TEMPLATES.items(), *license_texts.texts()]))
+VARIANTS += heads(VARIANTS)
 VOCABULARY = sorted(set().union(*(terms(text) for _, text in VARIANTS)))
 
 
@@ -100,6 +122,53 @@ def template_table(documents: DataFrame, lines: int, counts: dict[str, int]) ->
     return small_table(documents.sparkSession, rows, "template int, license string, term string, part double")
 
 
+def anchors() -> list[tuple[int, str, int, int]]:
+    """(template, word, place of the word, words) of templates that are looked for in windows."""
+    out = []
+    for k, (_, text) in enumerate(VARIANTS):
+        found = re.findall(WORD, re.sub(ZERO, "", text.lower()))
+        if WINDOW[0] <= len(found) <= WINDOW[1]:
+            out += [(k, w, found.index(w), len(found)) for w in [w for w in ANCHORS if w in found][:2]]
+    return out
+
+
+def windows(rows: DataFrame, templates: DataFrame) -> DataFrame:
+    """(path, is_file, place, unit, size) of ``rows(path, is_file, words)``; ``place`` counts words."""
+    spark, laid = rows.sparkSession, anchors()
+    reach = {w: max(max(q, n - q) for _, v, q, n in laid if v == w) for w in {w for _, w, _, _ in laid}}
+    far = F.create_map(*(F.lit(x) for pair in sorted(reach.items()) for x in pair))
+    places = F.transform("words", lambda w, i: F.when(w.isin(*reach), i))
+    rows = rows.withColumn("places", F.filter(places, lambda i: i.isNotNull())).where("size(places) > 0")
+
+    def around(i: Column) -> Column:
+        r = F.element_at(far, F.get("words", i))
+        base = F.greatest(i - r, F.lit(0))
+        return F.struct(
+            (i - base).alias("at"),
+            F.get("words", i).alias("word"),
+            base.alias("base"),
+            F.slice("words", base + 1, 2 * r + 1).alias("near"),
+        )
+
+    rows = rows.select("path", "is_file", F.explode(F.transform("places", around)).alias("a")).select("path", "is_file", "a.*")
+    shares = templates.groupBy("template").agg(
+        F.collect_list(F.struct("term", (F.col("part") * F.col("part")).alias("square"))).alias("shares")
+    )
+    lay = small_table(spark, laid, "template int, word string, place int, words int").join(shares, "template")
+    begin = F.greatest(F.col("at") - F.col("place"), F.lit(0))
+    end = F.col("at") - F.col("place") + F.col("words")
+    held = F.aggregate(
+        "shares", F.lit(0.0), lambda sum_, s: sum_ + F.when(F.array_contains("unit", s["term"]), s["square"]).otherwise(0.0)
+    )
+    return (
+        rows.join(F.broadcast(lay), "word")
+        .select("path", "is_file", (F.col("base") + begin).alias("place"), F.slice("near", begin + 1, end - begin).alias("unit"), "shares")
+        # The cosine is at most the root of the share of the template that the window holds.
+        .where(held >= LEAST * LEAST - 1e-6)
+        .select("path", "is_file", "place", F.array_join("unit", " ").alias("unit"), F.size("unit").alias("size"))
+    )
+
+
 def small_table(spark: SparkSession, rows: list[tuple], shape: str) -> DataFrame:
     """Rows made on the driver, as one literal of the plan."""
     names = [field.split()[0] for field in shape.split(", ")]
@@ -119,9 +188,8 @@ def tagged(units: DataFrame) -> DataFrame:
     return rows.groupBy("unit_key").agg(F.min("license").alias("license")).withColumn("similarity", F.lit(1.0))
 
 
-def matched(units: DataFrame, documents: DataFrame) -> DataFrame:
+def matched(units: DataFrame, documents: DataFrame, lines: int, counts: dict[str, int]) -> DataFrame:
     """(unit_key, license, similarity) of distinct units that are similar to a template."""
-    lines, counts = line_counts(documents)
     spark = documents.sparkSession
     idf = small_table(spark, [(t, inverse(counts.get(t, 0), lines)) for t in VOCABULARY], "term string, idf double")
     distinct = units.groupBy("unit_key").agg(F.first("unit").alias("unit"))
@@ -167,19 +235,25 @@ def scan(documents: DataFrame) -> DataFrame:
     ``origin`` is own, inherited or null; ``license_dir`` is the directory inherited from.
     """
     rows = documents.select("doc_id", "path", "text").withColumn("is_file", is_license_file(F.col("path")))
-    lines = F.split("text", "\n")
-    pieces = F.when(F.col("is_file"), F.concat(F.array("text"), lines)).otherwise(lines)
-    units = (
-        rows.where(F.regexp_like("text", F.lit(TRIGGER)))
-        .select("path", "is_file", F.posexplode(pieces).alias("place", "unit"))
-        .where(F.regexp_like("unit", F.lit(TRIGGER)))
-        .withColumn("unit_key", F.md5(F.lower("unit").cast("binary")))
-    )
+    lines, counts = line_counts(documents)
+    read = F.regexp_extract_all(F.regexp_replace(F.lower("text"), ZERO, ""), F.lit(rf"\n|{WORD}"), F.lit(0))
+    rows_ = rows.where(F.regexp_like("text", F.lit(TRIGGER))).withColumn("read", read)
+    # Words before each line but the first.
+    ends = F.filter(F.transform("read", lambda w, i: F.when(w == "\n", i)), lambda i: i.isNotNull())
+    first = F.concat(F.array(F.lit(0)), F.transform(ends, lambda end, i: end - i))
+    split = F.arrays_zip(first.alias("place"), F.split("text", "\n").alias("unit"))
+    pieces = F.filter(split, lambda x: F.regexp_like(x["unit"], F.lit(TRIGGER)))
+    whole = F.struct(F.lit(0).alias("place"), F.col("text").alias("unit"))
+    pieces = F.when(F.col("is_file"), F.concat(F.array(whole), pieces)).otherwise(pieces)
+    units = rows_.select("path", "is_file", F.explode(pieces).alias("u")).select("path", "is_file", "u.place", "u.unit")
+    words_ = rows_.select("path", "is_file", F.filter("read", lambda w: w != "\n").alias("words"))
+    units = units.withColumn("size", F.size(words(F.col("unit")))).union(windows(words_, template_table(documents, lines, counts)))
+    units = units.withColumn("unit_key", F.md5(F.lower("unit").cast("binary"))).distinct()
     units = stage(units, "license-units")
-    best = F.min(F.struct((-F.col("similarity")).alias("less"), "place", "license")).alias("best")
+    best = F.min(F.struct((-F.col("similarity")).alias("less"), "place", (-F.col("size")).alias("shorter"), "license")).alias("best")
     own = (
-        units.select("path", "is_file", "place", "unit_key")
-        .join(matched(units.select("unit_key", "unit"), documents), "unit_key")
+        units.select("path", "is_file", "place", "size", "unit_key")
+        .join(matched(units.select("unit_key", "unit"), documents, lines, counts), "unit_key")
         .groupBy("path")
         .agg(best, F.first("is_file").alias("is_file"))
         .select("path", "is_file", "best.license", (-F.col("best.less")).alias("similarity"))

@@ -397,6 +397,26 @@ def test_license_headers_files_and_tags(spark):
     assert {r["path"]: r["license"] for r in got} == {path: name for path, (_, name) in wanted.items()}
 
 
+def test_license_notices_across_and_within_lines(spark):
+    apache, gpl = license_scan.TEMPLATES["Apache-2.0"], license_scan.TEMPLATES["GPL-2.0"]
+    texts_ = dict(license_scan.license_texts.whole())
+    words = "some plain words that go on and say nothing of use ".split()
+    wrapped = "\n".join(f" * {line}" for line in re.findall(r".{1,60}(?:\s|$)", dict(license_scan.VARIANTS)["ISC"]))
+    wanted = {
+        "a/wrapped.c": (gpl.replace("Public ", "Public\n"), "GPL-2.0"),
+        "a/isc.c": (f"/*\n{wrapped}\n */\nint main;", "ISC"),
+        "a/gpl.txt": (f"Our code\n\n{texts_['GPL-3.0']}", "GPL-3.0"),
+        **{f"b/{n}.txt": (" ".join([*(words * 6)[:n], apache, *words]), "Apache-2.0") for n in (8, 20, 50)},
+        # The earlier of two notices.
+        "b/two.txt": (f"{apache} {' '.join(words)}\n\n{gpl}", "Apache-2.0"),
+        "b/two_wrapped.txt": (f"{gpl.replace('Public ', 'Public' + chr(10))}\n{apache}", "GPL-2.0"),
+        "b/none.txt": ("A driver has to show the license at the gate, with permission of the public. " * 9, None),
+    }
+    rows = [(k, path, text) for k, (path, (text, _)) in enumerate(wanted.items())]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()
+    assert {r["path"]: r["license"] for r in got} == {path: name for path, (_, name) in wanted.items()}
+
+
 def test_empty_and_odd_tables_pass_all_operators(spark, empty, odd):
     labels = spark.createDataFrame([(4, 1), (6, 0), (None, 1), (7, None)], "doc_id long, toxic int")
     for documents in (empty, odd):
