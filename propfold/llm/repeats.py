@@ -266,7 +266,7 @@ def sorted_contexts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa
 
 
 def keyed(documents: DataFrame) -> DataFrame:
-    """Rows with two numbers that tell texts apart; rows equal in both are taken for one text."""
+    """Rows with two numbers that tell texts apart: 128 bits of the text if there is no doc_id, else the id and 64."""
     return documents.select(
         "doc_id",
         "text",
@@ -276,8 +276,8 @@ def keyed(documents: DataFrame) -> DataFrame:
 
 def keys() -> list[Column]:
     return [
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("key1"),
-        F.hash("text").alias("key2"),
+        F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit(1), "text")).alias("key1"),
+        F.xxhash64("text").alias("key2"),
     ]
 
 
@@ -297,7 +297,7 @@ def repeated_spans(documents: DataFrame, size: int = SIZE) -> DataFrame:
 
     often = rows.select("text").mapInArrow(over(anchors), "anchor long")
     often = often.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    shape = "anchor long, context long, key1 long, key2 int, first int, last int"
+    shape = "anchor long, context long, key1 long, key2 long, first int, last int"
     found = rows.mapInArrow(over(occurrences), shape)
     found = stage(found.join(often, "anchor", "left_semi"), "runs")
 

@@ -195,6 +195,17 @@ def test_repeats_in_periodic_and_split_texts(spark, monkeypatch):
     assert Counter(collected(repeats.repeat_digest(documents))) == Counter(repeats_by_force(documents, 200))
 
 
+def test_repeats_of_rows_without_id_whose_texts_share_a_32_bit_hash(spark):
+    def text(k):
+        return "".join(hashlib.sha512(f"{k}{c}".encode()).hexdigest() for c in "abc")
+
+    one, other = 83668, 243672
+    rows = [(None, text(one)), (None, text(other)), (None, text(one)[:250] + "x" * 50), (None, "y" * 150)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    assert documents.limit(2).select(F.hash("text").alias("h")).distinct().count() == 1
+    assert Counter(collected(repeats.repeat_digest(documents))) == Counter(repeats_by_force(documents, 200))
+
+
 def test_removing_repeats_keeps_characters_and_columns(odd):
     got = repeats.without_repeats(odd)
     assert got.columns == odd.columns and got.count() == odd.count()
