@@ -284,7 +284,7 @@ def keys() -> list[Column]:
 def repeated_spans(documents: DataFrame, size: int = SIZE) -> DataFrame:
     """(key1, key2, spans) of the texts of ``keyed`` that hold repeated strings.
 
-    ``spans`` are (from, to) of maximal runs of strings, in bytes, not merged.
+    ``spans`` are (from, to) of maximal runs of strings, in bytes, each once, not merged.
     """
     rows = keyed(documents).select("key1", "key2", "text")
 
@@ -311,8 +311,8 @@ def repeated_spans(documents: DataFrame, size: int = SIZE) -> DataFrame:
     whole = distinct.where("n > 1").select(
         "anchor", "context", F.lit(0).alias("from"), (F.col("last") - F.col("first")).alias("to")
     )
-    one = rows.select("key1", "key2", F.col("text").cast("binary").alias("text"))
-    # Rows that share both keys hold one text; any one of them serves.
+    # Rows that share both keys hold one text; it is taken once, however many they are.
+    one = rows.where("text is not null").groupBy("key1", "key2").agg(F.first("text").cast("binary").alias("text"))
     contexts = (
         distinct.join(several, "anchor")
         .join(one, ["key1", "key2"])
@@ -352,7 +352,7 @@ def repeated_spans(documents: DataFrame, size: int = SIZE) -> DataFrame:
         (F.col("first") + F.col("from")).alias("from"),
         (F.col("first") + F.col("to") + size).alias("to"),
     )
-    return spans.groupBy("key1", "key2").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
+    return spans.groupBy("key1", "key2").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
 
 
 def merged(spans: np.ndarray) -> np.ndarray:

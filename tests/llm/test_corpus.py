@@ -206,6 +206,17 @@ def test_repeats_of_rows_without_id_whose_texts_share_a_32_bit_hash(spark):
     assert Counter(collected(repeats.repeat_digest(documents))) == Counter(repeats_by_force(documents, 200))
 
 
+def test_spans_of_repeated_rows_are_taken_once(spark):
+    """Forty rows of one id and forty without: as many spans as of one row."""
+    rng = np.random.default_rng(4)
+    parts = ["".join(rng.choice(list("abcdefgh "), 400)) for _ in range(4)]
+    rows = [(k, t) for k, t in [(1, parts[0] + parts[1]), (None, parts[2] + parts[1])] for _ in range(40)]
+    documents = spark.createDataFrame([*rows, (2, parts[3] + parts[1][50:350])], "doc_id long, text string")
+    spans = [[tuple(x) for x in r["spans"]] for r in repeats.repeated_spans(documents).collect()]
+    assert len(spans) == 3 and all(len(x) == len(set(x)) < 40 for x in spans)
+    assert Counter(collected(repeats.repeat_digest(documents))) == Counter(repeats_by_force(documents, 200))
+
+
 def test_removing_repeats_keeps_characters_and_columns(odd):
     got = repeats.without_repeats(odd)
     assert got.columns == odd.columns and got.count() == odd.count()
