@@ -32,7 +32,7 @@ BUCKETS = 16384  # a power of two
 TARGET_ROWS = 20_000
 SMOOTH = 1.0
 TEMPER = 60.0
-SHARE = 0.86
+SHARE = 0.86  # where there is no label to count
 SEED = 7
 
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -136,6 +136,13 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> float:
             left -= row["n"]
 
 
+def target_share(labels: DataFrame) -> float:
+    """The part of the labelled documents that is of the target, quality = 1; unlabelled tables: ``SHARE``."""
+    known = labels.where("doc_id is not null and quality is not null")
+    share = known.agg(F.avg((F.col("quality") == 1).cast("int"))).first()[0]
+    return SHARE if share is None else share
+
+
 def resample(documents: DataFrame, target: DataFrame, share: float = SHARE, seed: int = SEED) -> DataFrame:
     """(doc_id, n_grams, log_weight, draw, kept) of each row; no row is shuffled."""
     weights = log_weights(documents, log_ratios(documents, target))

@@ -30,8 +30,9 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
-    target = table(spark, folder, "labels").where("quality = 1")
-    return importance.resample(table(spark, folder, "documents"), target)
+    labels = table(spark, folder, "labels")
+    share = importance.target_share(labels)
+    return importance.resample(table(spark, folder, "documents"), labels.where("quality = 1"), share)
 
 
 def op3_permutation_index(spark: SparkSession, folder: str) -> DataFrame:

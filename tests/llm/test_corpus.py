@@ -270,6 +270,21 @@ def test_importance_keeps_the_target_and_the_share(spark):
     assert share[1] > 0.95 and share[0] < 0.1
 
 
+def test_importance_keeps_the_share_that_the_labels_have(spark, tmp_path):
+    """A third of the rows is poor: they go, and no clean one does."""
+    from propfold.llm import queries
+
+    rng = np.random.default_rng(6)
+    words = {q: [f"{'good' if q else 'junk'}{k}" for k in range(200)] for q in (0, 1)}
+    quality = [int(k % 3 != 0) for k in range(900)]
+    rows = [(k, " ".join(rng.choice(words[q], 40))) for k, q in enumerate(quality)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame(list(enumerate(quality))[:300], "doc_id long, quality int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.op2_importance_resampling(spark, str(tmp_path)).where("kept").select("doc_id")
+    assert {r[0] for r in got.collect()} == {k for k, q in enumerate(quality) if q}
+
+
 def test_kth_largest(spark):
     rng = np.random.default_rng(1)
     values = np.round(rng.normal(size=20_000), 3)
