@@ -53,6 +53,7 @@ PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 class ArcRecord(NamedTuple):
     fields: dict[str, str]  # by lower-case name
     block: bytes
+    version: bool = False  # the block that begins a file
 
 
 class Payload(NamedTuple):
@@ -123,8 +124,8 @@ def write_arc(pages: DataFrame, folder: str) -> None:
 
 
 def parse_arc(data: bytes) -> Iterator[ArcRecord]:
-    """Records of an ARC file, the version block first."""
-    at, names = 0, ["url", "ip-address", "archive-date", "content-type", "archive-length"]
+    """Records of an ARC file, the version block first; later URLs may look like that of one."""
+    first, at, names = True, 0, ["url", "ip-address", "archive-date", "content-type", "archive-length"]
     while at < len(data):
         end = data.find(b"\n", at)
         if end < 0:
@@ -134,18 +135,19 @@ def parse_arc(data: bytes) -> Iterator[ArcRecord]:
             at = end + 1
             continue
         parts = line.split(" ")
-        if line.startswith("filedesc:") and not parts[-1].isdigit():
+        version, first = first and line.startswith("filedesc:"), False
+        if version and not parts[-1].isdigit():
             raise ValueError(f"no length in the version block: {line[:100]!r}")
         length = int(parts[-1])
         block = data[end + 1 : end + 1 + length]
         if len(block) < length:
             raise ValueError(f"a record declares {length} bytes, {len(block)} are left")
-        if line.startswith("filedesc:"):
+        if version:
             lines = block.decode("utf-8", "replace").split("\n")
             if len(lines) > 1 and lines[1].strip():
                 names = lines[1].lower().split()
             parts = [parts[0], parts[1], parts[2], parts[3], parts[-1]]
-            yield ArcRecord(dict(zip(["url", "ip-address", "archive-date", "content-type", "archive-length"], parts, strict=True)), block)
+            yield ArcRecord(dict(zip(["url", "ip-address", "archive-date", "content-type", "archive-length"], parts, strict=True)), block, True)
         else:
             if len(parts) != len(names):
                 raise ValueError(f"{len(parts)} fields, {len(names)} declared: {line[:100]!r}")
@@ -217,7 +219,7 @@ def converted(record: ArcRecord, info_id: str, original: tuple[str, str] | None)
     """The WARC record of an ARC record; ``original`` is the id and URL it repeats."""
     f = record.fields
     date = warc_date(f["archive-date"])
-    if f["url"].startswith("filedesc:"):
+    if record.version:
         name = f["url"].removeprefix("filedesc://").replace(".arc", ".warc")
         fields = {"WARC-Date": date, "WARC-Filename": name, "Content-Type": "application/warc-fields"}
         return warc_text("warcinfo", info_id, fields, b"software: propfold\r\nformat: WARC File Format 1.0\r\n")
@@ -283,7 +285,7 @@ def convert(spark: SparkSession, arc_folder: str, warc_folder: str) -> None:
                 known = {r["n"]: (r["id"], r["url"]) for r in again.as_py() or ()}
                 out, info_id = [], ""
                 for n, record in enumerate(parse_arc(unpacked(content.as_py()))):
-                    if record.fields["url"].startswith("filedesc:"):
+                    if record.version:
                         info_id = record_id("warcinfo", record.fields["url"], record.fields["archive-date"])
                     out.append(converted(record, info_id, known.get(n)))
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string())], names=["value"])

@@ -325,6 +325,13 @@ def test_arc_round_trip_with_revisits(spark):
     assert arc_convert.round_trip(pages.limit(0)).count() == 0
 
 
+def test_arc_pages_with_the_url_of_a_version_block(spark):
+    rows = [(1, "http://a/", "<p>one</p>"), (2, "filedesc://x.arc", "<p>\nURL Other-field\n</p>"), (3, "http://b/", "<p>two</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = Counter(collected(arc_convert.round_trip(pages).select("page_id", "payload_digest")))
+    assert got == Counter((page, hashlib.sha1(html.encode()).hexdigest()) for page, _, html in rows)
+
+
 def test_arc_versions_are_parsed_by_their_own_lines():
     one = b"filedesc://x.arc 0.0.0.0 19990101 text/plain 74\n1 0 org\nURL IP-address Archive-date Content-type Archive-length\n"
     head = one.split(b"\n", 1)[0].rsplit(b" ", 1)[0]
