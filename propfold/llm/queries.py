@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from propfold.llm import (
     arc_convert,
+    collocations,
+    fill_middle,
     importance,
+    language_id,
     license_scan,
     line_cleaning,
     mixing,
@@ -83,6 +86,22 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = language_id.fit(documents.where(~language_id.held_out(F.col("doc_id"))))
+    return language_id.predict(documents, model).select(
+        "document.doc_id", language_id.held_out(F.col("document.doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op12_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.fill_in_middle_digest(table(spark, folder, "documents"))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.top_phrases(table(spark, folder, "documents"))
+
+
 QUERIES = (
     op1_license_scan,
     op2_importance_resampling,
@@ -94,6 +113,9 @@ QUERIES = (
     op8_arc_convert,
     op9_repeats,
     op10_mixing,
+    op11_language_id,
+    op12_fill_middle,
+    op13_collocations,
 )
 
 
