@@ -12,8 +12,9 @@ Three passes over the texts make the stripes of the empty prefix, of one word, a
 and three words. Between them the frequent phrases are marked in a Bloom filter of
 ``FILTER_BITS`` bits, the only thing that is broadcast and of fixed size. A phrase is
 counted only if what it begins and ends with is marked, so nothing frequent is ever left
-out, and a wrong mark costs some counting and changes no result. Counters are split by the
-hash of the next word into parts, so that no prefix, the empty one included, is one group.
+out, and a wrong mark costs some counting and changes no result. The counter of the empty
+prefix, and those of prefixes that occur ``HOT`` times (marked in a filter as well), are
+split by the hash of the next word into parts, so that no group grows with the texts.
 
 Words are runs of bytes other than blank and tab within pieces, which end at
 ``[.,;:!?\\x0A-\\x0D]`` and at the end of a text; A-Z count as a-z. Only phrases of up to
@@ -42,10 +43,13 @@ SUBSUMED_PERCENT = 80
 SCALE = 2_000_000
 TOP = 2000
 
+SLICE_BYTES = 8 << 20  # of text counted at once
 FILTER_BITS = 1 << 25
+HOT_BITS = 1 << 20
 FILTER_HASHES = 3
-WORD_PARTS = 4096  # of the counter of the empty prefix
-PARTS = 16  # of any other counter
+WORD_PARTS = 1024  # of the counter of the empty prefix
+HOT = 10_000  # occurrences from which a counter is split
+PARTS = 64  # of such a counter
 TOP_PARTS = 64
 
 UNKNOWN = "und"
@@ -71,11 +75,11 @@ STRIPE_ARROW = pa.schema(
 )
 
 
-# Words of a batch
+# Words of a slice
 
 
 class Counted(NamedTuple):
-    """The words of a batch in order: which one, of which language, and what follows."""
+    """The words of some texts in order: which one, of which language, and what follows."""
 
     vocabulary: pa.Array
     word: np.ndarray  # place in the vocabulary
@@ -84,34 +88,28 @@ class Counted(NamedTuple):
     linked: np.ndarray  # the next word stands in the same piece
 
 
-def text_words(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The words of some texts in order, the row of each, and whether the next is linked."""
-    parts, rows, links = [pa.array([], pa.string())], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
-    for chunk in texts.chunks(column):
+def places(values: pa.DictionaryArray) -> np.ndarray:
+    return values.indices.to_numpy(zero_copy_only=False)
+
+
+def counted(batch: pa.RecordBatch) -> Iterator[Counted]:
+    """The words of a batch, some ``SLICE_BYTES`` of whole texts at once."""
+    langs = batch.column("lang").dictionary_encode()
+    lang_of = places(langs)
+    for chunk in texts.chunks(batch.column("text"), SLICE_BYTES):
         plain = PLAIN[chunk.data]
         found = texts.words(chunk._replace(data=plain))
         offsets = np.zeros(len(found.starts) + 1, dtype=np.int32)
         np.cumsum(found.ends - found.starts, out=offsets[1:])
         letters = plain[~texts.SPACE[plain]]
         # from buffers: the bytes need not be valid UTF-8
-        parts.append(
-            pa.Array.from_buffers(
-                pa.string(), len(found.starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
-            )
-        )
-        rows.append(found.row + chunk.first)
-        piece = np.concatenate(([0], np.cumsum(BREAK[chunk.data])))[found.starts]
-        same = np.zeros(len(found.starts), dtype=bool)
-        same[:-1] = (piece[1:] == piece[:-1]) & (found.row[1:] == found.row[:-1])
-        links.append(same)
-    return pa.concat_arrays(parts), np.concatenate(rows), np.concatenate(links)
-
-
-def counted(batch: pa.RecordBatch) -> Counted:
-    words, row, linked = text_words(batch.column("text"))
-    found, langs = words.dictionary_encode(), batch.column("lang").dictionary_encode()
-    places = [x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in (found, langs)]
-    return Counted(found.dictionary, places[0], langs.dictionary, places[1][row], linked)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
+        words = pa.Array.from_buffers(pa.string(), len(found.starts), buffers).dictionary_encode()
+        piece = np.concatenate((np.zeros(1, np.int32), np.cumsum(BREAK[chunk.data], dtype=np.int32)))[found.starts]
+        linked = np.zeros(len(found.starts), dtype=bool)
+        linked[:-1] = (piece[1:] == piece[:-1]) & (found.row[1:] == found.row[:-1])
+        lang = lang_of[chunk.first : chunk.first + chunk.rows][found.row]
+        yield Counted(words.dictionary, places(words), langs.dictionary, lang, linked)
 
 
 # The filter of frequent phrases
@@ -183,120 +181,202 @@ def frequent_filter(entries: DataFrame, filter_bits: int = FILTER_BITS) -> np.nd
 # Stripes
 
 
-def ranks(key: np.ndarray) -> np.ndarray:
-    return np.unique(key, return_inverse=True)[1]
+class Distinct(NamedTuple):
+    """Distinct rows of some whole-number columns in order, and how often each occurs."""
 
+    columns: list[np.ndarray]
+    counts: np.ndarray
 
-def striped(table: pa.Table) -> pa.RecordBatch:
-    """Entries (lang, prefix, size, part, word, count), each once, listed by prefix and part."""
-    listed = table.group_by(KEYS, use_threads=False).aggregate([("word", "list"), ("count", "list")])
-    listed = listed.select([*KEYS, "word_list", "count_list"]).combine_chunks()
-    columns = [c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in listed.columns]
-    columns = [c.cast(t) for c, t in zip(columns, STRIPE_ARROW.types, strict=True)]
-    return pa.RecordBatch.from_arrays(columns, schema=STRIPE_ARROW)
 
+def runs_of(changed: np.ndarray, n: int) -> np.ndarray:
+    """Where the runs of ``n`` rows begin, and the end; ``changed`` compares neighbours."""
+    return np.concatenate(([0], np.flatnonzero(changed) + 1, [n])) if n else np.zeros(1, np.int64)
 
-def stripe_batch(
-    langs: pa.Array, prefixes: pa.Array, size: int, words: pa.Array, counts: np.ndarray, parts: int
-) -> pa.RecordBatch:
-    """Entries of one prefix size as stripes, dealt to parts by their word."""
-    part = (array_hashes(words) % np.uint64(parts)).astype(np.int32)
-    sizes = np.full(len(part), size, dtype=np.int32)
-    return striped(pa.table([langs, prefixes, sizes, part, words, counts], names=[*KEYS, "word", "count"]))
+
+def distinct(columns: list[np.ndarray], ranges: list[int]) -> Distinct:
+    """Rows packed into one number each, with ranks in between where that has no room."""
+    key, span, tables = columns[0].astype(np.int64), ranges[0], {}
+    for place in range(1, len(columns)):
+        if span * ranges[place] >= 1 << 62:
+            tables[place], key = np.unique(key, return_inverse=True)
+            span = max(len(tables[place]), 1)
+        key = key * np.int64(ranges[place]) + columns[place]
+        span *= ranges[place]
+    key.sort()
+    at = runs_of(key[1:] != key[:-1], len(key))
+    key, found = key[at[:-1]], []
+    for place in range(len(columns) - 1, 0, -1):
+        found.append(key % ranges[place])
+        key = key // ranges[place]
+        if place in tables:
+            key = tables[place][key]
+    return Distinct([key, *reversed(found)], np.diff(at))
+
+
+def listed(found: Distinct, langs: pa.Array, words: pa.Array, parts: int, hot=None) -> pa.RecordBatch:
+    """Distinct entries (language, prefix, next word) as stripes, in the order of their prefixes.
+
+    The counters of prefixes that ``hot`` finds among prefix columns (all, by default) are
+    dealt to parts by the hash of the next word; the others have one part.
+    """
+    *prefix, behind = found.columns
+    n = len(behind)
+    changed = np.zeros(max(n - 1, 0), dtype=bool)
+    for column in prefix:
+        changed |= column[1:] != column[:-1]
+    runs = runs_of(changed, n)
+    split = np.ones(len(runs) - 1, dtype=bool) if hot is None else hot([c[runs[:-1]] for c in prefix])
+    run = np.repeat(np.arange(len(runs) - 1), np.diff(runs))
+    part = np.zeros(n, dtype=np.int64)
+    some = split[run]
+    if some.any():
+        part[some] = (array_hashes(words) % np.uint64(parts)).astype(np.int64)[behind[some]]
+        order = np.lexsort((part, run))
+        run, part, behind, counts = run[order], part[order], behind[order], found.counts[order]
+    else:
+        counts = found.counts
+    at = runs_of((run[1:] != run[:-1]) | (part[1:] != part[:-1]), n)
+    first = runs[:-1][run[at[:-1]]]
+    spelt = [words.take(pa.array(column[first])) for column in prefix[1:]]
+    if not spelt:
+        prefixes = pa.array([""] * len(first), pa.string())
+    else:
+        prefixes = pc.binary_join_element_wise(*spelt, " ") if len(spelt) > 1 else spelt[0]
+    keys = [langs.take(pa.array(prefix[0][first])), prefixes]
+    keys += [pa.array(np.full(len(first), len(spelt), np.int32)), pa.array(part[at[:-1]].astype(np.int32))]
+    return stripes_of_runs(keys, at, words.take(pa.array(behind)), counts)
+
+
+def stripes_of_runs(keys: list[pa.Array], at: np.ndarray, words: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    """One row for each run of entries, which begin and end at ``at``."""
+    offsets = pa.array(at.astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, x) for x in (words, pa.array(counts, pa.int64()))]
+    return pa.RecordBatch.from_arrays([*keys, *lists], schema=STRIPE_ARROW)
 
 
 def word_stripes(c: Counted) -> pa.RecordBatch:
     """The counter of the empty prefix: all words, frequent or not."""
-    size = max(len(c.vocabulary), 1)
-    key, counts = np.unique(c.lang * size + c.word, return_counts=True)
-    langs, words = c.langs.take(pa.array(key // size)), c.vocabulary.take(pa.array(key % size))
-    return stripe_batch(langs, pa.array([""] * len(key), pa.string()), 0, words, counts, WORD_PARTS)
+    found = distinct([c.lang, c.word], [max(len(c.langs), 1), max(len(c.vocabulary), 1)])
+    return listed(found, c.langs, c.vocabulary, WORD_PARTS)
 
 
-def marked_runs(c: Counted, filter_: np.ndarray, length: int) -> np.ndarray:
-    """Where runs of ``length`` linked words begin that the filter marks; some room behind."""
-    n = len(c.word)
-    lang, word = array_hashes(c.langs), array_hashes(c.vocabulary)
-    at = np.arange(n)
-    hashes = chained(lang[c.lang], word[c.word])
-    for k in range(1, length):
-        on = c.linked[at + k - 1]
-        at, hashes = at[on], hashes[on]
-        hashes = chained(hashes, word[c.word[at + k]])
-    out = np.zeros(n + LONGEST, dtype=bool)
-    out[at] = marked(filter_, hashes)
-    return out
+class Filters(NamedTuple):
+    """Marks of phrases of one length: the frequent ones, and those with large counters."""
 
+    frequent: np.ndarray
+    hot: np.ndarray
 
-def extension_stripes(c: Counted, filter_: np.ndarray, sizes: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
-    """Counters of the prefixes of the given sizes; the filter marks phrases of the least one.
+
+def extension_stripes(c: Counted, filters: Filters, sizes: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
+    """Counters of the prefixes of the given sizes; the filters mark phrases of the least one.
 
     A prefix is counted where all runs in it are marked. The word behind has an entry of its
     own if it is linked and the run that it ends is marked; else the prefix counts under the
     empty word.
     """
-    least, nothing = sizes[0], len(c.vocabulary)
-    if not nothing:
-        return
-    mark = marked_runs(c, filter_, least)
-    words = pa.concat_arrays([c.vocabulary, pa.array([""], pa.string())])
-    at = np.flatnonzero(mark)
-    key = c.lang[at]
+    least, n = sizes[0], len(c.word)
+    lang_hash, word_hash = array_hashes(c.langs), array_hashes(c.vocabulary)
+    at = np.arange(n)
+    hashes = chained(lang_hash[c.lang], word_hash[c.word])
+    for k in range(1, least):
+        on = c.linked[at + k - 1]
+        at, hashes = at[on], hashes[on]
+        hashes = chained(hashes, word_hash[c.word[at + k]])
+    at = at[marked(filters.frequent, hashes)]
+    mark = np.zeros(n + LONGEST, dtype=bool)
+    mark[at] = True
+    # Only words of marked runs are needed from here on.
+    needed = np.zeros(len(c.vocabulary), dtype=bool)
     for k in range(least):
-        key = ranks(key) * np.int64(nothing) + c.word[at + k]
+        needed[c.word[at + k]] = True
+    kept = np.flatnonzero(needed)
+    place = np.zeros(len(needed), dtype=np.int64)
+    place[kept] = np.arange(len(kept))
+    nothing = len(kept)
+    words = pa.concat_arrays([c.vocabulary.take(pa.array(kept)), pa.array([""], pa.string())])
+    word_hash = word_hash[kept]
+
+    def hot(prefix: list[np.ndarray]) -> np.ndarray:
+        """Prefixes in which all runs are marked as hot."""
+        out = np.ones(len(prefix[0]), dtype=bool)
+        for begin in range(1, len(prefix) - least + 1):
+            hashes = lang_hash[prefix[0]]
+            for column in prefix[begin : begin + least]:
+                hashes = chained(hashes, word_hash[column])
+            out &= marked(filters.hot, hashes)
+        return out
+
     for size in sizes:
         if size > least:
-            on = mark[at + size - least]
-            at, key = at[on], key[on]
-            key = ranks(key) * np.int64(nothing) + c.word[at + size - 1]
+            at = at[mark[at + size - least]]
         behind = np.full(len(at), nothing, dtype=np.int64)
         on = c.linked[at + size - 1] & mark[at + size - least + 1]
-        behind[on] = c.word[at[on] + size]
-        _, first, counts = np.unique(
-            ranks(key) * np.int64(nothing + 1) + behind, return_index=True, return_counts=True
-        )
-        begin = at[first]
-        parts = [c.vocabulary.take(pa.array(c.word[begin + k])) for k in range(size)]
-        prefixes = pc.binary_join_element_wise(*parts, " ") if size > 1 else parts[0]
-        langs = c.langs.take(pa.array(c.lang[begin]))
-        yield stripe_batch(langs, prefixes, size, words.take(pa.array(behind[first])), counts, PARTS)
-
-
-def added(table: pa.Table) -> pa.Table:
-    """Counters added up: each entry once."""
-    keys = [*KEYS, "word"]
-    out = table.group_by(keys, use_threads=False).aggregate([("count", "sum")])
-    return out.select([*keys, "count_sum"]).rename_columns([*keys, "count"])
-
-
-def folded(table: pa.Table) -> pa.Table:
-    """Whole counters with rare words under the empty one, which leaves their sums."""
-    rare = pc.less(table.column("count"), LEAST)
-    word = pc.if_else(rare, "", table.column("word"))
-    return added(table.set_column(table.schema.get_field_index("word"), "word", word))
+        behind[on] = place[c.word[at[on] + size]]
+        columns = [c.lang[at], *(place[c.word[at + k]] for k in range(size)), behind]
+        found = distinct(columns, [max(len(c.langs), 1), *[max(nothing, 1)] * size, nothing + 1])
+        yield listed(found, c.langs, words, PARTS, hot)
 
 
 def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stripes in key order, merged elementwise; the last counter waits for the next batch."""
-    waiting: pa.Table | None = None
+    """Stripes in key order, merged elementwise; the last counter waits for the next batch.
+
+    In whole counters, rare words go under the empty one, which leaves their sums.
+    """
+    waiting: pa.RecordBatch | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        row = pc.list_parent_indices(batch.column("words"))
-        flat = [batch.column(c).take(row) for c in KEYS]
-        flat += [batch.column(c).flatten() for c in ("words", "counts")]
-        table = pa.table(flat, names=[*KEYS, "word", "count"])
         if waiting is not None:
-            table = pa.concat_tables([waiting, table])
-        table = added(table)
-        last = pa.array(np.ones(len(table), dtype=bool))
+            batch = pa.concat_batches([waiting, batch])
+        changed = np.zeros(batch.num_rows - 1, dtype=bool)
         for c in KEYS:
-            last = pc.and_(last, pc.equal(table.column(c), batch.column(c)[-1]))
-        waiting, done = table.filter(last), table.filter(pc.invert(last))
-        if len(done):
-            yield striped(folded(done))
+            column = batch.column(c)
+            changed |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        rows = runs_of(changed, batch.num_rows)
+        row_run = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+        run = row_run[pc.list_parent_indices(batch.column("words")).to_numpy()]
+        words = batch.column("words").flatten().dictionary_encode()
+        span = np.int64(len(words.dictionary))
+        key = run * span + places(words)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        at = runs_of(key[1:] != key[:-1], len(key))
+        counts = np.add.reduceat(batch.column("counts").flatten().to_numpy()[order], at[:-1])
+        run, word = key[at[:-1]] // span, key[at[:-1]] % span
+        last = len(rows) - 2
+        whole = run < last
+        waiting = rows_of(batch, rows, run[~whole], word[~whole], counts[~whole], words.dictionary)
+        if last:
+            yield folded(batch, rows, run[whole], word[whole], counts[whole], words.dictionary)
     if waiting is not None:
-        yield striped(folded(waiting))
+        words = waiting.column("words").flatten()
+        run, word = np.zeros(len(words), np.int64), np.arange(len(words))
+        yield folded(waiting, np.array([0, 1]), run, word, waiting.column("counts").flatten().to_numpy(), words)
+
+
+def rows_of(
+    batch: pa.RecordBatch, rows: np.ndarray, run: np.ndarray, word: np.ndarray, counts: np.ndarray, words: pa.Array
+) -> pa.RecordBatch:
+    """Entries in the order of their runs as stripes with the keys of the runs of a batch."""
+    at = runs_of(run[1:] != run[:-1], len(run))
+    first = pa.array(rows[run[at[:-1]]])
+    return stripes_of_runs([batch.column(c).take(first) for c in KEYS], at, words.take(pa.array(word)), counts)
+
+
+def folded(
+    batch: pa.RecordBatch, rows: np.ndarray, run: np.ndarray, word: np.ndarray, counts: np.ndarray, words: pa.Array
+) -> pa.RecordBatch:
+    empty = pc.equal(words, "").to_numpy(zero_copy_only=False)
+    rest = (counts < LEAST) | empty[word]
+    total = np.zeros(len(rows) - 1, dtype=np.int64)
+    np.add.at(total, run[rest], counts[rest])
+    more = np.flatnonzero(total)
+    run = np.concatenate((run[~rest], more))
+    order = np.argsort(run, kind="stable")
+    word = np.concatenate((word[~rest], np.full(len(more), len(words))))[order]
+    counts = np.concatenate((counts[~rest], total[more]))[order]
+    words = pa.concat_arrays([words, pa.array([""], pa.string())])
+    return rows_of(batch, rows, run[order], word, counts, words)
 
 
 def merge(stripes: DataFrame, name: str) -> DataFrame:
@@ -318,12 +398,16 @@ def extended(
     rows: DataFrame, frequent: DataFrame, sizes: tuple[int, ...], name: str, filter_bits: int
 ) -> DataFrame:
     """Merged stripes of prefixes of the given sizes, made of frequent phrases."""
-    sent = rows.sparkSession.sparkContext.broadcast(frequent_filter(frequent, filter_bits))
+    filters = Filters(
+        frequent_filter(frequent, filter_bits), frequent_filter(frequent.where(F.col("a") >= HOT), HOT_BITS)
+    )
+    sent = rows.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_ = sent.value
+        filters = sent.value
         for batch in batches:
-            yield from extension_stripes(counted(batch), filter_, sizes)
+            for words in counted(batch):
+                yield from extension_stripes(words, filters, sizes)
 
     return merge(rows.mapInArrow(run, STRIPE), name)
 
@@ -335,7 +419,8 @@ def stripes_of(documents: DataFrame, filter_bits: int = FILTER_BITS) -> tuple[Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield word_stripes(counted(batch))
+            for words in counted(batch):
+                yield word_stripes(words)
 
     words = merge(rows.mapInArrow(run, STRIPE), "stripes-words")
     pairs = extended(rows, entries(words), (1,), "stripes-pairs", filter_bits)
