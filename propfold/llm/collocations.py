@@ -8,13 +8,17 @@ extended phrases, the sum of a stripe is the frequency of its prefix (what does
 is kept under the empty word), and the greatest entries, from the right and, by dropping
 the first word, from the left, are what a phrase may be subsumed by.
 
-Three passes over the texts make the stripes of the empty prefix, of one word, and of two
-and three words. Between them the frequent phrases are marked in a Bloom filter of
-``FILTER_BITS`` bits, the only thing that is broadcast and of fixed size. A phrase is
-counted only if what it begins and ends with is marked, so nothing frequent is ever left
-out, and a wrong mark costs some counting and changes no result. The counter of the empty
-prefix, and those of prefixes that occur ``HOT`` times (marked in a filter as well), are
-split by the hash of the next word into parts, so that no group grows with the texts.
+Most runs of words are rare, so three passes over the texts come first. Pass ``k`` adds up
+the occurrences of runs of ``k`` words whose inner runs may be frequent, as four-byte
+entries of a table of ``2**KEY_BITS`` counters that is dealt to ``GROUPS`` groups; a task
+holds the counters of one group at a time, as many as there are entries for. Runs whose counter reaches ``LEAST`` are marked
+in a Bloom filter of ``FILTER_BITS`` bits, the only thing that is broadcast and of fixed
+size. A counter never falls short of a run's own count, so nothing frequent is left out; a
+wrong mark costs some counting and changes no result. Only marked runs go into stripes.
+
+The counter of the empty prefix, and those of prefixes that occur ``HOT`` times (marked in
+filters as well), are split by the hash of the next word into parts, so that no group grows
+with the texts.
 
 Words are runs of bytes other than blank and tab within pieces, which end at
 ``[.,;:!?\\x0A-\\x0D]`` and at the end of a text; A-Z count as a-z. Only phrases of up to
@@ -44,6 +48,12 @@ SCALE = 2_000_000
 TOP = 2000
 
 SLICE_BYTES = 8 << 20  # of text counted at once
+KEY_BITS = 36  # of the table of counters
+GROUP_BITS = 24  # of the counters of one group
+GROUPS = 1 << (KEY_BITS - GROUP_BITS)
+COUNT_BITS = 32
+COUNT_MASK = (1 << COUNT_BITS) - 1
+HELD = 1 << 20  # entries of a group that are held before they are added up
 FILTER_BITS = 1 << 25
 HOT_BITS = 1 << 20
 FILTER_HASHES = 3
@@ -112,7 +122,14 @@ def counted(batch: pa.RecordBatch) -> Iterator[Counted]:
         yield Counted(words.dictionary, places(words), langs.dictionary, lang, linked)
 
 
-# The filter of frequent phrases
+# The filters of frequent runs
+
+
+class Filter(NamedTuple):
+    """Marks of runs of one length: those that may be frequent, and those with large counters."""
+
+    frequent: np.ndarray
+    hot: np.ndarray
 
 
 def array_hashes(values: pa.Array) -> np.ndarray:
@@ -130,54 +147,155 @@ def chained(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return texts.mixed(left * np.uint64(0xA0761D6478BD642F) + right)
 
 
-def filter_places(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
-    """The bits of each phrase in a filter of ``bits`` bits."""
-    out = []
+def keys_of(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(64 - KEY_BITS)
+
+
+def filter_places(keys: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """The bits of each key in a filter of ``bits`` bits."""
     for k in range(FILTER_HASHES):
-        hashes = texts.mixed(hashes + np.uint64(k))
-        out.append((hashes % np.uint64(bits)).astype(np.int64))
-    return out
+        yield (texts.mixed(keys * np.uint64(2 * k + 1) + np.uint64(k)) % np.uint64(bits)).astype(np.int64)
 
 
 def marked(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    found = np.ones(len(hashes), dtype=bool)
-    for bit in filter_places(hashes, 8 * len(filter_)):
+    found, keys = np.ones(len(hashes), dtype=bool), keys_of(hashes)
+    for bit in filter_places(keys, 8 * len(filter_)):
         found &= (filter_[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
     return found
 
 
-def phrase_hashes(lang: pa.Array, phrase: pa.Array) -> np.ndarray:
-    """Hashes of whole phrases, equal to those that counting chains word by word."""
-    words = pc.split_pattern(phrase, " ")
-    lengths = pc.list_value_length(words).to_numpy(zero_copy_only=False)
-    each = array_hashes(words.flatten())
-    first = np.concatenate(([0], np.cumsum(lengths)))[:-1]
-    out = array_hashes(lang)
-    for k in range(int(lengths.max(initial=0))):
-        longer = lengths > k
-        out[longer] = chained(out[longer], each[first[longer] + k])
-    return out
+class Runs(NamedTuple):
+    """Linked runs of some words: where they begin, and their hashes."""
+
+    at: np.ndarray
+    hashes: np.ndarray
+
+
+class Marks(NamedTuple):
+    """For runs of one, two, ... words: where marked ones begin; some room behind."""
 
+    begins: list[np.ndarray]
+    next: Runs  # the runs one longer than the marked ones, of which both inner ones are marked
 
-def frequent_filter(entries: DataFrame, filter_bits: int = FILTER_BITS) -> np.ndarray:
-    """A Bloom filter of phrases (``lang``, ``phrase``), merged by its 64-bit words.
 
-    The driver gets at most ``filter_bits`` / 64 numbers, whatever there is to mark.
+def marks_of(c: Counted, filters: list[Filter]) -> Marks:
+    lang, word = array_hashes(c.langs), array_hashes(c.vocabulary)
+    n, begins = len(c.word), []
+    runs = Runs(np.arange(n), chained(lang[c.lang], word[c.word]))
+    for length, filter_ in enumerate(filters, 1):
+        on = marked(filter_.frequent, runs.hashes)
+        at, hashes = runs.at[on], runs.hashes[on]
+        mark = np.zeros(n + LONGEST, dtype=bool)
+        mark[at] = True
+        begins.append(mark)
+        on = c.linked[at + length - 1] & mark[at + 1]
+        at, hashes = at[on], hashes[on]
+        runs = Runs(at, chained(hashes, word[c.word[at + length]]))
+    return Marks(begins, runs)
+
+
+def key_counts(c: Counted, filters: list[Filter]) -> pa.RecordBatch:
+    """Occurrences of the runs one longer than the filters, as entries by group.
+
+    An entry is a number of four bytes, the place in the group and below it up to 255
+    occurrences; more occurrences are further entries.
+    """
+    keys = np.sort(keys_of(marks_of(c, filters).next.hashes)).astype(np.int64)
+    at = runs_of(keys[1:] != keys[:-1], len(keys))
+    keys, counts = keys[at[:-1]], np.diff(at)
+    times = -(-counts // 255)
+    last = np.cumsum(times) - 1
+    each = np.full(int(times.sum()), 255)
+    each[last] = counts - 255 * (times - 1)
+    keys = np.repeat(keys, times)
+    entries = ((keys & ((1 << GROUP_BITS) - 1)) << 8 | each).astype("<u4")
+    group = keys >> GROUP_BITS
+    at = runs_of(group[1:] != group[:-1], len(group))
+    offsets = pa.py_buffer((at * 4).astype(np.int32))
+    lists = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, offsets, pa.py_buffer(entries)])
+    return pa.RecordBatch.from_arrays([pa.array(group[at[:-1]].astype(np.int32)), lists], names=["group", "entries"])
+
+
+def added(held: list[np.ndarray]) -> np.ndarray:
+    """Numbers of a place and, in the low ``COUNT_BITS`` bits, a count: counts by place."""
+    entry = np.sort(np.concatenate(held))
+    place = entry >> COUNT_BITS
+    at = runs_of(place[1:] != place[:-1], len(place))[:-1]
+    count = np.add.reduceat(entry & COUNT_MASK, at) if len(at) else entry
+    # no overflow: both limits are far below
+    return place[at] << COUNT_BITS | np.minimum(count, COUNT_MASK >> 1)
+
+
+def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys whose counter reaches ``LEAST``, and whether it reaches ``HOT``; groups in order.
+
+    What is held of a group is added up whenever it has doubled, so it stays within twice
+    the counters of a group.
+    """
+    now, held, size, limit = -1, [], 0, HELD
+
+    def found() -> pa.RecordBatch:
+        entry = added(held)
+        count = entry & COUNT_MASK
+        key = (entry >> COUNT_BITS | now << GROUP_BITS)[count >= LEAST]
+        hot = count[count >= LEAST] >= HOT
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(hot)], names=["key", "hot"])
+
+    for batch in batches:
+        for group, entries in zip(batch.column("group").to_pylist(), batch.column("entries"), strict=True):
+            if group != now and held:
+                yield found()
+                held, size, limit = [], 0, HELD
+            now = group
+            entry = np.frombuffer(entries.as_buffer(), "<u4").astype(np.int64)
+            held.append(entry >> 8 << COUNT_BITS | entry & 255)
+            size += len(entry)
+            if size > limit:
+                held = [added(held)]
+                size = len(held[0])
+                limit = max(HELD, 2 * size)
+    if held:
+        yield found()
+
+
+def bloom(keys: DataFrame, bits: int) -> np.ndarray:
+    """A Bloom filter of the column ``key``, merged by its 64-bit words.
+
+    The driver gets at most ``bits`` / 64 numbers, whatever there is to mark.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = filter_places(phrase_hashes(*batch.columns), filter_bits)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(bits)), pa.int64())], names=["bit"])
+            key = batch.column("key").to_numpy().astype(np.uint64)
+            places = np.unique(np.concatenate(list(filter_places(key, bits))))
+            yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64())], names=["bit"])
 
-    bits = entries.select("lang", "phrase").mapInArrow(run, "bit long")
     one = F.expr("shiftleft(1L, cast(bit & 63 as int))")
-    found = bits.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(one).alias("word")).toArrow()
-    out = np.zeros(filter_bits // 64, dtype=np.int64)
+    rows = keys.select("key").mapInArrow(run, "bit long").groupBy(F.shiftright("bit", 6).alias("at"))
+    found = rows.agg(F.bit_or(one).alias("word")).toArrow()
+    out = np.zeros(bits // 64, dtype=np.int64)
     out[found.column("at").to_numpy()] = found.column("word").to_numpy()
     return out.astype("<i8").view(np.uint8)
 
 
+def run_filters(rows: DataFrame, filter_bits: int = FILTER_BITS) -> list[Filter]:
+    """Filters of runs of one word up to one less than the longest, a pass over the texts each."""
+    filters: list[Filter] = []
+    for length in range(1, LONGEST):
+        sent = rows.sparkSession.sparkContext.broadcast(filters)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for words in counted(batch):
+                    yield key_counts(words, sent.value)
+
+        counts = rows.mapInArrow(run, "group int, entries binary")
+        keys = counts.repartition("group").sortWithinPartitions("group").mapInArrow(reached, "key long, hot boolean")
+        keys = stage(keys, f"runs-{length}")
+        filters = [*filters, Filter(bloom(keys, filter_bits), bloom(keys.where("hot"), HOT_BITS))]
+    return filters
+
+
 # Stripes
 
 
@@ -254,67 +372,41 @@ def stripes_of_runs(keys: list[pa.Array], at: np.ndarray, words: pa.Array, count
     return pa.RecordBatch.from_arrays([*keys, *lists], schema=STRIPE_ARROW)
 
 
-def word_stripes(c: Counted) -> pa.RecordBatch:
-    """The counter of the empty prefix: all words, frequent or not."""
-    found = distinct([c.lang, c.word], [max(len(c.langs), 1), max(len(c.vocabulary), 1)])
-    return listed(found, c.langs, c.vocabulary, WORD_PARTS)
-
-
-class Filters(NamedTuple):
-    """Marks of phrases of one length: the frequent ones, and those with large counters."""
-
-    frequent: np.ndarray
-    hot: np.ndarray
-
-
-def extension_stripes(c: Counted, filters: Filters, sizes: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
-    """Counters of the prefixes of the given sizes; the filters mark phrases of the least one.
+def slice_stripes(c: Counted, filters: list[Filter]) -> Iterator[pa.RecordBatch]:
+    """Counters of the empty prefix and of all marked ones.
 
-    A prefix is counted where all runs in it are marked. The word behind has an entry of its
-    own if it is linked and the run that it ends is marked; else the prefix counts under the
-    empty word.
+    The word behind a prefix has an entry of its own where the longest run that they make
+    is marked (the last two, where no filter is as long); else it counts under the empty word.
     """
-    least, n = sizes[0], len(c.word)
-    lang_hash, word_hash = array_hashes(c.langs), array_hashes(c.vocabulary)
-    at = np.arange(n)
-    hashes = chained(lang_hash[c.lang], word_hash[c.word])
-    for k in range(1, least):
-        on = c.linked[at + k - 1]
-        at, hashes = at[on], hashes[on]
-        hashes = chained(hashes, word_hash[c.word[at + k]])
-    at = at[marked(filters.frequent, hashes)]
-    mark = np.zeros(n + LONGEST, dtype=bool)
-    mark[at] = True
-    # Only words of marked runs are needed from here on.
-    needed = np.zeros(len(c.vocabulary), dtype=bool)
-    for k in range(least):
-        needed[c.word[at + k]] = True
-    kept = np.flatnonzero(needed)
-    place = np.zeros(len(needed), dtype=np.int64)
-    place[kept] = np.arange(len(kept))
+    begins = marks_of(c, filters).begins
+    # Only words that are marked are needed from here on.
+    kept = np.unique(c.word[np.flatnonzero(begins[0][: len(c.word)])])
     nothing = len(kept)
+    place = np.full(len(c.vocabulary), nothing, dtype=np.int64)
+    place[kept] = np.arange(nothing)
     words = pa.concat_arrays([c.vocabulary.take(pa.array(kept)), pa.array([""], pa.string())])
-    word_hash = word_hash[kept]
+    word = np.append(place[c.word], [nothing] * LONGEST)
+    lang_hash, word_hash = array_hashes(c.langs), array_hashes(words)
 
     def hot(prefix: list[np.ndarray]) -> np.ndarray:
-        """Prefixes in which all runs are marked as hot."""
-        out = np.ones(len(prefix[0]), dtype=bool)
-        for begin in range(1, len(prefix) - least + 1):
-            hashes = lang_hash[prefix[0]]
-            for column in prefix[begin : begin + least]:
-                hashes = chained(hashes, word_hash[column])
-            out &= marked(filters.hot, hashes)
-        return out
-
-    for size in sizes:
-        if size > least:
-            at = at[mark[at + size - least]]
-        behind = np.full(len(at), nothing, dtype=np.int64)
-        on = c.linked[at + size - 1] & mark[at + size - least + 1]
-        behind[on] = place[c.word[at[on] + size]]
-        columns = [c.lang[at], *(place[c.word[at + k]] for k in range(size)), behind]
-        found = distinct(columns, [max(len(c.langs), 1), *[max(nothing, 1)] * size, nothing + 1])
-        yield listed(found, c.langs, words, PARTS, hot)
+        hashes = lang_hash[prefix[0]]
+        for column in prefix[1:]:
+            hashes = chained(hashes, word_hash[column])
+        return marked(filters[len(prefix) - 2].hot, hashes)
+
+    n, langs = len(c.word), max(len(c.langs), 1)
+    every = np.ones(n + LONGEST, dtype=bool)
+    for size in range(LONGEST):
+        at = np.flatnonzero((begins[size - 1] if size else every)[:n])
+        if size < len(begins):
+            on = begins[size][at]
+        else:
+            on = begins[-1][at] & begins[-1][at + 1] & c.linked[np.minimum(at + size - 1, n - 1)]
+        behind = np.where(on, word[at + size], nothing)
+        columns = [c.lang[at], *(word[at + k] for k in range(size)), behind]
+        found = distinct(columns, [langs, *[nothing + 1] * (size + 1)])
+        parts = PARTS if size else WORD_PARTS
+        yield listed(found, c.langs, words, parts, hot if size else None)
 
 
 def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -394,38 +486,18 @@ def entries(stripes: DataFrame) -> DataFrame:
     )
 
 
-def extended(
-    rows: DataFrame, frequent: DataFrame, sizes: tuple[int, ...], name: str, filter_bits: int
-) -> DataFrame:
-    """Merged stripes of prefixes of the given sizes, made of frequent phrases."""
-    filters = Filters(
-        frequent_filter(frequent, filter_bits), frequent_filter(frequent.where(F.col("a") >= HOT), HOT_BITS)
-    )
-    sent = rows.sparkSession.sparkContext.broadcast(filters)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = sent.value
-        for batch in batches:
-            for words in counted(batch):
-                yield from extension_stripes(words, filters, sizes)
-
-    return merge(rows.mapInArrow(run, STRIPE), name)
-
-
-def stripes_of(documents: DataFrame, filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
-    """The merged stripes of the empty prefix, and those of one to three words."""
+def stripes_of(documents: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """The merged stripes of all prefixes of up to three words."""
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang")
     rows = documents.select(lang, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    sent = rows.sparkSession.sparkContext.broadcast(run_filters(rows, filter_bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words in counted(batch):
-                yield word_stripes(words)
+                yield from slice_stripes(words, sent.value)
 
-    words = merge(rows.mapInArrow(run, STRIPE), "stripes-words")
-    pairs = extended(rows, entries(words), (1,), "stripes-pairs", filter_bits)
-    longer = extended(rows, entries(pairs), tuple(range(2, LONGEST)), "stripes-longer", filter_bits)
-    return words, pairs.unionByName(longer)
+    return merge(rows.mapInArrow(run, STRIPE), "stripes")
 
 
 # Scores
@@ -457,11 +529,11 @@ def lookups(candidates: DataFrame, prefixes: DataFrame) -> DataFrame:
 
 def scored(documents: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
     """All candidates that no longer one subsumes: lang, phrase, size, a, l, r, n, score."""
-    words, stripes = stripes_of(documents, filter_bits)
+    stripes = stripes_of(documents, filter_bits)
     total = F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y)
     most = F.array_max(F.transform(F.arrays_zip("words", "counts"), lambda x: F.when(x["words"] != "", x["counts"])))
-    prefixes = stripes.groupBy("lang", "prefix").agg(F.sum(total).alias("total"), F.max(most).alias("most"))
-    candidates = entries(stripes)
+    prefixes = stripes.where("size > 0").groupBy("lang", "prefix").agg(F.sum(total).alias("total"), F.max(most).alias("most"))
+    candidates = entries(stripes.where("size > 0"))
     # The greatest extension to the left: the phrase is what its first word leaves.
     rest = F.concat_ws(" ", F.slice(F.split("phrase", " "), F.lit(2), F.col("size") - 1))
     left = candidates.where("size > 2").select("lang", rest.alias("phrase"), F.lit("own").alias("need"), F.col("a").alias("value"))
@@ -483,7 +555,7 @@ def scored(documents: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
         f" (cast(l{k} as decimal(20,0)) + cast(r{k} as decimal(20,0))) as long) as score, {k} as k, l{k} as l, r{k} as r))"
         for k in range(1, LONGEST)
     )
-    n = words.groupBy("lang").agg(F.sum(total).alias("n"))
+    n = stripes.where("size = 0").groupBy("lang").agg(F.sum(total).alias("n"))
     size = F.size(F.split("phrase", " "))
     return (
         rows.select("lang", "phrase", "a", F.expr(f"array_min(array({cuts}))").alias("cut"))

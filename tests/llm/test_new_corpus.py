@@ -179,22 +179,41 @@ def test_collocations_where_the_filter_marks_nearly_everything(spark):
     assert sorted(collected(collocations.top_phrases(documents, 40, filter_bits=64))) == wanted
 
 
-def test_a_filter_holds_what_was_put_in(spark):
-    phrases = [("en", f"w{k}") for k in range(500)] + [("de", f"w{k} ü{k % 7}") for k in range(500)]
-    made = collocations.frequent_filter(spark.createDataFrame(phrases, "lang string, phrase string"))
-    lang, phrase = (pa.array(x) for x in zip(*phrases, strict=True))
-    assert collocations.marked(made, collocations.phrase_hashes(lang, phrase)).all()
-    other = collocations.phrase_hashes(pa.array(["fr"] * 500), phrase[:500])
-    assert collocations.marked(made, other).mean() < 0.01
+def test_filters_miss_no_frequent_run(spark, given):
+    """Runs of up to three words that occur often enough are marked, and few others are."""
+    rows = given.select("lang", "text")
+    filters = collocations.run_filters(rows)
+    counts = Counter()
+    for lang, text in collected(rows):
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            counts.update((lang, *words[k : k + size]) for size in (1, 2, 3) for k in range(len(words) - size + 1))
+    for size in (1, 2, 3):
+        some = [(p, a) for p, a in counts.items() if len(p) == size + 1]
+        columns = [collocations.array_hashes(pa.array([p[k] for p, _ in some])) for k in range(size + 1)]
+        hashes = columns[0]
+        for column in columns[1:]:
+            hashes = collocations.chained(hashes, column)
+        often = np.array([a >= collocations.LEAST for _, a in some])
+        found = collocations.marked(filters[size - 1].frequent, hashes)
+        assert often.any() and found[often].all() and found[~often].mean() < 0.01
+
+
+def test_counters_take_many_occurrences():
+    chunk = pa.RecordBatch.from_pydict({"lang": ["en"], "text": ["word " * 1000 + "other " * 255 + "rare"]})
+    (words,) = collocations.counted(chunk)
+    batch = collocations.key_counts(words, [])
+    order = pa.compute.sort_indices(batch.column("group"))
+    (key_batches,) = ([*collocations.reached(iter([batch.take(order)]))],)
+    assert sum(b.num_rows for b in key_batches) == 2
 
 
 def test_stripes_hold_prefix_totals(spark):
     documents = table(spark, [(1, "a b a b c. a b " * 40, "x"), (2, "a", "x")])
-    words, stripes = collocations.stripes_of(documents)
+    stripes = collocations.stripes_of(documents)
     total = F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y)
     found = dict(collected(stripes.groupBy("prefix").agg(F.sum(total))))
-    assert found["a"] == 121 and found["a b"] == 120 and found["a b a"] == 79
-    assert words.agg(F.sum(total)).first()[0] == 281
+    assert found["a"] == 121 and found["a b"] == 120 and found["a b a"] == 79 and found[""] == 281
 
 
 # Language identification
