@@ -1,12 +1,13 @@
 """Phrase collocations by stripes: each prefix keys a counter of the words that follow it.
 
-A stripe is one row: language, prefix (none to three words), and an associative counter
-from next word to occurrences. Tasks count their texts into stripes; stripes of one prefix
-are then merged elementwise, in key order, so that a task holds one counter at a time. All
-that is needed comes from the merged stripes: the entries are the frequencies of the
-extended phrases, the sum of a stripe is the frequency of its prefix (what does not extend
-is kept under the empty word), and the greatest entries, from the right and, by dropping
-the first word, from the left, are what a phrase may be subsumed by.
+A stripe is a language, a prefix (none to three words), and an associative counter from
+next word to occurrences. Tasks count their texts into stripes and send them in compressed
+blocks, by the hash of their prefix; stripes of one prefix are then merged elementwise, a
+block's worth of prefixes at a time. All that is needed comes from the merged stripes: the
+entries are the frequencies of the phrases and so the totals of longer prefixes, the sum of
+the empty prefix is the number of words (rare ones are kept under the empty word), and the
+greatest entries, from the right and, by dropping the first word, from the left, are what a
+phrase may be subsumed by.
 
 Most runs of words are rare, so three passes over the texts come first. Pass ``k`` adds up
 the occurrences of runs of ``k`` words whose inner runs may be frequent, as four-byte
@@ -35,6 +36,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,13 +55,16 @@ GROUP_BITS = 24  # of the counters of one group
 GROUPS = 1 << (KEY_BITS - GROUP_BITS)
 COUNT_BITS = 32
 COUNT_MASK = (1 << COUNT_BITS) - 1
-HELD = 1 << 20  # entries of a group that are held before they are added up
+HELD = 1 << 20  # entries of a group or block that are held before they are added up
+HELD_BYTES = 96 << 20  # of stripes that a task holds before it sends them
 FILTER_BITS = 1 << 25
 HOT_BITS = 1 << 20
 FILTER_HASHES = 3
 WORD_PARTS = 1024  # of the counter of the empty prefix
 HOT = 10_000  # occurrences from which a counter is split
 PARTS = 64  # of such a counter
+LEAST_BLOCKS = 256
+BLOCK_RUNS = 1 << 20  # frequent runs whose stripes are merged at once
 TOP_PARTS = 64
 
 UNKNOWN = "und"
@@ -278,9 +283,11 @@ def bloom(keys: DataFrame, bits: int) -> np.ndarray:
     return out.astype("<i8").view(np.uint8)
 
 
-def run_filters(rows: DataFrame, filter_bits: int = FILTER_BITS) -> list[Filter]:
-    """Filters of runs of one word up to one less than the longest, a pass over the texts each."""
+def run_filters(rows: DataFrame, filter_bits: int = FILTER_BITS) -> tuple[list[Filter], int]:
+    """Filters of runs of one word up to one less than the longest, a pass over the texts
+    each, and how many runs are marked."""
     filters: list[Filter] = []
+    number = 0
     for length in range(1, LONGEST):
         sent = rows.sparkSession.sparkContext.broadcast(filters)
 
@@ -293,7 +300,8 @@ def run_filters(rows: DataFrame, filter_bits: int = FILTER_BITS) -> list[Filter]
         keys = counts.repartition("group").sortWithinPartitions("group").mapInArrow(reached, "key long, hot boolean")
         keys = stage(keys, f"runs-{length}")
         filters = [*filters, Filter(bloom(keys, filter_bits), bloom(keys.where("hot"), HOT_BITS))]
-    return filters
+        number += keys.count()
+    return filters, number
 
 
 # Stripes
@@ -375,8 +383,8 @@ def stripes_of_runs(keys: list[pa.Array], at: np.ndarray, words: pa.Array, count
 def slice_stripes(c: Counted, filters: list[Filter]) -> Iterator[pa.RecordBatch]:
     """Counters of the empty prefix and of all marked ones.
 
-    The word behind a prefix has an entry of its own where the longest run that they make
-    is marked (the last two, where no filter is as long); else it counts under the empty word.
+    The word behind a prefix has an entry where the run that they make is marked (the last
+    two runs in it, where no filter is as long); words that are not count under the empty one.
     """
     begins = marks_of(c, filters).begins
     # Only words that are marked are needed from here on.
@@ -404,77 +412,90 @@ def slice_stripes(c: Counted, filters: list[Filter]) -> Iterator[pa.RecordBatch]
             on = begins[-1][at] & begins[-1][at + 1] & c.linked[np.minimum(at + size - 1, n - 1)]
         behind = np.where(on, word[at + size], nothing)
         columns = [c.lang[at], *(word[at + k] for k in range(size)), behind]
+        if size:  # what does not extend is needed of the empty prefix only
+            columns = [column[on] for column in columns]
         found = distinct(columns, [langs, *[nothing + 1] * (size + 1)])
         parts = PARTS if size else WORD_PARTS
         yield listed(found, c.langs, words, parts, hot if size else None)
 
 
-def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stripes in key order, merged elementwise; the last counter waits for the next batch.
-
-    In whole counters, rare words go under the empty one, which leaves their sums.
-    """
-    waiting: pa.RecordBatch | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        if waiting is not None:
-            batch = pa.concat_batches([waiting, batch])
-        changed = np.zeros(batch.num_rows - 1, dtype=bool)
-        for c in KEYS:
-            column = batch.column(c)
-            changed |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
-        rows = runs_of(changed, batch.num_rows)
-        row_run = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
-        run = row_run[pc.list_parent_indices(batch.column("words")).to_numpy()]
-        words = batch.column("words").flatten().dictionary_encode()
-        span = np.int64(len(words.dictionary))
-        key = run * span + places(words)
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        at = runs_of(key[1:] != key[:-1], len(key))
-        counts = np.add.reduceat(batch.column("counts").flatten().to_numpy()[order], at[:-1])
-        run, word = key[at[:-1]] // span, key[at[:-1]] % span
-        last = len(rows) - 2
-        whole = run < last
-        waiting = rows_of(batch, rows, run[~whole], word[~whole], counts[~whole], words.dictionary)
-        if last:
-            yield folded(batch, rows, run[whole], word[whole], counts[whole], words.dictionary)
-    if waiting is not None:
-        words = waiting.column("words").flatten()
-        run, word = np.zeros(len(words), np.int64), np.arange(len(words))
-        yield folded(waiting, np.array([0, 1]), run, word, waiting.column("counts").flatten().to_numpy(), words)
-
-
-def rows_of(
-    batch: pa.RecordBatch, rows: np.ndarray, run: np.ndarray, word: np.ndarray, counts: np.ndarray, words: pa.Array
-) -> pa.RecordBatch:
-    """Entries in the order of their runs as stripes with the keys of the runs of a batch."""
+def merged(batch: pa.RecordBatch, whole: bool) -> pa.RecordBatch:
+    """Stripes merged elementwise. In ``whole`` counters, rare words are left out; those of
+    the empty prefix go under the empty word, which leaves its sum."""
+    if not batch.num_rows:
+        return batch
+    ids = [places(batch.column(c).dictionary_encode()).astype(np.int64) for c in ("lang", "prefix")]
+    ids.append(batch.column("part").to_numpy().astype(np.int64))
+    key = ids[0]
+    for column in ids[1:]:
+        key = np.unique(key, return_inverse=True)[1] * (column.max() + 1) + column
+    order = np.argsort(key, kind="stable")
+    batch, key = batch.take(pa.array(order)), key[order]
+    rows = runs_of(key[1:] != key[:-1], len(key))
+    row_run = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+    run = row_run[pc.list_parent_indices(batch.column("words")).to_numpy()]
+    words = batch.column("words").flatten().dictionary_encode()
+    span = np.int64(max(len(words.dictionary), 1))
+    key = run * span + places(words)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    at = runs_of(key[1:] != key[:-1], len(key))[:-1]
+    counts = batch.column("counts").flatten().to_numpy()[order]
+    counts = np.add.reduceat(counts, at) if len(at) else counts
+    run, word, words = key[at] // span, key[at] % span, words.dictionary
+    if whole:
+        empty = pc.equal(words, "").to_numpy(zero_copy_only=False)
+        rest = (counts < LEAST) | empty[word]
+        total = np.zeros(len(rows) - 1, dtype=np.int64)
+        np.add.at(total, run[rest], counts[rest])
+        total[batch.column("size").to_numpy()[rows[:-1]] > 0] = 0
+        more = np.flatnonzero(total)
+        run = np.concatenate((run[~rest], more))
+        order = np.argsort(run, kind="stable")
+        word = np.concatenate((word[~rest], np.full(len(more), len(words))))[order]
+        counts = np.concatenate((counts[~rest], total[more]))[order]
+        words, run = pa.concat_arrays([words, pa.array([""], pa.string())]), run[order]
     at = runs_of(run[1:] != run[:-1], len(run))
     first = pa.array(rows[run[at[:-1]]])
     return stripes_of_runs([batch.column(c).take(first) for c in KEYS], at, words.take(pa.array(word)), counts)
 
 
-def folded(
-    batch: pa.RecordBatch, rows: np.ndarray, run: np.ndarray, word: np.ndarray, counts: np.ndarray, words: pa.Array
-) -> pa.RecordBatch:
-    empty = pc.equal(words, "").to_numpy(zero_copy_only=False)
-    rest = (counts < LEAST) | empty[word]
-    total = np.zeros(len(rows) - 1, dtype=np.int64)
-    np.add.at(total, run[rest], counts[rest])
-    more = np.flatnonzero(total)
-    run = np.concatenate((run[~rest], more))
-    order = np.argsort(run, kind="stable")
-    word = np.concatenate((word[~rest], np.full(len(more), len(words))))[order]
-    counts = np.concatenate((counts[~rest], total[more]))[order]
-    words = pa.concat_arrays([words, pa.array([""], pa.string())])
-    return rows_of(batch, rows, run[order], word, counts, words)
+def blocks(stripes: list[pa.RecordBatch], number: int, packer: zstandard.ZstdCompressor) -> pa.RecordBatch:
+    """Stripes as compressed blocks, dealt by the hash of their prefix and part."""
+    batch = merged(pa.concat_batches(stripes), whole=False)
+    key = array_hashes(batch.column("lang"))
+    key = chained(key, array_hashes(batch.column("prefix")))
+    key = chained(key, batch.column("part").to_numpy().astype(np.uint64))
+    block = (key % np.uint64(number)).astype(np.int64)
+    order = np.argsort(block, kind="stable")
+    batch, block = batch.take(pa.array(order)), block[order]
+    at = runs_of(block[1:] != block[:-1], len(block))
+    packed = [packer.compress(batch.slice(a, b - a).serialize()) for a, b in zip(at[:-1], at[1:], strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(block[at[:-1]].astype(np.int32)), pa.array(packed, pa.binary())], names=["block", "stripes"]
+    )
 
 
-def merge(stripes: DataFrame, name: str) -> DataFrame:
-    """Stripes of equal key added up, staged."""
-    dealt = stripes.repartition("lang", "prefix", "part").sortWithinPartitions("lang", "prefix", "part")
-    return stage(dealt.mapInArrow(merged, STRIPE), name)
+def merged_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The stripes of one block after the other, merged; what is held is merged whenever it
+    has doubled."""
+    unpacker = zstandard.ZstdDecompressor()
+    now, held, size, limit = -1, [], 0, HELD
+    for batch in batches:
+        for block, packed in zip(batch.column("block").to_pylist(), batch.column("stripes"), strict=True):
+            if block != now and held:
+                yield merged(pa.concat_batches(held), whole=True)
+                held, size, limit = [], 0, HELD
+            now = block
+            data = unpacker.decompress(packed.as_buffer())
+            held.append(pa.ipc.read_record_batch(pa.py_buffer(data), STRIPE_ARROW))
+            size += len(held[-1].column("words").flatten())
+            if size > limit:
+                held = [merged(pa.concat_batches(held), whole=False)]
+                size = len(held[0].column("words").flatten())
+                limit = max(HELD, 2 * size)
+    if held:
+        yield merged(pa.concat_batches(held), whole=True)
 
 
 def entries(stripes: DataFrame) -> DataFrame:
@@ -490,21 +511,31 @@ def stripes_of(documents: DataFrame, filter_bits: int = FILTER_BITS) -> DataFram
     """The merged stripes of all prefixes of up to three words."""
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang")
     rows = documents.select(lang, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    sent = rows.sparkSession.sparkContext.broadcast(run_filters(rows, filter_bits))
+    filters, number = run_filters(rows, filter_bits)
+    dealt = max(LEAST_BLOCKS, -(-number // BLOCK_RUNS))
+    sent = rows.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
+            held: list[pa.RecordBatch] = []
             for words in counted(batch):
-                yield from slice_stripes(words, sent.value)
+                held += slice_stripes(words, sent.value)
+                if sum(x.nbytes for x in held) > HELD_BYTES:
+                    yield blocks(held, dealt, packer)
+                    held = []
+            if held:
+                yield blocks(held, dealt, packer)
 
-    return merge(rows.mapInArrow(run, STRIPE), "stripes")
+    found = rows.mapInArrow(run, "block int, stripes binary").repartition("block").sortWithinPartitions("block")
+    return stage(found.mapInArrow(merged_blocks, STRIPE), "stripes")
 
 
 # Scores
 
 
-def lookups(candidates: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """What each phrase needs of others: totals of its parts, and its greatest extension.
+def lookups(candidates: DataFrame, phrases: DataFrame) -> DataFrame:
+    """The frequencies of the parts of each phrase: left (``l``) and right of each cut.
 
     The join by part is followed by a grouping by phrase, so a part that many phrases share
     may be split over tasks.
@@ -520,28 +551,27 @@ def lookups(candidates: DataFrame, prefixes: DataFrame) -> DataFrame:
     for k in range(1, LONGEST):
         needs.append(part(f"l{k}", F.lit(1), F.lit(k), size > k))
         needs.append(part(f"r{k}", F.lit(k + 1), F.greatest(size - k, F.lit(0)), size > k))
-    needs.append(part("own", F.lit(1), size, size < LONGEST))
     needed = candidates.select("lang", "phrase", F.inline(F.array_compact(F.array(*needs))))
-    total = F.when(F.col("need") == "own", F.col("most")).otherwise(F.col("total"))
-    found = needed.join(prefixes.withColumnRenamed("prefix", "part"), ["lang", "part"])
-    return found.select("lang", "phrase", "need", total.alias("value"))
+    parts = phrases.where(F.col("size") < LONGEST).select("lang", F.col("phrase").alias("part"), F.col("a").alias("value"))
+    return needed.join(parts, ["lang", "part"]).select("lang", "phrase", "need", "value")
 
 
 def scored(documents: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
     """All candidates that no longer one subsumes: lang, phrase, size, a, l, r, n, score."""
     stripes = stripes_of(documents, filter_bits)
-    total = F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y)
-    most = F.array_max(F.transform(F.arrays_zip("words", "counts"), lambda x: F.when(x["words"] != "", x["counts"])))
-    prefixes = stripes.where("size > 0").groupBy("lang", "prefix").agg(F.sum(total).alias("total"), F.max(most).alias("most"))
-    candidates = entries(stripes.where("size > 0"))
-    # The greatest extension to the left: the phrase is what its first word leaves.
+    phrases = entries(stripes)
+    candidates = phrases.where("size > 1")
+    # The greatest extensions, to the right out of the phrase's own stripe, to the left out
+    # of phrases that leave it without their first word.
+    right = stripes.where("size > 1").select("lang", F.col("prefix").alias("phrase"), F.array_max("counts").alias("value"))
     rest = F.concat_ws(" ", F.slice(F.split("phrase", " "), F.lit(2), F.col("size") - 1))
-    left = candidates.where("size > 2").select("lang", rest.alias("phrase"), F.lit("own").alias("need"), F.col("a").alias("value"))
+    left = candidates.where("size > 2").select("lang", rest.alias("phrase"), F.col("a").alias("value"))
     own = candidates.select("lang", "phrase", F.lit("a").alias("need"), F.col("a").alias("value"))
+    extensions = right.unionByName(left).select("lang", "phrase", F.lit("own").alias("need"), "value")
     needs = ["a", "own", *(f"{side}{k}" for k in range(1, LONGEST) for side in "lr")]
     rows = (
-        lookups(candidates, prefixes)
-        .unionByName(left)
+        lookups(candidates, phrases)
+        .unionByName(extensions)
         .unionByName(own)
         .groupBy("lang", "phrase")
         .agg(*(F.max(F.when(F.col("need") == need, F.col("value"))).alias(need) for need in needs))
@@ -555,6 +585,7 @@ def scored(documents: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
         f" (cast(l{k} as decimal(20,0)) + cast(r{k} as decimal(20,0))) as long) as score, {k} as k, l{k} as l, r{k} as r))"
         for k in range(1, LONGEST)
     )
+    total = F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y)
     n = stripes.where("size = 0").groupBy("lang").agg(F.sum(total).alias("n"))
     size = F.size(F.split("phrase", " "))
     return (
