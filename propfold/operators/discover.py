@@ -120,6 +120,23 @@ def property_spellings(events: DataFrame, properties: DataFrame, schemas: DataFr
     )
 
 
+def counted_spellings(counts: DataFrame, schemas: DataFrame) -> DataFrame:
+    """``property_spellings`` out of kept counts of observed names.
+
+    An event name is told by the first property id counted with it, which no other has.
+    """
+    names = counts.groupBy("event_name").agg(F.min("first_property").alias("id"))
+    owners = with_schema_id(names.withColumnRenamed("event_name", "name"), schemas)
+    owners = owners.join(names, "id").select("event_name", "schema_id")
+    return (
+        counts.where(F.col("name").isNotNull())
+        .join(owners, "event_name")
+        .groupBy("schema_id", F.col("name").alias("help_name"))
+        .agg(F.min("first_property").alias("first_property"))
+        .withColumn("clean", identifier("help_name"))
+    )
+
+
 def discover_properties(
     events: DataFrame,
     properties: DataFrame,
@@ -127,7 +144,13 @@ def discover_properties(
     property_schemas: DataFrame,
     run_ts: datetime,
 ) -> DataFrame:
-    """Registry rows for raw property names not registered under their event type.
+    """Registry rows for raw property names not registered under their event type."""
+    seen = property_spellings(events, properties, schemas)
+    return new_properties(seen, property_schemas, run_ts)
+
+
+def new_properties(seen: DataFrame, property_schemas: DataFrame, run_ts: datetime) -> DataFrame:
+    """Registry rows for those of the spellings seen that the registry lacks.
 
     A spelling is known when its identifier and the spelling itself are both
     registered. A new spelling of a registered column is an alias: it maps to
@@ -145,7 +168,6 @@ def discover_properties(
         .distinct()
         .withColumn("_has_spelling", F.lit(True))
     )
-    seen = property_spellings(events, properties, schemas)
     first = (
         seen.groupBy("schema_id", "clean").agg(F.min("first_property").alias("_first"))
     )

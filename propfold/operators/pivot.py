@@ -80,7 +80,7 @@ def fold_events(
     events: DataFrame,
     properties: DataFrame,
     types: list[EventType],
-    schema_gate: bool = True,
+    schema_gate: bool | DataFrame = True,
     recipes: bool = False,
     max_cell_columns: int = MAX_CELL_COLUMNS,
 ) -> DataFrame:

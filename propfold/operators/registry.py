@@ -97,21 +97,31 @@ def column_names(properties: Iterable[str]) -> dict[str, str]:
     return {name: wide_column(name) for name in properties}
 
 
-def type_spellings(schemas: DataFrame, max_declared: int = MAX_DECLARED) -> dict[int, list[str]]:
+def type_spellings(
+    schemas: DataFrame, max_declared: int = MAX_DECLARED, names: Iterable[str] | None = None
+) -> dict[int, list[str]]:
     """Raw names that stand for each registry row: as spelt, where no row has that name.
 
     A name is resolved as in discovery: by identifier, else as spelt; of several rows the
-    one of smallest id counts.
+    one of smallest id counts. With ``names``, only spellings of these rows come to the
+    driver, with the rows that may own them instead.
     """
     if "help_name" not in schemas.columns:
         return {}
     rows = schemas.select(
-        "id", identifier("name").alias("clean"), "help_name", identifier("help_name").alias("spelt")
+        "id", "name", identifier("name").alias("clean"), "help_name", identifier("help_name").alias("spelt")
     )
-    found = rows.limit(max_declared + 1).collect()
+    cleans = rows
+    if names is not None:
+        wanted = rows.where(F.col("name").isin(*names)).select("help_name").distinct()
+        rows = rows.join(wanted, "help_name", "left_semi")
+        cleans = cleans.join(rows.select(F.col("spelt").alias("clean")).distinct(), "clean", "left_semi")
+    found = rows.select("id", "clean", "help_name", "spelt").limit(max_declared + 1).collect()
     if len(found) > max_declared:
-        raise ValueError(f"over {max_declared} registered event types")
+        raise ValueError(f"over {max_declared} registered event types; pass names in several runs")
     named = {row["clean"] for row in found}
+    if names is not None:
+        named = {row["clean"] for row in cleans.select("clean").distinct().collect()}
     owners: dict[str, Row] = {}
     for row in sorted(found, key=itemgetter("id")):
         if row["help_name"] is not None and (row["spelt"] == row["clean"] or row["spelt"] not in named):
@@ -134,6 +144,7 @@ def load_event_types(
     ``max_declared`` declared properties are refused: pass ``names`` and handle
     the event types in several runs.
     """
+    names = None if names is None else list(names)
     declared = spelt_columns(active_schemas(schemas, names), properties, how="left")
     pairs = f"transform(spellings, s -> struct(s as raw, lower({normal_form('s')}) as clean))"
     declared = declared.withColumn("spellings", F.expr(pairs))
@@ -141,7 +152,7 @@ def load_event_types(
     if len(rows) > max_declared:
         raise ValueError(f"over {max_declared} declared properties; pass names in several runs")
     rows.sort(key=lambda row: (row["schema"], row["event_id"], row["property"] or ""))
-    spelt = type_spellings(schemas, max_declared)
+    spelt = type_spellings(schemas, max_declared, names)
     types = []
     for schema, group in groupby(rows, key=itemgetter("schema")):
         # Registry rows whose names have one normal form are one event type.

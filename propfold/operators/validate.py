@@ -44,15 +44,19 @@ def over_batches(
     return reduce(DataFrame.unionByName, [query(some) for some in batches(types) or [types]])
 
 
-def judge(events: DataFrame, folded: DataFrame, types: list[EventType], gate: bool) -> DataFrame:
+def judge(
+    events: DataFrame, folded: DataFrame, types: list[EventType], gate: bool | DataFrame
+) -> DataFrame:
     """Unmigrated events of the given types, joined with ``folded`` and judged.
 
     With ``gate``, event types with an unregistered property, or with no
-    property at all, are left out as a whole.
+    property at all, are left out as a whole. A gate that is kept from run to run
+    (``type_id``, ``conforms``) may be given instead.
     """
     pending = with_event_type(events.where(~F.col("migrated")), types)
-    if gate:
-        open_types = conformance(events, folded, types).where("conforms").select("type_id")
+    if gate is not False:
+        found = conformance(events, folded, types) if gate is True else gate
+        open_types = found.where("conforms").select("type_id")
         # At most one row per event type of the registry.
         pending = pending.join(F.broadcast(open_types), "type_id", "left_semi")
     passed = F.col("event_id").isNull() | accepted(types)
@@ -62,7 +66,10 @@ def judge(events: DataFrame, folded: DataFrame, types: list[EventType], gate: bo
 
 
 def validate_events(
-    events: DataFrame, properties: DataFrame, types: list[EventType], schema_gate: bool = True
+    events: DataFrame,
+    properties: DataFrame,
+    types: list[EventType],
+    schema_gate: bool | DataFrame = True,
 ) -> DataFrame:
     """Verdict on each pending event: ``id``, ``schema``, ``valid``."""
 

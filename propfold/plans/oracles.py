@@ -527,6 +527,28 @@ STATEMENTS = {
         SELECT id, CASE WHEN {IDENTIFIED} THEN 'migrated' ELSE migrate END AS migrate FROM user_company""",
 }
 
+STATEMENTS |= {
+    "observed_counts": """
+        SELECT e.name AS event_name, p.name, count(*) AS n, min(p.id) AS first_property
+        FROM event_property p JOIN user_event e ON e.id = p.event_id GROUP BY ALL""",
+    "schema_conformance_kept": STATEMENTS["schema_conformance"],
+    "validate_events_kept_gate": STATEMENTS["validate_events_gated"],
+    "discover_properties_kept": STATEMENTS["discover_properties"],
+    "seen_islands": """
+        SELECT block, min(id) AS first, max(id) AS last
+        FROM (
+            SELECT id, id // 65536 AS block,
+                sum(CASE WHEN id = before + 1 THEN 0 ELSE 1 END) OVER (PARTITION BY id // 65536 ORDER BY id) AS island
+            FROM (
+                SELECT id, lag(id) OVER (PARTITION BY id // 65536 ORDER BY id) AS before
+                FROM (SELECT DISTINCT id FROM event_property)
+            )
+        )
+        GROUP BY block, island""",
+    "unseen_properties": "SELECT * FROM event_property WHERE event_id % 3 <> 0",
+    "wide_over_versions": STATEMENTS["pivot_events"],
+}
+
 
 def statements() -> dict[str, str]:
     return {name: with_ctes(sql) for name, sql in STATEMENTS.items()}

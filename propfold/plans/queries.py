@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,19 @@ from pyspark.sql import functions as F
 
 from propfold.functions import names as n
 from propfold.functions import values as v
-from propfold.operators import clean, discover, pivot, registry, scans, users, validate, wide_table
-from propfold.sources import given
+from propfold.operators import (
+    clean,
+    discover,
+    observed,
+    pivot,
+    registry,
+    scans,
+    users,
+    validate,
+    versions,
+    wide_table,
+)
+from propfold.sources import given, seen
 from propfold.sources.tables import current_flags, only_new
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,6 +205,57 @@ def schema_conformance(g: Given) -> DataFrame:
     return validate.schema_conformance(g.user_event, g.event_property, g.types())
 
 
+def observed_counts(g: Given) -> DataFrame:
+    return observed.observed_counts(g.user_event, g.event_property)
+
+
+def kept_counts(g: Given) -> DataFrame:
+    """Counts of observed names as three runs would have kept them."""
+    parts = [
+        observed.observed_counts(g.user_event, g.event_property.where(F.pmod("id", F.lit(3)) == run))
+        for run in range(3)
+    ]
+    return observed.added_counts(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+def schema_conformance_kept(g: Given) -> DataFrame:
+    return observed.gate(kept_counts(g), g.types())
+
+
+def validate_events_kept_gate(g: Given) -> DataFrame:
+    types = g.types()
+    gate = observed.gate(kept_counts(g), types)
+    return validate.validate_events(g.user_event, g.event_property, types, gate)
+
+
+def discover_properties_kept(g: Given) -> DataFrame:
+    spelt = discover.counted_spellings(kept_counts(g), g.event_schema)
+    return discover.new_properties(spelt, g.property_event_schema, RUN_TS)
+
+
+def seen_islands(g: Given) -> DataFrame:
+    return seen.islands(g.event_property)
+
+
+def unseen_properties(g: Given) -> DataFrame:
+    """Property rows that are new to a run before which those of every third event had come."""
+    there = g.event_property.where(F.pmod("event_id", F.lit(3)) == 0)
+    return seen.unseen(g.event_property, seen.islands(there))
+
+
+def wide_over_versions(g: Given) -> DataFrame:
+    """Purchases of which the first half was stored when all properties were declared as text."""
+    (kind,) = g.types(["purchase"])
+    text = replace(kind, columns=tuple(replace(c, type=v.VARCHAR) for c in kind.columns))
+    folded = pivot.fold_events(g.user_event, g.event_property, [kind], schema_gate=False)
+    early = F.col("created_at") < F.lit("2024-01-16").cast("timestamp_ntz")
+    stored = versions.stored_rows(folded.where(early), [text]).unionByName(
+        versions.stored_rows(folded.where(~early), [kind]), allowMissingColumns=True
+    )
+    history = {c.property: {v.VARCHAR, c.type} for c in kind.columns}
+    return in_cents(versions.read_rows(stored, kind, history))
+
+
 def refused_properties(g: Given) -> DataFrame:
     return validate.refused_properties(g.user_event, g.event_property, g.types())
 
@@ -384,6 +447,13 @@ REGISTERED: dict[str, Callable[[Given], DataFrame]] = {
     "validate_events": validate_events,
     "validate_events_gated": validate_events_gated,
     "schema_conformance": schema_conformance,
+    "observed_counts": observed_counts,
+    "schema_conformance_kept": schema_conformance_kept,
+    "validate_events_kept_gate": validate_events_kept_gate,
+    "discover_properties_kept": discover_properties_kept,
+    "seen_islands": seen_islands,
+    "unseen_properties": unseen_properties,
+    "wide_over_versions": wide_over_versions,
     "refused_properties": refused_properties,
     "read_types": read_types,
     "normalize_names": normalize_names,
