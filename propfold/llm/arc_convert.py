@@ -12,8 +12,13 @@ its HTTP header. Equal rows of one page id are all responses.
 
 Files hold about ``FILE_BYTES`` bytes of payload each, so that a task reads one file at a
 time; they are gzip streams that Spark's text writer makes in any store it can write to.
-Payloads never pass a shuffle once they are in archives: what the records of a file refer
-to is sent to the file, not the records to what they refer to.
+What the records of a file refer to is sent to the file, not the records to what they refer
+to; while that is at most ``SENT`` rows, it is broadcast and no payload passes a shuffle.
+
+Archives of others are taken as they are: payloads are bytes of any kind, the lines of HTTP
+headers may end in a bare line feed, and blanks in a URL belong to it, since fields are
+counted from the end of a header line. A record whose header line or length is wrong is
+left out and the next one is looked for; ``rejected`` lists such places.
 
 A null html is an empty payload, a null url a placeholder, and a null page id is left out
 of the HTTP header and comes back as null. An empty table gives no files and no rows.
@@ -38,6 +43,7 @@ from propfold.llm.staging import new_folder, stage
 
 FILE_BYTES = 24 << 20
 REVISIT_BYTES = 1000
+SENT = 200_000
 DATE = "20240301120000"
 NO_URL = "urn:x-no-url"
 
@@ -50,6 +56,12 @@ VERSION_LINES = {
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 
 
+# The empty line after HTTP headers, whose lines may lack the carriage return.
+HEADER_END = re.compile(rb"\r?\n\r?\n")
+# A header line: a URL, an address, a date, a type, maybe more, and a length.
+ARC_HEADER = re.compile(rb"(?m)^[A-Za-z][A-Za-z0-9+.-]*:[^\n]* [0-9.:a-fA-F]+ [0-9]{8,14} [^\n]* ?[0-9]+\r?$")
+
+
 class ArcRecord(NamedTuple):
     fields: dict[str, str]  # by lower-case name
     block: bytes
@@ -65,10 +77,11 @@ class Payload(NamedTuple):
 def http_payload(block: bytes) -> Payload:
     if not block.startswith(b"HTTP/"):
         return Payload(b"", block, {})
-    head, gap, body = block.partition(b"\r\n\r\n")
-    lines = head.decode("utf-8", "replace").split("\r\n")[1:]
-    pairs = (line.partition(":") for line in lines)
-    return Payload(head + gap, body, {a.strip().lower(): b.strip() for a, _, b in pairs})
+    end = HEADER_END.search(block)
+    head = block[: end.end()] if end else block
+    lines = head.decode("utf-8", "replace").splitlines()[1:]
+    pairs = (line.partition(":") for line in lines if ":" in line)
+    return Payload(head, block[len(head) :], {a.strip().lower(): b.strip() for a, _, b in pairs})
 
 
 # Writing ARC
@@ -123,38 +136,61 @@ def write_arc(pages: DataFrame, folder: str) -> None:
 # Reading
 
 
-def parse_arc(data: bytes) -> Iterator[ArcRecord]:
-    """Records of an ARC file, the version block first; later URLs may look like that of one."""
-    first, at, names = True, 0, ["url", "ip-address", "archive-date", "content-type", "archive-length"]
+URL_RECORD = ["url", "ip-address", "archive-date", "content-type", "archive-length"]
+
+
+def parse_arc(data: bytes, bad: list[tuple[int, str]] | None = None) -> Iterator[ArcRecord]:
+    """Records of an ARC file, the version block first; later URLs may look like that of one.
+
+    A place that holds no record is an error; given a list ``bad``, it is added to it with
+    what is wrong, and the next header line is looked for behind it.
+    """
+    first, at, names = True, 0, URL_RECORD
     while at < len(data):
         end = data.find(b"\n", at)
-        if end < 0:
-            break
+        end = len(data) if end < 0 else end
         line = data[at:end].decode("utf-8", "replace").strip()
         if not line:
             at = end + 1
             continue
-        parts = line.split(" ")
         version, first = first and line.startswith("filedesc:"), False
-        if version and not parts[-1].isdigit():
-            raise ValueError(f"no length in the version block: {line[:100]!r}")
-        length = int(parts[-1])
-        block = data[end + 1 : end + 1 + length]
-        if len(block) < length:
-            raise ValueError(f"a record declares {length} bytes, {len(block)} are left")
+        parts = line.rsplit(" ", len(URL_RECORD if version else names) - 1)
+        length = int(parts[-1]) if re.fullmatch("[0-9]+", parts[-1]) else -1
+        block = data[end + 1 : end + 1 + max(length, 0)]
+        wrong = wrong_record(parts, URL_RECORD if version else names, length, data, end + 1)
+        if wrong:
+            if bad is None:
+                raise ValueError(f"{wrong}: {line[:100]!r}")
+            bad.append((at, wrong))
+            following = ARC_HEADER.search(data, end + 1)
+            at = following.start() if following else len(data)
+            continue
         if version:
             lines = block.decode("utf-8", "replace").split("\n")
             if len(lines) > 1 and lines[1].strip():
                 names = lines[1].lower().split()
-            parts = [parts[0], parts[1], parts[2], parts[3], parts[-1]]
-            yield ArcRecord(dict(zip(["url", "ip-address", "archive-date", "content-type", "archive-length"], parts, strict=True)), block, True)
+            yield ArcRecord(dict(zip(URL_RECORD, parts, strict=True)), block, True)
         else:
-            if len(parts) != len(names):
-                raise ValueError(f"{len(parts)} fields, {len(names)} declared: {line[:100]!r}")
             yield ArcRecord(dict(zip(names, parts, strict=True)), block)
         at = end + 1 + length
 
 
+def wrong_record(parts: list[str], names: list[str], length: int, data: bytes, begin: int) -> str:
+    """What is wrong with a record whose header line has these parts; empty if nothing is."""
+    if len(parts) != len(names):
+        return f"{len(parts)} fields, {len(names)} declared"
+    if length < 0:
+        return f"no length: {parts[-1][:40]!r}"
+    if begin + length > len(data):
+        return f"{length} bytes declared, {len(data) - begin} left"
+    if not re.fullmatch("[0-9]{4,14}", dict(zip(names, parts, strict=True)).get("archive-date", "0000")):
+        return "no date"
+    end = begin + length
+    if end < len(data) and b"\n" not in data[end - 1 : end + 1] and data[end : end + 1] != b"\r":
+        return "the record does not end where its length says"
+    return ""
+
+
 def parse_warc(data: bytes) -> Iterator[ArcRecord]:
     """Records of a WARC file: headers by lower-case name, and the block."""
     at = 0
@@ -185,6 +221,28 @@ def files_in(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("path", "content")
 
 
+def raw_text(values: list[bytes]) -> pa.Array:
+    """Bytes as a text column, unchecked: Spark's text writer writes them as they are."""
+    data = pa.array(values, pa.binary())
+    return pa.Array.from_buffers(pa.string(), len(data), data.buffers())
+
+
+def rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, place, reason) of what holds no record in the ARC files of a folder."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+                bad: list[tuple[int, str]] = []
+                for _ in parse_arc(unpacked(content.as_py()), bad):
+                    pass
+                rows = [{"path": path.as_py(), "place": place, "reason": reason} for place, reason in bad]
+                kinds = [("path", pa.string()), ("place", pa.int64()), ("reason", pa.string())]
+                yield pa.RecordBatch.from_pylist(rows, pa.schema(kinds))
+
+    return files_in(spark, folder).mapInArrow(run, "path string, place long, reason string")
+
+
 # Conversion
 
 
@@ -246,7 +304,7 @@ def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
             rows = []
-            for n, record in enumerate(parse_arc(unpacked(content.as_py()))):
+            for n, record in enumerate(parse_arc(unpacked(content.as_py()), [])):
                 payload = http_payload(record.block)
                 page = payload.headers.get("x-page-id")
                 if payload.head and page is not None:
@@ -284,12 +342,14 @@ def convert(spark: SparkSession, arc_folder: str, warc_folder: str) -> None:
             for content, again in zip(batch.column("content"), batch.column("revisits"), strict=True):
                 known = {r["n"]: (r["id"], r["url"]) for r in again.as_py() or ()}
                 out, info_id = [], ""
-                for n, record in enumerate(parse_arc(unpacked(content.as_py()))):
+                for n, record in enumerate(parse_arc(unpacked(content.as_py()), [])):
                     if record.version:
                         info_id = record_id("warcinfo", record.fields["url"], record.fields["archive-date"])
                     out.append(converted(record, info_id, known.get(n)))
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()).cast(pa.string())], names=["value"])
+                yield pa.RecordBatch.from_arrays([raw_text(out)], names=["value"])
 
+    if rows.join(originals, "digest").where("page_id < original.page_id").count() <= SENT:
+        revisits = F.broadcast(revisits)
     rows = files.join(revisits, "path", "left").select("content", "revisits")
     # Each record ends with two line ends, which the writer adds.
     rows.mapInArrow(run, "value string").write.option("lineSep", "\r\n\r\n").option(

@@ -49,14 +49,14 @@ SUBSUMED_PERCENT = 80
 SCALE = 2_000_000
 TOP = 2000
 
-SLICE_BYTES = 8 << 20  # of text counted at once
+SLICE_BYTES = 6 << 20  # of text counted at once
 KEY_BITS = 36  # of the table of counters
 GROUP_BITS = 24  # of the counters of one group
 GROUPS = 1 << (KEY_BITS - GROUP_BITS)
 COUNT_BITS = 32
 COUNT_MASK = (1 << COUNT_BITS) - 1
-HELD = 1 << 20  # entries of a group or block that are held before they are added up
-HELD_BYTES = 96 << 20  # of stripes that a task holds before it sends them
+HELD = 1 << 19  # entries of a group or block that are held before they are added up
+HELD_BYTES = 32 << 20  # of stripes that a task holds before it sends them
 FILTER_BITS = 1 << 25
 HOT_BITS = 1 << 20
 FILTER_HASHES = 3

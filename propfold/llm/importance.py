@@ -4,15 +4,17 @@ Words and pairs of neighbouring words (A-Z as a-z) are hashed to ``BUCKETS``. Tw
 give each bucket a probability: one over all documents, one over target documents. The
 log weight of a text is the mean log ratio of both over its n-grams, times ``TEMPER``
 n-grams, so that long texts are not favoured for their length alone. Gumbel noise, drawn
-from a hash of the id, is added, and the greatest ``share`` of all rows are kept: a draw
-without replacement in proportion to the weights.
+from a hash of the id (of the text, where there is no id), is added, and the greatest
+``share`` of all rows, rounded up, are kept: a draw without replacement in proportion to
+the weights.
 
 Raw counts cover every text, whole. The target is a bounded sample of labelled rows, the
 ``TARGET_ROWS`` first by the hash of their id.
 
 Null and empty texts have no n-grams and a log weight of minus infinity, so they are kept
-last. Rows that tie at the bound are all kept. Repeated rows have equal weight and noise.
-Without target rows both models are equal and all weights 0.
+last, in the order of their noise. Repeated rows have equal weight and noise; of rows that
+tie at the bound, those first in the staged table are kept, so that the number of kept rows
+is exact. Without target rows both models are equal and all weights 0.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propfold.llm import texts
@@ -84,8 +86,16 @@ def log_ratios(documents: DataFrame, target: DataFrame, target_rows: int = TARGE
     return np.log(wanted) - np.log(raw)
 
 
-def log_weights(documents: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """(doc_id, n_grams, log_weight) of each row."""
+def noise(seed: int) -> Column:
+    """A number between 0 and 1 from a hash of the id, or of the text of a row without one."""
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), "text")).otherwise(
+        F.xxhash64(F.lit(seed), "doc_id")
+    )
+    return (F.pmod(key, F.lit(1 << 52)) + 0.5) / float(1 << 52)
+
+
+def log_weights(documents: DataFrame, ratios: np.ndarray, seed: int = SEED) -> DataFrame:
+    """(doc_id, n_grams, log_weight, noise) of each row."""
     sent = documents.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,19 +107,21 @@ def log_weights(documents: DataFrame, ratios: np.ndarray) -> DataFrame:
                 mean = texts.row_sums(sent.value[bucket], first) / np.maximum(n, 1)
                 weights.append(np.where(n > 0, TEMPER * mean, -np.inf))
                 counts.append(n)
+            weights, counts = pa.array(np.concatenate(weights)), pa.array(np.concatenate(counts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.concatenate(counts)), pa.array(np.concatenate(weights))],
-                names=["doc_id", "n_grams", "log_weight"],
+                [batch.column("doc_id"), counts, weights, batch.column("noise")],
+                names=["doc_id", "n_grams", "log_weight", "noise"],
             )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_grams long, log_weight double"
+    return documents.select("doc_id", "text", noise(seed).alias("noise")).mapInArrow(
+        run, f"doc_id {kind}, n_grams long, log_weight double, noise double"
     )
 
 
 def kth_largest(rows: DataFrame, column: str, k: int) -> float:
-    """Exact k-th largest finite value, by histograms that narrow down.
+    """Exact k-th largest finite value, by histograms that narrow down; minus infinity if
+    there are fewer finite values.
 
     Each pass counts at most 4,096 bins in Spark; the last reads at most 4,096 values.
     """
@@ -143,11 +155,25 @@ def target_share(labels: DataFrame) -> float:
     return SHARE if share is None else share
 
 
+def first_rows(rows: DataFrame, columns: list[str], k: int) -> Column:
+    """Condition for the ``k`` rows greatest by the columns in order; the last has no ties."""
+    if k <= 0:
+        return F.lit(False)
+    column, *rest = columns
+    bound = kth_largest(rows, column, k)
+    above, same = F.col(column) > F.lit(bound), F.col(column) == F.lit(bound)
+    n_above, n_same = rows.agg(F.count_if(above), F.count_if(same)).first()
+    if n_above + n_same <= k or not rest:
+        return above | same
+    return above | (same & first_rows(rows.where(same), rest, k - n_above))
+
+
 def resample(documents: DataFrame, target: DataFrame, share: float = SHARE, seed: int = SEED) -> DataFrame:
     """(doc_id, n_grams, log_weight, draw, kept) of each row; no row is shuffled."""
-    weights = log_weights(documents, log_ratios(documents, target))
-    even = (F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    draw = F.col("log_weight") - F.log(-F.log(even))
-    rows = stage(weights.withColumn("draw", draw), "draws")
-    bound = kth_largest(rows, "draw", math.ceil(share * rows.count()))
-    return rows.withColumn("kept", F.col("draw") >= F.lit(bound))
+    weights = log_weights(documents, log_ratios(documents, target), seed)
+    draw = F.col("log_weight") - F.log(-F.log("noise"))
+    # minus the place: of equal rows the first are the greatest
+    place = -F.monotonically_increasing_id().cast("double")
+    rows = stage(weights.withColumns({"draw": draw, "place": place}), "draws")
+    kept = first_rows(rows, ["draw", "noise", "place"], math.ceil(share * rows.count()))
+    return rows.withColumn("kept", kept).drop("noise", "place")

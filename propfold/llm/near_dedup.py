@@ -18,7 +18,8 @@ between components is lost to a cap, and no pairs of a large group become rows.
 
 Null and empty texts, and texts without words, have no shingles and are linked with
 nothing. Texts of fewer words than a shingle have the whole sequence as their one
-shingle. Rows that share a doc_id count as linked. Rows without doc_id take the
+shingle. Rows that share a doc_id but not their text are documents of their own: each has
+the component of its text, the id stands for both of them. Rows without doc_id take the
 component of a row with an equal set; if there is none their component is null and they
 are kept. Columns other than doc_id and text are not looked at.
 """

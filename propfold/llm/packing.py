@@ -1,17 +1,20 @@
 """Best-fit packing of texts into sequences of several permitted lengths.
 
 Items are packed by best fit, longest first: each goes to the open bin it leaves the
-least room in. Where none has room, a bin is opened at the permitted size of least cost
-for the item, no smaller than a floor; the packing is done for each permitted floor, and
-the one of least total cost is taken, so all sizes are optimised jointly. At the end each
-bin is downsized to the smallest permitted size that holds its contents.
+least room in. Where none has room, a bin is opened. Its size is the permitted one of least
+cost for each token in it: every size is filled on trial with the longest items that are
+left and fit. The packing is done in this way and once for each permitted size as the least
+one to open, and the result of least total cost is taken, so all sizes are optimised
+jointly. At the end each bin is downsized to the smallest permitted size that holds its
+contents.
 
 The cost of a sequence of n tokens is ``n + n * n / ATTENTION + OVERHEAD``.
 
 Items longer than the largest size are cut into pieces of that size and a rest. Rows are
-dealt by a hash to shards of about ``SHARD`` rows, which are packed independently, so a
-task holds one shard however large the input is; at most a few bins per shard are less
-full than in one packing of all.
+dealt by a hash of their place in the staged table, so equal rows part as well, to shards
+of about ``SHARD`` rows, which are packed independently; a task holds one shard however
+large the input is, and at most a few bins per shard are less full than in one packing of
+all.
 
 Null and empty texts have only their end marker, one token. Repeated rows are packed as
 often as they occur. An empty table gives no rows.
@@ -19,7 +22,7 @@ often as they occur. An empty table gives no rows.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 import pandas as pd
@@ -38,12 +41,53 @@ def cost(size: int) -> float:
     return size + size * size / ATTENTION + OVERHEAD
 
 
-def best_fit(lengths: np.ndarray, sizes: tuple[int, ...], floor: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """Bin and offset of each item, and how full each bin is; longest items first."""
+class Left:
+    """Lengths that are still to be packed, with the number of items of each."""
+
+    def __init__(self, lengths: np.ndarray):
+        values, counts = np.unique(lengths, return_counts=True)
+        self.values: list[int] = values.tolist()  # ascending
+        self.counts: dict[int, int] = dict(zip(self.values, counts.tolist(), strict=True))
+
+    def take(self, length: int) -> None:
+        self.counts[length] -= 1
+        if not self.counts[length]:
+            del self.values[bisect_left(self.values, length)]
+
+    def fill(self, room: int) -> int:
+        """Tokens that a bin holds if the longest items that fit go into it, one after the other."""
+        used, at = 0, len(self.values)
+        while room:
+            at = bisect_right(self.values, room, 0, at)
+            if not at:
+                break
+            at -= 1
+            number = min(room // self.values[at], self.counts[self.values[at]])
+            used += number * self.values[at]
+            room -= number * self.values[at]
+        return used
+
+
+def opened(length: int, sizes: tuple[int, ...], left: Left) -> int:
+    """Size of a bin to open for an item: of least cost for a token of what would fill it."""
+    return min((s for s in sizes if s >= length), key=lambda s: cost(s) / (length + left.fill(s - length)))
+
+
+def best_fit(
+    lengths: np.ndarray, sizes: tuple[int, ...], floor: int | None
+) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Bin and offset of each item, and how full each bin is; longest items first.
+
+    A bin is opened at the smallest size from ``floor`` on that holds the item; without a
+    floor, at the size that trial fillings find best.
+    """
     bins, offsets, used, room = np.empty(len(lengths), int), np.empty(len(lengths), int), [], []
     free: list[int] = []  # amounts of room that some open bin has, ascending
     held: dict[int, list[int]] = {}
+    waiting = Left(lengths) if floor is None else None
     for item, length in enumerate(lengths.tolist()):
+        if waiting:
+            waiting.take(length)
         at = bisect_left(free, length)
         if at < len(free):
             left = free[at]
@@ -51,7 +95,8 @@ def best_fit(lengths: np.ndarray, sizes: tuple[int, ...], floor: int) -> tuple[n
             if not held[left]:
                 del held[left], free[at]
         else:
-            one, left = len(used), min((s for s in sizes if s >= max(length, floor)), key=cost)
+            one = len(used)
+            left = opened(length, sizes, waiting) if waiting else min(s for s in sizes if s >= max(length, floor))
             used.append(0)
             room.append(left)
         bins[item], offsets[item] = one, used[one]
@@ -69,7 +114,7 @@ def packed(items: pd.DataFrame, sizes: tuple[int, ...]) -> pd.DataFrame:
     items = items.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
     lengths = items["length"].to_numpy()
     best = None
-    for floor in sizes:
+    for floor in (None, *sizes):
         bins, offsets, used = best_fit(lengths, sizes, floor)
         final = np.array(sizes)[np.searchsorted(sizes, used)]
         total = sum(cost(s) for s in final.tolist())
@@ -112,9 +157,9 @@ def pack(items: DataFrame, sizes: tuple[int, ...] = SIZES) -> DataFrame:
     ).select(
         "doc_id", "piece", "start", F.least(F.col("length") - F.col("start"), F.lit(largest)).cast("long").alias("length")
     )
-    pieces = stage(pieces, "pieces")
+    pieces = stage(pieces.withColumn("place", F.monotonically_increasing_id()), "pieces")
     shards = max(1, -(-pieces.count() // SHARD))
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(shards)).cast("int")
+    shard = F.pmod(F.xxhash64("place"), F.lit(shards)).cast("int")
     shape = (
         "doc_id long, piece int, start long, length long, bin_id long, bin_offset long, "
         "bin_used long, bin_size long"

@@ -13,7 +13,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from propfold.llm import collocations, fill_middle, language_id, queries
+from propfold.llm import arc_convert, collocations, fill_middle, importance, language_id, packing, queries
 
 SF = "/root/testdata/sf0.001"
 SHAPE = "doc_id long, text string, lang string, source string, n long, form string, score string, part int"
@@ -316,3 +316,119 @@ def test_language_spans(spark, given):
         share[span["lang"]] += span["end"] - span["begin"]
     assert min(share["de"], share["fr"]) > 0.3 * len(text.encode())
     assert all(a["end"] == b["begin"] and a["lang"] != b["lang"] for a, b in zip(found[1], found[1][1:], strict=False))
+
+
+# Earlier operators: exact numbers of rows, bounded shards, archives of others
+
+
+def test_importance_keeps_exactly_the_share(spark):
+    rows = [(None if k % 3 == 0 else k, "" if k % 10 < 3 else f"some words {k % 7} of text {k}") for k in range(1000)]
+    rows += [(5000, "the same text")] * 100
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    target = spark.createDataFrame([(k,) for k in range(1, 1000, 2)], "doc_id long")
+    for share in (0.86, 0.5, 0.05, 1.0, 0.0):
+        got = importance.resample(documents, target, share)
+        assert got.columns == ["doc_id", "n_grams", "log_weight", "draw", "kept"]
+        assert got.where("kept").count() == int(np.ceil(share * len(rows) - 1e-9))
+        kept, left = (got.where(c).agg(F.min("draw"), F.max("draw")).first() for c in ("kept", "not kept"))
+        if 0 < share < 1:
+            assert kept[0] >= left[1]
+        if share <= 0.5:
+            assert got.where("kept and n_grams = 0").isEmpty()
+
+
+def test_importance_draws_for_each_row_without_an_id(spark):
+    documents = spark.createDataFrame([(None, f"text number {k}") for k in range(500)], "doc_id long, text string")
+    weights = importance.log_weights(documents, np.zeros(importance.BUCKETS))
+    assert weights.select("noise").distinct().count() == 500
+
+
+def test_importance_agrees_with_numpy(spark, given):
+    target = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1")
+    got = importance.resample(given, target, 0.7).toPandas()
+    order = got.sort_values("draw", ascending=False)
+    assert set(order.head(int(np.ceil(0.7 * len(got))))["doc_id"]) == set(got[got.kept]["doc_id"])
+
+
+def test_packing_deals_repeated_rows_to_bounded_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 2000)
+    items = spark.range(12000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(1).cast("long").alias("length"))
+    got = packing.pack(items)
+    shards = [r["count"] for r in got.groupBy(F.shiftright("bin_id", 32).alias("shard")).count().collect()]
+    assert sum(shards) == 12000 and len(shards) >= 3 and max(shards) < 3000
+
+
+def least_cost(lengths, sizes):
+    """Least total cost over all ways to put the items into bins."""
+    bins, best = [], [float("inf")]
+
+    def place(k):
+        total = sum(packing.cost(min(s for s in sizes if s >= b)) for b in bins)
+        if total >= best[0]:
+            return
+        if k == len(lengths):
+            best[0] = total
+            return
+        for at in range(len(bins)):
+            if bins[at] + lengths[k] <= max(sizes):
+                bins[at] += lengths[k]
+                place(k + 1)
+                bins[at] -= lengths[k]
+        bins.append(lengths[k])
+        place(k + 1)
+        bins.pop()
+
+    place(0)
+    return best[0]
+
+
+def test_packing_is_near_the_least_cost():
+    draw, ratios, better = random.Random(5), [], 0
+    sizes = (64, 128, 256, 512)
+    for _ in range(60):
+        lengths = np.array(sorted((draw.randrange(1, 400) for _ in range(7)), reverse=True))
+
+        def total(floor, lengths=lengths):
+            used = packing.best_fit(lengths, sizes, floor)[2]
+            return sum(packing.cost(min(s for s in sizes if s >= u)) for u in used)
+
+        by_floor = min(total(floor) for floor in sizes)
+        found = min(by_floor, total(None))
+        better += found < by_floor
+        ratios.append(found / least_cost(lengths.tolist(), sizes))
+    assert min(ratios) >= 1 - 1e-9 and np.mean(ratios) < 1.05 and max(ratios) < 1.35
+    assert better > 0  # the trial fillings choose what no floor does
+
+
+def test_archives_of_others(spark, tmp_path):
+    latin = "Größe".encode("latin-1") + bytes(range(256)) * 5
+    records = [
+        ("http://a.example/one two", b"HTTP/1.0 200 OK\nContent-Type: text/html\nX-Page-Id: 1\n\n" + latin),
+        ("http://b.example/", b"HTTP/1.1 200 OK\r\nX-Page-Id: 2\r\nContent-Length: 1285\r\n\r\n" + latin),
+        ("http://c.example/", b"\x00\xff binary"),
+    ]
+    body = arc_convert.version_block(1, "x.arc").encode()
+    for k, (url, block) in enumerate(records):
+        body += f"{url} 1.2.3.4 20010203040506 text/html {len(block)}\n".encode() + block + b"\n"
+        if not k:
+            body += b"http://broken.example/ 1.2.3.4 20010203040506 text/html twelve\nlost bytes\n"
+            body += b"http://short.example/ 1.2.3.4 20010203040506 text/html 3\nmore than three\n"
+    arcs, warcs = tmp_path / "arc", tmp_path / "warc"
+    arcs.mkdir()
+    (arcs / "part-0.arc").write_bytes(body)
+    arc_convert.convert(spark, str(arcs), str(warcs))
+    found = []
+    for path in warcs.glob("part-*"):
+        found += arc_convert.parse_warc(arc_convert.unpacked(path.read_bytes()))
+    kinds = Counter(r.fields["warc-type"] for r in found)
+    assert kinds == {"warcinfo": 1, "response": 1, "revisit": 1, "resource": 1}
+    urls = {r.fields.get("warc-target-uri"): r for r in found}
+    assert urls["http://c.example/"].block == records[2][1]
+    response = urls["http://b.example/"]
+    assert arc_convert.http_payload(response.block).body == latin
+    digest = hashlib.sha1(latin).digest()
+    for url in ("http://a.example/one two", "http://b.example/"):
+        given = urls[url].fields["warc-payload-digest"]
+        assert given == arc_convert.sha1(latin) and digest
+    reasons = [r["reason"] for r in arc_convert.rejected(spark, str(arcs)).collect()]
+    assert len(reasons) == 2 and "no length" in reasons[0] and "does not end" in reasons[1]
