@@ -154,7 +154,11 @@ def parse_arc(data: bytes, bad: list[tuple[int, str]] | None = None) -> Iterator
             at = end + 1
             continue
         version, first = first and line.startswith("filedesc:"), False
-        parts = line.rsplit(" ", len(URL_RECORD if version else names) - 1)
+        if version:  # may have more fields than are declared before it
+            parts = line.split(" ")
+            parts = [*parts[:4], parts[-1]] if len(parts) > 4 else parts
+        else:
+            parts = line.rsplit(" ", len(names) - 1)
         length = int(parts[-1]) if re.fullmatch("[0-9]+", parts[-1]) else -1
         block = data[end + 1 : end + 1 + max(length, 0)]
         wrong = wrong_record(parts, URL_RECORD if version else names, length, data, end + 1)

@@ -432,3 +432,13 @@ def test_archives_of_others(spark, tmp_path):
         assert given == arc_convert.sha1(latin) and digest
     reasons = [r["reason"] for r in arc_convert.rejected(spark, str(arcs)).collect()]
     assert len(reasons) == 2 and "no length" in reasons[0] and "does not end" in reasons[1]
+
+
+def test_archives_of_both_versions_come_back_whole(spark, monkeypatch):
+    monkeypatch.setattr(arc_convert, "FILE_BYTES", 100_000)
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = arc_convert.round_trip(pages).toPandas().sort_values("page_id")
+    html = pages.toPandas().sort_values("page_id")
+    wanted = [hashlib.sha1((t or "").encode()).hexdigest() for t in html["html"]]
+    assert got["page_id"].tolist() == html["page_id"].tolist()
+    assert got["payload_digest"].tolist() == wanted
