@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from propfold.functions import names as n
+from propfold.functions import scripts
 from propfold.functions import values as v
 from propfold.sources.given import DECLARED, DOCUMENT_IDS, ORDER_IDS
 from propfold.sources.schemas import IDENTIFIED_COLUMNS
@@ -21,9 +22,25 @@ def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def other_scripts(text: str) -> str:
+    table = n.several_letters()
+    known = f"map(string_split({quoted(' '.join(table))}, ' '), string_split({quoted(' '.join(table.values()))}, ' '))"
+    place = f"(unicode(c) - {scripts.HANGUL_FIRST})"
+    numbers = (f"{place} // 588", f"{place} % 588 // 28", f"{place} % 28")
+    parts = [
+        f"replace(string_split({quoted(' '.join(names))}, ' ')[{number} + 1], '.', '')"
+        for names, number in zip(scripts.HANGUL, numbers, strict=True)
+    ]
+    syllable = f"{place} BETWEEN 0 AND {scripts.HANGUL_LAST - scripts.HANGUL_FIRST}"
+    one = f"coalesce({known}[c], CASE WHEN {syllable} THEN {' || '.join(parts)} ELSE c END)"
+    return f"array_to_string(list_transform(string_split({text}, ''), lambda c: {one}), '')"
+
+
 def normal_form(text: str) -> str:
+    raw = text
     for old, new in n.REPLACEMENTS:
         text = f"replace({text}, {quoted(old)}, {quoted(new)})"
+    text = f"CASE WHEN regexp_matches({raw}, {quoted(n.BEYOND_LATIN)}) THEN {other_scripts(text)} ELSE {text} END"
     old, new = n.one_to_one()
     text = f"translate({text}, {quoted(old)}, {quoted(new)})"
     for sign, letters in n.SEVERAL.items():

@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from propfold.functions import names as n
+from propfold.functions import scripts
 
 
 def by_hand(text: str) -> str:
@@ -18,6 +19,10 @@ def by_hand(text: str) -> str:
             out.append({**n.SINGLE, **n.SEVERAL}[ch])
         elif unicodedata.combining(ch) and 0x300 <= ord(ch) < 0x370:
             continue
+        elif ch in scripts.letters():
+            out.append(scripts.letters()[ch])
+        elif scripts.HANGUL_FIRST <= ord(ch) <= scripts.HANGUL_LAST:
+            out.append(scripts.hangul(ch))
         elif marks and base.isascii() and all(map(unicodedata.combining, marks)):
             out.append(base)
         else:
@@ -49,6 +54,20 @@ def normalised(spark, texts):
         ("Đặng Łódź Øre", "dang_lodz_ore"),
         ("e\u0301te\u0301", "ete"),
         ("it's", "it's"),
+        ("Москва Щука", "moskva_shchuka"),
+        ("Αθήνα Ψυχή", "athena_psukhe"),
+        ("Երևան 2", "erewan_2"),
+        ("თბილისი", "t'bilisi"),
+        ("שלום", "shlvm"),
+        ("سلام", "slam"),
+        ("한국어 값", "hangugeo_gabs"),
+        ("カナ ひらがな", "kana_hiragana"),
+        ("がっこう づ", "gatukou_du"),
+        ("日本", "日本"),
+        ("１２３ ａｂＣ", "123_abc"),
+        ("٣٤ ½ ﬁn Ⅻ", "34_1/2_fin_xii"),
+        ("£5 ¥ § ŉ", "ps5_y=_ss_'n"),
+        ("Ж🙂é", "zh🙂e"),
         ("a\\b", "a\\b"),
         ("", ""),
     ],
