@@ -564,6 +564,8 @@ STATEMENTS |= {
         GROUP BY block, island""",
     "unseen_properties": "SELECT * FROM event_property WHERE event_id % 3 <> 0",
     "wide_over_versions": STATEMENTS["pivot_events"],
+    "clean_in_parts": STATEMENTS["clean_remove_dollar"],
+    "rename_in_parts": STATEMENTS["rename_user_property"],
 }
 
 

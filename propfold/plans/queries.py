@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
@@ -23,8 +24,11 @@ from propfold.operators import (
     versions,
     wide_table,
 )
-from propfold.sources import given, seen
-from propfold.sources.tables import current_flags, only_new
+from propfold.plans import rewrites
+from propfold.session import shared_dir
+from propfold.sources import given, parts, seen
+from propfold.sources.schemas import table_schema
+from propfold.sources.tables import TenantTables, current_flags, only_new
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -368,6 +372,34 @@ def remove_first_space(value):
     return clean.remove_space(value, scope="first")
 
 
+def in_parts(g: Given, table: str) -> parts.NamedParts:
+    """A derived property table, stored in parts in a folder of its own below the shared one."""
+    tables = TenantTables(g.spark, f"{shared_dir(g.spark)}/parts-{uuid.uuid4().hex}", "given")
+    for name in ("user_event", "user_company"):
+        getattr(g, name).write.parquet(tables.path(name))
+    stored = parts.NamedParts(tables, table)
+    rows = getattr(g, table)
+    fields = [
+        (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in table_schema(table)
+    ]
+    stored.write(1, rows.select(*fields))
+    return stored
+
+
+def clean_in_parts(g: Given) -> DataFrame:
+    """The whole table after a change that has rewritten the parts it touches."""
+    stored = in_parts(g, "event_property")
+    rewrites.clean_job(stored, "VALOR%", clean.remove_dollar, 2, "PURCHASE")
+    return stored.read().select(*g.event_property.columns)
+
+
+def rename_in_parts(g: Given) -> DataFrame:
+    stored = in_parts(g, "user_property")
+    rewrites.rename_job(stored, "CANTIDAD%", "cantidad_cortesia", 2)
+    return stored.read().select(*g.user_property.columns)
+
+
 def rename_user_property(g: Given) -> DataFrame:
     owners = scans.ids_of_incomplete_users(g.user_company)
     return clean.rename_property(g.user_property, owners, "CANTIDAD%", "cantidad_cortesia")
@@ -502,6 +534,8 @@ REGISTERED: dict[str, Callable[[Given], DataFrame]] = {
     "blank_property_value": clean_event(clean.blank, pattern="K"),
     "blank_user_property_value": clean_user(clean.blank, "nick%"),
     "rename_user_property": rename_user_property,
+    "clean_in_parts": clean_in_parts,
+    "rename_in_parts": rename_in_parts,
     "email_validity": email_validity,
     "email_validity_texts": email_validity_texts,
     "email_validity_user": email_validity_user,
