@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +12,7 @@ from propfold.sources.schemas import IDENTIFIED_COLUMNS, MIGRATED
 
 # A user registry row is one column of the user table.
 MAX_COLUMNS = 10_000
+# Columns as columns of one aggregation up to this number, as one map beyond.
 COLUMNS_PER_FOLD = 64
 
 # Actions after which the property rows are gone.
@@ -81,44 +80,48 @@ def promotable(properties: DataFrame, columns: dict[str, str]) -> DataFrame:
     )
 
 
-def chunks(names: Iterable[str]) -> Iterator[list[str]]:
-    """Columns to be set by one aggregation."""
-    names = list(names)
-    for start in range(0, len(names), COLUMNS_PER_FOLD):
-        yield names[start : start + COLUMNS_PER_FOLD]
+def as_map(long_form: DataFrame) -> DataFrame:
+    """Rows (user_id, name, value), one for each user and name, as one map for each user.
+
+    A map holds no more entries than there are columns.
+    """
+    entries = F.collect_list(F.struct("name", "value"))
+    return long_form.groupBy("user_id").agg(F.map_from_entries(entries).alias("_new"))
 
 
 def promote_user_properties(
-    users: DataFrame, properties: DataFrame, columns: dict[str, str]
+    users: DataFrame,
+    properties: DataFrame,
+    columns: dict[str, str],
+    max_cell_columns: int | None = None,
 ) -> DataFrame:
-    """Users with promoted values set; of several values the latest row's wins."""
-    for names in chunks(columns):
-        users = with_latest_values(users, properties, {name: columns[name] for name in names})
-    return users
-
+    """Users with promoted values set; of several values the latest row's wins.
 
-def with_latest_values(
-    users: DataFrame, properties: DataFrame, columns: dict[str, str]
-) -> DataFrame:
+    One aggregation and one join for any number of columns. Up to ``max_cell_columns``
+    (``COLUMNS_PER_FOLD``) each is a column of the aggregation; beyond, the values of a user are one map.
+    """
+    if not columns:
+        return users
     entry = F.struct("id", "value")
-    latest = (
-        promotable(properties, columns)
-        .where("_fits")
-        .groupBy("user_id")
-        .agg(
+    rows = promotable(properties, columns).where("_fits")
+    if len(columns) > (max_cell_columns or COLUMNS_PER_FOLD):
+        latest = as_map(rows.groupBy("user_id", "name").agg(F.max(entry)["value"].alias("value")))
+        texts = [F.try_element_at("_new", F.lit(name)) for name in columns]
+    else:
+        latest = rows.groupBy("user_id").agg(
             *(
                 F.max(F.when(F.col("name") == name, entry))["value"].alias(f"_new_{n}")
                 for n, name in enumerate(columns)
             )
         )
-    )
+        texts = [F.col(f"_new_{n}") for n in range(len(columns))]
     # Spark resolves columns without regard to case, so names that differ by it are one.
     targets = {name.lower(): name for name in users.columns}
     values = {name: column(name) for name in users.columns}
     updated = {}
-    for n, (name, declared) in enumerate(columns.items()):
+    for text, (name, declared) in zip(texts, columns.items(), strict=True):
         target = targets.setdefault(name.lower(), name)
-        new = read_as(F.col(f"_new_{n}"), declared)
+        new = read_as(text, declared)
         values[target] = F.coalesce(new, values[target]) if target in values else new
         updated[target] = values[target]
     joined = users.join(latest, users["id"] == latest["user_id"], "left")
@@ -194,24 +197,30 @@ def consolidation(
 
 
 def consolidated_users(
-    users: DataFrame, properties: DataFrame, names: list[str] | None = None
+    users: DataFrame,
+    properties: DataFrame,
+    names: list[str] | None = None,
+    max_cell_columns: int | None = None,
 ) -> DataFrame:
-    """Users after consolidation: a single value of a property sets its column."""
+    """Users after consolidation: a single value of a property sets its column.
+
+    One aggregation and one join, as in promotion.
+    """
     columns = [
         field.name
         for field in users.schema
         if field.name != "id" and (names is None or field.name in names)
     ]
-    for some in chunks(columns):
-        users = with_single_values(users, properties, some)
-    return users
-
-
-def with_single_values(users: DataFrame, properties: DataFrame, columns: list[str]) -> DataFrame:
-    ranges = (
-        properties.where(F.col("name").isin(columns))
-        .groupBy("user_id")
-        .agg(
+    if not columns:
+        return users
+    rows = properties.where(F.col("name").isin(columns))
+    if len(columns) > (max_cell_columns or COLUMNS_PER_FOLD):
+        low, high = value_range(F.col("value")).values()
+        ranges = rows.groupBy("user_id", "name").agg(low.alias("value"), high.alias("_high"))
+        single = as_map(ranges.where(F.col("value") == F.col("_high")).drop("_high"))
+        texts = [F.try_element_at("_new", F.lit(name)) for name in columns]
+    else:
+        single = rows.groupBy("user_id").agg(
             *(
                 value.alias(f"_{label}_{n}")
                 for n, name in enumerate(columns)
@@ -220,13 +229,13 @@ def with_single_values(users: DataFrame, properties: DataFrame, columns: list[st
                 ).items()
             )
         )
-    )
-    updated = {}
-    for n, name in enumerate(columns):
-        low, high = F.col(f"_low_{n}"), F.col(f"_high_{n}")
-        single = F.when(low == high, low).try_cast(users.schema[name].dataType)
-        updated[name] = F.coalesce(single, column(name))
-    joined = users.join(ranges, users["id"] == ranges["user_id"], "left")
+        ranges = [(F.col(f"_low_{n}"), F.col(f"_high_{n}")) for n in range(len(columns))]
+        texts = [F.when(low == high, low) for low, high in ranges]
+    updated = {
+        name: F.coalesce(text.try_cast(users.schema[name].dataType), column(name))
+        for text, name in zip(texts, columns, strict=True)
+    }
+    joined = users.join(single, users["id"] == single["user_id"], "left")
     return joined.withColumns(updated).select(*map(column, users.columns))
 
 

@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 from propfold.operators import users as u
+from pyspark.sql import functions as F
 
 NAMES = ["email", "city", "nickname", "score"]
 
@@ -119,6 +120,30 @@ def test_promotion(spark, monkeypatch):
     assert left == {r[0] for r in rows} - used
 
 
+def test_any_number_of_columns_takes_one_pass(spark):
+    users, props, _, _ = tables(spark, seed=6)
+    some = {"nickname": "varchar", "score": "integer"}
+    columns = {**some, **{f"column {k}": "varchar" for k in range(200)}}
+    found = u.promote_user_properties(users, props, columns)
+    few = u.promote_user_properties(users, props, some)
+    assert sorted(map(str, found.select(few.columns).collect())) == sorted(map(str, few.collect()))
+    wide = users.withColumns({f"column {k}": F.lit(None).cast("string") for k in range(200)})
+    settled = u.consolidated_users(wide, props)
+    assert sorted(map(str, settled.select(users.columns).collect())) == sorted(
+        map(str, u.consolidated_users(users, props).collect())
+    )
+    for rows in (found, settled):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        # one join with the users, two groupings of the properties: by name, by user
+        assert plan.count("Join LeftOuter") <= 2 and plan.count("Aggregate [") == 2
+
+
+def test_consolidation_by_map_equals_that_by_columns(spark):
+    users, props, _, _ = tables(spark, seed=7)
+    one, two = (u.consolidated_users(users, props, max_cell_columns=n) for n in (64, 1))
+    assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+
+
 def test_no_columns_to_promote(spark):
     users, props, _, rows = tables(spark, seed=5)
     assert u.promote_user_properties(users, props, {}).columns == users.columns
