@@ -1,5 +1,7 @@
 from datetime import datetime
 
+import pytest
+
 from propfold.operators import discover as d
 from propfold.operators.registry import load_event_types
 from propfold.operators.sizing import only_of
@@ -109,3 +111,17 @@ def test_ids_stay_small_where_facts_have_large_ones(spark):
     new = d.discover_event_schemas(events(spark, [(big + 16 * k, f"n{k}") for k in range(20)]), known, NOW)
     ids = {r["id"] for r in new.collect()}
     assert len(ids) == 20 and big < min(ids) and max(ids) <= big + 16 * 21
+
+
+def test_names_are_loaded_out_of_a_large_registry(spark):
+    """The bound on registered types counts what is asked for, not what there is."""
+    rows = [(k, f"type_{k}", f"Type {k}", 2) for k in range(60)] + [(100, "wanted", "Wanted!", 2), (101, "wanted!", "x", 2)]
+    schemas = spark.createDataFrame(rows, "id long, name string, help_name string, db_status int")
+    declared = spark.createDataFrame([(1, "a", 100, "a", "varchar")], "id long, name string, event_id long, help_name string, type string")
+    with pytest.raises(ValueError, match="over 50"):
+        load_event_types(schemas, declared, max_declared=50)
+    (kind,) = load_event_types(schemas, declared, ["wanted"], max_declared=50)
+    every = {k.name: k for k in load_event_types(schemas, declared)}
+    assert kind == every["wanted"] and kind.spellings == every["wanted"].spellings
+    (kind,) = load_event_types(schemas, declared, ["type_7"], max_declared=50)
+    assert kind.spellings == every["type_7"].spellings
