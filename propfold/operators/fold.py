@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propfold.functions.names import with_identifier
-from propfold.functions.values import READERS, accepts
+from propfold.functions.numbers import is_number
+from propfold.functions.values import NUMERIC, READERS, accepts
 from propfold.operators.clean import recipe
 from propfold.operators.registry import EventType, property_spellings
 
@@ -83,6 +84,7 @@ def fold(
     verdicts: bool = False,
     recipes: bool = False,
     max_cell_columns: int = MAX_CELL_COLUMNS,
+    any_size: bool = False,
 ) -> DataFrame:
     """One row per event id.
 
@@ -92,7 +94,8 @@ def fold(
 
     With ``verdicts``, ``word_<n>`` holds for each event type whether all the
     properties of the event are registered and acceptable; with ``recipes``, after the
-    cleaning of each value by the recipe of the type it is declared as.
+    cleaning of each value by the recipe of the type it is declared as. With ``any_size``,
+    numbers are acceptable that the decimal column cannot hold.
     """
     if verdicts and len(types) > TYPES_PER_FOLD:
         raise ValueError(f"over {TYPES_PER_FOLD} event types in one fold; use batches")
@@ -104,7 +107,10 @@ def fold(
         named = named.join(F.broadcast(bit_table(properties, types)), "_property", "left")
         # A check runs only where some event type declares the property so.
         values = {t: recipe(t)(F.col("value")) if recipes else F.col("value") for t in READERS}
-        checks = {t: F.when(F.col(f"_is_{t}"), accepts(values[t], t)) for t in READERS}
+        fits = {t: accepts(values[t], t) for t in READERS}
+        if any_size:
+            fits[NUMERIC] = F.coalesce(is_number(values[NUMERIC]), F.lit(False))
+        checks = {t: F.when(F.col(f"_is_{t}"), fits[t]) for t in READERS}
         named = named.withColumns({f"_fits_{t}": check for t, check in checks.items()})
         named = named.withColumns({f"word_{n}": word(n) for n in words})
     else:

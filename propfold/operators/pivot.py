@@ -83,15 +83,23 @@ def fold_events(
     schema_gate: bool | DataFrame = True,
     recipes: bool = False,
     max_cell_columns: int = MAX_CELL_COLUMNS,
+    any_size: bool = False,
 ) -> DataFrame:
     """Pending events of all types, judged, with the raw text of all their cells.
 
     Verdicts and cells come out of the same aggregation of the property table. With
-    ``recipes``, values are judged as their recipe cleans them.
+    ``recipes``, values are judged as their recipe cleans them; with ``any_size``, numbers
+    beyond the decimal column are valid (``versions.stored_rows`` keeps them).
     """
     cells = all_cells(types)
     folded = fold(
-        properties, types, cells, verdicts=True, recipes=recipes, max_cell_columns=max_cell_columns
+        properties,
+        types,
+        cells,
+        verdicts=True,
+        recipes=recipes,
+        max_cell_columns=max_cell_columns,
+        any_size=any_size,
     )
     judged = judge(events, folded, types, schema_gate)
     kept = [c for c in folded.columns if c.startswith("cell")]

@@ -143,7 +143,7 @@ def run_job(
     opened = gate(counts, types) if schema_gate else False
     verdicts = None
     for number, some in enumerate(batches(types) or [types]):
-        folded = fold_events(due, due_properties, some, opened, recipes)
+        folded = fold_events(due, due_properties, some, opened, recipes, any_size=True)
         folded = store.write(f"folded/run={run_id}", number, folded)
         rows = stored_rows(folded, some, recipes)
         rows.write.mode("overwrite").partitionBy("event_type").parquet(
@@ -239,12 +239,15 @@ def column_history(store: Store, kind: EventType) -> dict[str, set[str]]:
     return history
 
 
-def wide_table(store: Store, kind: EventType) -> DataFrame:
-    """Typed wide rows of one event type out of all runs; a partition filter on both."""
+def wide_table(store: Store, kind: EventType, exact: bool = False) -> DataFrame:
+    """Typed wide rows of one event type out of all runs; a partition filter on both.
+
+    With ``exact``, ``exact_numbers`` holds the numbers that their columns round or leave out.
+    """
     history = column_history(store, kind)
     schema = stored_struct(kind, history).add("part", "integer").add("event_type", "string")
     rows = store.stored("wide", schema, store.runs)
-    return read_rows(rows.where(F.col("event_type") == f"{TYPE_PREFIX}{kind.name}"), kind, history)
+    return read_rows(rows.where(F.col("event_type") == f"{TYPE_PREFIX}{kind.name}"), kind, history, exact)
 
 
 def event_types(store: Store, names: list[str] | None = None) -> list[EventType]:

@@ -150,6 +150,17 @@ def read_date(value: str) -> str:
     return f"CASE WHEN {real} THEN try_cast(substr({value}, 1, 10) AS DATE) END"
 
 
+# Amounts with two decimals, times a power of ten: whole cents give the digits.
+SCALED = r"""(
+    SELECT *, rtrim(CAST(cents AS VARCHAR), '0') AS d, length(CAST(cents AS VARCHAR)) - 3 + power AS e
+    FROM (
+        SELECT id, name, CAST(replace(value, '.', '') AS BIGINT) AS cents, event_id % 2 AS odd,
+            event_id % 61 - 30 AS power
+        FROM event_property WHERE regexp_matches(value, '^[0-9]+[.][0-9]{2}$')))"""
+EXACT_TEXT = """CASE WHEN cents = 0 THEN '0' ELSE CASE odd WHEN 1 THEN '-' ELSE '' END || substr(d, 1, 1)
+    || CASE WHEN length(d) > 1 THEN '.' || substr(d, 2) ELSE '' END || 'e' || e END"""
+
+
 CTES = {
     "user_event": f"""
         SELECT event_id AS id,
@@ -416,6 +427,20 @@ STATEMENTS = {
     "refused_properties": f"""
         SELECT event_id, schema, id AS property_id, name, value, {REASON} AS reason
         FROM judged_property WHERE migrated = false AND NOT ok""",
+    "exact_numbers": f"""
+        SELECT id, {EXACT_TEXT} AS exact,
+            cents = 0 OR (e < 20 AND power + 16 + length(CAST(cents AS VARCHAR)) - length(d) >= 0) AS held
+        FROM {SCALED}""",
+    "exact_number_ranges": f"""
+        SELECT name, count(*) AS n, max(text) FILTER (up = 1) AS least, max(text) FILTER (down = 1) AS greatest
+        FROM (
+            SELECT *, row_number() OVER (PARTITION BY name ORDER BY sign, sign * e, sign * m) AS up,
+                row_number() OVER (PARTITION BY name ORDER BY sign DESC, sign * e DESC, sign * m DESC) AS down
+            FROM (
+                SELECT name, {EXACT_TEXT} AS text, e, CAST(rpad(d, 20, '0') AS HUGEINT) AS m,
+                    CASE WHEN cents = 0 THEN 0 WHEN odd = 1 THEN -1 ELSE 1 END AS sign
+                FROM {SCALED}))
+        GROUP BY name""",
     "read_types": f"""
         SELECT id, {read_integer("value")} AS as_integer,
             CAST({read_numeric("replace(value, ',', '.')")} AS DECIMAL(18,2)) AS as_numeric,

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from propfold.functions import names as n
+from propfold.functions import numbers
 from propfold.functions import values as v
 from propfold.operators import (
     clean,
@@ -181,6 +182,34 @@ def read_types(g: Given) -> DataFrame:
     )
 
 
+def scaled_numbers(g: Given) -> DataFrame:
+    """Amounts of event properties, written with signs and powers of ten from their event id."""
+    sign = F.when(F.pmod("event_id", F.lit(2)) == 1, "-").otherwise("")
+    power = (F.pmod("event_id", F.lit(61)) - 30).cast("string")
+    rows = g.event_property.where(F.col("value").rlike(r"^[0-9]+[.][0-9]{2}\z"))
+    return rows.select("id", "name", F.concat(sign, "value", F.lit("e"), power).alias("value"))
+
+
+def exact_numbers(g: Given) -> DataFrame:
+    value = F.col("value")
+    return scaled_numbers(g).select(
+        "id", numbers.exact_text(value).alias("exact"), numbers.held_exactly(value).alias("held")
+    )
+
+
+def exact_number_ranges(g: Given) -> DataFrame:
+    """Least and greatest number of each property name, in exact order."""
+    number = F.struct(
+        numbers.order_key(F.col("value")).alias("key"), numbers.exact_text(F.col("value")).alias("text")
+    )
+    rows = scaled_numbers(g).select("name", number.alias("number"))
+    return rows.groupBy("name").agg(
+        F.count("*").alias("n"),
+        F.min("number")["text"].alias("least"),
+        F.max("number")["text"].alias("greatest"),
+    )
+
+
 def discover_event_schemas(g: Given) -> DataFrame:
     return discover.discover_event_schemas(g.user_event, g.event_schema, RUN_TS)
 
@@ -488,6 +517,8 @@ REGISTERED: dict[str, Callable[[Given], DataFrame]] = {
     "wide_over_versions": wide_over_versions,
     "refused_properties": refused_properties,
     "read_types": read_types,
+    "exact_numbers": exact_numbers,
+    "exact_number_ranges": exact_number_ranges,
     "normalize_names": normalize_names,
     "normalize_texts": normalize_texts,
     "discover_event_schemas": discover_event_schemas,

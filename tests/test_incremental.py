@@ -1,13 +1,16 @@
 """Runs over what is new: whole results, pruned reads, late ids, crashes, versions."""
 
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from compare import DATA
 from test_jobs import store as stored_tables
 
+from propfold.functions.numbers import order_key
 from propfold.operators import observed, validate
 from propfold.operators.registry import load_event_types
+from propfold.operators.versions import EXACT, number_text, read_rows, stored_struct
 from propfold.plans import incremental, jobs
 from propfold.sources.schemas import table_schema
 from propfold.sources.store import Store
@@ -244,6 +247,60 @@ def test_wide_table_over_two_versions(spark, source, tmp_path):
     assert rows.where("id % 2 = 1 and valor_total is not null").count() > 0
 
 
+ODD_NUMBERS = {
+    0: ("-123456789012345678901", "-1.23456789012345678901e20"),
+    1: ("1e-30", "1e-30"),
+    2: ("0,12345678901234567891", "1.2345678901234567891e-1"),
+    3: ("5e25", "5e25"),
+    4: ("12.50", None),
+    5: ("-0e99", None),
+}
+
+
+def test_numbers_of_any_size_reach_the_wide_table(spark, source, tmp_path):
+    tables = fresh(spark, source, tmp_path, "numbers")
+    arrive(tables, source, "id % 2 = 0")
+    raw = F.lit(None).cast("string")
+    for place, (text, _) in ODD_NUMBERS.items():
+        raw = F.when(F.pmod("event_id", F.lit(12)) == 2 * place, text).otherwise(raw)
+    rows = source.read("event_property").where("event_id % 2 = 0 and name <> 'Valor Total'")
+    rows = rows.withColumn("value", F.when(F.col("name") == "VALOR TOTAL", raw).otherwise(F.col("value")))
+    rows.write.mode("append").parquet(tables.path("event_property"))
+    names = ["purchase"]
+    found = incremental.run_job(tables, 1, NOW, schema_gate=False, names=names)
+    (kind,) = incremental.event_types(found, names)
+    assert {c.column: c.type for c in kind.columns}["valor_total"] == "numeric"
+    assert incremental.wide_table(found, kind).schema == kind.struct()
+    wide = incremental.wide_table(found, kind, exact=True)
+    exact = F.try_element_at(EXACT, F.lit("valor_total"))
+    text = number_text(F.col("valor_total"), exact)
+    seen = set()
+    for r in wide.select("id", "valor_total", exact.alias("exact"), text.alias("text")).collect():
+        if r["valor_total"] is None and r["exact"] is None:
+            continue
+        place = r["id"] % 12 // 2
+        seen.add(place)
+        assert r["exact"] == ODD_NUMBERS[place][1], r
+        assert Decimal(r["text"]) == Decimal(ODD_NUMBERS[place][0].replace(",", "."))
+    assert seen == set(ODD_NUMBERS)
+    by_size = wide.where(text.isNotNull()).orderBy(order_key(text)).select(text.alias("text")).collect()
+    numbers = [Decimal(r["text"]) for r in by_size]
+    assert numbers == sorted(numbers)
+    # Declared as text by a later registry, all digits are still there.
+    schemas, declared = found.registry()
+    as_text = declared.withColumn("type", F.lit("varchar"))
+    found = incremental.change_registry(tables, 2, schemas, as_text)
+    (kind,) = incremental.event_types(found, names)
+    history = {c.property: {"numeric", "date", "integer", "varchar"} for c in kind.columns}
+    schema = stored_struct(kind, history).add("event_type", "string")
+    later = read_rows(found.stored("wide", schema, [1]), kind, history)
+    expected = {str(Decimal(t.replace(",", ".")).normalize()) for t, _ in ODD_NUMBERS.values()}
+    texts = {r[0] for r in later.where("valor_total is not null").select("valor_total").distinct().collect()}
+    assert {str((Decimal(t) + 0 if Decimal(t) else Decimal(0)).normalize()) for t in texts} == {
+        "0" if Decimal(t) == 0 else t for t in expected
+    }
+
+
 def with_types(declared, like):
     """Declared properties with the types that another registry gives to their ids."""
     types = like.select("id", F.col("type").alias("_type"))
