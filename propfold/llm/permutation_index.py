@@ -1,16 +1,25 @@
 """Nearest neighbours by a permutation index.
 
 ``PIVOTS`` vectors are chosen as pivots (a bounded sample: those first by the hash of
-their id). Each vector is represented by its ``LENGTH`` nearest pivots in order. Vectors
-are dealt to shards of about ``SHARD`` rows; within a shard every vector is posted in the
-inverted file of each of its pivots, with the place the pivot has. A query reads the
-files of its own pivots, which adds up Spearman's footrule between both orders (a pivot
+their id). Each vector is represented by its ``LENGTH`` nearest pivots in order. Its
+nearest pivot is its cell. Cells are put together, in the order of a walk over near pivots,
+to shards of about ``SHARD`` rows, and a larger cell is split into several; within a shard
+every vector is posted in the inverted file of each of its pivots, with the place the pivot
+has. A query goes to the shards of the cells of its own nearest pivots only. There it reads
+the files of its own pivots, which adds up Spearman's footrule between both orders (a pivot
 that one side lacks has place ``LENGTH``). The ``SHARE`` of the shard that is nearest by
 footrule, ``AT_LEAST`` rows if that is more, is ranked again by Euclidean distance in
 double precision, and the nearest of all shards are merged.
 
-Queries go to the shards in blocks of at most about ``QUERIES``, so a task holds one
-shard and one block. Every row is indexed; recall against brute force is a test.
+How many cells a query visits is measured, not guessed: for at most ``SAMPLE`` queries
+(those first by the hash of their id) the true neighbours are found by one pass over all
+vectors, and so many cells are visited that ``TARGET`` of these neighbours lie in them.
+Vectors that form groups need few cells; vectors without any structure need many.
+
+Queries are put into blocks of at most about ``QUERIES`` by their own cell, and a shard
+goes only to the blocks that ask for it, so a task holds one shard and one block, and the
+rows moved grow with the shards that are visited. Every row is indexed; recall against
+brute force is a test.
 
 Null ids, null vectors, zero vectors, and vectors that hold null, NaN or infinite
 components take no part, nor do vectors of another dimension than most have (the smaller
@@ -36,6 +45,8 @@ SHARD = 8192
 QUERIES = 1024
 SHARE = 0.2
 AT_LEAST = 200
+SAMPLE = 64
+TARGET = 0.97
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
@@ -64,8 +75,8 @@ def orders(vectors: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
     return np.argsort(far, axis=1, kind="stable")[:, :length].astype(np.int16)
 
 
-def index(vectors: DataFrame, pivots: np.ndarray, shards: int) -> DataFrame:
-    """(vec_id, shard, vector, nearest) with both arrays as bytes."""
+def index(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """(vec_id, cell, vector, nearest) with both arrays as bytes."""
     length = min(LENGTH, len(pivots))
     sent = vectors.sparkSession.sparkContext.broadcast(pivots)
 
@@ -78,17 +89,119 @@ def index(vectors: DataFrame, pivots: np.ndarray, shards: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("vec_id"),
-                    batch.column("shard"),
+                    pa.array(near[:, 0], pa.int32()),
                     pa.array([row.tobytes() for row in x], pa.binary()),
                     pa.array([row.tobytes() for row in near], pa.binary()),
                 ],
-                names=["vec_id", "shard", "vector", "nearest"],
+                names=["vec_id", "cell", "vector", "nearest"],
             )
 
-    rows = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    return rows.select("vec_id", "shard", "vector").mapInArrow(
-        run, "vec_id long, shard int, vector binary, nearest binary"
-    )
+    return vectors.mapInArrow(run, "vec_id long, cell int, vector binary, nearest binary")
+
+
+def vectors_of(column) -> np.ndarray:
+    return np.stack([np.frombuffer(v) for v in column])
+
+
+def true_neighbours(rows: DataFrame, ids: np.ndarray, asked: np.ndarray, k: int) -> DataFrame:
+    """(query, cell): the cells of the ``k`` nearest rows of each of a few vectors, by brute force."""
+    sent = rows.sparkSession.sparkContext.broadcast((ids, asked))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, queries = sent.value
+        best: list[list[tuple]] = [[] for _ in own]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = vectors_of(batch.column("vector").to_pylist())
+            vec_id = batch.column("vec_id").to_numpy()
+            cell = batch.column("cell").to_numpy()
+            far = (x**2).sum(axis=1)[None, :] - 2 * queries @ x.T
+            far[own[:, None] == vec_id[None, :]] = np.inf
+            for query, row in enumerate(far):
+                at = np.argpartition(row, k)[:k] if k < len(row) else np.arange(len(row))
+                found = [(float(row[i]), int(vec_id[i]), int(cell[i])) for i in at if row[i] < np.inf]
+                best[query] = sorted(best[query] + found)[:k]
+        flat = [(query, *entry) for query, entries in enumerate(best) for entry in entries]
+        columns = list(zip(*flat, strict=True)) or [(), (), (), ()]
+        kinds = [pa.int32(), pa.float64(), pa.int64(), pa.int32()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["query", "far", "vec_id", "cell"]
+        )
+
+    found = rows.mapInArrow(run, "query int, far double, vec_id long, cell int")
+    order = Window.partitionBy("query").orderBy("far", "vec_id")
+    return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).select("query", "cell")
+
+
+def cells_to_visit(rows: DataFrame, asked: DataFrame, pivots: np.ndarray, k: int, target: float) -> int:
+    """How many cells hold the ``target`` of the true neighbours of a sample of queries."""
+    sample = asked.orderBy(F.xxhash64(F.lit(7), "vec_id"), "vec_id").limit(SAMPLE).collect()
+    if not sample:
+        return 1
+    x = vectors_of([r["vector"] for r in sample])
+    order = orders(x, pivots, len(pivots))
+    ids = np.array([r["vec_id"] for r in sample])
+    near = true_neighbours(rows, ids, x, k).collect()  # at most SAMPLE times k rows
+    places = sorted(int(np.flatnonzero(order[r["query"]] == r["cell"])[0]) for r in near)
+    return places[int(np.ceil(target * len(places))) - 1] + 1 if places else 1
+
+
+def walk(pivots: np.ndarray) -> list[int]:
+    """The pivots in an order in which each is followed by the nearest that is left."""
+    left, order = set(range(1, len(pivots))), [0]
+    while left:
+        rest = sorted(left)
+        far = ((pivots[rest] - pivots[order[-1]]) ** 2).sum(axis=1)
+        order.append(rest[int(far.argmin())])
+        left.remove(order[-1])
+    return order
+
+
+def portions(sizes: dict[int, int], order: list[int], most: int) -> list[tuple[int, int]]:
+    """For each cell its first portion and how many it has, of about ``most`` rows each.
+
+    Small cells that follow each other share a portion; a large one is split by id.
+    """
+    found, portion, held = [(0, 1)] * len(order), -1, most
+    for cell in order:
+        size = sizes.get(cell, 0)
+        if held + size > most:
+            portion, held = portion + 1, 0
+        parts = max(1, -(-size // most))
+        found[cell] = (portion, parts)
+        portion += parts - 1
+        held = most if parts > 1 else held + size
+    return found
+
+
+def in_portion(found: list[tuple[int, int]], cell: Column, number: Column) -> Column:
+    """Number of the portion that a row of the cell is dealt to."""
+    first = F.array(*(F.lit(first) for first, _ in found))[cell]
+    parts = F.array(*(F.lit(parts) for _, parts in found))[cell]
+    return (first + F.pmod(number, parts)).cast("int")
+
+
+def visits(asked: DataFrame, pivots: np.ndarray, cells: int, found: list[tuple[int, int]]) -> DataFrame:
+    """(vec_id, shard): the shards that hold the cells of the first pivots of each query."""
+    sent = asked.sparkSession.sparkContext.broadcast((pivots, found))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen, where = sent.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            near = orders(vectors_of(batch.column("vector").to_pylist()), chosen, cells)
+            shards = []
+            for row in near:
+                spans = (where[cell] for cell in row)
+                shards.append(sorted({first + part for first, parts in spans for part in range(parts)}))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec_id"), pa.array(shards, pa.list_(pa.int32()))], names=["vec_id", "shards"]
+            )
+
+    listed = asked.select("vec_id", "vector").mapInArrow(run, "vec_id long, shards array<int>")
+    return listed.select("vec_id", F.explode("shards").alias("shard"))
 
 
 class InvertedFiles:
@@ -138,7 +251,32 @@ def searched(key, held: pd.DataFrame, asked: pd.DataFrame, k: int, share: float)
     return pd.concat(out) if out else empty
 
 
-def nearest(embeddings: DataFrame, is_query: Column, k: int = 10, share: float = SHARE) -> DataFrame:
+def planned(
+    rows: DataFrame, is_query: Column, pivots: np.ndarray, k: int, target: float, shard: int, queries: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows by shard, and queries by the shards they visit, both by block."""
+    asked = rows.where(is_query).dropDuplicates(["vec_id"])
+    cells = cells_to_visit(rows, asked, pivots, k, target)
+    order = walk(pivots)
+    sizes = dict(rows.groupBy("cell").count().collect())  # one row per pivot
+    shards = portions(sizes, order, shard)
+    blocks = portions(dict(asked.groupBy("cell").count().collect()), order, queries)
+    asked = asked.withColumn("block", in_portion(blocks, F.col("cell"), F.xxhash64(F.lit(3), "vec_id")))
+    asked = stage(asked.join(visits(asked, pivots, cells, shards), "vec_id"), "permutation-queries")
+    held = rows.withColumn("shard", in_portion(shards, F.col("cell"), F.xxhash64("vec_id")))
+    wanted = asked.select("shard", F.col("block").alias("_block")).distinct()
+    return held.join(wanted, "shard").withColumnRenamed("_block", "block"), asked
+
+
+def nearest(
+    embeddings: DataFrame,
+    is_query: Column,
+    k: int = 10,
+    share: float = SHARE,
+    target: float = TARGET,
+    shard: int = SHARD,
+    queries: int = QUERIES,
+) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest rows found for each query row."""
     vectors = usable(embeddings)
     pivots = choose_pivots(vectors)
@@ -146,18 +284,8 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 10, share: float =
     if not len(pivots):
         found = vectors.sparkSession.createDataFrame([], shape)
     else:
-        count = vectors.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
-        shards, blocks = -(-count[0] // SHARD), max(1, -(-count[1] // QUERIES))
-        rows = stage(index(vectors, pivots, shards), "permutation-index")
-        asked = rows.where(is_query).dropDuplicates(["vec_id"])
-        asked = asked.select(
-            "vec_id",
-            "vector",
-            "nearest",
-            F.pmod(F.xxhash64(F.lit(3), F.col("vec_id")), F.lit(blocks)).cast("int").alias("block"),
-            F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-        )
-        held = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        rows = stage(index(vectors, pivots), "permutation-index")
+        held, asked = planned(rows, is_query, pivots, k, target, shard, queries)
         found = (
             held.groupBy("shard", "block")
             .cogroup(asked.groupBy("shard", "block"))

@@ -241,6 +241,54 @@ def test_permutation_index_recall(spark):
     assert hits >= 0.9 * 10 * len(got)
 
 
+def recall(rows, found):
+    ids, x = rows
+    hits = total = 0
+    for q in ids[ids % 100 == 0]:
+        far = np.sqrt(((x - x[ids == q]) ** 2).sum(axis=1))
+        far[ids == q] = np.inf
+        hits += len(set(ids[np.lexsort((ids, far))[:10]]) & found[q])
+        total += 10
+    return hits / total
+
+
+@pytest.mark.parametrize("grouped", [False, True])
+def test_permutation_index_visits_some_shards_only(spark, grouped):
+    """Many shards and blocks: recall holds, and vectors in groups go to few of the blocks."""
+    if grouped:
+        pick = np.random.default_rng(4)
+        x = pick.normal(size=(24, 32))[pick.integers(0, 24, 4000)] * 4 + pick.normal(size=(4000, 32))
+        x[1000:2400] = x[7]  # a third of all rows are copies of one
+        ids = np.arange(4000)
+        rows = spark.createDataFrame(list(zip(ids.tolist(), x.tolist(), strict=True)), "vec_id long, embedding array<double>")
+    else:
+        rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+        table = rows.toPandas().sort_values("vec_id")
+        ids, x = table["vec_id"].to_numpy(), np.stack(table["embedding"]).astype(float)
+    query = F.col("vec_id") % 100 == 0
+    vectors = permutation_index.usable(rows)
+    pivots = permutation_index.choose_pivots(vectors)
+    indexed = permutation_index.index(vectors, pivots).cache()
+    held, asked = permutation_index.planned(indexed, query, pivots, 10, 0.97, 100, 5)
+    shards = held.select("shard").distinct().count()
+    blocks = asked.select("block").distinct().count()
+    assert shards >= 4 and blocks >= 4
+    assert held.groupBy("shard", "block").count().agg(F.max("count")).first()[0] <= 200
+    visited = asked.count() / (asked.select("vec_id").distinct().count() * shards)
+    moved = held.count() / (len(ids) * blocks)
+    if grouped:  # the given vectors have no groups, so they need nearly all shards
+        assert visited < 0.5 and moved < 0.5
+    found = defaultdict(set)
+    for r in permutation_index.nearest(rows, query, shard=100, queries=5).collect():
+        found[r["query_id"]].add(r["vec_id"])
+    assert recall((ids, x), found) >= 0.9
+
+
+def test_cells_are_dealt_to_portions():
+    found = permutation_index.portions({0: 5, 1: 30, 2: 4, 3: 4, 4: 4}, [2, 0, 3, 1, 4], 10)
+    assert found == [(0, 1), (2, 3), (0, 1), (1, 1), (5, 1)]
+
+
 def test_permutation_index_odd_rows(spark):
     rows = [(0, [1.0, 0.0]), (100, [1.0, 0.0]), (100, [1.0, 0.0]), (3, [0.0, 1.0]), (4, [0.0, 1.0])]
     rows += [(5, None), (6, [0.0, 0.0]), (7, [float("nan"), 1.0]), (8, [None, 1.0]), (9, [1.0]), (None, [1.0, 1.0])]
