@@ -8,7 +8,7 @@ what is shuffled and joined is one row per event, not one per property.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence, Sized
+from collections.abc import Callable, Iterable, Sequence, Sized
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -23,7 +23,7 @@ from propfold.operators.registry import EventType, property_spellings
 # Event types per 64-bit word: one bit "value accepted", one "name registered".
 TYPES_PER_WORD = 31
 
-# Event types folded at once, which bounds the broadcast table of bits.
+# Event types that are judged by bit words; of more, each event is judged by its own type.
 TYPES_PER_FOLD = 8 * TYPES_PER_WORD
 
 # Cells as columns up to this number, as one map beyond.
@@ -36,8 +36,13 @@ def words_needed(types: Sized) -> int:
     return -(-len(types) // TYPES_PER_WORD)
 
 
+def by_masks(types: Sized) -> bool:
+    """Too many event types for bit words?"""
+    return len(types) > TYPES_PER_FOLD
+
+
 def batches(types: Sequence) -> list[Sequence]:
-    """Event types in portions that one fold can judge."""
+    """Event types, or lists of spellings, in portions of bounded width."""
     return [types[at : at + TYPES_PER_FOLD] for at in range(0, len(types), TYPES_PER_FOLD)]
 
 
@@ -93,25 +98,20 @@ def fold(
     ``max_cell_columns`` they become entries of the map ``cells``.
 
     With ``verdicts``, ``word_<n>`` holds for each event type whether all the
-    properties of the event are registered and acceptable; with ``recipes``, after the
+    properties of the event are registered and acceptable (``fold_masks`` beyond
+    ``TYPES_PER_FOLD`` event types); with ``recipes``, after the
     cleaning of each value by the recipe of the type it is declared as. With ``any_size``,
     numbers are acceptable that the decimal column cannot hold.
     """
-    if verdicts and len(types) > TYPES_PER_FOLD:
-        raise ValueError(f"over {TYPES_PER_FOLD} event types in one fold; use batches")
     cells = list(cells)
+    if verdicts and by_masks(types):
+        return fold_masks(properties, types, cells, recipes, any_size)
     named = with_identifier(properties, "name", "_property", property_spellings(types))
     words = range(words_needed(types)) if verdicts else range(0)
     if verdicts:
         # Broadcast: one row per declared property, all from the driver.
         named = named.join(F.broadcast(bit_table(properties, types)), "_property", "left")
-        # A check runs only where some event type declares the property so.
-        values = {t: recipe(t)(F.col("value")) if recipes else F.col("value") for t in READERS}
-        fits = {t: accepts(values[t], t) for t in READERS}
-        if any_size:
-            fits[NUMERIC] = F.coalesce(is_number(values[NUMERIC]), F.lit(False))
-        checks = {t: F.when(F.col(f"_is_{t}"), fits[t]) for t in READERS}
-        named = named.withColumns({f"_fits_{t}": check for t, check in checks.items()})
+        named = with_checks(named, recipes, any_size)
         named = named.withColumns({f"word_{n}": word(n) for n in words})
     else:
         named = named.where(F.col("_property").isin(cells))
@@ -136,6 +136,86 @@ def fold(
     )
 
 
+def with_checks(named: DataFrame, recipes: bool, any_size: bool) -> DataFrame:
+    """Rows with ``_fits_<type>``; a check runs only where some event type declares the property so."""
+    values = {t: recipe(t)(F.col("value")) if recipes else F.col("value") for t in READERS}
+    fits = {t: accepts(values[t], t) for t in READERS}
+    if any_size:
+        fits[NUMERIC] = F.coalesce(is_number(values[NUMERIC]), F.lit(False))
+    return named.withColumns({f"_fits_{t}": F.when(F.col(f"_is_{t}"), fits[t]) for t in READERS})
+
+
+# One bit per declared type, and one for types that accept anything.
+MASK = {t: 1 << place for place, t in enumerate((*READERS, ANY))}
+
+
+def fold_masks(
+    properties: DataFrame, types: list[EventType], cells: list[str], recipes: bool, any_size: bool
+) -> DataFrame:
+    """One row per event id, for any number of event types in one pass.
+
+    ``masks`` says of each registered property of the event which declared types accept all
+    its values, ``unknown`` whether the event has a property that no type declares, and
+    ``cells`` holds the texts. Rows are combined by event and property first, so what is
+    gathered for an event is one entry for each registered property at most.
+    """
+    named = with_identifier(properties, "name", "_property", property_spellings(types))
+    declared = declared_types(types)
+    rows = [(name, *(t in kinds for t in READERS)) for name, kinds in declared.items()]
+    schema = ", ".join(["_property string", *(f"_is_{t} boolean" for t in READERS)])
+    # Broadcast: one row per declared property, all from the driver.
+    listed = F.broadcast(properties.sparkSession.createDataFrame(rows, schema))
+    named = with_checks(named.join(listed, "_property", "left"), recipes, any_size)
+    known = F.col(f"_is_{NUMERIC}").isNotNull()
+    mask = F.lit(MASK[ANY])
+    for t in READERS:
+        mask = mask + F.when(F.col(f"_fits_{t}"), MASK[t]).otherwise(0)
+    latest = F.max(F.when(F.col("_property").isin(cells), F.struct("id", "value"))).alias("_latest")
+    one = (
+        named.withColumns({"_property": F.when(known, F.col("_property")), "_mask": mask})
+        .groupBy("event_id", "_property")
+        .agg(F.bit_and("_mask").alias("_mask"), *([latest] if cells else []))
+    )
+    judged = F.when(F.col("_property").isNotNull(), F.struct("_property", "_mask"))
+    verdicts = [
+        F.bool_or(F.col("_property").isNull()).alias("unknown"),
+        F.map_from_entries(F.collect_list(judged)).alias("masks"),
+    ]
+    if not cells:
+        return one.groupBy("event_id").agg(*verdicts)
+    text = F.when(F.col("_latest").isNotNull(), F.struct("_property", F.col("_latest")["value"].alias("value")))
+    return one.groupBy("event_id").agg(*verdicts, F.map_from_entries(F.collect_list(text)).alias("cells"))
+
+
+def declared_types(types: list[EventType]) -> dict[str, set[str]]:
+    """As what is each property declared by the event types?"""
+    found: dict[str, set[str]] = {}
+    for kind in types:
+        for c in kind.columns:
+            found.setdefault(c.property, set()).add(c.type if c.type in READERS else ANY)
+    return found
+
+
+def with_declared(typed: DataFrame, types: list[EventType]) -> DataFrame:
+    """Events with what their type declares, where the fold says what fits by masks."""
+    if not by_masks(types):
+        return typed
+    rows = [
+        (place, {c.property: MASK.get(c.type, MASK[ANY]) for c in kind.columns})
+        for place, kind in enumerate(types)
+    ]
+    table = typed.sparkSession.createDataFrame(rows, "place int, declared map<string,int>")
+    # Broadcast: one entry per row of the registry, all from the driver.
+    return typed.join(F.broadcast(table), "place")
+
+
+def all_masks(fits: Callable[[Column, Column], Column]) -> Column:
+    """Is the test true of the mask and the declared bit of every property of the event?"""
+    each = F.map_entries("masks")
+    test = F.forall(each, lambda e: F.coalesce(fits(e["value"], F.try_element_at("declared", e["key"])), F.lit(False)))
+    return ~F.col("unknown") & test
+
+
 def cell(folded_columns: Iterable[str], cells: list[str], name: str) -> Column:
     """The text of property ``name`` in a row made by ``fold``."""
     if "cells" in folded_columns:
@@ -153,10 +233,14 @@ def bit_at_place(words: int, shift: int = 0) -> Column:
 
 
 def accepted(types: list[EventType]) -> Column:
+    if by_masks(types):
+        return all_masks(lambda mask, bit: mask.bitwiseAND(bit) != 0)
     return bit_at_place(words_needed(types))
 
 
 def registered(types: list[EventType]) -> Column:
+    if by_masks(types):
+        return all_masks(lambda mask, bit: bit.isNotNull())
     return bit_at_place(words_needed(types), TYPES_PER_WORD)
 
 

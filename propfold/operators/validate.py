@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propfold.functions.names import with_identifier
 from propfold.functions.values import refusal
 from propfold.operators.clean import RECIPES, recipe
-from propfold.operators.fold import accepted, batches, fold, registered
+from propfold.operators.fold import accepted, fold, registered, with_declared
 from propfold.operators.registry import EventType, declared_table, property_spellings, with_event_type
 from propfold.sources.schemas import INVALID, VALID
 
@@ -21,7 +18,7 @@ def conformance(events: DataFrame, folded: DataFrame, types: list[EventType]) ->
 
     An event type without any observed property has no row.
     """
-    typed = with_event_type(events.select("id", "name"), types)
+    typed = with_declared(with_event_type(events.select("id", "name"), types), types)
     return (
         typed.join(folded, typed["id"] == folded["event_id"])
         .groupBy("type_id", "schema")
@@ -32,16 +29,7 @@ def conformance(events: DataFrame, folded: DataFrame, types: list[EventType]) ->
 def schema_conformance(
     events: DataFrame, properties: DataFrame, types: list[EventType]
 ) -> DataFrame:
-    return over_batches(
-        types, lambda some: conformance(events, fold(properties, some, verdicts=True), some)
-    )
-
-
-def over_batches(
-    types: list[EventType], query: Callable[[list[EventType]], DataFrame]
-) -> DataFrame:
-    """Results of all event types together, each portion judged by its own fold."""
-    return reduce(DataFrame.unionByName, [query(some) for some in batches(types) or [types]])
+    return conformance(events, fold(properties, types, verdicts=True), types)
 
 
 def judge(
@@ -53,7 +41,7 @@ def judge(
     property at all, are left out as a whole. A gate that is kept from run to run
     (``type_id``, ``conforms``) may be given instead.
     """
-    pending = with_event_type(events.where(~F.col("migrated")), types)
+    pending = with_declared(with_event_type(events.where(~F.col("migrated")), types), types)
     if gate is not False:
         found = conformance(events, folded, types) if gate is True else gate
         open_types = found.where("conforms").select("type_id")
@@ -72,12 +60,8 @@ def validate_events(
     schema_gate: bool | DataFrame = True,
 ) -> DataFrame:
     """Verdict on each pending event: ``id``, ``schema``, ``valid``."""
-
-    def verdicts(some: list[EventType]) -> DataFrame:
-        folded = fold(properties, some, verdicts=True)
-        return judge(events, folded, some, schema_gate).select("id", "schema", "valid")
-
-    return over_batches(types, verdicts)
+    folded = fold(properties, types, verdicts=True)
+    return judge(events, folded, types, schema_gate).select("id", "schema", "valid")
 
 
 def with_verdicts(events: DataFrame, verdicts: DataFrame) -> DataFrame:

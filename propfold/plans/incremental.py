@@ -128,7 +128,7 @@ def run_job(
     types = load_event_types(schemas, declared, names)
     store.write("wide_columns", run_id, column_log(store, types))
 
-    # Judge and write, a portion of event types at a time.
+    # Judge all at once; write a portion of event types at a time, which bounds the columns.
     due, rest = pending, pending.limit(0)
     if not changed:
         touched = new_properties.select("event_id").join(
@@ -141,18 +141,17 @@ def run_job(
         due.select(F.col("id").alias("event_id")), "event_id", "left_semi"
     )
     opened = gate(counts, types) if schema_gate else False
-    verdicts = None
-    for number, some in enumerate(batches(types) or [types]):
-        folded = fold_events(due, due_properties, some, opened, recipes, any_size=True)
-        folded = store.write(f"folded/run={run_id}", number, folded)
-        rows = stored_rows(folded, some, recipes)
+    folded = fold_events(due, due_properties, types, opened, recipes, any_size=True)
+    folded = store.write(f"folded/run={run_id}", 0, folded)
+    portions = batches(types) or [types]
+    for number, some in enumerate(portions):
+        own = F.col("schema").isin(*(kind.name for kind in some)) if len(portions) > 1 else F.lit(True)
+        rows = stored_rows(folded.where(own), some, recipes)
         rows.write.mode("overwrite").partitionBy("event_type").parquet(
             f"{store.path('wide', run_id)}/part={number}"
         )
-        judged = folded.select("id", F.col("valid").alias("_valid"))
-        verdicts = judged if verdicts is None else verdicts.unionByName(judged)
 
-    judged = due.join(verdicts, "id", "left")
+    judged = due.join(folded.select("id", F.col("valid").alias("_valid")), "id", "left")
     judged = judged.withColumn("valid", F.coalesce("_valid", "valid")).withColumn(
         "migrated", F.coalesce(F.col("_valid") == VALID, F.lit(False))
     )

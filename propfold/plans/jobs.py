@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propfold.operators import clean, discover, users
-from propfold.operators.fold import batches
 from propfold.operators.pivot import (
     cells_of,
     fold_events,
@@ -104,8 +103,7 @@ def migrate_events_job(
     With ``recipes``, values are cleaned by the recipe of their declared type on the way,
     which takes no further pass; the property table keeps the raw text.
 
-    The property table is folded once for all types (of a batch, where there are
-    hundreds) and the result is staged in the shared folder, partitioned by type.
+    The property table is folded once for all types and the result is staged in the shared folder, partitioned by type.
     Each wide table then reads its own partition. The loops run over event types,
     not over data. The flags of a type are written after its rows: a run that
     failed in between may be repeated, and its appends leave out what is there.
@@ -115,15 +113,14 @@ def migrate_events_job(
     if not schema_gate:
         # The gate looks at all properties ever observed; a verdict does not.
         properties = within_ids(properties, "event_id", events.where(~F.col("migrated")))
-    for number, some in enumerate(batches(types)):
-        folded = fold_events(events, properties, some, schema_gate, recipes)
-        staged = f"{shared_dir(spark)}/{tables.tenant}/folded/run={run_id}/batch={number}"
-        few_files(folded, len(some)).write.partitionBy("schema").mode("overwrite").parquet(staged)
-        folded = spark.read.schema(folded.schema).parquet(staged)
-        for kind in some:
-            append_new(pivot_folded(folded, some, kind, recipes), tables.wide_path(kind.name))
-            status = status_rows(folded, some, kind, run_id, recipes)
-            status.write.mode("append").parquet(tables.path("event_status"))
+    folded = fold_events(events, properties, types, schema_gate, recipes)
+    staged = f"{shared_dir(spark)}/{tables.tenant}/folded/run={run_id}"
+    few_files(folded, len(types)).write.partitionBy("schema").mode("overwrite").parquet(staged)
+    folded = spark.read.schema(folded.schema).parquet(staged)
+    for kind in types:
+        append_new(pivot_folded(folded, types, kind, recipes), tables.wide_path(kind.name))
+        status = status_rows(folded, types, kind, run_id, recipes)
+        status.write.mode("append").parquet(tables.path("event_status"))
     return tables.read("event_status").where(F.col("run_id") == run_id)
 
 

@@ -113,8 +113,9 @@ def test_refusals_explain_the_verdicts(spark):
     assert {r["event_id"] for r in refused} == {i for i, (_, ok) in verdicts.items() if ok == "unvalid"}
 
 
-@pytest.mark.parametrize("most", [64, 1])
-def test_pivot_of_all_types(spark, most):
+@pytest.mark.parametrize("most, per_fold", [(64, 248), (1, 248), (64, 2)])
+def test_pivot_of_all_types(spark, monkeypatch, most, per_fold):
+    monkeypatch.setattr(fold, "TYPES_PER_FOLD", per_fold)
     types = kinds(4)
     events, properties, event_rows, property_rows = tables(spark, types)
     verdicts, _, cells = expected(types, event_rows, property_rows)

@@ -8,7 +8,7 @@ from compare import DATA
 from test_jobs import store as stored_tables
 
 from propfold.functions.numbers import order_key
-from propfold.operators import observed, validate
+from propfold.operators import fold, observed, validate
 from propfold.operators.registry import load_event_types
 from propfold.operators.versions import EXACT, number_text, read_rows, stored_struct
 from propfold.plans import incremental, jobs
@@ -98,6 +98,16 @@ def test_many_runs_equal_one(spark, source, whole, tmp_path):
     assert names == contents(observed.observed_counts(source.read("user_event"), source.read("event_property")))
 
 
+def test_very_many_types_equal_few(spark, source, whole, tmp_path, monkeypatch):
+    monkeypatch.setattr(fold, "TYPES_PER_FOLD", 2)
+    tables = fresh(spark, source, tmp_path, "masks")
+    arrive(tables, source, "true", "true")
+    found = incremental.run_job(tables, 1, NOW, schema_gate=False)
+    assert len(incremental.event_types(found)) > 2
+    assert wide_contents(found) == wide_contents(whole)
+    assert flag_contents(found) == flag_contents(whole)
+
+
 def test_kept_counts_give_the_gate(spark, source, whole):
     types = load_event_types(source.read("event_schema"), source.read("property_event_schema"))
     counts = observed.added_counts(whole.growing("observed"))

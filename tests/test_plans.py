@@ -78,6 +78,18 @@ def test_verdicts_alone_use_hash_aggregation(spark, stored):
     assert "SortAggregate" not in plan and "partial_bit_and" in plan
 
 
+def test_a_thousand_event_types_take_one_pass(spark, stored):
+    events, props = stored
+    types = [EventType(n, f"type_{n}", (WideColumn("a", "a", "integer"),)) for n in range(1000)]
+    for rows in (
+        validate.validate_events(events, props, types, schema_gate=False),
+        pivot.fold_events(events, props, types, schema_gate=False),
+    ):
+        plan = physical(rows)
+        assert plan.count("FileScan") == 2  # the events and the properties
+        assert exchanges(plan, "event_id") <= 2
+
+
 def test_pivot_shuffles_each_table_once(spark, stored):
     events, props = stored
     plan = physical(pivot.fold_events(events, props, [KIND], schema_gate=False))
