@@ -297,8 +297,6 @@ def repeated_spans(documents: DataFrame, size: int = SIZE) -> DataFrame:
 
     often = rows.select("text").mapInArrow(over(anchors), "anchor long")
     often = often.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    # Written first: with plain shuffles on both sides, the join below can split a hot anchor.
-    often = stage(often, "anchors")
     shape = "anchor long, context long, key1 long, key2 long, first int, last int"
     found = rows.mapInArrow(over(occurrences), shape)
     found = stage(found.join(often, "anchor", "left_semi"), "runs")
