@@ -29,7 +29,7 @@ from propfold.plans import rewrites
 from propfold.session import shared_dir
 from propfold.sources import given, parts, seen
 from propfold.sources.schemas import table_schema
-from propfold.sources.tables import TenantTables, current_flags, only_new
+from propfold.sources.tables import TenantTables, current_flags, only_new, write_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -273,7 +273,8 @@ def seen_islands(g: Given) -> DataFrame:
 def unseen_properties(g: Given) -> DataFrame:
     """Property rows that are new to a run before which those of every third event had come."""
     there = g.event_property.where(F.pmod("event_id", F.lit(3)) == 0)
-    return seen.unseen(g.event_property, seen.islands(there))
+    path = f"{shared_dir(g.spark)}/islands-{uuid.uuid4().hex}"
+    return seen.unseen(g.event_property, write_snapshot(seen.islands(there), path))
 
 
 def wide_over_versions(g: Given) -> DataFrame:

@@ -4,7 +4,9 @@ Seen ids are kept as islands, runs of consecutive ids within a block of ``2**BLO
 ids: ``block``, ``first``, ``last``. A gap between islands is unseen, so a row that turns
 up late in it is found. The longest seen ranges go into the scan as a predicate on the id,
 which lets a table written in that order skip them; what these ranges do not say is
-settled by an anti-join with the remaining islands, so their number costs no result.
+settled by anti-joins with the remaining islands, so their number costs no result. Of long
+islands a block has few, which are joined as they are; short ones are laid out as bits, one
+row for ``2**WORD_BITS`` ids, so that a row meets one row of them however many there are.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_BITS = 16
+WORD_BITS = 6  # the bits of a long
+LONG_ISLAND = 1024  # ids of an island that is joined as it is
 GROUP_BITS = 26  # ids whose islands are looked at one by one, unless all of them are seen
 
 # What the driver holds of islands, and how many ranges a scan is given.
@@ -24,21 +28,64 @@ MAX_RANGES = 64
 ISLANDS = "block LONG, first LONG, last LONG"
 
 
+def word_of(id: Column) -> Column:
+    return F.shiftright(id, WORD_BITS)
+
+
+def bit_of(id: Column) -> Column:
+    """Place of the id in its word."""
+    return id.bitwiseAND((1 << WORD_BITS) - 1).cast("int")
+
+
+def bits(mask: Column) -> Column:
+    """Places of the bits that are set, in order."""
+    places = F.sequence(F.lit(0), F.lit((1 << WORD_BITS) - 1))
+    return F.filter(places, lambda place: F.getbit(mask, place) == 1)
+
+
 def islands(rows: DataFrame, key: str = "id") -> DataFrame:
-    """Runs of consecutive ids; an id that occurs twice counts once, NULL not at all."""
-    ids = rows.where(F.col(key).isNotNull()).select(
-        F.col(key).cast("long").alias("id"), F.shiftright(key, BLOCK_BITS).cast("long").alias("block")
+    """Runs of consecutive ids; an id that occurs twice counts once, NULL not at all.
+
+    Ids are combined into words before they are shuffled; runs within a word are read off
+    its bits, and only runs are sorted.
+    """
+    ids = rows.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), bit_of(F.col("id")))
+    words = ids.groupBy(word_of(F.col("id")).alias("word")).agg(F.bit_or(bit).alias("mask"))
+    mask, start = F.col("mask"), F.shiftleft("word", WORD_BITS)
+    begins = mask.bitwiseAND(F.bitwise_not(F.shiftleft(mask, 1)))
+    ends = mask.bitwiseAND(F.bitwise_not(F.shiftrightunsigned(mask, 1)))
+    runs = (
+        words.select(start.alias("start"), F.inline(F.arrays_zip(bits(begins).alias("a"), bits(ends).alias("b"))))
+        .select((F.col("start") + F.col("a")).alias("first"), (F.col("start") + F.col("b")).alias("last"))
+        .withColumn("block", F.shiftright("first", BLOCK_BITS))
     )
-    # Within an island, an id and its place in the block grow alike.
-    place = F.dense_rank().over(Window.partitionBy("block").orderBy("id"))
+    # Within an island, a run begins behind the end of the one before.
+    along = Window.partitionBy("block").orderBy("first")
+    apart = F.coalesce(F.col("first") - F.lag("last").over(along) > 1, F.lit(True))
     return (
-        ids.withColumn("island", F.col("id") - place)
+        runs.withColumn("apart", apart.cast("long"))
+        .withColumn("island", F.sum("apart").over(along))
         .groupBy("block", "island")
-        .agg(F.min("id").alias("first"), F.max("id").alias("last"))
+        .agg(F.min("first").alias("first"), F.max("last").alias("last"))
         .drop("island")
     )
 
 
+def island_words(seen: DataFrame) -> DataFrame:
+    """Islands as ``_word`` and ``_mask``: one row for each word with a seen id."""
+    top = (1 << WORD_BITS) - 1
+    cut = seen.select(
+        "first", "last", F.explode(F.sequence(word_of(F.col("first")), word_of(F.col("last")))).alias("_word")
+    )
+    start = F.shiftleft("_word", WORD_BITS)
+    low = F.greatest("first", start) - start
+    high = F.least("last", start + top) - start
+    ones = F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), (top - high + low).cast("int"))
+    mask = F.call_function("shiftleft", ones, low.cast("int"))
+    return cut.select("_word", mask.alias("mask")).groupBy("_word").agg(F.bit_or("mask").alias("_mask"))
+
+
 def joined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Ranges in order, neighbours made one."""
     out: list[tuple[int, int]] = []
@@ -90,8 +137,14 @@ def unseen(
     left = rows.where(F.col(key).isNotNull() & outside(F.col(key), ranges))
     # An island lies in a range as a whole or not at all.
     rest = seen.where(outside(F.col("first"), ranges))
-    if rest.isEmpty():
-        return left
-    rest = rest.select("block", F.col("first").alias("_first"), F.col("last").alias("_last"))
-    same = F.shiftright(left[key], BLOCK_BITS) == rest["block"]
-    return left.join(rest, same & left[key].between(rest["_first"], rest["_last"]), "left_anti")
+    small = F.col("last") - F.col("first") < LONG_ISLAND - 1
+    n = rest.agg(F.count_if(small).alias("short"), F.count_if(~small).alias("long")).first()
+    if n["long"]:
+        long = rest.where(~small).select("block", F.col("first").alias("_first"), F.col("last").alias("_last"))
+        same = F.shiftright(left[key], BLOCK_BITS) == long["block"]
+        left = left.join(long, same & left[key].between(long["_first"], long["_last"]), "left_anti")
+    if n["short"]:
+        words, id = island_words(rest.where(small)), left[key].cast("long")
+        known = F.getbit(words["_mask"], bit_of(id)) == 1
+        left = left.join(words, (word_of(id) == words["_word"]) & known, "left_anti")
+    return left
