@@ -199,11 +199,11 @@ def exact_numbers(g: Given) -> DataFrame:
 
 def exact_number_ranges(g: Given) -> DataFrame:
     """Least and greatest number of each property name, in exact order."""
-    number = F.struct(
-        numbers.order_key(F.col("value")).alias("key"), numbers.exact_text(F.col("value")).alias("text")
+    rows = scaled_numbers(g).select("name", numbers.read(F.col("value")).alias("number"))
+    keyed = F.struct(
+        numbers.key_of(F.col("number")).alias("key"), numbers.text_of(F.col("number")).alias("text")
     )
-    rows = scaled_numbers(g).select("name", number.alias("number"))
-    return rows.groupBy("name").agg(
+    return rows.select("name", keyed.alias("number")).groupBy("name").agg(
         F.count("*").alias("n"),
         F.min("number")["text"].alias("least"),
         F.max("number")["text"].alias("greatest"),

@@ -78,3 +78,11 @@ def test_what_fits_the_column_is_a_number(spark):
     texts = list(random_numbers(random.Random(2), 500)) + [t for t, *_ in TABLE] + ["1 2", "e5", "--1", "1e5.0"]
     found = evaluate(spark, texts, v.accepts(F.col("v"), v.NUMERIC), numbers.is_number(F.col("v")))
     assert all(number or not fits for fits, number in found)
+
+
+def test_a_text_is_taken_apart_once(spark):
+    value = F.col("v")
+    rows = spark.createDataFrame([("1.5e3",)], "v string")
+    for column in (numbers.exact_text, numbers.order_key, numbers.held_exactly, numbers.lost_text):
+        plan = rows.select(column(value).alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("substring_index") <= 3 and plan.count("RLIKE") <= 3, column.__name__
