@@ -191,10 +191,9 @@ def scaled_numbers(g: Given) -> DataFrame:
 
 
 def exact_numbers(g: Given) -> DataFrame:
-    value = F.col("value")
-    return scaled_numbers(g).select(
-        "id", numbers.exact_text(value).alias("exact"), numbers.held_exactly(value).alias("held")
-    )
+    number = F.col("number")
+    rows = scaled_numbers(g).select("id", numbers.read(F.col("value")).alias("number"))
+    return rows.select("id", numbers.text_of(number).alias("exact"), numbers.held_of(number).alias("held"))
 
 
 def exact_number_ranges(g: Given) -> DataFrame:

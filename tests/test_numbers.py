@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from propfold.functions import numbers
 from propfold.functions import values as v
+from propfold.plans import queries
+from propfold.sources import given
 
 WIDE = decimal.Context(prec=200, Emax=decimal.MAX_EMAX, Emin=decimal.MIN_EMIN)
 
@@ -86,3 +88,12 @@ def test_a_text_is_taken_apart_once(spark):
     for column in (numbers.exact_text, numbers.order_key, numbers.held_exactly, numbers.lost_text):
         plan = rows.select(column(value).alias("c"))._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("substring_index") <= 3 and plan.count("RLIKE") <= 3, column.__name__
+
+
+def test_the_query_takes_a_text_apart_once(spark, tmp_path):
+    for name in ("events", "orders", "documents"):
+        spark.createDataFrame([], given.GIVEN[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = queries.registered()["exact_numbers"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # One reading in each of the three branches that event properties come from.
+    assert 0 < plan.count("substring_index") <= 3 * 3
